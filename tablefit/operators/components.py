@@ -1,11 +1,12 @@
 """Correlation matrix and correlation-matrix principal components
 (A1, O1-O3, M1).
 
-The d x d correlation matrix comes from ``pyspark.ml.stat.Correlation``
-(a distributed tree aggregate over the rows); only that matrix and its
-eigenpairs live on the driver, so the driver cost depends on d, not on the
-row count. Rows are projected with a plain column expression
-``Comp_j = sum_i x_i * v_ij`` that stays inside whole-stage codegen.
+The correlation matrix (A1) comes from ``pyspark.ml.stat.Correlation``;
+components (M1) from ``StandardScaler`` (unit deviation, no centring) and
+``PCA``, whose covariance of the scaled rows is exactly the correlation
+matrix. Both are distributed tree aggregates; only d x d results live on
+the driver, so the driver cost depends on d, not on the row count. Rows
+are projected by the fitted ``PCAModel`` (a JVM matrix-vector product).
 
 Projection is applied to the *uncentred, unscaled* rows, as the run this
 library reproduces does; eigenvectors are those of the correlation matrix.
@@ -21,6 +22,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
 
 from tablefit.functions.vectors import to_vector
@@ -67,16 +70,20 @@ def correlation_long(spark: SparkSession, matrix: np.ndarray,
     return spark.createDataFrame(rows, schema)
 
 
-def fix_signs(vectors: np.ndarray, eps: float = SIGN_EPS) -> np.ndarray:
-    """Flip each column so that its first loading with |v| > eps is
-    positive (makes components reproducible across solvers)."""
-    out = vectors.copy()
-    for j in range(out.shape[1]):
-        col = out[:, j]
+def sign_rule(vectors: np.ndarray, eps: float = SIGN_EPS) -> np.ndarray:
+    """+1/-1 per column so that, after multiplying, the column's first
+    loading with |v| > eps is positive (reproducible across solvers)."""
+    signs = np.ones(vectors.shape[1])
+    for j in range(vectors.shape[1]):
+        col = vectors[:, j]
         idx = np.flatnonzero(np.abs(col) > eps)
         if idx.size and col[idx[0]] < 0:
-            out[:, j] = -col
-    return out
+            signs[j] = -1.0
+    return signs
+
+
+def fix_signs(vectors: np.ndarray, eps: float = SIGN_EPS) -> np.ndarray:
+    return vectors * sign_rule(vectors, eps)
 
 
 def components_for_confidence(ratios: Sequence[float], confidence: float) -> int:
@@ -99,6 +106,8 @@ class Components:
     k_confidence: int                # components needed for the confidence
     confidence: float
     constant: list[str] = field(default_factory=list)
+    model: PCAModel | None = None    # Spark PCA fitted on standardised rows
+    signs: np.ndarray | None = None  # +1/-1 per component (sign rule)
 
     @property
     def ratios(self) -> np.ndarray:
@@ -133,52 +142,66 @@ class Components:
             T.StructField("loading", T.DoubleType(), False)])
         return spark.createDataFrame(rows, schema)
 
-    def component_columns(self, arr: Column, prefix: str = "Comp") -> list[Column]:
-        """``Comp_j = sum_i arr[i] * v_ij`` for the selected components."""
-        cols = []
-        d = len(self.names)
-        for j in range(self.k):
-            expr = None
-            for i in range(d):
-                w = float(self.vectors[i, j])
-                if w == 0.0:
-                    continue
-                term = arr[i] * F.lit(w)
-                expr = term if expr is None else expr + term
-            cols.append((expr if expr is not None else F.lit(0.0)).alias(f"{prefix}{j + 1}"))
-        return cols
+    def transform(self, df: DataFrame, arr_col: str, out_col: str = "components") -> DataFrame:
+        """Adds ``out_col`` (array of the k selected components) computed by
+        the fitted Spark PCA model on the unscaled rows (a BLAS
+        matrix-vector product per row), with the sign rule applied."""
+        if self.model is None or self.signs is None:
+            raise ValueError("components were not fitted")
+        model = self.model.copy()
+        model.setInputCol("_pca_in").setOutputCol("_pca_out")
+        staged = df.withColumn("_pca_in", to_vector(F.col(arr_col)))
+        out = model.transform(staged).withColumn(
+            "_pca_arr", vector_to_array(F.col("_pca_out"), "float64"))
+        arr = F.col("_pca_arr")
+        comps = F.array(*[arr[j] * F.lit(float(self.signs[j])) for j in range(self.k)])
+        return out.withColumn(out_col, comps).drop("_pca_in", "_pca_out", "_pca_arr")
 
     def project(self, df: DataFrame, arr_col: str, keep: Sequence[str] = (),
                 prefix: str = "Comp") -> DataFrame:
-        """Rows -> ``keep... , Comp1..Compk`` (S8 layout)."""
-        return df.select(*[F.col(f"`{c}`") for c in keep],
-                         *self.component_columns(F.col(arr_col), prefix))
+        """Rows -> ``keep..., Comp1..Compk`` (S8 layout)."""
+        t = self.transform(df, arr_col, "_comps")
+        return t.select(*[F.col(f"`{c}`") for c in keep],
+                        *[F.col("_comps")[j].alias(f"{prefix}{j + 1}") for j in range(self.k)])
 
 
 def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = None,
                    k: int | None = 9, confidence: float = 0.999,
                    override_components: bool = True) -> Components:
-    """M1: eigenpairs of the correlation matrix of ``arr_col`` (already
-    normalised rows). ``k`` components are kept; when fewer than needed for
-    ``confidence`` are asked for, a warning is given and, with
-    ``override_components``, k is raised to that count."""
+    """M1: principal components of the correlation matrix of ``arr_col``
+    (already normalised rows), i.e. Spark's PCA on the rows scaled to unit
+    standard deviation without centring. ``k`` components are kept; when
+    fewer than needed for ``confidence`` are asked for, a warning is given
+    and, with ``override_components``, k is raised to that count (O3).
+
+    Pass a persisted ``df``: the fit reads it for the scaler and for the
+    covariance; only d-sized and d x d results reach the driver."""
     if not 0.0 <= confidence <= 1.0:
         raise ValueError("confidence must be within [0, 1]")
-    corr = correlation_matrix(df, arr_col)
-    d = corr.shape[0]
+    vec = df.select(to_vector(F.col(arr_col)).alias("_x"))
+    scaler = StandardScaler(inputCol="_x", outputCol="_xs", withMean=False,
+                            withStd=True).fit(vec)
+    std = np.asarray(scaler.std.toArray(), dtype=float)
+    d = std.size
+    if d == 0:
+        raise ValueError("no features")
+    if d > MAX_DIM:
+        raise ValueError(f"{d} features is above the supported width {MAX_DIM}")
     names = list(names) if names is not None else [f"f{i}" for i in range(d)]
     if len(names) != d:
         raise ValueError(f"{len(names)} names for {d} features")
-    diag = np.diag(corr)
-    constant = [names[i] for i in range(d) if np.isnan(diag[i])]
+    constant = [names[i] for i in range(d) if not std[i] > 0.0]
     if constant:
         warnings.warn(f"constant features left out of the components: {constant}")
-    clean = np.where(np.isnan(corr), 0.0, corr)
-    values, vectors = np.linalg.eigh(clean)
-    order = sorted(range(d), key=lambda i: (-abs(values[i]), i))
-    values = values[order]
-    vectors = fix_signs(vectors[:, order])
-    ratios = np.abs(values) / max(float(np.sum(np.abs(values))), 1e-300)
+    if len(constant) == d:
+        raise ValueError("every feature is constant; no components")
+    pca = PCA(k=d, inputCol="_xs", outputCol="_pcs").fit(scaler.transform(vec))
+    ratios = np.asarray(pca.explainedVariance.toArray(), dtype=float)
+    raw = np.asarray(pca.pc.toArray(), dtype=float)
+    signs = sign_rule(raw)
+    vectors = raw * signs
+    # the trace of a correlation matrix is its count of non-constant features
+    eigenvalues = ratios * float(d - len(constant))
     k_conf = components_for_confidence(ratios, confidence)
     if k is None:
         k = k_conf
@@ -190,4 +213,5 @@ def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = No
                       f"{k_conf} are needed")
         if override_components:
             k = k_conf
-    return Components(names, values, vectors, int(k), int(k_conf), float(confidence), constant)
+    return Components(names, eigenvalues, vectors, int(k), int(k_conf), float(confidence),
+                      constant, pca, signs)

@@ -38,9 +38,12 @@ class Prepared:
     components: Components | None
     labels: list[str]
     keys: list[str]
+    base: DataFrame | None = None
 
     def unpersist(self) -> None:
         self.rows.unpersist()
+        if self.base is not None:
+            self.base.unpersist()
 
 
 def normalised_rows(df: DataFrame, labels: Sequence[str], features: Sequence[str],
@@ -68,8 +71,8 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
     if use_components:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
         comps = fit_components(base, "x", list(features), k, confidence, override_components)
-        projected = base.select(*[F.col(f"`{c}`") for c in list(keys) + list(labels)],
-                                F.array(*comps.component_columns(F.col("x"))).alias("x"))
+        projected = comps.transform(base, "x", "_comps").select(
+            *[F.col(f"`{c}`") for c in list(keys) + list(labels)], F.col("_comps").alias("x"))
     else:
         projected = base
     # V3: absolute values, L1-normalised (the labelled-point features)
@@ -77,10 +80,13 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
                             to_vector(l1_abs_normalize(F.col("x"))).alias("features"))
     rows = key_split(rows, list(keys), test_fraction, seed)
     if persist:
+        # materialise the prepared rows, then release the normalised ones
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    if use_components:
-        base.unpersist()
-    return Prepared(rows, comps, list(labels), list(keys))
+        rows.count()
+        if use_components:
+            base.unpersist()
+        return Prepared(rows, comps, list(labels), list(keys))
+    return Prepared(rows, comps, list(labels), list(keys), base if use_components else None)
 
 
 def labelled(prep: Prepared, expression: str) -> DataFrame:

@@ -1,4 +1,253 @@
-"""DuckDB SQL equivalents of ``tablefit.plans.queries`` (same column names
-and roundings). Queries without an SQL equivalent have no entry here."""
+"""DuckDB SQL equivalents of ``tablefit.plans.queries``: same column names,
+types and roundings. Queries without an SQL equivalent (iterative fits,
+the sweep) have no entry. The SQL text is assembled from the same fixed
+values the Spark side uses.
+"""
+
+from __future__ import annotations
+
+from tablefit.functions.fixed import NUMBER_PATTERN
+from tablefit.plans.tables import (EARLY_LAST_YEAR, HEADER_EARLY, HEADER_LATE, HEADER_MIDDLE,
+                                   LINEITEM_CATALOGUE, LINEITEM_FEATURES, LINESTATUS_CATEGORIES,
+                                   MIDDLE_LAST_YEAR, PREFIX_LABELS, RETURNFLAG_CATEGORIES)
 
 ORACLE_SQL: dict[str, str] = {}
+
+
+def _list(xs):
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+
+
+def _category(text: str, table: dict) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in table.items())
+    return f"(CASE trim({text}) {whens} END)"
+
+
+def _typed(text: str, table: dict) -> str:
+    return (f"(CASE WHEN regexp_full_match(trim({text}), '{NUMBER_PATTERN}') "
+            f"THEN CAST(trim({text}) AS DOUBLE) ELSE {_category(text, table)} END)")
+
+
+RF = _category("l_returnflag", RETURNFLAG_CATEGORIES)
+LS = _category("l_linestatus", LINESTATUS_CATEGORIES)
+
+ORACLE_SQL["exclude_columns"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus
+FROM lineitem"""
+
+_TEXTS = {
+    "c_qty": "CAST(l_quantity AS VARCHAR)",
+    "c_flag": "l_returnflag",
+    "c_status": "l_linestatus",
+    "c_padded": "(' ' || CAST(l_linenumber AS VARCHAR) || ' ')",
+    "c_date": "CAST(CAST(l_shipdate AS DATE) AS VARCHAR)",
+    "c_blank": "(CASE WHEN l_discount = 0 THEN '' ELSE CAST(l_discount AS VARCHAR) END)",
+    "c_price": "CAST(l_extendedprice AS VARCHAR)",
+}
+ORACLE_SQL["typed_cells"] = (
+    "SELECT l_orderkey, l_linenumber, "
+    + ", ".join(f"{_typed(t, RETURNFLAG_CATEGORIES)} AS {n}" for n, t in _TEXTS.items())
+    + " FROM lineitem")
+
+ORACLE_SQL["category_map"] = f"""
+SELECT l_orderkey, l_linenumber, {RF} AS rf, {LS} AS ls FROM lineitem"""
+
+_YEAR = "CAST(year(l_shipdate) AS INTEGER)"
+ORACLE_SQL["schema_union"] = f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       CAST({_YEAR} AS DOUBLE) AS ship_year
+FROM lineitem WHERE {_YEAR} <= {EARLY_LAST_YEAR}
+UNION ALL BY NAME
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, l_extendedprice, l_returnflag,
+       l_linestatus
+FROM lineitem WHERE {_YEAR} > {EARLY_LAST_YEAR} AND {_YEAR} <= {MIDDLE_LAST_YEAR}
+UNION ALL BY NAME
+SELECT l_orderkey, l_linenumber, l_tax, l_linestatus,
+       l_extendedprice * (1.0 - l_discount) AS net_price
+FROM lineitem WHERE l_shipdate IS NULL OR {_YEAR} > {MIDDLE_LAST_YEAR}"""
+
+_INVENTORY = f"""
+WITH files AS (
+  SELECT DISTINCT {_YEAR} AS start_year, l_returnflag FROM lineitem),
+inv AS (
+  SELECT coalesce(CAST(start_year AS VARCHAR), 'none') || '/' || coalesce(l_returnflag, 'none')
+           || '.csv' AS file,
+         start_year,
+         CASE WHEN start_year <= {EARLY_LAST_YEAR} THEN {_list(HEADER_EARLY)}
+              WHEN start_year <= {MIDDLE_LAST_YEAR} THEN {_list(HEADER_MIDDLE)}
+              ELSE {_list(HEADER_LATE)} END AS header
+  FROM files)"""
+
+ORACLE_SQL["merged_order"] = _INVENTORY + """,
+lg AS (SELECT file FROM inv ORDER BY len(header) DESC, start_year NULLS FIRST, file LIMIT 1),
+ex AS (
+  SELECT CASE WHEN file = (SELECT file FROM lg) THEN 0 ELSE 1 END AS r0, start_year, file,
+         unnest(header) AS title, unnest(range(len(header))) AS pos
+  FROM inv),
+fst AS (
+  SELECT * FROM ex
+  QUALIFY row_number() OVER (PARTITION BY title
+                             ORDER BY r0, start_year NULLS FIRST, file, pos) = 1)
+SELECT title,
+       CAST(row_number() OVER (ORDER BY r0, start_year NULLS FIRST, file, pos) AS INTEGER)
+         AS position
+FROM fst"""
+
+ORACLE_SQL["header_coverage"] = _INVENTORY + """
+SELECT title, count(*) AS n_files
+FROM (SELECT DISTINCT file, unnest(header) AS title FROM inv)
+GROUP BY title"""
+
+ORACLE_SQL["unknown_columns"] = _INVENTORY + f"""
+SELECT title, count(*) AS n_files
+FROM (SELECT DISTINCT file, unnest(header) AS title FROM inv)
+WHERE title NOT IN ({", ".join(f"'{c}'" for c in LINEITEM_CATALOGUE)})
+GROUP BY title"""
+
+ORACLE_SQL["label_prefix_check"] = _INVENTORY + f"""
+SELECT file, array_to_string(header[1:{len(PREFIX_LABELS)}], ',') AS actual,
+       coalesce(header[1:{len(PREFIX_LABELS)}] = {_list(PREFIX_LABELS)}, false) AS ok
+FROM inv"""
+
+ORACLE_SQL["drop_unusable_labels"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem
+WHERE l_discount IS NOT NULL AND l_discount <> 0 AND l_tax IS NOT NULL AND l_tax <> 0"""
+
+ORACLE_SQL["drop_empty_features"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem
+WHERE coalesce(l_discount, 0) <> 0 OR coalesce(l_tax, 0) <> 0"""
+
+ORACLE_SQL["label_expression"] = """
+SELECT l_orderkey, l_linenumber, round(l_tax - l_discount, 6) AS label FROM lineitem"""
+
+_ELEMENTS = """
+WITH u AS (
+  SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS idx,
+         unnest(embedding) AS v0
+  FROM embeddings),
+e AS (SELECT vec_id, idx, coalesce(CAST(v0 AS DOUBLE), 0.0) AS v FROM u)"""
+
+ORACLE_SQL["null_fill_abs"] = _ELEMENTS + """
+SELECT vec_id, idx, round(abs(v), 6) AS value FROM e"""
+
+ORACLE_SQL["norm_l2"] = _ELEMENTS + """,
+n AS (SELECT vec_id, sqrt(sum(v * v)) AS norm FROM e GROUP BY vec_id)
+SELECT vec_id, idx, round(CASE WHEN norm = 0 THEN v ELSE v / norm END, 6) AS value
+FROM e JOIN n USING (vec_id)"""
+
+ORACLE_SQL["norm_l1_abs"] = _ELEMENTS + """,
+n AS (SELECT vec_id, sum(abs(v)) AS norm FROM e GROUP BY vec_id)
+SELECT vec_id, idx, round(abs(v) / norm, 6) AS value
+FROM e JOIN n USING (vec_id) WHERE v <> 0"""
+
+ORACLE_SQL["norm_max"] = _ELEMENTS + """,
+n AS (SELECT vec_id, max(v) AS top FROM e GROUP BY vec_id)
+SELECT vec_id, idx, round(CASE WHEN top = 0 THEN NULL ELSE v / top END, 6) AS value
+FROM e JOIN n USING (vec_id)"""
+
+_ABS = ", ".join(f"abs(coalesce(CAST({c} AS DOUBLE), 0.0)) AS a{i}"
+                 for i, c in enumerate(LINEITEM_FEATURES))
+_TOT = " + ".join(f"a{i}" for i in range(len(LINEITEM_FEATURES)))
+ORACLE_SQL["labelled_rows"] = f"""
+WITH r AS (SELECT l_orderkey, l_linenumber, {RF} AS label, {_ABS} FROM lineitem),
+s AS (SELECT *, {_TOT} AS tot FROM r)
+""" + "\nUNION ALL\n".join(
+    f"SELECT l_orderkey, l_linenumber, label, CAST({i} AS INTEGER) AS idx, "
+    f"round(a{i} / tot, 6) AS value FROM s WHERE a{i} <> 0"
+    for i in range(len(LINEITEM_FEATURES)))
+
+
+def _l2_rows(features, source, keys=()):
+    xs = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS x{i}" for i, c in enumerate(features))
+    ss = " + ".join(f"x{i} * x{i}" for i in range(len(features)))
+    ns = ", ".join(f"CASE WHEN nrm = 0 THEN x{i} ELSE x{i} / nrm END AS n{i}"
+                   for i in range(len(features)))
+    k = "".join(f"{c}, " for c in keys)
+    return (f"raw AS (SELECT {k}{xs} FROM {source}), "
+            f"nr AS (SELECT *, sqrt({ss}) AS nrm FROM raw), "
+            f"nx AS (SELECT {k}{ns} FROM nr)")
+
+
+ORACLE_SQL["correlation_matrix"] = f"WITH {_l2_rows(LINEITEM_FEATURES, 'lineitem')}\n" + \
+    "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, '{a}' AS feature_i, "
+        f"'{b}' AS feature_j, round(corr(n{i}, n{j}), 6) AS corr FROM nx"
+        for i, a in enumerate(LINEITEM_FEATURES) for j, b in enumerate(LINEITEM_FEATURES))
+
+_TWO_SOURCE = ("(SELECT l_orderkey, l_linenumber, l_quantity, "
+               "l_quantity + l_discount * 10.0 AS q_plus FROM lineitem)")
+_TWO = f"WITH {_l2_rows(['l_quantity', 'q_plus'], _TWO_SOURCE, ['l_orderkey', 'l_linenumber'])}"
+
+ORACLE_SQL["components_two"] = _TWO + """,
+r AS (SELECT sign(corr(n0, n1)) AS s FROM nx)
+SELECT l_orderkey, l_linenumber,
+       round(n0 * sqrt(0.5) + n1 * (s * sqrt(0.5)), 6) AS Comp1,
+       round(n0 * sqrt(0.5) + n1 * (-s * sqrt(0.5)), 6) AS Comp2
+FROM nx, r"""
+
+ORACLE_SQL["components_for_confidence"] = _TWO + """,
+r AS (SELECT abs(corr(n0, n1)) AS a FROM nx),
+k AS (SELECT CASE WHEN (1 + a) / 2 > 0.95 THEN 1 ELSE 2 END AS kc FROM r)
+SELECT CAST(1 AS INTEGER) AS component, round(1 + a, 6) AS eigenvalue,
+       round((1 + a) / 2, 6) AS ratio, round((1 + a) / 2, 6) AS cumulative,
+       true AS selected FROM r, k
+UNION ALL
+SELECT CAST(2 AS INTEGER), round(1 - a, 6), round((1 - a) / 2, 6), round(1.0, 6), kc >= 2
+FROM r, k"""
+
+ORACLE_SQL["components_norm"] = _ELEMENTS + """,
+n AS (SELECT vec_id, sqrt(sum(v * v)) AS norm FROM e GROUP BY vec_id),
+x AS (SELECT vec_id, CASE WHEN norm = 0 THEN v ELSE v / norm END AS w FROM e JOIN n USING (vec_id))
+SELECT vec_id, round(sqrt(sum(w * w)), 6) AS norm FROM x GROUP BY vec_id"""
+
+_SPLIT = ("(CAST(((o_orderkey % 2147483647) * 1103515245 + 12345) % 2147483647 AS DOUBLE)"
+          " / CAST(2147483647 AS DOUBLE) < 0.3)")
+ORACLE_SQL["split_ratio"] = f"""
+WITH s AS (SELECT {_SPLIT} AS t FROM orders)
+SELECT count(*) AS n_total, CAST(sum(CASE WHEN t THEN 1 ELSE 0 END) AS BIGINT) AS n_test,
+       round(sum(CASE WHEN t THEN 1 ELSE 0 END) / count(*), 6) AS test_ratio
+FROM s"""
+
+ORACLE_SQL["split_rows"] = f"SELECT o_orderkey, {_SPLIT} AS is_test FROM orders"
+
+ORACLE_SQL["regression_metrics"] = """
+WITH d AS (SELECT l_returnflag, l_linestatus, l_extendedprice / 1000.0 AS p,
+                  l_quantity AS y FROM lineitem)
+SELECT l_returnflag, l_linestatus, count(*) AS n,
+       round(avg(p * p) - 2 * avg(y) * avg(p) + avg(y) * avg(y), 6) AS var,
+       round(avg(abs(p - y)), 6) AS mae,
+       round(avg((p - y) * (p - y)), 6) AS mse,
+       round(CASE WHEN var_pop(y) = 0 THEN NULL
+                  ELSE 1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) END, 6) AS r2,
+       round(sqrt(avg((p - y) * (p - y))), 6) AS rmse
+FROM d GROUP BY l_returnflag, l_linestatus"""
+
+_ONE = """
+WITH d AS (SELECT l_quantity / 10.0 AS x, l_extendedprice / 10000.0 AS y FROM lineitem),
+s AS (SELECT sum(x * y) AS b, sum(x * x) AS a, count(*) AS n FROM d)"""
+
+ORACLE_SQL["linear_fit"] = _ONE + """
+SELECT 'linear' AS trainer, round(b / a, 6) AS coefficient FROM s"""
+
+ORACLE_SQL["ridge_fit"] = _ONE + """
+SELECT 'ridge' AS trainer, round(b / (a + n * 0.01), 6) AS coefficient FROM s"""
+
+ORACLE_SQL["lasso_fit"] = _ONE + """
+SELECT 'lasso' AS trainer, round(sign(b) * greatest(abs(b) - n * 0.01, 0) / a, 6) AS coefficient
+FROM s"""
+
+ORACLE_SQL["linear_predictions"] = _ONE + """
+SELECT l_orderkey, l_linenumber, round((l_quantity / 10.0) * (b / a), 6) AS prediction
+FROM lineitem, s"""
+
+ORACLE_SQL["naive_bayes_fit"] = f"""
+WITH d AS (SELECT {RF} AS label, coalesce(l_quantity, 0.0) AS x0,
+                  coalesce(l_discount, 0.0) AS x1, coalesce(l_tax, 0.0) AS x2 FROM lineitem),
+c AS (SELECT label, count(*) AS nc, sum(x0) AS s0, sum(x1) AS s1, sum(x2) AS s2
+      FROM d GROUP BY label),
+t AS (SELECT sum(nc) AS n, count(*) AS k FROM c)
+SELECT label, '_prior' AS feature, round(ln(nc + 1.0) - ln(n + 1.0 * k), 6) AS log_prob FROM c, t
+UNION ALL SELECT label, 'l_quantity', round(ln(s0 + 1.0) - ln(s0 + s1 + s2 + 3.0), 6) FROM c
+UNION ALL SELECT label, 'l_discount', round(ln(s1 + 1.0) - ln(s0 + s1 + s2 + 3.0), 6) FROM c
+UNION ALL SELECT label, 'l_tax', round(ln(s2 + 1.0) - ln(s0 + s1 + s2 + 3.0), 6) FROM c"""

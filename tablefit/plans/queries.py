@@ -49,8 +49,390 @@ QUERIES = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    name = fn.__name__[:-2] if fn.__name__.endswith("_q") else fn.__name__
+    QUERIES[name] = fn
     return fn
 
 
 query(flagship)
+
+
+# ---------------------------------------------------------------------------
+# Projections and cell functions
+# ---------------------------------------------------------------------------
+LINEITEM_EXCLUDES = ["l_partkey", "l_suppkey", "l_shipdate", "l_comment", "l_shipmode"]
+
+
+@query
+def exclude_columns_q(spark, sf_dir):
+    """Drop identity and date columns (absent names are ignored)."""
+    return exclude_columns(table(spark, sf_dir, "lineitem"), LINEITEM_EXCLUDES)
+
+
+def _cell_texts(li):
+    return {
+        "c_qty": F.col("l_quantity").cast("string"),
+        "c_flag": F.col("l_returnflag"),
+        "c_status": F.col("l_linestatus"),
+        "c_padded": F.concat(F.lit(" "), F.col("l_linenumber").cast("string"), F.lit(" ")),
+        "c_date": F.col("l_shipdate").cast("date").cast("string"),
+        "c_blank": F.when(F.col("l_discount") == 0.0, F.lit("")).otherwise(
+            F.col("l_discount").cast("string")),
+        "c_price": F.col("l_extendedprice").cast("string"),
+    }
+
+
+@query
+def typed_cells(spark, sf_dir):
+    """P2 + P3: text cells -> number, category value or null."""
+    li = table(spark, sf_dir, "lineitem")
+    texts = _cell_texts(li)
+    return li.select("l_orderkey", "l_linenumber",
+                     *[typed_cell(t, RETURNFLAG_CATEGORIES).alias(n) for n, t in texts.items()])
+
+
+@query
+def category_map(spark, sf_dir):
+    """Flags through their category tables."""
+    li = lineitem_matches(spark, sf_dir)
+    return li.select("l_orderkey", "l_linenumber", F.col("RF").alias("rf"), F.col("LS").alias("ls"))
+
+
+# ---------------------------------------------------------------------------
+# Headers that differ by season
+# ---------------------------------------------------------------------------
+@query
+def schema_union(spark, sf_dir):
+    """U1 + U2: three year groups with different columns stacked by name."""
+    from tablefit.operators.align import merged_titles_from_headers, union_by_name
+    from tablefit.plans.tables import lineitem_year_groups
+    groups = lineitem_year_groups(spark, sf_dir)
+    order = merged_titles_from_headers([h for h, _ in groups])
+    return union_by_name([df for _, df in groups], order)
+
+
+@query
+def merged_order(spark, sf_dir):
+    """U2 over the inventory of season files cut from lineitem."""
+    from tablefit.operators.align import title_order
+    from tablefit.plans.tables import lineitem_inventory
+    return title_order(lineitem_inventory(spark, sf_dir))
+
+
+@query
+def header_coverage(spark, sf_dir):
+    """Files per title."""
+    from tablefit.operators.align import header_coverage as coverage
+    from tablefit.plans.tables import lineitem_inventory
+    return coverage(lineitem_inventory(spark, sf_dir))
+
+
+@query
+def unknown_columns(spark, sf_dir):
+    """U4: titles missing from the catalogue, with their file counts."""
+    from tablefit.operators.align import catalogue_frame, unknown_columns as unknown
+    from tablefit.plans.tables import LINEITEM_CATALOGUE, lineitem_inventory
+    return unknown(lineitem_inventory(spark, sf_dir), catalogue_frame(spark, LINEITEM_CATALOGUE))
+
+
+@query
+def label_prefix_check(spark, sf_dir):
+    """does each file's header start with the label block?"""
+    from tablefit.operators.checks import label_prefix_report
+    from tablefit.plans.tables import PREFIX_LABELS, lineitem_inventory
+    rep = label_prefix_report(lineitem_inventory(spark, sf_dir), PREFIX_LABELS)
+    return rep.select("file", F.array_join("actual", ",").alias("actual"), "ok")
+
+
+# ---------------------------------------------------------------------------
+# F1, F2, P4
+# ---------------------------------------------------------------------------
+@query
+def drop_unusable_labels(spark, sf_dir):
+    """discount and tax as labels; nulls and zeros drop the row."""
+    from tablefit.operators.checks import drop_unusable_labels as f1
+    li = table(spark, sf_dir, "lineitem")
+    return f1(li, ["l_discount", "l_tax"]).select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+
+
+@query
+def drop_empty_features(spark, sf_dir):
+    """discount and tax as features; all null/zero drops the row."""
+    from tablefit.operators.checks import drop_empty_features as f2
+    li = table(spark, sf_dir, "lineitem")
+    return f2(li, ["l_discount", "l_tax"]).select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+
+
+@query
+def label_expression(spark, sf_dir):
+    """A label from a text expression over column names."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     _r(label_column("l_tax - l_discount", li.columns)).alias("label"))
+
+
+# ---------------------------------------------------------------------------
+# P5, P6, V1-V3 on embeddings (long form: one row per element)
+# ---------------------------------------------------------------------------
+def _long(df, arr, keep, sparse=False):
+    out = df.select(*[F.col(k) for k in keep], F.posexplode(arr).alias("idx", "value"))
+    if sparse:
+        out = out.where(F.col("value") != 0.0)
+    return out.select(*keep, "idx", _r(F.col("value")).alias("value"))
+
+
+@query
+def null_fill_abs(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    return _long(emb, abs_array(fill_nulls_array("embedding")), ["vec_id"])
+
+
+@query
+def norm_l2(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    return _long(emb, lp_normalize("embedding", 2.0), ["vec_id"])
+
+
+@query
+def norm_l1_abs(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    return _long(emb, l1_abs_normalize("embedding"), ["vec_id"], sparse=True)
+
+
+@query
+def norm_max(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    return _long(emb, signed_max_normalize("embedding"), ["vec_id"])
+
+
+@query
+def labelled_rows(spark, sf_dir):
+    """P7 + P8 + V3: label and sparse L1 |x| features per lineitem row."""
+    from tablefit.functions.vectors import feature_array
+    li = lineitem_matches(spark, sf_dir)
+    rows = li.select("l_orderkey", "l_linenumber", F.col("RF").alias("label"),
+                     l1_abs_normalize(feature_array(LINEITEM_FEATURES)).alias("x"))
+    return _long(rows, F.col("x"), ["l_orderkey", "l_linenumber", "label"], sparse=True)
+
+
+# ---------------------------------------------------------------------------
+# A1, O1-O3, M1
+# ---------------------------------------------------------------------------
+TWO_FEATURES = ["l_quantity", "q_plus"]
+
+
+def _two_feature_rows(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumn(
+        "q_plus", F.col("l_quantity") + F.col("l_discount") * F.lit(10.0))
+    return mr.normalised_rows(li, [], TWO_FEATURES, LINEITEM_KEYS, filter_rows=False)
+
+
+@query
+def correlation_matrix(spark, sf_dir):
+    """A1: Pearson matrix of the four L2-normalised lineitem features."""
+    from tablefit.operators.components import correlation_long, correlation_matrix as corr
+    li = table(spark, sf_dir, "lineitem")
+    rows = mr.normalised_rows(li, [], LINEITEM_FEATURES, filter_rows=False)
+    return correlation_long(spark, corr(rows, "x"), LINEITEM_FEATURES, DIGITS)
+
+
+@query
+def components_two(spark, sf_dir):
+    """M1 + O1 + O2: two correlated features, both components per row."""
+    from tablefit.operators.components import fit_components
+    rows = _two_feature_rows(spark, sf_dir)
+    comps = fit_components(rows, "x", TWO_FEATURES, k=2, confidence=0.999)
+    out = comps.project(rows, "x", LINEITEM_KEYS)
+    return out.select(*LINEITEM_KEYS, _r(F.col("Comp1")).alias("Comp1"),
+                      _r(F.col("Comp2")).alias("Comp2"))
+
+
+@query
+def components_for_confidence(spark, sf_dir):
+    """O3: explained ratios, cumulative sums and the selected count."""
+    from tablefit.operators.components import fit_components
+    rows = _two_feature_rows(spark, sf_dir)
+    comps = fit_components(rows, "x", TWO_FEATURES, k=1, confidence=0.95,
+                           override_components=True)
+    return comps.explained(spark, DIGITS)
+
+
+@query
+def components_norm(spark, sf_dir):
+    """M1 at full rank keeps each row's L2 norm (64 embedding features)."""
+    from tablefit.operators.components import fit_components
+    emb = table(spark, sf_dir, "embeddings")
+    rows = emb.select("vec_id", lp_normalize("embedding", 2.0).alias("x"))
+    d = 64
+    names = [f"e{i}" for i in range(d)]
+    comps = fit_components(rows, "x", names, k=d, confidence=0.999)
+    proj = comps.project(rows, "x", ["vec_id"])
+    sq = None
+    for j in range(comps.k):
+        c = F.col(f"Comp{j + 1}")
+        sq = c * c if sq is None else sq + c * c
+    return proj.select("vec_id", _r(F.sqrt(sq)).alias("norm"))
+
+
+# ---------------------------------------------------------------------------
+# M2, A2, A3
+# ---------------------------------------------------------------------------
+@query
+def split_ratio(spark, sf_dir):
+    from tablefit.operators.split import split_counts
+    orders = table(spark, sf_dir, "orders")
+    return split_counts(key_split(orders.select("o_orderkey"), ["o_orderkey"], 0.3))
+
+
+@query
+def split_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return key_split(orders.select("o_orderkey"), ["o_orderkey"], 0.3)
+
+
+@query
+def regression_metrics_q(spark, sf_dir):
+    """A3 per (returnflag, linestatus): price/1000 scored against quantity."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus",
+        (F.col("l_extendedprice") / F.lit(1000.0)).alias("prediction"),
+        F.col("l_quantity").alias("label"))
+    return regression_metrics(li, "prediction", "label", ["l_returnflag", "l_linestatus"], DIGITS)
+
+
+# ---------------------------------------------------------------------------
+# Fits with closed forms
+# ---------------------------------------------------------------------------
+def _one_feature(spark, sf_dir):
+    from tablefit.functions.vectors import to_vector
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*LINEITEM_KEYS,
+                     to_vector(F.array(F.col("l_quantity") / F.lit(10.0))).alias("features"),
+                     (F.col("l_extendedprice") / F.lit(10000.0)).alias("label"))
+
+
+def _coefficient_frame(spark, name, fitted):
+    coef = fitted.coefficients()
+    return spark.createDataFrame([(name, round(coef[0], DIGITS))], "trainer string, coefficient double")
+
+
+@query
+def linear_fit(spark, sf_dir):
+    data = _one_feature(spark, sf_dir)
+    return _coefficient_frame(spark, "linear", tr.fit("linear", data))
+
+
+@query
+def ridge_fit(spark, sf_dir):
+    data = _one_feature(spark, sf_dir)
+    return _coefficient_frame(spark, "ridge", tr.fit("ridge", data))
+
+
+@query
+def lasso_fit(spark, sf_dir):
+    data = _one_feature(spark, sf_dir)
+    return _coefficient_frame(spark, "lasso", tr.fit("lasso", data))
+
+
+@query
+def linear_predictions(spark, sf_dir):
+    """Predictions of the no-intercept linear fit for every row."""
+    data = _one_feature(spark, sf_dir)
+    fitted = tr.fit("linear", data)
+    return fitted.predict(data).select(*LINEITEM_KEYS, _r(F.col("prediction")).alias("prediction"))
+
+
+NB_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query
+def naive_bayes_fit(spark, sf_dir):
+    """M6 + Q7: class priors and feature log-probabilities per label value
+    (labels indexed, then decoded back)."""
+    from tablefit.functions.vectors import feature_array, to_vector
+    li = lineitem_matches(spark, sf_dir)
+    data = li.select(to_vector(feature_array(NB_FEATURES)).alias("features"),
+                     F.col("RF").alias("label"))
+    fitted = tr.fit("naive_bayes", data)
+    nb = fitted.model.stages[1]
+    labels = [float(x) for x in fitted.model.stages[0].labelsArray[0]]
+    pi = nb.pi.toArray()
+    theta = nb.theta.toArray()
+    rows = []
+    for c, lab in enumerate(labels):
+        rows.append((lab, "_prior", round(float(pi[c]), DIGITS)))
+        for j, name in enumerate(NB_FEATURES):
+            rows.append((lab, name, round(float(theta[c, j]), DIGITS)))
+    return spark.createDataFrame(rows, "label double, feature string, log_prob double")
+
+
+# ---------------------------------------------------------------------------
+# Fits without a closed form (rows-only checks)
+# ---------------------------------------------------------------------------
+def _prepared(spark, sf_dir, labels, drop_zero=True):
+    li = lineitem_matches(spark, sf_dir)
+    return mr.prepare(li, labels, LINEITEM_FEATURES, ["row_key"] + LINEITEM_KEYS, k=4,
+                      confidence=0.999, drop_zero=drop_zero, persist=False)
+
+
+def _test_predictions(prep, trainer, expression):
+    data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
+                            label_column(expression).alias("label"))
+    fitted = tr.fit(trainer, data.where(~F.col("is_test")))
+    return fitted.predict(data.where(F.col("is_test"))).select(
+        *LINEITEM_KEYS, "label", F.col("prediction").cast("double").alias("prediction"))
+
+
+@query
+def logistic_fit(spark, sf_dir):
+    return _test_predictions(_prepared(spark, sf_dir, ["RF"]), "logistic", "RF")
+
+
+@query
+def multinomial_fit(spark, sf_dir):
+    return _test_predictions(_prepared(spark, sf_dir, ["RF"], drop_zero=False),
+                             "multinomial", "RF")
+
+
+@query
+def svm_fit(spark, sf_dir):
+    return _test_predictions(_prepared(spark, sf_dir, ["RF", "LS"]), "svm", "RF * LS")
+
+
+@query
+def isotonic_fit(spark, sf_dir):
+    from tablefit.functions.vectors import to_vector
+    li = table(spark, sf_dir, "lineitem")
+    data = li.select(*LINEITEM_KEYS, to_vector(F.array(F.col("l_quantity"))).alias("features"),
+                     (F.col("l_extendedprice") / F.lit(1000.0)).alias("label"))
+    fitted = tr.fit("isotonic", data)
+    return fitted.predict(data).select(*LINEITEM_KEYS, "label", "prediction")
+
+
+def _report_frame(report):
+    return report.select("trainer", "label_expr", "param_set",
+                         F.to_json("params").alias("params"), "test_ratio", "n",
+                         *[_r(F.col(c)).alias(c) for c in ["var", "mae", "mse", "r2", "rmse"]])
+
+
+@query
+def parameter_sweep(spark, sf_dir):
+    """M14 + M15: 4 label expressions x (4 logistic + 15 naive Bayes + 4 SVM
+    parameter sets) = 92 fits over the whole lineitem table."""
+    li = lineitem_matches(spark, sf_dir)
+    report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["row_key"],
+                          expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8)
+    return _report_frame(report)
+
+
+@query
+def regression_sweep(spark, sf_dir):
+    """M7-M10 in the sweep: linear, ridge, lasso and isotonic per label
+    expression, scored on the held-out rows."""
+    li = lineitem_matches(spark, sf_dir)
+    report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["row_key"],
+                          trainers=["linear", "ridge", "lasso", "isotonic"],
+                          expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8)
+    return _report_frame(report)

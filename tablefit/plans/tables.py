@@ -36,3 +36,69 @@ def lineitem_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         category_value("l_returnflag", RETURNFLAG_CATEGORIES).alias("RF"),
         category_value("l_linestatus", LINESTATUS_CATEGORIES).alias("LS"),
         *[F.col(c) for c in LINEITEM_FEATURES])
+
+
+# ---------------------------------------------------------------------------
+# Season-like files cut from lineitem: one "file" per (ship year, returnflag),
+# with a header that depends on the ship year, as match files of different
+# seasons carry different columns.
+# ---------------------------------------------------------------------------
+LINEITEM_CATALOGUE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                      "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                      "l_linestatus", "l_shipdate"]
+HEADER_EARLY = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                "ship_year"]
+HEADER_MIDDLE = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                 "l_extendedprice", "l_returnflag", "l_linestatus"]
+HEADER_LATE = ["l_orderkey", "l_linenumber", "l_tax", "l_linestatus", "net_price"]
+EARLY_LAST_YEAR = 1996
+MIDDLE_LAST_YEAR = 1998
+PREFIX_LABELS = ["l_orderkey", "l_linenumber", "l_quantity"]
+
+
+def ship_year() -> F.Column:
+    return F.year("l_shipdate").cast("int")
+
+
+def year_group_conditions() -> list[F.Column]:
+    """Three conditions that split every row (null years go last)."""
+    y = ship_year()
+    early = y <= EARLY_LAST_YEAR
+    middle = (y > EARLY_LAST_YEAR) & (y <= MIDDLE_LAST_YEAR)
+    late = y.isNull() | (y > MIDDLE_LAST_YEAR)
+    return [early, middle, late]
+
+
+def lineitem_with_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    # ship_year is a double: after the union it is null for two of the three
+    # groups, and a nullable double compares the same way everywhere
+    return li.withColumn("ship_year", ship_year().cast("double")).withColumn(
+        "net_price", F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))
+
+
+def lineitem_year_groups(spark: SparkSession, sf_dir: str) -> list[tuple[list[str], DataFrame]]:
+    li = lineitem_with_derived(spark, sf_dir)
+    headers = [HEADER_EARLY, HEADER_MIDDLE, HEADER_LATE]
+    return [(h, li.where(cond).select(*h)) for h, cond in zip(headers, year_group_conditions())]
+
+
+def season_code(year: F.Column) -> F.Column:
+    """2000 -> '0001', 1999 -> '9900'."""
+    return F.concat(F.lpad(F.pmod(year, F.lit(100)).cast("string"), 2, "0"),
+                    F.lpad(F.pmod(year + F.lit(1), F.lit(100)).cast("string"), 2, "0"))
+
+
+def lineitem_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header inventory ``file, season, start_year, header`` with one file per
+    distinct (ship year, returnflag) of the whole lineitem table."""
+    li = table(spark, sf_dir, "lineitem")
+    files = li.select(ship_year().alias("start_year"), F.col("l_returnflag")).distinct()
+    y = F.col("start_year")
+    header = (F.when(y <= EARLY_LAST_YEAR, F.array(*[F.lit(t) for t in HEADER_EARLY]))
+              .when(y <= MIDDLE_LAST_YEAR, F.array(*[F.lit(t) for t in HEADER_MIDDLE]))
+              .otherwise(F.array(*[F.lit(t) for t in HEADER_LATE])))
+    return files.select(
+        F.concat(F.coalesce(y.cast("string"), F.lit("none")), F.lit("/"),
+                 F.coalesce(F.col("l_returnflag"), F.lit("none")), F.lit(".csv")).alias("file"),
+        season_code(y).alias("season"), y.alias("start_year"), header.alias("header"))
