@@ -7,7 +7,8 @@ values the Spark side uses.
 from __future__ import annotations
 
 from tablefit.functions.fixed import NUMBER_PATTERN
-from tablefit.plans.tables import (EARLY_LAST_YEAR, HEADER_EARLY, HEADER_LATE, HEADER_MIDDLE,
+from tablefit.plans.tables import (CSV_EARLY, CSV_EXCLUDES, CSV_LATE, CSV_MIDDLE,
+                                   EARLY_LAST_YEAR, HEADER_EARLY, HEADER_LATE, HEADER_MIDDLE,
                                    LINEITEM_CATALOGUE, LINEITEM_FEATURES, LINESTATUS_CATEGORIES,
                                    MIDDLE_LAST_YEAR, PREFIX_LABELS, RETURNFLAG_CATEGORIES)
 
@@ -251,3 +252,38 @@ SELECT label, '_prior' AS feature, round(ln(nc + 1.0) - ln(n + 1.0 * k), 6) AS l
 UNION ALL SELECT label, 'l_quantity', round(ln(s0 + 1.0) - ln(s0 + s1 + s2 + 3.0), 6) FROM c
 UNION ALL SELECT label, 'l_discount', round(ln(s1 + 1.0) - ln(s0 + s1 + s2 + 3.0), 6) FROM c
 UNION ALL SELECT label, 'l_tax', round(ln(s2 + 1.0) - ln(s0 + s1 + s2 + 3.0), 6) FROM c"""
+
+
+# season CSV files read back: every kept column is a typed double; the
+# flags go through the returnflag table (linestatus letters are not in it)
+_CSV_TYPED = {
+    "l_orderkey": "CAST(l_orderkey AS DOUBLE)",
+    "l_linenumber": "CAST(l_linenumber AS DOUBLE)",
+    "l_quantity": "l_quantity",
+    "l_extendedprice": "l_extendedprice",
+    "l_discount": "l_discount",
+    "l_tax": "l_tax",
+    "l_returnflag": RF,
+    "l_linestatus": _category("l_linestatus", RETURNFLAG_CATEGORIES),
+    "net_price": "l_extendedprice * (1.0 - l_discount)",
+}
+_SEASON = ("lpad(CAST(({y} % 100) AS VARCHAR), 2, '0') || "
+           "lpad(CAST((({y} + 1) % 100) AS VARCHAR), 2, '0')").format(y=_YEAR)
+_CSV_CONDS = [f"{_YEAR} <= {EARLY_LAST_YEAR}",
+              f"{_YEAR} > {EARLY_LAST_YEAR} AND {_YEAR} <= {MIDDLE_LAST_YEAR}",
+              f"{_YEAR} > {MIDDLE_LAST_YEAR}"]
+
+
+def _csv_group(cols, cond):
+    kept = [c for c in cols if c not in CSV_EXCLUDES]
+    sel = ", ".join(f"{_CSV_TYPED[c]} AS {c}" for c in kept)
+    return (f"SELECT {sel}, {_SEASON} AS season, {_YEAR} AS start_year "
+            f"FROM lineitem WHERE {cond}")
+
+
+_COLLATED = "\nUNION ALL BY NAME\n".join(
+    _csv_group(c, k) for c, k in zip([CSV_EARLY, CSV_MIDDLE, CSV_LATE], _CSV_CONDS))
+
+ORACLE_SQL["collate_csv"] = _COLLATED
+ORACLE_SQL["collated_season_scan"] = (
+    f"SELECT * FROM ({_COLLATED}) WHERE start_year >= 1997 AND start_year < 2000")

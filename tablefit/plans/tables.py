@@ -102,3 +102,26 @@ def lineitem_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.coalesce(y.cast("string"), F.lit("none")), F.lit("/"),
                  F.coalesce(F.col("l_returnflag"), F.lit("none")), F.lit(".csv")).alias("file"),
         season_code(y).alias("season"), y.alias("start_year"), header.alias("header"))
+
+
+# ---------------------------------------------------------------------------
+# Season CSV files written from lineitem (for the CSV source path)
+# ---------------------------------------------------------------------------
+CSV_EARLY = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+             "l_discount", "l_returnflag", "l_shipdate"]
+CSV_MIDDLE = ["l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+              "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
+CSV_LATE = ["l_orderkey", "l_linenumber", "l_tax", "l_linestatus", "l_returnflag", "net_price"]
+CSV_EXCLUDES = ["l_partkey", "l_suppkey", "l_shipdate"]
+CSV_TEMPLATE = "{root}/season={code}"
+
+
+def write_lineitem_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """lineitem as season directories of CSV files with a header each; the
+    header depends on the ship year (three layouts). One distributed write
+    per layout, partitioned by season."""
+    li = lineitem_with_derived(spark, sf_dir).withColumn("season", season_code(ship_year()))
+    for cols, cond in zip([CSV_EARLY, CSV_MIDDLE, CSV_LATE], year_group_conditions()):
+        (li.where(cond).select(*cols, "season").write.mode("append")
+         .partitionBy("season").option("header", True).csv(root))
+    return root

@@ -1,0 +1,30 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+    s = (SparkSession.builder.master("local[*]")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.session.timeZone", "UTC")
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablefit-test-ckpt-"))
+    yield s
+
+
+@pytest.fixture()
+def tmpdir_path():
+    return tempfile.mkdtemp(prefix="tablefit-test-")

@@ -1,0 +1,78 @@
+import warnings
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import EXPECTED, MERGED, write_raw
+from tablefit.operators.exclude import exclusion_list
+from tablefit.sources.csv_tables import collate, header_inventory
+from tablefit.sources.seasons import check_range, season_code, seasons
+from tablefit.sources.tables import read_table, write_table
+from tablefit.functions.fixed import CATALOGUE, LABELS
+
+
+def test_season_codes():
+    assert season_code(2000) == "0001"
+    assert season_code(1999) == "9900"
+    assert [s.code for s in seasons("/r", 1998, 2001)] == ["9899", "9900", "0001"]
+    assert seasons("/r", 2000, 2001)[0].path == "/r/0001"
+
+
+@pytest.mark.parametrize("a,b,err", [(2001, 2000, ValueError), (2000, 2000, ValueError),
+                                     (1990, 2000, ValueError), (2000, 2016, ValueError),
+                                     ("2000", 2001, TypeError), (2000.0, 2001, TypeError)])
+def test_season_range_errors(a, b, err):
+    with pytest.raises(err):
+        check_range(a, b)
+
+
+def test_header_inventory(spark, tmpdir_path):
+    root = write_raw(tmpdir_path)
+    ss = seasons(root, 2000, 2002)
+    inv = header_inventory(spark, ss, exclusion_list())
+    rows = {r["season"]: r for r in inv.collect()}
+    assert set(rows) == {"0001", "0102"}           # notes.txt ignored
+    assert rows["0001"]["start_year"] == 2000
+    assert rows["0001"]["raw_header"][-1] == "B365A"  # trailing commas trimmed
+    assert rows["0001"]["header"] == LABELS + ["B365H", "B365D", "B365A"]
+    assert rows["0102"]["header"] == LABELS + ["GBH", "GBD", "GBA", "XYZ"]
+
+
+def test_collate_golden(spark, tmpdir_path):
+    root = write_raw(tmpdir_path)
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        col = collate(spark, root, 2000, 2003, exclusion_list(), catalogue=CATALOGUE)
+    assert any("0203" in str(x.message) for x in w)      # absent season reported
+    assert [m.code for m in col.missing] == ["0203"]
+    assert col.titles == MERGED
+    assert col.unknown == ["XYZ"]
+    assert col.table.columns[:len(MERGED)] == MERGED
+    got = sorted(tuple(r[c] for c in MERGED) for r in col.table.collect())
+    assert got == sorted(EXPECTED, key=lambda t: tuple((x is None, x) for x in t)) or \
+        sorted(got, key=str) == sorted(EXPECTED, key=str)
+    years = {r["start_year"] for r in col.table.select("start_year").collect()}
+    assert years == {2000, 2001}
+    keys = col.table.select("match_key").distinct().count()
+    assert keys == 6
+
+
+def test_collate_without_exclusions_keeps_identity(spark, tmpdir_path):
+    root = write_raw(tmpdir_path)
+    col = collate(spark, root, 2000, 2002, [])
+    assert col.titles[:4] == ["Div", "Date", "HomeTeam", "AwayTeam"]
+    # text that is neither a number nor a category is null
+    assert col.table.where(F.col("HomeTeam").isNotNull()).count() == 0
+    # the quoted referee cell keeps its comma and does not shift the odds
+    row = col.table.where(F.col("B365H") == 1.5).select("Referee", "B365D").head()
+    assert row["Referee"] is None and row["B365D"] == 4.0
+
+
+def test_parquet_sink_prunes_seasons(spark, tmpdir_path):
+    root = write_raw(tmpdir_path)
+    col = collate(spark, root, 2000, 2002, exclusion_list())
+    out = write_table(col.table.drop("match_key"), tmpdir_path + "/collated")
+    back = read_table(spark, out, 2001, 2002)
+    assert back.count() == 3
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "start_year" in plan
