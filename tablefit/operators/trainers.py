@@ -15,11 +15,14 @@ import copy
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
 from pyspark.ml.regression import IsotonicRegression, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefit.functions.fixed import TRAINER_DEFAULTS
@@ -98,6 +101,26 @@ class Fitted:
     params: dict
     model: PipelineModel
     scored_label: str            # column compared with ``prediction``
+    labels: list[float] | None = None   # class values by index (multiclass)
+
+    @property
+    def estimator_model(self):
+        return self.model.stages[1] if self.name in BINARY | MULTICLASS else self.model.stages[0]
+
+    def add_prediction(self, df: DataFrame, out_col: str, features_col: str = "features") -> DataFrame:
+        """Adds only ``out_col`` (prediction in label units for multiclass
+        trainers, 0/1 for two-class ones); many fitted models can be chained
+        over one scan of ``df``."""
+        m = self.estimator_model.copy()
+        m.setFeaturesCol(features_col).setPredictionCol(out_col)
+        for setter in ("setRawPredictionCol", "setProbabilityCol"):
+            if hasattr(m, setter):
+                getattr(m, setter)("")
+        out = m.transform(df)
+        if self.name in MULTICLASS and self.labels is not None:
+            values = F.array(*[F.lit(float(v)) for v in self.labels])
+            out = out.withColumn(out_col, F.element_at(values, F.col(out_col).cast("int") + 1))
+        return out
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction`` (in label units for multiclass trainers) and
@@ -155,8 +178,95 @@ def fit(name: str, train: DataFrame, features_col: str = "features", label_col:
     pipe, scored = build_pipeline(name, params, features_col, label_col, score_against,
                                   label_sd, feature_index)
     model = pipe.fit(train)
+    labels = None
     if name in MULTICLASS:
-        labels = model.stages[0].labelsArray[0]
-        decode = IndexToString(inputCol="prediction", outputCol=_PRED_RAW, labels=list(labels))
+        labels = list(model.stages[0].labelsArray[0])
+        decode = IndexToString(inputCol="prediction", outputCol=_PRED_RAW, labels=labels)
         model = PipelineModel(stages=list(model.stages) + [decode])
-    return Fitted(name, params, model, scored)
+        labels = [float(x) for x in labels]
+    return Fitted(name, params, model, scored, labels)
+
+
+def effective_key(name: str, params: Mapping) -> tuple:
+    """What the fitted ML model depends on: settings without an ML
+    counterpart (``step``, ``miniBatchFraction``) do not make a new fit."""
+    est = build_estimator(name, params, "features", "label")
+    return tuple(sorted((p.name, repr(v)) for p, v in est.extractParamMap().items()))
+
+
+# ---------------------------------------------------------------------------
+# Naive Bayes from sufficient statistics: a smoothing sweep needs one
+# aggregation per label, not one pass per smoothing value.
+# ---------------------------------------------------------------------------
+@dataclass
+class BayesStatistics:
+    labels: list[float]          # class values, in the indexer's order
+    counts: np.ndarray           # rows per class
+    sums: np.ndarray             # C x d feature sums per class
+
+
+def bayes_statistics(train: DataFrame, features_col: str, label_col: str) -> BayesStatistics:
+    """One grouped aggregate (pre-aggregated map-side, one row per class and
+    task shuffled): class counts and feature sums. Classes are ordered like
+    ``StringIndexer(stringOrderType="alphabetAsc")``."""
+    rows = (train.where(F.col(label_col).isNotNull())
+            .groupBy(F.col(label_col).cast("string").alias("_k"))
+            .agg(F.first(F.col(label_col)).alias("_v"), F.count(F.lit(1)).alias("_n"),
+                 Summarizer.sum(F.col(features_col)).alias("_s"),
+                 Summarizer.min(F.col(features_col)).alias("_m"))
+            .collect())
+    if not rows:
+        raise ValueError("no labelled rows")
+    rows.sort(key=lambda r: r["_k"])
+    if min(float(r["_m"].toArray().min()) for r in rows) < 0:
+        raise ValueError("naive Bayes (multinomial) needs non-negative features")
+    return BayesStatistics([float(r["_v"]) for r in rows],
+                           np.array([float(r["_n"]) for r in rows]),
+                           np.vstack([r["_s"].toArray() for r in rows]))
+
+
+@dataclass
+class BayesFromStatistics:
+    """Multinomial naive Bayes with smoothing ``lambda_`` (same estimates as
+    ``pyspark.ml.classification.NaiveBayes``):
+    pi_c = ln(n_c + l) - ln(n + C l), theta_cj = ln(s_cj + l) - ln(sum_j s_cj + d l)."""
+    name: str
+    params: dict
+    stats: BayesStatistics
+    scored_label: str = "label"
+
+    @property
+    def pi(self) -> np.ndarray:
+        lam = float(self.params.get("lambda_", 1.0))
+        c = len(self.stats.labels)
+        return np.log(self.stats.counts + lam) - np.log(self.stats.counts.sum() + c * lam)
+
+    @property
+    def theta(self) -> np.ndarray:
+        lam = float(self.params.get("lambda_", 1.0))
+        d = self.stats.sums.shape[1]
+        return (np.log(self.stats.sums + lam)
+                - np.log(self.stats.sums.sum(axis=1, keepdims=True) + d * lam))
+
+    def prediction_column(self, x: Column) -> Column:
+        """The predicted class value from ``x`` (the features as an array):
+        argmax_c pi_c + sum_j theta_cj x_j, the first class winning a tie.
+        Scores are compact higher-order functions, so many models fit in
+        one projection."""
+        pi, theta = self.pi, self.theta
+        scores = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in theta[c]]),
+                                         lambda a, b: a * b),
+                              F.lit(float(pi[c])), lambda acc, v: acc + v)
+                  for c in range(len(self.stats.labels))]
+        if len(scores) == 1:
+            return F.lit(self.stats.labels[0])
+        best = F.greatest(*scores)
+        pred = None
+        for c, value in enumerate(self.stats.labels):
+            cond = scores[c] == best
+            pred = F.when(cond, F.lit(value)) if pred is None else pred.when(cond, F.lit(value))
+        return pred
+
+    def add_prediction(self, df: DataFrame, out_col: str, features_col: str = "features") -> DataFrame:
+        return df.withColumn(out_col, self.prediction_column(
+            vector_to_array(F.col(features_col), "float64")))
\ No newline at end of file

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,36 +112,83 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
              score_against: str = "encoded", parallelism: int = 4,
              digits: int | None = None) -> DataFrame:
     """Fit every (trainer, label expression, override) of ``plan`` on the
-    train rows and score it on the test rows. Fits run concurrently (each
-    is its own distributed job); predictions of all models are unioned and
-    reduced by one grouped aggregate into the metric report (M12, M15)."""
+    train rows and score it on the test rows (M11, M12, M15).
+
+    - plan entries whose ML settings are equal share one fit (``step`` and
+      ``miniBatchFraction`` have no ML counterpart);
+    - naive Bayes fits of one label share one sufficient-statistics
+      aggregation, whatever the number of smoothing values;
+    - iterative fits run concurrently, each its own distributed job;
+    - all models are scored in ONE scan of the test rows: one prediction
+      column per model, exploded to (fit, prediction, label) and reduced by
+      one grouped partial aggregate (one small row per fit and task is
+      shuffled)."""
+    spark = prep.rows.sparkSession
     counts = prep.rows.agg(F.count(F.lit(1)).alias("n"),
                            F.sum(F.col("is_test").cast("long")).alias("t")).head()
     test_ratio = float(counts["t"] or 0) / float(counts["n"]) if counts["n"] else None
 
-    def run(item):
-        trainer, expression, idx, override = item
-        data = labelled(prep, expression)
-        train = data.where(~F.col("is_test"))
-        test = data.where(F.col("is_test"))
-        fitted = tr.fit(trainer, train, "features", "label", override, score_against)
-        scored = fitted.predict(test).select(
-            F.lit(trainer).alias("trainer"), F.lit(expression).alias("label_expr"),
-            F.lit(idx).alias("param_set"),
-            F.col("prediction").cast("double").alias("prediction"),
-            F.col(fitted.scored_label).cast("double").alias("scored_label"))
-        return scored, fitted.params
+    expressions = list(dict.fromkeys(e for _, e, _, _ in plan))
+    ycol = {e: f"_y{i}" for i, e in enumerate(expressions)}
+    for e in expressions:
+        check_label_expression(e, prep.rows.columns)
+    data = prep.rows.select("features", "is_test",
+                            *[label_column(e).alias(ycol[e]) for e in expressions])
+    train = data.where(~F.col("is_test"))
+    test = data.where(F.col("is_test"))
+
+    fits: dict[tuple, tuple[str, str, dict]] = {}
+    fit_of_item = []
+    for trainer, e, _, override in plan:
+        params = tr.trainer_params(trainer, override)
+        key = (trainer, e, tr.effective_key(trainer, params))
+        fits.setdefault(key, (trainer, e, params))
+        fit_of_item.append(key)
+    keys = list(fits)
+
+    nb_exprs = {e for (t, e, _) in fits.values() if t == "naive_bayes"}
+    stats = {e: tr.bayes_statistics(train, "features", ycol[e]) for e in sorted(nb_exprs)}
+
+    def run(key):
+        trainer, e, params = fits[key]
+        if trainer == "naive_bayes":
+            return tr.BayesFromStatistics(trainer, params, stats[e])
+        # left uncached on purpose: the iterative estimators then cache their
+        # own converted instances, which iterate faster than cached rows
+        one = train.select("features", F.col(ycol[e]).alias("label"))
+        return tr.fit(trainer, one, "features", "label", params, score_against)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, plan))
-    scored = reduce(lambda a, b: a.unionByName(b), [r[0] for r in results])
-    metrics = regression_metrics(scored, "prediction", "scored_label",
-                                 ["trainer", "label_expr", "param_set"], digits)
-    spark = prep.rows.sparkSession
-    params = spark.createDataFrame(
-        [(t, e, i, _params_text(p)) for (t, e, i, _), (_, p) in zip(plan, results)],
-        REPORT_SCHEMA)
-    out = params.join(metrics, ["trainer", "label_expr", "param_set"], "left")
+        fitted = list(pool.map(run, keys))
+
+    # naive Bayes predictions in one projection; ML models chained after it
+    xa = vector_to_array(F.col("features"), "float64")
+    nb_cols = [f.prediction_column(F.col("_xa")).alias(f"_p{i}")
+               for i, f in enumerate(fitted) if isinstance(f, tr.BayesFromStatistics)]
+    scored = test
+    if nb_cols:
+        scored = test.withColumn("_xa", xa).select("*", *nb_cols).drop("_xa")
+    entries = []
+    for i, (key, f) in enumerate(zip(keys, fitted)):
+        trainer, e, _ = fits[key]
+        if not isinstance(f, tr.BayesFromStatistics):
+            scored = f.add_prediction(scored, f"_p{i}")
+        y = F.col(ycol[e])
+        if trainer in tr.BINARY and score_against == "encoded":
+            y = F.when(y > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+        entries.append(F.struct(F.lit(i).alias("fit"),
+                                F.col(f"_p{i}").cast("double").alias("prediction"),
+                                y.cast("double").alias("scored_label")))
+    stacked = scored.select(F.explode(F.array(*entries)).alias("_s")).select("_s.*")
+    metrics = regression_metrics(stacked, "prediction", "scored_label", ["fit"], digits)
+
+    index = {k: i for i, k in enumerate(keys)}
+    items = spark.createDataFrame(
+        [(t, e, i, _params_text(fits[k][2]), index[k])
+         for (t, e, i, _), k in zip(plan, fit_of_item)],
+        T.StructType(list(REPORT_SCHEMA.fields) + [T.StructField("fit", T.IntegerType(), False)]))
+    # both sides hold one row per plan entry / fit: a broadcast join
+    out = items.join(F.broadcast(metrics), "fit", "left")
     return out.select("trainer", "label_expr", "param_set", "params",
                       F.lit(test_ratio).cast("double").alias("test_ratio"),
                       "n", "var", "mae", "mse", "r2", "rmse")
