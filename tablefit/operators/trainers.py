@@ -254,9 +254,11 @@ class BayesFromStatistics:
         Scores are compact higher-order functions, so many models fit in
         one projection."""
         pi, theta = self.pi, self.theta
+        # theta . x first, then pi (Spark's order; exact ties at rounding
+        # level can still fall either way)
         scores = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in theta[c]]),
                                          lambda a, b: a * b),
-                              F.lit(float(pi[c])), lambda acc, v: acc + v)
+                              F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(pi[c]))
                   for c in range(len(self.stats.labels))]
         if len(scores) == 1:
             return F.lit(self.stats.labels[0])
