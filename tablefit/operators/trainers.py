@@ -32,6 +32,10 @@ MULTICLASS = {"multinomial", "naive_bayes"}
 REGRESSION = {"linear", "ridge", "lasso", "isotonic"}
 TRAINERS = sorted(BINARY | MULTICLASS | REGRESSION)
 
+# Largest class count accepted for class labels (their statistics and
+# models live on the driver).
+MAX_CLASSES = 1000
+
 _LABEL01 = "_label01"
 _LABEL_IDX = "_label_idx"
 _PRED_RAW = "_prediction_raw"
@@ -177,6 +181,12 @@ def fit(name: str, train: DataFrame, features_col: str = "features", label_col:
         label_sd = label_std(train, label_col)
     pipe, scored = build_pipeline(name, params, features_col, label_col, score_against,
                                   label_sd, feature_index)
+    if name in MULTICLASS:
+        indexer = pipe.getStages()[0].fit(train)
+        if len(indexer.labelsArray[0]) > MAX_CLASSES:
+            raise ValueError(f"label has more than {MAX_CLASSES} distinct values; "
+                             "a class label is needed")
+        pipe = Pipeline(stages=[indexer, pipe.getStages()[1]])
     model = pipe.fit(train)
     labels = None
     if name in MULTICLASS:
@@ -214,7 +224,10 @@ def bayes_statistics(train: DataFrame, features_col: str, label_col: str) -> Bay
             .agg(F.first(F.col(label_col)).alias("_v"), F.count(F.lit(1)).alias("_n"),
                  Summarizer.sum(F.col(features_col)).alias("_s"),
                  Summarizer.min(F.col(features_col)).alias("_m"))
-            .collect())
+            .take(MAX_CLASSES + 1))
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"label {label_col!r} has more than {MAX_CLASSES} distinct values; "
+                         "a class label is needed")
     if not rows:
         raise ValueError("no labelled rows")
     rows.sort(key=lambda r: r["_k"])

@@ -287,3 +287,5 @@ _COLLATED = "\nUNION ALL BY NAME\n".join(
 ORACLE_SQL["collate_csv"] = _COLLATED
 ORACLE_SQL["collated_season_scan"] = (
     f"SELECT * FROM ({_COLLATED}) WHERE start_year >= 1997 AND start_year < 2000")
+
+ORACLE_SQL["stream_collate_csv"] = _csv_group(CSV_MIDDLE, _CSV_CONDS[1])

@@ -472,3 +472,45 @@ def collated_season_scan(spark, sf_dir):
     col = _collated_lineitem(spark, sf_dir)
     path = write_table(col.table, scratch_dir(spark, "collated"))
     return read_table(spark, path, 1997, 2000)
+
+
+@query
+def main_run_csv(spark, sf_dir):
+    """Section 3.1 end to end on season CSV files cut from lineitem:
+    collate -> label-prefix check -> filters -> components -> 92 fits."""
+    from tablefit.session import scratch_dir
+    from tablefit.plans.main_run import main_run
+    from tablefit.plans.tables import CSV_EXCLUDES, CSV_TEMPLATE, write_lineitem_seasons
+    root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
+    years = table(spark, sf_dir, "lineitem").agg(
+        F.min(F.year("l_shipdate")).alias("a"), F.max(F.year("l_shipdate")).alias("b")).head()
+    res = main_run(spark, root, int(years["a"]), int(years["b"]) + 1,
+                   labels=["l_orderkey", "l_linenumber"],
+                   expressions=["l_linenumber - 4", "4 - l_linenumber",
+                                "l_linenumber % 3 - 1", "l_linenumber % 2 * 2 - 1"],
+                   k=None, confidence=0.95, exc_handicap=False, exc_averages=False,
+                   exc_2_5_goals=False, extra_excludes=CSV_EXCLUDES,
+                   categories=RETURNFLAG_CATEGORIES, template=CSV_TEMPLATE,
+                   catalogue=None)
+    return _report_frame(res.report)
+
+
+@query
+def stream_collate_csv(spark, sf_dir):
+    """Structured Streaming ingest of the season CSV files of one header
+    layout (the middle seasons) into a Parquet table partitioned by
+    start_year, run to completion with an available-now trigger."""
+    from tablefit.session import scratch_dir
+    from tablefit.operators.exclude import kept_titles
+    from tablefit.plans.tables import (CSV_EXCLUDES, CSV_MIDDLE, CSV_TEMPLATE,
+                                       EARLY_LAST_YEAR, MIDDLE_LAST_YEAR,
+                                       write_lineitem_seasons)
+    from tablefit.sources.seasons import seasons
+    from tablefit.streaming.season_feed import layout_stream, run_to_table
+    root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
+    middle = seasons(root, EARLY_LAST_YEAR + 1, MIDDLE_LAST_YEAR + 1, CSV_TEMPLATE)
+    stream = layout_stream(spark, middle, CSV_MIDDLE, kept_titles(CSV_MIDDLE, CSV_EXCLUDES),
+                           RETURNFLAG_CATEGORIES)
+    out = scratch_dir(spark, "stream-table")
+    run_to_table(stream, out, scratch_dir(spark, "stream-checkpoint"))
+    return spark.read.parquet(out)

@@ -1,0 +1,79 @@
+"""Incremental collation of newly arriving season files (S2-S7 as a
+Structured Streaming job).
+
+The batch collation reads every file once per run. When season files keep
+arriving (new match days, new divisions), a file-source stream picks up only
+the files it has not seen (the source keeps a log of processed files in the
+checkpoint), cleans them with the same cell functions and appends them to
+the collated Parquet table partitioned by ``start_year``. The checkpoint
+lives under the session's shared checkpoint folder, so a restarted or
+failed job resumes without duplicating rows.
+
+A stream has one fixed schema, so one stream serves one header layout: the
+layout is taken from the header inventory of the files already present
+(``stream_layouts``), and each distinct layout gets its own stream.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablefit.functions.cells import typed_cell
+from tablefit.functions.fixed import RESULT_CATEGORIES
+from tablefit.sources.seasons import Season
+
+
+def _season_of(path_col, season_list: Sequence[Season]):
+    dname = F.element_at(F.split(path_col, "/"), -2)
+    code, year = None, None
+    for s in season_list:
+        leaf = s.path.rstrip("/").split("/")[-1]
+        cond = dname == F.lit(leaf)
+        code = F.when(cond, F.lit(s.code)) if code is None else code.when(cond, F.lit(s.code))
+        year = F.when(cond, F.lit(s.start_year)) if year is None else year.when(
+            cond, F.lit(s.start_year))
+    return code, year.cast("int")
+
+
+def layout_stream(spark: SparkSession, season_list: Sequence[Season], raw_header: Sequence[str],
+                  kept: Sequence[str], categories: Mapping[str, float] = RESULT_CATEGORIES,
+                  glob: str = "*.csv", max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming DataFrame of the cleaned rows of every file with the
+    given raw header layout under the season directories."""
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True)
+                           for i in range(len(raw_header))])
+    # a file-source stream reads one directory (glob); the season folders
+    # share a parent, so read the parent with a glob over the season names
+    parents = {s.path.rstrip("/").rsplit("/", 1)[0] for s in season_list}
+    if len(parents) != 1:
+        raise ValueError("season directories must share one parent folder")
+    parent = parents.pop()
+    leaves = ",".join(s.path.rstrip("/").rsplit("/", 1)[1] for s in season_list)
+    reader = (spark.readStream.schema(schema).option("header", True)
+              .option("mode", "PERMISSIVE").option("pathGlobFilter", glob))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(f"{parent}/{{{leaves}}}")
+    last_pos = {t: i for i, t in enumerate(raw_header)}
+    code, year = _season_of(F.col("_metadata.file_path"), season_list)
+    return raw.select(*[typed_cell(F.col(f"_c{last_pos[t]}"), categories).alias(t) for t in kept],
+                      code.alias("season"), year.alias("start_year"))
+
+
+def run_to_table(stream: DataFrame, table_path: str, checkpoint_path: str,
+                 available_now: bool = True):
+    """Append the stream to a Parquet table partitioned by ``start_year``;
+    with ``available_now`` the query processes what is there and stops."""
+    writer = (stream.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint_path)
+              .partitionBy("start_year"))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    q = writer.start(table_path)
+    if available_now:
+        q.awaitTermination()
+    return q
