@@ -31,6 +31,7 @@ from tablefit.operators.components import Components, fit_components
 from tablefit.operators.metrics import regression_metrics
 from tablefit.operators.split import key_split
 from tablefit.operators import trainers as tr
+from tablefit.operators.sgd import SGD_TRAINERS, SgdFitted, fit_sgd
 
 
 @dataclass
@@ -110,7 +111,7 @@ REPORT_SCHEMA = T.StructType([
 
 def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
              score_against: str = "encoded", parallelism: int = 4,
-             digits: int | None = None) -> DataFrame:
+             digits: int | None = None, optimizer: str = "ml") -> DataFrame:
     """Fit every (trainer, label expression, override) of ``plan`` on the
     train rows and score it on the test rows (M11, M12, M15).
 
@@ -141,7 +142,10 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
     fit_of_item = []
     for trainer, e, _, override in plan:
         params = tr.trainer_params(trainer, override)
-        key = (trainer, e, tr.effective_key(trainer, params))
+        if optimizer == "sgd" and trainer in SGD_TRAINERS:
+            key = (trainer, e, "sgd", tuple(sorted((k, repr(v)) for k, v in params.items())))
+        else:
+            key = (trainer, e, tr.effective_key(trainer, params))
         fits.setdefault(key, (trainer, e, params))
         fit_of_item.append(key)
     keys = list(fits)
@@ -153,6 +157,9 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
         trainer, e, params = fits[key]
         if trainer == "naive_bayes":
             return tr.BayesFromStatistics(trainer, params, stats[e])
+        if optimizer == "sgd" and trainer in SGD_TRAINERS:
+            return fit_sgd(trainer, train.select("features", F.col(ycol[e]).alias("label")),
+                           "features", "label", params)
         # left uncached on purpose: the iterative estimators then cache their
         # own converted instances, which iterate faster than cached rows
         one = train.select("features", F.col(ycol[e]).alias("label"))
@@ -163,15 +170,16 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
 
     # naive Bayes predictions in one projection; ML models chained after it
     xa = vector_to_array(F.col("features"), "float64")
+    expr_models = (tr.BayesFromStatistics, SgdFitted)
     nb_cols = [f.prediction_column(F.col("_xa")).alias(f"_p{i}")
-               for i, f in enumerate(fitted) if isinstance(f, tr.BayesFromStatistics)]
+               for i, f in enumerate(fitted) if isinstance(f, expr_models)]
     scored = test
     if nb_cols:
         scored = test.withColumn("_xa", xa).select("*", *nb_cols).drop("_xa")
     entries = []
     for i, (key, f) in enumerate(zip(keys, fitted)):
         trainer, e, _ = fits[key]
-        if not isinstance(f, tr.BayesFromStatistics):
+        if not isinstance(f, expr_models):
             scored = f.add_prediction(scored, f"_p{i}")
         y = F.col(ycol[e])
         if trainer in tr.BINARY and score_against == "encoded":
@@ -214,7 +222,7 @@ def run_sweep(df: DataFrame, labels: Sequence[str] = LABELS, features: Sequence[
               expressions: Sequence[str] = LABEL_EXPRESSIONS, k: int | None = PCA_COMPONENTS,
               confidence: float = PCA_CONFIDENCE, parallelism: int = 4,
               score_against: str = "encoded", digits: int | None = None,
-              **prepare_args) -> DataFrame:
+              optimizer: str = "ml", **prepare_args) -> DataFrame:
     """The main run: prepare once, then every fit of the sweep; returns the
     metric report (one row per fit)."""
     if features is None:
@@ -223,7 +231,7 @@ def run_sweep(df: DataFrame, labels: Sequence[str] = LABELS, features: Sequence[
     prep = prepare(df, labels, features, keys, k, confidence, **prepare_args)
     try:
         report = evaluate(prep, sweep_plan(trainers, expressions), score_against,
-                          parallelism, digits)
+                          parallelism, digits, optimizer)
         # one small row per fit; materialise it before the shared rows are
         # released (a lost block is recomputed from lineage)
         report = report.cache()

@@ -514,3 +514,17 @@ def stream_collate_csv(spark, sf_dir):
     out = scratch_dir(spark, "stream-table")
     run_to_table(stream, out, scratch_dir(spark, "stream-checkpoint"))
     return spark.read.parquet(out)
+
+
+@query
+def sgd_fit(spark, sf_dir):
+    """Logistic regression with the SGD optimiser and its step /
+    mini-batch / tolerance settings (legacy RDD trainer, opt-in), scored on
+    the held-out rows."""
+    from tablefit.operators.sgd import fit_sgd
+    prep = _prepared(spark, sf_dir, ["RF"])
+    data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
+                            label_column("RF").alias("label"))
+    fitted = fit_sgd("logistic", data.where(~F.col("is_test")))
+    return fitted.predict(data.where(F.col("is_test"))).select(
+        *LINEITEM_KEYS, "label", "prediction")

@@ -156,3 +156,16 @@ def test_zero_rows_after_filters(spark):
     df = spark.createDataFrame([(0.0, 1.0)], "a double, f double")
     rows = mr.normalised_rows(df, ["a"], ["f"])
     assert rows.count() == 0
+
+
+def test_sgd_path_scores_like_the_legacy_model(spark, prepared):
+    from pyspark.mllib.linalg import Vectors as OldVectors
+    from tablefit.operators.sgd import fit_sgd
+    data = mr.labelled(prepared, "RF")
+    f = fit_sgd("logistic", data.where(~F.col("is_test")), override={"iterations": 50})
+    rows = f.predict(data.where("is_test")).select("features", "prediction").collect()
+    from pyspark.mllib.classification import LogisticRegressionModel
+    from pyspark.mllib.linalg import DenseVector
+    legacy = LogisticRegressionModel(DenseVector(f.weights), f.intercept, 2, 2)
+    for r in rows[:200]:
+        assert float(legacy.predict(OldVectors.dense(r["features"].toArray()))) == r["prediction"]
