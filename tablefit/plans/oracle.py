@@ -289,3 +289,17 @@ ORACLE_SQL["collated_season_scan"] = (
     f"SELECT * FROM ({_COLLATED}) WHERE start_year >= 1997 AND start_year < 2000")
 
 ORACLE_SQL["stream_collate_csv"] = _csv_group(CSV_MIDDLE, _CSV_CONDS[1])
+
+ORACLE_SQL["components_sink"] = _TWO + f""",
+r AS (SELECT sign(corr(n0, n1)) AS s FROM nx),
+lab AS (SELECT l_orderkey, l_linenumber, {RF} AS rf,
+               l_quantity, l_quantity + l_discount * 10.0 AS q_plus FROM lineitem),
+ln AS (SELECT l_orderkey, l_linenumber, rf, l_quantity AS x0, q_plus AS x1,
+              sqrt(l_quantity * l_quantity + q_plus * q_plus) AS nrm FROM lab),
+lx AS (SELECT l_orderkey, l_linenumber, rf,
+              CASE WHEN nrm = 0 THEN x0 ELSE x0 / nrm END AS n0,
+              CASE WHEN nrm = 0 THEN x1 ELSE x1 / nrm END AS n1 FROM ln)
+SELECT l_orderkey, l_linenumber, rf,
+       round(n0 * sqrt(0.5) + n1 * (s * sqrt(0.5)), 6) AS Comp1,
+       round(n0 * sqrt(0.5) + n1 * (-s * sqrt(0.5)), 6) AS Comp2
+FROM lx, r"""

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.functions.cells import typed_cell
+from tablefit.functions.cells import category_value, typed_cell
 from tablefit.functions.labels import label_column
 from tablefit.functions.vectors import (abs_array, fill_nulls_array, l1_abs_normalize,
                                         lp_normalize, signed_max_normalize)
@@ -528,3 +528,22 @@ def sgd_fit(spark, sf_dir):
     fitted = fit_sgd("logistic", data.where(~F.col("is_test")))
     return fitted.predict(data.where(F.col("is_test"))).select(
         *LINEITEM_KEYS, "label", "prediction")
+
+
+@query
+def components_sink(spark, sf_dir):
+    """S8 + S9: labels and components written as a Parquet table, read back."""
+    from tablefit.operators.components import fit_components
+    from tablefit.session import scratch_dir
+    from tablefit.sources.tables import read_table, write_components
+    li = table(spark, sf_dir, "lineitem").withColumn(
+        "q_plus", F.col("l_quantity") + F.col("l_discount") * F.lit(10.0)).withColumn(
+        "RF", category_value("l_returnflag", RETURNFLAG_CATEGORIES))
+    rows = mr.normalised_rows(li, ["RF"], TWO_FEATURES, LINEITEM_KEYS, filter_rows=False)
+    comps = fit_components(rows, "x", TWO_FEATURES, k=2, confidence=0.999)
+    projected = comps.project(rows, "x", LINEITEM_KEYS + ["RF"])
+    path = write_components(projected, scratch_dir(spark, "components"),
+                            LINEITEM_KEYS + ["RF"], comps.k, partition_by=())
+    back = read_table(spark, path)
+    return back.select(*LINEITEM_KEYS, F.col("RF").alias("rf"),
+                       _r(F.col("Comp1")).alias("Comp1"), _r(F.col("Comp2")).alias("Comp2"))
