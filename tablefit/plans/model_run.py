@@ -60,6 +60,29 @@ def normalised_rows(df: DataFrame, labels: Sequence[str], features: Sequence[str
                      lp_normalize(feature_array(features), p).alias("x"))
 
 
+# Rows per partition above which prepared rows are spread before the
+# iterative passes (components, fits). Large inputs already arrive in many
+# partitions and are never reshuffled by this rule.
+ROWS_PER_PARTITION = 150_000
+
+
+def spread(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Persist ``df`` and, when its partitions hold more than
+    ``rows_per_partition`` rows on average (a large single file read as one
+    split), spread it over more partitions once so iterative passes use
+    more than one core."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
+    parts = df.rdd.getNumPartitions()
+    want = -(-n // max(1, rows_per_partition))
+    if want <= parts:
+        return df
+    spread_df = df.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
+    spread_df.count()
+    df.unpersist()
+    return spread_df
+
+
 def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
             keys: Sequence[str], k: int | None = PCA_COMPONENTS,
             confidence: float = PCA_CONFIDENCE, override_components: bool = True,
@@ -71,7 +94,7 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
     base = normalised_rows(df, labels, features, keys, drop_zero, p)
     comps = None
     if use_components:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        base = spread(base)
         comps = fit_components(base, "x", list(features), k, confidence, override_components)
         projected = comps.transform(base, "x", "_comps").select(
             *[F.col(f"`{c}`") for c in list(keys) + list(labels)], F.col("_comps").alias("x"))
