@@ -2,9 +2,9 @@
 
 1. Directory scan (S2): the season directories that exist; inside them only
    files ending in ``.csv`` (``pathGlobFilter``).
-2. Header inventory (S3, S4): one distributed pass over the lines keeps the
-   first line of every file (``min_by`` over the file offset and the row's
-   position in its split, per file, pre-aggregated in each task). The
+2. Header inventory (S3, S4): the first line of every file, found from the
+   file offset and the row's position in its split (a hash aggregate of
+   the smallest position per file, then a broadcast join back). The
    header's trailing commas are dropped; inner blank titles are dropped.
 3. Grouped scan: files are grouped by their header, and each distinct
    header is read with ONE ``spark.read.csv`` over all its files, with an
@@ -97,10 +97,17 @@ def header_inventory(spark: SparkSession, season_list: Sequence[Season],
              .select("value", F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("_off"),
                      F.monotonically_increasing_id().alias("_seq")))
-    # the first split of a file starts at offset 0; inside a split the
-    # sequence id grows with the line order
-    first = (lines.where(F.col("_off") == 0)
-             .groupBy("file").agg(F.min_by("value", F.col("_seq")).alias("line")))
+    # The first split of a file starts at offset 0, and inside a split the
+    # sequence id grows with the line order, so a file's header is its
+    # block-0 line with the smallest id. The smallest id per file is a hash
+    # aggregate over longs (partial per task, one row per file shuffled);
+    # the header lines are then picked by a broadcast join on (file, id):
+    # two streaming scans, no sort of the lines. The broadcast side has one
+    # row per file, the list the driver already holds to plan the scan.
+    block0 = lines.where(F.col("_off") == 0)
+    firsts = block0.groupBy("file").agg(F.min("_seq").alias("_seq"))
+    first = block0.join(F.broadcast(firsts), ["file", "_seq"], "inner").select(
+        "file", F.col("value").alias("line"))
     code, year = _season_columns(F.col("file"), season_list)
     raw = split_header(F.col("line"))
     return first.select("file", code.alias("season"), year.alias("start_year"),
