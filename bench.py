@@ -45,7 +45,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="tablefit-bench")
+    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="tablefit-bench",
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 

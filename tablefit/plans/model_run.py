@@ -60,27 +60,33 @@ def normalised_rows(df: DataFrame, labels: Sequence[str], features: Sequence[str
                      lp_normalize(feature_array(features), p).alias("x"))
 
 
-# Rows per partition above which prepared rows are spread before the
-# iterative passes (components, fits). Large inputs already arrive in many
-# partitions and are never reshuffled by this rule.
+# Target rows per partition for the prepared rows that iterative passes
+# (components, fits) read again and again. Too many rows in a partition (a
+# large file read as one split) leaves cores idle; too few (many small
+# match files) makes every iteration pay for tasks and an extra tree-
+# aggregate stage. Inputs already near the target are left as they are.
 ROWS_PER_PARTITION = 150_000
 
 
 def spread(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Persist ``df`` and, when its partitions hold more than
-    ``rows_per_partition`` rows on average (a large single file read as one
-    split), spread it over more partitions once so iterative passes use
-    more than one core."""
+    """Persist ``df`` and bring its partition count near
+    ``rows / rows_per_partition``: a round-robin repartition when partitions
+    are overfull, a narrow ``coalesce`` (no shuffle) when there are more
+    than twice as many partitions as needed."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     parts = df.rdd.getNumPartitions()
-    want = -(-n // max(1, rows_per_partition))
-    if want <= parts:
+    want = max(1, -(-n // max(1, rows_per_partition)))
+    if want > parts:
+        out = df.repartition(want)
+    elif parts > 2 * want:
+        out = df.coalesce(want)
+    else:
         return df
-    spread_df = df.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
-    spread_df.count()
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
     df.unpersist()
-    return spread_df
+    return out
 
 
 def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tablefit") -> SparkSession:
+                app_name: str = "tablefit", driver_memory: str | None = None) -> SparkSession:
     """Return the active session or build one with settings that suit this
     library: AQE on (coalesces the small metric shuffles, splits skewed
     partitions), UTC session time, UI off."""
@@ -35,6 +35,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # only takes effect when this call starts the JVM (local mode)
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
