@@ -41,6 +41,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     prep = mr.prepare(rows, ["RF"], LINEITEM_FEATURES, ["row_key"], k=3, confidence=0.999,
                       override_components=False, persist=False)
     report = mr.evaluate(prep, [("naive_bayes", "RF", 0, {})], digits=DIGITS, parallelism=1)
+    # fits are done; release the cached rows (the lazy report recomputes them
+    # from a short lineage when it runs)
+    prep.unpersist()
     return report.select("trainer", "label_expr", "test_ratio", "n", "var", "mae", "mse",
                          "r2", "rmse")
 
@@ -381,6 +384,7 @@ def _test_predictions(prep, trainer, expression):
     data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
                             label_column(expression).alias("label"))
     fitted = tr.fit(trainer, data.where(~F.col("is_test")))
+    prep.unpersist()
     return fitted.predict(data.where(F.col("is_test"))).select(
         *LINEITEM_KEYS, "label", F.col("prediction").cast("double").alias("prediction"))
 
@@ -526,6 +530,7 @@ def sgd_fit(spark, sf_dir):
     data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
                             label_column("RF").alias("label"))
     fitted = fit_sgd("logistic", data.where(~F.col("is_test")))
+    prep.unpersist()
     return fitted.predict(data.where(F.col("is_test"))).select(
         *LINEITEM_KEYS, "label", "prediction")
 
