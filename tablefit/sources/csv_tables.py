@@ -77,8 +77,11 @@ def _season_columns(path_col: Column, season_list: Sequence[Season]) -> tuple[Co
 
 
 def split_header(line: Column) -> Column:
-    """Drop trailing commas / line ends, split on commas."""
-    return F.split(F.regexp_replace(line, r"[,\r\n]+$", ""), ",")
+    """The header's fields as written (line end dropped). Trailing commas
+    give blank titles: they stay positions of the read schema, so rows that
+    end in the same commas have the header's width, and vanish from the
+    cleaned header (S4)."""
+    return F.split(F.regexp_replace(line, r"[\r\n]+$", ""), ",")
 
 
 def clean_header(raw: Column, excludes: Sequence[str]) -> Column:
@@ -123,18 +126,29 @@ class Collated:
     unknown: list[str] = field(default_factory=list)
 
 
+AUDIT_COL = "width_repaired"
+
+
 def _group_frame(spark: SparkSession, files: Sequence[str], raw_header: Sequence[str],
                  kept: Sequence[str], season_list: Sequence[Season],
-                 categories: Mapping[str, float], key_col: str | None) -> DataFrame:
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True)
-                           for i in range(len(raw_header))])
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .option("quote", '"').csv(list(files)))
+                 categories: Mapping[str, float], key_col: str | None,
+                 audit: bool = False) -> DataFrame:
+    fields = [T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(raw_header))]
+    if audit:
+        fields.append(T.StructField("_corrupt_record", T.StringType(), True))
+    reader = (spark.read.schema(T.StructType(fields)).option("header", True)
+              .option("mode", "PERMISSIVE").option("quote", '"'))
+    if audit:
+        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
+    df = reader.csv(list(files))
     # last duplicate title wins (its cell is the one kept)
     last_pos = {t: i for i, t in enumerate(raw_header)}
     code, year = _season_columns(F.col("_metadata.file_path"), season_list)
     cols = [typed_cell(F.col(f"_c{last_pos[t]}"), categories).alias(t) for t in kept]
     extra = [code.alias("season"), year.alias("start_year")]
+    if audit:
+        # short rows were padded and long rows cut; flagged, never dropped
+        extra.append(F.col("_corrupt_record").isNotNull().alias(AUDIT_COL))
     if key_col:
         # a row key that depends only on the file and the row's cells, so a
         # split on it repeats whatever the partitioning
@@ -146,10 +160,17 @@ def _group_frame(spark: SparkSession, files: Sequence[str], raw_header: Sequence
 def collate(spark: SparkSession, root: str, start_year: int, end_year: int,
             excludes: Sequence[str] = (), categories: Mapping[str, float] = RESULT_CATEGORIES,
             template: str = DEFAULT_TEMPLATE, key_col: str | None = "match_key",
-            catalogue: Sequence[str] | None = None, glob: str = "*.csv") -> Collated:
+            catalogue: Sequence[str] | None = None, glob: str = "*.csv",
+            audit: bool = False) -> Collated:
     """S1-S6 + P1-P3 + U1-U4: season files under ``root`` -> one typed table
     with the merged column order, plus ``season``/``start_year`` (and a row
-    key) columns."""
+    key) columns. With ``audit``, a ``width_repaired`` flag marks rows whose
+    cell count differed from their header (S6). The CSV parser only sees a
+    wrong width when it tokenises every column, so ``audit`` turns off CSV
+    column pruning for the session (``spark.sql.csv.parser.columnPruning.
+    enabled``); leave it off for production reads."""
+    if audit:
+        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     wanted = seasons(root, start_year, end_year, template)
     present, missing = existing_seasons(spark, wanted)
     inv = header_inventory(spark, present, excludes, glob)
@@ -163,7 +184,8 @@ def collate(spark: SparkSession, root: str, start_year: int, end_year: int,
         groups.setdefault(key, []).append(r["file"])
         cleaned[key] = list(dict.fromkeys(r["header"]))
     titles = merged_titles_from_headers([list(dict.fromkeys(r["header"])) for r in rows])
-    frames = [_group_frame(spark, files, list(raw), cleaned[raw], present, categories, key_col)
+    frames = [_group_frame(spark, files, list(raw), cleaned[raw], present, categories, key_col,
+                           audit)
               for raw, files in groups.items()]
     table = union_by_name(frames, titles)
     unknown = []

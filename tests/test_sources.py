@@ -33,7 +33,8 @@ def test_header_inventory(spark, tmpdir_path):
     rows = {r["season"]: r for r in inv.collect()}
     assert set(rows) == {"0001", "0102"}           # notes.txt ignored
     assert rows["0001"]["start_year"] == 2000
-    assert rows["0001"]["raw_header"][-1] == "B365A"  # trailing commas trimmed
+    assert rows["0001"]["raw_header"][-3:] == ["B365A", "", ""]  # blank trailing titles
+    assert rows["0001"]["header"][-1] == "B365A"                # ... gone once cleaned
     assert rows["0001"]["header"] == LABELS + ["B365H", "B365D", "B365A"]
     assert rows["0102"]["header"] == LABELS + ["GBH", "GBD", "GBA", "XYZ"]
 
@@ -76,3 +77,14 @@ def test_parquet_sink_prunes_seasons(spark, tmpdir_path):
     assert back.count() == 3
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "start_year" in plan
+
+
+def test_width_repair_is_flagged_not_dropped(spark, tmpdir_path):
+    root = write_raw(tmpdir_path)
+    col = collate(spark, root, 2000, 2002, exclusion_list(), audit=True)
+    rows = col.table.select("FTHG", "FTAG", "width_repaired").collect()
+    assert len(rows) == 6
+    flagged = sorted((r["FTHG"], r["FTAG"]) for r in rows if r["width_repaired"])
+    # the short row (Ash-Elm) and the long row (Birch-Fir) of the second file
+    assert flagged == [(2.0, 1.0), (4.0, 1.0)]
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "true")
