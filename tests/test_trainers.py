@@ -169,3 +169,12 @@ def test_sgd_path_scores_like_the_legacy_model(spark, prepared):
     legacy = LogisticRegressionModel(DenseVector(f.weights), f.intercept, 2, 2)
     for r in rows[:200]:
         assert float(legacy.predict(OldVectors.dense(r["features"].toArray()))) == r["prediction"]
+
+
+def test_raw_scoring_differs_from_encoded(spark, prepared):
+    plan = [("logistic", "RF", 0, {})]
+    enc = mr.evaluate(prepared, plan, "encoded").head()
+    raw = mr.evaluate(prepared, plan, "raw").head()
+    assert enc["n"] == raw["n"]
+    # 0/1 predictions against -1/1 labels: every class-0 row is off by at least 1
+    assert raw["mae"] > enc["mae"]
