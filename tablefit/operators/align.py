@@ -74,15 +74,19 @@ def catalogue_frame(spark: SparkSession, codes: Iterable[str] = CATALOGUE) -> Da
     return spark.createDataFrame([(c,) for c in codes], schema)
 
 
-def unknown_columns(inventory: DataFrame, catalogue: DataFrame | None = None,
+def unknown_columns(inventory: DataFrame, catalogue: DataFrame | Sequence[str] | None = None,
                     header_col: str = "header") -> DataFrame:
     """U4: titles that are not in the catalogue, with the number of files
-    that carry them. The catalogue is a fixed list of known codes, so it is
-    broadcast."""
-    if catalogue is None:
-        catalogue = catalogue_frame(inventory.sparkSession)
+    that carry them. A catalogue given as a list (the fixed codes by
+    default) has a known size and is broadcast; a catalogue DataFrame is
+    joined as the planner sees fit."""
     cov = header_coverage(inventory, header_col)
-    return cov.join(F.broadcast(catalogue.select("title")), "title", "left_anti")
+    if catalogue is None or not isinstance(catalogue, DataFrame):
+        codes = CATALOGUE if catalogue is None else list(catalogue)
+        cat = F.broadcast(catalogue_frame(inventory.sparkSession, codes))
+    else:
+        cat = catalogue.select("title")
+    return cov.join(cat, "title", "left_anti")
 
 
 def union_by_name(frames: Sequence[DataFrame], order: Sequence[str] | None = None) -> DataFrame:

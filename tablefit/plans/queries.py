@@ -133,9 +133,9 @@ def header_coverage(spark, sf_dir):
 @query
 def unknown_columns(spark, sf_dir):
     """U4: titles missing from the catalogue, with their file counts."""
-    from tablefit.operators.align import catalogue_frame, unknown_columns as unknown
+    from tablefit.operators.align import unknown_columns as unknown
     from tablefit.plans.tables import LINEITEM_CATALOGUE, lineitem_inventory
-    return unknown(lineitem_inventory(spark, sf_dir), catalogue_frame(spark, LINEITEM_CATALOGUE))
+    return unknown(lineitem_inventory(spark, sf_dir), LINEITEM_CATALOGUE)
 
 
 @query

@@ -35,6 +35,10 @@ from tablefit.operators.align import merged_titles_from_headers, union_by_name
 from tablefit.session import path_exists
 from tablefit.sources.seasons import DEFAULT_TEMPLATE, Season, seasons
 
+# Above this many files the one-row-per-file table of first-line ids is
+# joined without a broadcast.
+MAX_BROADCAST_FILES = 500_000
+
 INVENTORY_SCHEMA = T.StructType([
     T.StructField("file", T.StringType(), False),
     T.StructField("season", T.StringType(), True),
@@ -109,7 +113,10 @@ def header_inventory(spark: SparkSession, season_list: Sequence[Season],
     # row per file, the list the driver already holds to plan the scan.
     block0 = lines.where(F.col("_off") == 0)
     firsts = block0.groupBy("file").agg(F.min("_seq").alias("_seq"))
-    first = block0.join(F.broadcast(firsts), ["file", "_seq"], "inner").select(
+    # size check from the scan's own file listing: one row per file
+    if len(lines.inputFiles()) <= MAX_BROADCAST_FILES:
+        firsts = F.broadcast(firsts)
+    first = block0.join(firsts, ["file", "_seq"], "inner").select(
         "file", F.col("value").alias("line"))
     code, year = _season_columns(F.col("file"), season_list)
     raw = split_header(F.col("line"))
