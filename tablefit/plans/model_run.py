@@ -13,7 +13,6 @@ import json
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array

@@ -6,8 +6,6 @@ DuckDB SQL; computed columns carry the same names and roundings there.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

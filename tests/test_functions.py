@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablefit.functions.cells import category_value, typed_cell

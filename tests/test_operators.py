@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from fixtures import EXPECTED, MERGED
 from tablefit.functions.fixed import LABELS
-from tablefit.functions.vectors import to_vector
 from tablefit.operators.align import (header_coverage, merged_titles, merged_titles_from_headers,
                                       union_by_name, unknown_columns)
 from tablefit.operators.checks import (assert_label_prefix, drop_empty_features,
