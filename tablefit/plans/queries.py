@@ -235,16 +235,19 @@ def correlation_matrix(spark, sf_dir):
     """A1: Pearson matrix of the four L2-normalised lineitem features."""
     from tablefit.operators.components import correlation_long, correlation_matrix as corr
     li = table(spark, sf_dir, "lineitem")
-    rows = mr.normalised_rows(li, [], LINEITEM_FEATURES, filter_rows=False)
-    return correlation_long(spark, corr(rows, "x"), LINEITEM_FEATURES, DIGITS)
+    rows = mr.spread(mr.normalised_rows(li, [], LINEITEM_FEATURES, filter_rows=False))
+    matrix = corr(rows, "x")
+    rows.unpersist()
+    return correlation_long(spark, matrix, LINEITEM_FEATURES, DIGITS)
 
 
 @query
 def components_two(spark, sf_dir):
     """M1 + O1 + O2: two correlated features, both components per row."""
     from tablefit.operators.components import fit_components
-    rows = _two_feature_rows(spark, sf_dir)
+    rows = mr.spread(_two_feature_rows(spark, sf_dir))
     comps = fit_components(rows, "x", TWO_FEATURES, k=2, confidence=0.999)
+    rows.unpersist()
     out = comps.project(rows, "x", LINEITEM_KEYS)
     return out.select(*LINEITEM_KEYS, _r(F.col("Comp1")).alias("Comp1"),
                       _r(F.col("Comp2")).alias("Comp2"))
@@ -254,9 +257,10 @@ def components_two(spark, sf_dir):
 def components_for_confidence(spark, sf_dir):
     """O3: explained ratios, cumulative sums and the selected count."""
     from tablefit.operators.components import fit_components
-    rows = _two_feature_rows(spark, sf_dir)
+    rows = mr.spread(_two_feature_rows(spark, sf_dir))
     comps = fit_components(rows, "x", TWO_FEATURES, k=1, confidence=0.95,
                            override_components=True)
+    rows.unpersist()
     return comps.explained(spark, DIGITS)
 
 
@@ -265,10 +269,11 @@ def components_norm(spark, sf_dir):
     """M1 at full rank keeps each row's L2 norm (64 embedding features)."""
     from tablefit.operators.components import fit_components
     emb = table(spark, sf_dir, "embeddings")
-    rows = emb.select("vec_id", lp_normalize("embedding", 2.0).alias("x"))
+    rows = mr.spread(emb.select("vec_id", lp_normalize("embedding", 2.0).alias("x")))
     d = 64
     names = [f"e{i}" for i in range(d)]
     comps = fit_components(rows, "x", names, k=d, confidence=0.999)
+    rows.unpersist()
     proj = comps.project(rows, "x", ["vec_id"])
     sq = None
     for j in range(comps.k):
@@ -542,11 +547,13 @@ def components_sink(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").withColumn(
         "q_plus", F.col("l_quantity") + F.col("l_discount") * F.lit(10.0)).withColumn(
         "RF", category_value("l_returnflag", RETURNFLAG_CATEGORIES))
-    rows = mr.normalised_rows(li, ["RF"], TWO_FEATURES, LINEITEM_KEYS, filter_rows=False)
+    rows = mr.spread(mr.normalised_rows(li, ["RF"], TWO_FEATURES, LINEITEM_KEYS,
+                                        filter_rows=False))
     comps = fit_components(rows, "x", TWO_FEATURES, k=2, confidence=0.999)
     projected = comps.project(rows, "x", LINEITEM_KEYS + ["RF"])
     path = write_components(projected, scratch_dir(spark, "components"),
                             LINEITEM_KEYS + ["RF"], comps.k, partition_by=())
+    rows.unpersist()
     back = read_table(spark, path)
     return back.select(*LINEITEM_KEYS, F.col("RF").alias("rf"),
                        _r(F.col("Comp1")).alias("Comp1"), _r(F.col("Comp2")).alias("Comp2"))
