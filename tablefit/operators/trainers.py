@@ -12,10 +12,11 @@ scoring are distributed Spark jobs; only coefficients reach the driver.
 from __future__ import annotations
 
 import copy
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml import Pipeline, PipelineModel
@@ -24,6 +25,8 @@ from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
 from pyspark.ml.regression import IsotonicRegression, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from tablefit.functions.fixed import TRAINER_DEFAULTS
 
@@ -284,4 +287,33 @@ class BayesFromStatistics:
 
     def add_prediction(self, df: DataFrame, out_col: str, features_col: str = "features") -> DataFrame:
         return df.withColumn(out_col, self.prediction_column(
-            vector_to_array(F.col(features_col), "float64")))
\ No newline at end of file
+            vector_to_array(F.col(features_col), "float64")))
+
+
+def bayes_batch_predictions(models: Sequence[BayesFromStatistics], x: Column) -> Column:
+    """Predictions of many naive Bayes models that share one label (the
+    same class list), as ``array<double>`` with one entry per model.
+
+    Scoring is a matrix product, argmax_c (pi_mc + theta_mc . x), so it runs
+    as an Arrow-batched pandas UDF: one ``numpy.einsum`` per batch for all
+    models and classes, instead of models x classes interpreted
+    higher-order functions per row (the first class wins a tie, as in
+    Spark)."""
+    if not models:
+        raise ValueError("no models")
+    labels = np.asarray(models[0].stats.labels, dtype=float)
+    for m in models[1:]:
+        if list(m.stats.labels) != list(labels):
+            raise ValueError("models must share their classes")
+    theta = np.stack([m.theta for m in models])          # (models, classes, d)
+    pi = np.stack([m.pi for m in models])                # (models, classes)
+
+    @pandas_udf(T.ArrayType(T.DoubleType()))
+    def _predict(xs: pd.Series) -> pd.Series:
+        if len(xs) == 0:
+            return pd.Series([], dtype=object)
+        mat = np.vstack(xs.to_numpy()).astype(float)                       # (rows, d)
+        scores = np.einsum("nd,mcd->nmc", mat, theta) + pi[None, :, :]
+        return pd.Series(list(labels[scores.argmax(axis=2)]))
+
+    return _predict(x)

@@ -196,14 +196,29 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         fitted = list(pool.map(run, keys))
 
-    # naive Bayes predictions in one projection; ML models chained after it
+    # naive Bayes: one batched scorer per label expression (all smoothing
+    # values at once); SGD models as expressions; ML models chained after
     xa = vector_to_array(F.col("features"), "float64")
     expr_models = (tr.BayesFromStatistics, SgdFitted)
-    nb_cols = [f.prediction_column(F.col("_xa")).alias(f"_p{i}")
-               for i, f in enumerate(fitted) if isinstance(f, expr_models)]
-    scored = test
-    if nb_cols:
-        scored = test.withColumn("_xa", xa).select("*", *nb_cols).drop("_xa")
+    by_label: dict[str, list[int]] = {}
+    for i, (key, f) in enumerate(zip(keys, fitted)):
+        if isinstance(f, tr.BayesFromStatistics):
+            by_label.setdefault(fits[key][1], []).append(i)
+    scored = test.withColumn("_xa", xa)
+    batch_cols = []
+    for j, (e, idxs) in enumerate(sorted(by_label.items())):
+        batch_cols.append(tr.bayes_batch_predictions([fitted[i] for i in idxs],
+                                                     F.col("_xa")).alias(f"_nb{j}"))
+    if batch_cols:
+        scored = scored.select("*", *batch_cols)
+    cols = []
+    for j, (e, idxs) in enumerate(sorted(by_label.items())):
+        cols += [F.col(f"_nb{j}")[pos].alias(f"_p{i}") for pos, i in enumerate(idxs)]
+    cols += [f.prediction_column(F.col("_xa")).alias(f"_p{i}")
+             for i, f in enumerate(fitted) if isinstance(f, SgdFitted)]
+    if cols:
+        scored = scored.select("*", *cols)
+    scored = scored.drop("_xa", *[f"_nb{j}" for j in range(len(batch_cols))])
     entries = []
     for i, (key, f) in enumerate(zip(keys, fitted)):
         trainer, e, _ = fits[key]

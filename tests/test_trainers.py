@@ -178,3 +178,17 @@ def test_raw_scoring_differs_from_encoded(spark, prepared):
     assert enc["n"] == raw["n"]
     # 0/1 predictions against -1/1 labels: every class-0 row is off by at least 1
     assert raw["mae"] > enc["mae"]
+
+
+def test_batched_bayes_scorer_matches_spark(spark):
+    from pyspark.ml.functions import vector_to_array
+    df = _nb_data(spark)
+    stats = tr.bayes_statistics(df, "features", "label")
+    lams = [1.0, 1e-3, 5.0]
+    models = [tr.BayesFromStatistics("naive_bayes", {"lambda_": lam}, stats) for lam in lams]
+    batch = df.select(tr.bayes_batch_predictions(
+        models, vector_to_array("features", "float64")).alias("p")).collect()
+    for j, lam in enumerate(lams):
+        spark_nb = tr.fit("naive_bayes", df, override={"lambda_": lam})
+        want = [r[0] for r in spark_nb.predict(df).select("prediction").collect()]
+        assert [r["p"][j] for r in batch] == want
