@@ -192,3 +192,11 @@ def test_batched_bayes_scorer_matches_spark(spark):
         spark_nb = tr.fit("naive_bayes", df, override={"lambda_": lam})
         want = [r[0] for r in spark_nb.predict(df).select("prediction").collect()]
         assert [r["p"][j] for r in batch] == want
+
+
+def test_concurrent_fits_equal_sequential(spark, prepared):
+    plan = [("logistic", "RF", 0, {}), ("svm", "RF * LS", 0, {}),
+            ("naive_bayes", "RF - LS", 0, {}), ("naive_bayes", "RF - LS", 1, {"lambda_": 1e-3})]
+    one = sorted(tuple(r) for r in mr.evaluate(prepared, plan, parallelism=1).drop("params").collect())
+    many = sorted(tuple(r) for r in mr.evaluate(prepared, plan, parallelism=8).drop("params").collect())
+    assert one == many
