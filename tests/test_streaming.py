@@ -1,0 +1,32 @@
+"""Incremental season ingest: a second run picks up only the new files."""
+
+import os
+
+from fixtures import write_football_seasons
+from tablefit.operators.exclude import exclusion_list, kept_titles
+from tablefit.session import scratch_dir
+from tablefit.sources.csv_tables import header_inventory
+from tablefit.sources.seasons import seasons
+from tablefit.streaming.season_feed import layout_stream, run_to_table
+
+
+def test_stream_appends_only_new_files(spark, tmpdir_path):
+    root = write_football_seasons(tmpdir_path, seasons=(2000,), divisions=("E0",), rows=30)
+    ss = seasons(root, 2000, 2001)
+    raw = header_inventory(spark, ss, exclusion_list()).head()["raw_header"]
+    kept = kept_titles([t for t in raw if t], exclusion_list())
+    out, ckpt = scratch_dir(spark, "st"), scratch_dir(spark, "st-ckpt")
+
+    run_to_table(layout_stream(spark, ss, raw, kept), out, ckpt)
+    assert spark.read.parquet(out).count() == 30
+
+    # a new division arrives in the same season with the same layout
+    src = os.path.join(root, "0001", "E0.csv")
+    with open(src) as f:
+        text = f.read()
+    with open(os.path.join(root, "0001", "E1.csv"), "w") as f:
+        f.write(text.replace("E0,", "E1,"))
+    run_to_table(layout_stream(spark, ss, raw, kept), out, ckpt)
+    table = spark.read.parquet(out)
+    assert table.count() == 60
+    assert set(table.columns) >= set(kept) | {"season", "start_year"}
