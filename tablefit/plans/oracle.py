@@ -303,3 +303,10 @@ SELECT l_orderkey, l_linenumber, rf,
        round(n0 * sqrt(0.5) + n1 * (s * sqrt(0.5)), 6) AS Comp1,
        round(n0 * sqrt(0.5) + n1 * (-s * sqrt(0.5)), 6) AS Comp2
 FROM lx, r"""
+
+# seasons 1997-1999 only: the middle layout (1997-1998) and the first late
+# season (1999); no early-layout file is read, so its columns are absent
+ORACLE_SQL["season_pruned_csv"] = (
+    _csv_group(CSV_MIDDLE, f"{_YEAR} >= 1997 AND {_YEAR} <= {MIDDLE_LAST_YEAR}")
+    + "\nUNION ALL BY NAME\n"
+    + _csv_group(CSV_LATE, f"{_YEAR} > {MIDDLE_LAST_YEAR} AND {_YEAR} < 2000"))

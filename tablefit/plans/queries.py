@@ -569,3 +569,17 @@ def metric_report(spark, sf_dir):
                           expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8,
                           score_against="raw")
     return _report_frame(report)
+
+
+@query
+def season_pruned_csv(spark, sf_dir):
+    """S1 on raw files: only the season folders of 1997-1999 are listed and
+    read (the other seasons' files are never opened)."""
+    from tablefit.session import scratch_dir
+    from tablefit.sources.csv_tables import collate
+    from tablefit.plans.tables import (CSV_EXCLUDES, CSV_TEMPLATE, LINEITEM_CATALOGUE,
+                                       write_lineitem_seasons)
+    root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
+    col = collate(spark, root, 1997, 2000, CSV_EXCLUDES, RETURNFLAG_CATEGORIES, CSV_TEMPLATE,
+                  key_col=None, catalogue=LINEITEM_CATALOGUE + ["net_price"])
+    return col.table
