@@ -179,6 +179,8 @@ def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = No
     if not 0.0 <= confidence <= 1.0:
         raise ValueError("confidence must be within [0, 1]")
     vec = df.select(to_vector(F.col(arr_col)).alias("_x"))
+    if vec.head() is None:
+        raise ValueError("no rows to fit components on (did the filters remove every row?)")
     scaler = StandardScaler(inputCol="_x", outputCol="_xs", withMean=False,
                             withStd=True).fit(vec)
     std = np.asarray(scaler.std.toArray(), dtype=float)

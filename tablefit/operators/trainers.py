@@ -126,7 +126,7 @@ class Fitted:
         out = m.transform(df)
         if self.name in MULTICLASS and self.labels is not None:
             values = F.array(*[F.lit(float(v)) for v in self.labels])
-            out = out.withColumn(out_col, F.element_at(values, F.col(out_col).cast("int") + 1))
+            out = out.withColumn(out_col, F.try_element_at(values, F.col(out_col).cast("int") + 1))
         return out
 
     def predict(self, df: DataFrame) -> DataFrame:

@@ -75,3 +75,10 @@ def test_same_answers_for_1_4_16_partitions(spark):
         np.testing.assert_allclose(c.eigenvalues, base_c.eigenvalues, atol=1e-9)
         np.testing.assert_allclose(c.vectors, base_c.vectors, atol=1e-7)
         assert rep == base_rep
+
+
+def test_components_on_zero_rows(spark):
+    df = spark.createDataFrame([(0.0, 1.0)], "a double, f double")
+    rows = mr.normalised_rows(df, ["a"], ["f"])
+    with pytest.raises(ValueError, match="no rows"):
+        fit_components(rows, "x", ["f"], k=1)
