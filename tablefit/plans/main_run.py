@@ -50,7 +50,8 @@ def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YE
              trainers: Sequence[str] = MAIN_RUN_TRAINERS, k: int | None = PCA_COMPONENTS,
              confidence: float = PCA_CONFIDENCE, override_components: bool = True,
              drop_zero: bool = True, table_path: str | None = None, parallelism: int = 8,
-             score_against: str = "encoded", **collate_args) -> RunResult:
+             score_against: str = "encoded", checkpoint: bool = True,
+             **collate_args) -> RunResult:
     """Collate, check, (optionally store as Parquet by start_year), then run
     the sweep. Returns the report (one row per fit)."""
     col = collate_seasons(spark, root, start_year, end_year, **collate_args)
@@ -62,5 +63,6 @@ def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YE
     features = [t for t in col.titles if t not in set(labels)]
     report = run_sweep(table, labels, features, ["match_key"], trainers, expressions, k,
                        confidence, parallelism, score_against,
-                       override_components=override_components, drop_zero=drop_zero)
+                       override_components=override_components, drop_zero=drop_zero,
+                       checkpoint=checkpoint)
     return RunResult(report, col, table_path)

@@ -31,6 +31,7 @@ from tablefit.operators.metrics import regression_metrics
 from tablefit.operators.split import key_split
 from tablefit.operators import trainers as tr
 from tablefit.operators.sgd import SGD_TRAINERS, SgdFitted, fit_sgd
+from tablefit.session import checkpoint_root
 
 
 @dataclass
@@ -93,9 +94,14 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
             confidence: float = PCA_CONFIDENCE, override_components: bool = True,
             drop_zero: bool = True, p: float = PCA_NORM_P, use_components: bool = True,
             test_fraction: float = 1.0 - TRAIN_SHARE, seed: int = 0,
-            persist: bool = True) -> Prepared:
+            persist: bool = True, checkpoint: bool = False) -> Prepared:
     """Everything up to the labelled rows, shared by all label expressions
-    and trainers: components are fitted once (not before every fit)."""
+    and trainers: components are fitted once (not before every fit).
+
+    With ``checkpoint`` the prepared rows are also written to the session's
+    checkpoint folder (shared storage on a cluster) and their lineage is
+    cut, so a long sweep that loses executors reloads them instead of
+    re-reading and re-shuffling the input."""
     base = normalised_rows(df, labels, features, keys, drop_zero, p)
     comps = None
     if use_components:
@@ -109,9 +115,12 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
     rows = projected.select(*[F.col(f"`{c}`") for c in list(keys) + list(labels)],
                             to_vector(l1_abs_normalize(F.col("x"))).alias("features"))
     rows = key_split(rows, list(keys), test_fraction, seed)
-    if persist:
+    if persist or checkpoint:
         # materialise the prepared rows, then release the normalised ones
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        if checkpoint:
+            checkpoint_root(rows.sparkSession)
+            rows = rows.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
         rows.count()
         if use_components:
             base.unpersist()

@@ -43,7 +43,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def _checkpoint_root(spark: SparkSession) -> str:
+def checkpoint_root(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set from ``spark.checkpoint.dir``
+    when needed (a fresh local folder only for local mode)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -66,7 +68,7 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A new, unique folder under the session's checkpoint directory for
     intermediate tables written by a job (never a machine-local folder on a
     cluster). Nothing is created here; Spark writers create it."""
-    root = _checkpoint_root(spark).rstrip("/")
+    root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tablefit/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -82,3 +82,15 @@ def test_components_on_zero_rows(spark):
     rows = mr.normalised_rows(df, ["a"], ["f"])
     with pytest.raises(ValueError, match="no rows"):
         fit_components(rows, "x", ["f"], k=1)
+
+
+def test_checkpointed_prepare_cuts_lineage(spark):
+    li = lineitem_matches(spark, SF001)
+    prep = mr.prepare(li, ["RF"], LINEITEM_FEATURES, ["row_key"], k=4, checkpoint=True)
+    try:
+        plan = prep.rows._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem.parquet" not in plan and "FileScan" not in plan
+        assert "ExistingRDD" in plan or "Scan" in plan
+        assert prep.rows.count() > 0
+    finally:
+        prep.unpersist()
