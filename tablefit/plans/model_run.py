@@ -68,7 +68,7 @@ def normalised_rows(df: DataFrame, labels: Sequence[str], features: Sequence[str
 ROWS_PER_PARTITION = 150_000
 
 
-def spread(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+def spread(df: DataFrame, rows_per_partition: int | None = None) -> DataFrame:
     """Persist ``df`` and bring its partition count near
     ``rows / rows_per_partition``: a round-robin repartition when partitions
     are overfull, a narrow ``coalesce`` (no shuffle) when there are more
@@ -76,7 +76,8 @@ def spread(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataF
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     parts = df.rdd.getNumPartitions()
-    want = max(1, -(-n // max(1, rows_per_partition)))
+    rpp = ROWS_PER_PARTITION if rows_per_partition is None else rows_per_partition
+    want = max(1, -(-n // max(1, rpp)))
     if want > parts:
         out = df.repartition(want)
     elif parts > 2 * want:
