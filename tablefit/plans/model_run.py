@@ -279,7 +279,8 @@ def run_sweep(df: DataFrame, labels: Sequence[str] = LABELS, features: Sequence[
     """The main run: prepare once, then every fit of the sweep; returns the
     metric report (one row per fit)."""
     if features is None:
-        skip = set(labels) | set(keys) | {"season", "start_year", "_corrupt_record"}
+        skip = set(labels) | set(keys) | {"season", "start_year", "_corrupt_record",
+                                          "width_repaired"}
         features = [c for c in df.columns if c not in skip]
     prep = prepare(df, labels, features, keys, k, confidence, **prepare_args)
     try:
