@@ -60,12 +60,20 @@ def ship_year() -> F.Column:
     return F.year("l_shipdate").cast("int")
 
 
-def year_group_conditions() -> list[F.Column]:
-    """Three conditions that split every row (null years go last)."""
-    y = ship_year()
-    early = y <= EARLY_LAST_YEAR
-    middle = (y > EARLY_LAST_YEAR) & (y <= MIDDLE_LAST_YEAR)
-    late = y.isNull() | (y > MIDDLE_LAST_YEAR)
+def year_group_conditions(df: DataFrame | None = None) -> list[F.Column]:
+    """Three conditions that split every row by ship year (null dates go
+    last). Written as ranges of ``l_shipdate`` against literals of the
+    column's own type, so Parquet gets them as pushed filters (row-group
+    skipping) instead of a ``year()`` it cannot push."""
+    t = df.schema["l_shipdate"].dataType if df is not None else None
+    d = F.col("l_shipdate")
+
+    def start_of(year: int):
+        lit = F.lit(f"{year}-01-01 00:00:00")
+        return lit.cast(t) if t is not None else lit.cast("timestamp_ntz")
+    early = d < start_of(EARLY_LAST_YEAR + 1)
+    middle = (d >= start_of(EARLY_LAST_YEAR + 1)) & (d < start_of(MIDDLE_LAST_YEAR + 1))
+    late = d.isNull() | (d >= start_of(MIDDLE_LAST_YEAR + 1))
     return [early, middle, late]
 
 
@@ -80,7 +88,7 @@ def lineitem_with_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_year_groups(spark: SparkSession, sf_dir: str) -> list[tuple[list[str], DataFrame]]:
     li = lineitem_with_derived(spark, sf_dir)
     headers = [HEADER_EARLY, HEADER_MIDDLE, HEADER_LATE]
-    return [(h, li.where(cond).select(*h)) for h, cond in zip(headers, year_group_conditions())]
+    return [(h, li.where(cond).select(*h)) for h, cond in zip(headers, year_group_conditions(li))]
 
 
 def season_code(year: F.Column) -> F.Column:
@@ -121,7 +129,7 @@ def write_lineitem_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
     header depends on the ship year (three layouts). One distributed write
     per layout, partitioned by season."""
     li = lineitem_with_derived(spark, sf_dir).withColumn("season", season_code(ship_year()))
-    for cols, cond in zip([CSV_EARLY, CSV_MIDDLE, CSV_LATE], year_group_conditions()):
+    for cols, cond in zip([CSV_EARLY, CSV_MIDDLE, CSV_LATE], year_group_conditions(li)):
         (li.where(cond).select(*cols, "season").write.mode("append")
          .partitionBy("season").option("header", True).csv(root))
     return root
