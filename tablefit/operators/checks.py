@@ -29,7 +29,10 @@ def drop_unusable_labels(df: DataFrame, labels: Sequence[str], drop_zero: bool =
 
 
 def has_features_condition(features: Sequence[str]) -> Column:
-    parts = [F.coalesce(_q(f).cast("double"), F.lit(0.0)) != 0.0 for f in features]
+    """Some feature is present and non-zero. Written as ``c IS NOT NULL AND
+    c <> 0`` per feature (not ``coalesce(c, 0) <> 0``) so Parquet receives it
+    as a pushed filter."""
+    parts = [_q(f).isNotNull() & (_q(f) != 0) for f in features]
     if not parts:
         return F.lit(False)
     return reduce(lambda a, b: a | b, parts)

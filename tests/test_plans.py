@@ -47,3 +47,16 @@ def test_one_csv_scan_per_distinct_header_and_no_sort(spark):
 def test_metrics_aggregate_partially_before_the_shuffle(spark):
     plan = _plan(QUERIES["regression_metrics"](spark, SF001))
     assert "partial_sum" in plan and plan.index("partial_sum") > plan.index("Exchange")
+
+
+def test_empty_feature_filter_is_pushed(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = _plan(QUERIES["drop_empty_features"](spark, SF001))
+    assert "PushedFilters: [Or(And(IsNotNull(l_discount),Not(EqualTo(l_discount,0.0)))" in plan
+
+
+def test_season_groups_are_pushed(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = _plan(QUERIES["schema_union"](spark, SF001))
+    assert "LessThan(l_shipdate,1997-01-01T00:00)" in plan
+    assert "GreaterThanOrEqual(l_shipdate,1999-01-01T00:00)" in plan
