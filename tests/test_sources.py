@@ -88,3 +88,19 @@ def test_width_repair_is_flagged_not_dropped(spark, tmpdir_path):
     # the short row (Ash-Elm) and the long row (Birch-Fir) of the second file
     assert flagged == [(2.0, 1.0), (4.0, 1.0)]
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "true")
+
+
+def test_csv_sink_and_scan_with_schema(spark, tmpdir_path):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(1.0, 2000), (2.0, 2001), (3.0, 2001)], "FTHG double, start_year int")
+    out = write_table(df, tmpdir_path + "/csv_table", fmt="csv")
+    schema = T.StructType([T.StructField("FTHG", T.DoubleType())])
+    back = read_table(spark, out, 2001, 2002, fmt="csv", schema=schema)
+    assert sorted(r["FTHG"] for r in back.collect()) == [2.0, 3.0]
+
+
+def test_random_split_shares(spark):
+    from tablefit.operators.split import random_split
+    train, test = random_split(spark.range(2000), 0.7, seed=3)
+    n_train, n_test = train.count(), test.count()
+    assert n_train + n_test == 2000 and 0.6 < n_train / 2000 < 0.8
