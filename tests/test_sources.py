@@ -104,3 +104,28 @@ def test_random_split_shares(spark):
     train, test = random_split(spark.range(2000), 0.7, seed=3)
     n_train, n_test = train.count(), test.count()
     assert n_train + n_test == 2000 and 0.6 < n_train / 2000 < 0.8
+
+
+def test_header_pick_with_split_files_and_packed_files(spark, tmpdir_path):
+    import os
+    from tablefit.sources.seasons import seasons as season_list
+    root = tmpdir_path + "/multi"
+    os.makedirs(root + "/0001")
+    # one file spanning many splits, and many tiny files packed into partitions
+    with open(root + "/0001/BIG.csv", "w") as f:
+        f.write("FTHG,FTAG,FTR,HTHG,HTAG,HTR,B365H\n")
+        for i in range(20000):
+            f.write(f"{i % 5},{i % 3},H,{i % 2},0,D,{1 + i % 7}.5\n")
+    for k in range(30):
+        with open(root + f"/0001/S{k:02d}.csv", "w") as f:
+            f.write(f"FTHG,FTAG,FTR,HTHG,HTAG,HTR,X{k}\n1,0,H,1,0,H,2.0\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 * 1024))
+    try:
+        inv = header_inventory(spark, season_list(root, 2000, 2001), [])
+        got = {r["file"].rsplit("/", 1)[1]: r["raw_header"] for r in inv.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 31
+    assert got["BIG.csv"][-1] == "B365H"
+    assert all(got[f"S{k:02d}.csv"][-1] == f"X{k}" for k in range(30))
