@@ -241,6 +241,40 @@ def bayes_statistics(train: DataFrame, features_col: str, label_col: str) -> Bay
                            np.vstack([r["_s"].toArray() for r in rows]))
 
 
+def bayes_statistics_many(train: DataFrame, features_col: str,
+                          label_cols: Mapping[str, str]) -> dict[str, BayesStatistics]:
+    """:func:`bayes_statistics` for several labels in ONE pass: each row is
+    exploded into one (label name, label value) pair per label and a single
+    grouped aggregate (partial per task) sums features per pair."""
+    names = list(label_cols)
+    if not names:
+        return {}
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_e"), F.col(label_cols[n]).alias("_v"))
+        for i, n in enumerate(names)])).alias("_p")
+    rows = (train.select(F.col(features_col).alias("_f"), pairs)
+            .where(F.col("_p._v").isNotNull())
+            .groupBy(F.col("_p._e").alias("_e"), F.col("_p._v").cast("string").alias("_k"))
+            .agg(F.first("_p._v").alias("_v"), F.count(F.lit(1)).alias("_n"),
+                 Summarizer.sum(F.col("_f")).alias("_s"),
+                 Summarizer.min(F.col("_f")).alias("_m"))
+            .take(len(names) * (MAX_CLASSES + 1)))
+    out: dict[str, BayesStatistics] = {}
+    for i, name in enumerate(names):
+        mine = sorted((r for r in rows if r["_e"] == i), key=lambda r: r["_k"])
+        if len(mine) > MAX_CLASSES:
+            raise ValueError(f"label {name!r} has more than {MAX_CLASSES} distinct values; "
+                             "a class label is needed")
+        if not mine:
+            raise ValueError(f"no labelled rows for {name!r}")
+        if min(float(r["_m"].toArray().min()) for r in mine) < 0:
+            raise ValueError("naive Bayes (multinomial) needs non-negative features")
+        out[name] = BayesStatistics([float(r["_v"]) for r in mine],
+                                    np.array([float(r["_n"]) for r in mine]),
+                                    np.vstack([r["_s"].toArray() for r in mine]))
+    return out
+
+
 @dataclass
 class BayesFromStatistics:
     """Multinomial naive Bayes with smoothing ``lambda_`` (same estimates as

@@ -189,7 +189,7 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
     keys = list(fits)
 
     nb_exprs = {e for (t, e, _) in fits.values() if t == "naive_bayes"}
-    stats = {e: tr.bayes_statistics(train, "features", ycol[e]) for e in sorted(nb_exprs)}
+    stats = tr.bayes_statistics_many(train, "features", {e: ycol[e] for e in sorted(nb_exprs)})
 
     def run(key):
         trainer, e, params = fits[key]

@@ -200,3 +200,13 @@ def test_concurrent_fits_equal_sequential(spark, prepared):
     one = sorted(tuple(r) for r in mr.evaluate(prepared, plan, parallelism=1).drop("params").collect())
     many = sorted(tuple(r) for r in mr.evaluate(prepared, plan, parallelism=8).drop("params").collect())
     assert one == many
+
+
+def test_bayes_statistics_in_one_pass_equal_per_label(spark, prepared):
+    data = prepared.rows.select("features", F.col("RF").alias("a"), (F.col("RF") - F.col("LS")).alias("b"))
+    many = tr.bayes_statistics_many(data, "features", {"RF": "a", "RF - LS": "b"})
+    for name, col in (("RF", "a"), ("RF - LS", "b")):
+        one = tr.bayes_statistics(data, "features", col)
+        assert many[name].labels == one.labels
+        np.testing.assert_allclose(many[name].counts, one.counts)
+        np.testing.assert_allclose(many[name].sums, one.sums, rtol=1e-12)
