@@ -41,6 +41,7 @@ class Prepared:
     labels: list[str]
     keys: list[str]
     base: DataFrame | None = None
+    counts: tuple[int, int] | None = None   # (rows, test rows) when materialised
 
     def unpersist(self) -> None:
         self.rows.unpersist()
@@ -122,13 +123,20 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
         if checkpoint:
             checkpoint_root(rows.sparkSession)
             rows = rows.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-        rows.count()
+        # the pass that materialises the rows also yields the split totals
+        totals = _split_totals(rows)
         if use_components:
             base.unpersist()
-        return Prepared(rows, comps, list(labels), list(keys))
+        return Prepared(rows, comps, list(labels), list(keys), counts=totals)
     return Prepared(rows, comps, list(labels), list(keys), base if use_components else None)
 
 
+def _split_totals(rows: DataFrame) -> tuple[int, int]:
+    r = rows.agg(F.count(F.lit(1)).alias("n"),
+                 F.sum(F.col("is_test").cast("long")).alias("t")).head()
+    return int(r["n"] or 0), int(r["t"] or 0)
+
+
 def labelled(prep: Prepared, expression: str) -> DataFrame:
     """``label, features, is_test`` for one label expression."""
     check_label_expression(expression, prep.rows.columns)
@@ -163,9 +171,8 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
       one grouped partial aggregate (one small row per fit and task is
       shuffled)."""
     spark = prep.rows.sparkSession
-    counts = prep.rows.agg(F.count(F.lit(1)).alias("n"),
-                           F.sum(F.col("is_test").cast("long")).alias("t")).head()
-    test_ratio = float(counts["t"] or 0) / float(counts["n"]) if counts["n"] else None
+    n_rows, n_test = prep.counts if prep.counts is not None else _split_totals(prep.rows)
+    test_ratio = float(n_test) / float(n_rows) if n_rows else None
 
     expressions = list(dict.fromkeys(e for _, e, _, _ in plan))
     ycol = {e: f"_y{i}" for i, e in enumerate(expressions)}
