@@ -85,7 +85,9 @@ def split_header(line: Column) -> Column:
     give blank titles: they stay positions of the read schema, so rows that
     end in the same commas have the header's width, and vanish from the
     cleaned header (S4)."""
-    return F.split(F.regexp_replace(line, r"[\r\n]+$", ""), ",")
+    # a UTF-8 byte-order mark before the first title is not part of it
+    clean = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), r"[\r\n]+$", "")
+    return F.split(clean, ",")
 
 
 def clean_header(raw: Column, excludes: Sequence[str]) -> Column:

@@ -129,3 +129,13 @@ def test_header_pick_with_split_files_and_packed_files(spark, tmpdir_path):
     assert len(got) == 31
     assert got["BIG.csv"][-1] == "B365H"
     assert all(got[f"S{k:02d}.csv"][-1] == f"X{k}" for k in range(30))
+
+
+def test_byte_order_mark_in_header(spark, tmpdir_path):
+    import os
+    os.makedirs(tmpdir_path + "/bom/0001")
+    with open(tmpdir_path + "/bom/0001/E0.csv", "w", encoding="utf-8-sig") as f:
+        f.write("Div,FTHG,FTAG,FTR,HTHG,HTAG,HTR,B365H\nE0,1,0,H,1,0,H,1.5\n")
+    col = collate(spark, tmpdir_path + "/bom", 2000, 2001, exclusion_list())
+    assert col.titles == LABELS + ["B365H"]
+    assert col.table.head()["B365H"] == 1.5
