@@ -1,0 +1 @@
+"""Column expressions: fixed values, typed cells, label expressions, vectors."""

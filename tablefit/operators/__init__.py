@@ -1,0 +1,2 @@
+"""DataFrame operators: exclusion, alignment, checks, components, split,
+metrics and trainers."""

@@ -1,0 +1 @@
+"""Season paths, per-file-header CSV scans, table sinks and scans."""

@@ -1,0 +1 @@
+"""Incremental collation of newly arriving season files (Structured Streaming)."""
