@@ -1,7 +1,7 @@
 """Fixed values.
 
 Everything in this module is a value that must equal the published
-football-data column codes and the run settings this library reproduces:
+match-result column codes and the run settings this library reproduces:
 column codes, exclusion families, the result-category table, label columns,
 label expressions, trainer defaults and override lists. They are written
 plainly, in their natural order, and nothing else lives here.

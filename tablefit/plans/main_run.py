@@ -1,7 +1,7 @@
 """The full run (section 3.1): season CSV files -> collated table ->
 label-prefix check -> filters -> components -> sweep -> metric report.
 
-Defaults reproduce the published football-data run: seasons 2000-2014,
+Defaults reproduce the original run's settings: seasons 2000-2014,
 all exclusion families, labels FTHG..HTR, four label expressions, k = 9
 components at confidence 0.999, logistic regression / naive Bayes / SVM
 over their override lists (92 fits).
