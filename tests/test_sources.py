@@ -139,3 +139,13 @@ def test_byte_order_mark_in_header(spark, tmpdir_path):
     col = collate(spark, tmpdir_path + "/bom", 2000, 2001, exclusion_list())
     assert col.titles == LABELS + ["B365H"]
     assert col.table.head()["B365H"] == 1.5
+
+
+def test_duplicate_titles_last_cell_wins(spark, tmpdir_path):
+    import os
+    os.makedirs(tmpdir_path + "/dup/0001")
+    with open(tmpdir_path + "/dup/0001/E0.csv", "w") as f:
+        f.write("FTHG,FTAG,FTR,HTHG,HTAG,HTR,B365H,B365H\n2,1,H,1,0,H,1.5,2.5\n")
+    col = collate(spark, tmpdir_path + "/dup", 2000, 2001, exclusion_list())
+    assert col.titles == LABELS + ["B365H"]
+    assert col.table.head()["B365H"] == 2.5
