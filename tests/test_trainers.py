@@ -210,3 +210,13 @@ def test_bayes_statistics_in_one_pass_equal_per_label(spark, prepared):
         assert many[name].labels == one.labels
         np.testing.assert_allclose(many[name].counts, one.counts)
         np.testing.assert_allclose(many[name].sums, one.sums, rtol=1e-12)
+
+
+def test_overrides_start_from_fresh_defaults():
+    first = tr.trainer_params("logistic", {"step": 0.5, "regParam": 0.005})
+    again = tr.trainer_params("logistic", {})
+    assert first["step"] == 0.5 and first["regParam"] == 0.005
+    assert again["step"] == 1.0 and again["regParam"] == 0.01
+    plan = mr.sweep_plan()
+    assert len(plan) == 92
+    assert sum(1 for t, *_ in plan if t == "naive_bayes") == 60
