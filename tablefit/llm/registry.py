@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tablefit.llm.byte_bpe import op4_byte_bpe
 from tablefit.llm.near_dedup import op8_near_dedup
+from tablefit.llm.quality import op9_quality
 
 QUERIES = {
+    "op4_byte_bpe": op4_byte_bpe,
     "op8_near_dedup": op8_near_dedup,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
