@@ -7,16 +7,17 @@
 2. Documents with the same set form a class, named by its smallest id; only
    classes are compared.
 3. Classes that share a band key are candidates. A first round compares the
-   members of a bucket with the bucket's smallest member only; confirmed
+   members of a bucket with its most central member only; confirmed
    links are merged into components. A last round compares, in buckets that
-   still hold several components, members of different components. Pairs
-   inside one component need no test: they can't change a component. So no
-   bucket is expanded into all its pairs, and no link between components is
-   lost.
-4. A candidate passes to the exact test if its similarity, estimated from
-   equal b-bit lanes and corrected for the chance collisions (2**-BITS of
-   unequal lanes agree), is at least ``CUT``. The estimate's standard error
-   at 0.75 is about 0.04, so the cut lies some six of them below.
+   still hold several components, members of different components, by longer
+   signatures made for these members alone. Pairs inside one component need
+   no test: they can't change a component. So no bucket is expanded into all
+   its pairs, and no link between components is lost.
+4. A candidate passes to the exact test if the sizes of its sets allow the
+   link and its similarity is at least ``CUT``, as estimated from equal b-bit
+   lanes and corrected for chance collisions (2**-BITS of unequal lanes agree). The estimate's standard error
+   at 0.75 is about 0.04, so the cut lies some six of them below; for the
+   longer signatures it is 0.016, and ``LONG_CUT`` lies four below.
 5. The exact test builds both full shingle sets again from the whole texts
    and compares ``100 * |A & B| >= 75 * |A | B|``.
 
@@ -50,24 +51,27 @@ BITS = 4
 #: Estimated similarity from which a candidate is tested exactly.
 CUT = 0.5
 THRESHOLD_PERCENT = 75
+#: Rounds that compare a bucket's members with one member only.
+STAR_ROUNDS = 1
+#: Minima, bits of each and cut of the longer signatures of the last round.
+LONG_HASHES, LONG_BITS, LONG_CUT = 1024, 2, 0.68
 
 _HASHES = BANDS * ROWS
-_WORDS = _HASHES // 64
 _RNG = np.random.default_rng(8)
-_MUL = _RNG.integers(0, 2**63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 2**63, _HASHES, dtype=np.uint64)
+_MUL = _RNG.integers(0, 2**63, LONG_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _RNG.integers(0, 2**63, LONG_HASHES, dtype=np.uint64)
 _FOLD = _RNG.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CHUNK = 512
 
 _SIGNATURE_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sig array<long>"
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The ``_HASHES`` MinHash values of a set."""
-    out = np.full(_HASHES, np.iinfo(np.uint64).max, np.uint64)
+def minima(shingles: np.ndarray, hashes: int = _HASHES) -> np.ndarray:
+    """The first ``hashes`` MinHash values of a set."""
+    out = np.full(hashes, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), _CHUNK):
-        h = np.multiply.outer(shingles[i : i + _CHUNK], _MUL)
-        h += _ADD
+        h = np.multiply.outer(shingles[i : i + _CHUNK], _MUL[:hashes])
+        h += _ADD[:hashes]
         np.minimum(out, h.min(axis=0), out=out)
     return out >> np.uint64(20)
 
@@ -81,9 +85,9 @@ def band_keys(m: np.ndarray) -> np.ndarray:
     return k.view(np.int64)
 
 
-def pack(m: np.ndarray) -> np.ndarray:
-    """Low ``BITS`` bits of the minima, one bit plane after the other."""
-    planes = [np.packbits(((m >> np.uint64(b)) & np.uint64(1)).astype(np.uint8)) for b in range(BITS)]
+def pack(m: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Low ``bits`` bits of the minima, one bit plane after the other."""
+    planes = [np.packbits(((m >> np.uint64(b)) & np.uint64(1)).astype(np.uint8)) for b in range(bits)]
     return np.concatenate(planes).view(np.int64)
 
 
@@ -111,20 +115,34 @@ def _signatures(width: int):
     return run
 
 
-def estimate(a: str, b: str) -> Column:
+def _long_signatures(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs = [pack(minima(shingles_of(t, width), LONG_HASHES), LONG_BITS) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.list_(pa.int64()))], ["id", "long_sig"])
+
+    return run
+
+
+def estimate(a: str, b: str, hashes: int = _HASHES, bits: int = BITS) -> Column:
     """Collision-corrected similarity of two packed signatures."""
-    unequal = F.lit(0)
-    for w in range(_WORDS):
+    words, unequal = hashes // 64, F.lit(0)
+    for w in range(words):
         lanes = reduce(
             lambda x, y: x.bitwiseOR(y),
-            [F.col(a)[p * _WORDS + w].bitwiseXOR(F.col(b)[p * _WORDS + w]) for p in range(BITS)],
+            [F.get(a, F.lit(p * words + w)).bitwiseXOR(F.get(b, F.lit(p * words + w))) for p in range(bits)],
         )
         unequal = unequal + F.bit_count(lanes)
-    equal = F.lit(1.0) - unequal / F.lit(float(_HASHES))
-    chance = 2.0**-BITS
+    equal = F.lit(1.0) - unequal / F.lit(float(hashes))
+    chance = 2.0**-bits
     return (equal - F.lit(chance)) / F.lit(1 - chance)
 
 
+def _sizes_allow(percent: int) -> Column:
+    """No link between sets of ``na`` and ``nb`` shingles can be without this."""
+    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+
+
 def _confirm(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, y = None, np.empty(0, np.uint64)
@@ -145,11 +163,10 @@ def _confirm(width: int, percent: int):
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that the exact test confirms."""
-    sig = classes.select(F.col("rep"), F.col("sig"))
     likely = materialize(
-        pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
-        .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-        .where(estimate("sa", "sb") >= CUT)
+        pairs.join(classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
+        .join(classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
+        .where(_sizes_allow(percent) & (estimate("sa", "sb") >= CUT))
         .select("a", "b")
         .distinct()
     )
@@ -163,6 +180,28 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
     return materialize(both.mapInArrow(_confirm(width, percent), "a long, b long"))
 
 
+def _star(shared: DataFrame, labels: DataFrame, tested: DataFrame | None) -> DataFrame:
+    """Pairs ``(a, b)`` of each bucket's members with one of them, ``b``: the
+    most central member, in later rounds the most central one outside the
+    component of the most central one. Only members of other components than
+    b's are paired, and no pair of an earlier round."""
+    named = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", "meets", F.coalesce("component", "rep").alias("component")
+    )
+    rank = F.struct("meets", -F.col("rep"), "component")
+    if tested is not None:
+        named = materialize(named)
+        tops = materialize(named.groupBy("key").agg(F.max(rank)["component"].alias("top")))
+        others = named.join(tops, "key").where("component <> top").drop("top")
+    else:
+        named = others = materialize(named)
+    hubs = materialize(
+        others.groupBy("key").agg(F.max(rank).alias("m")).select("key", (-F.col("m.col2")).alias("b"), F.col("m.component").alias("cb"))
+    )
+    pairs = named.join(hubs, "key").where("component <> cb").select(F.col("rep").alias("a"), "b").distinct()
+    return pairs if tested is None else pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -170,15 +209,27 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOL
     classes = materialize(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+        .agg(
+            F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"),
+            F.any_value("sig").alias("sig"),
+        )
     )
     members = classes.select("rep", F.explode("bands").alias("key"))
-    hubs = materialize(members.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub"))
+    buckets = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     # Members of buckets with more than one class: all that can still be linked.
-    shared = materialize(members.join(hubs, "key").select("key", "rep", "hub"))
-    first = shared.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    links = _links(materialize(first), classes, docs, width, percent)
-    labels = connected_components(links)
+    shared = materialize(members.join(buckets, "key").select("key", "rep", "n"))
+    central = materialize(shared.groupBy("rep").agg(F.sum("n").alias("meets")))
+    shared = materialize(shared.join(central, "rep").select("key", "rep", "meets"))
+    links = tested = None
+    labels = shared.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
+    for _ in range(STAR_ROUNDS):
+        pairs = materialize(_star(shared, labels, tested))
+        if pairs.isEmpty():
+            break
+        found = _links(pairs, classes, docs, width, percent)
+        tested = pairs if tested is None else tested.union(pairs)
+        links = found if links is None else links.union(found)
+        labels = connected_components(links)
 
     labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
@@ -190,18 +241,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOL
         .where("lo <> hi")
         .select("key", F.col("lo"))
     )
-    open_members = materialize(
-        labelled.join(mixed, "key").join(classes.select("rep", "sig"), "rep").select("key", "rep", "component", "sig")
-    )
-    x = open_members.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sa"))
-    y = open_members.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sb"))
+    open_members = materialize(labelled.join(mixed, "key").select("key", "rep", "component"))
+    open_ids = materialize(open_members.select(F.col("rep").alias("id")).distinct())
+    open_texts = docs.join(open_ids, docs["doc_id"] == open_ids["id"], "left_semi").select("doc_id", "text")
+    longer = materialize(open_texts.distinct().mapInArrow(_long_signatures(width), "id long, long_sig array<long>"))
+    open_members = open_members.join(classes.select("rep", "n"), "rep").join(longer, open_members["rep"] == longer["id"])
+    open_members = materialize(open_members.select("key", "rep", "component", "n", "long_sig"))
+    x = open_members.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("long_sig").alias("sa"))
+    y = open_members.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("long_sig").alias("sb"))
+    similar = estimate("sa", "sb", LONG_HASHES, LONG_BITS) >= LONG_CUT
     second = (
-        x.join(y, (x["key"] == y["key"]) & (F.col("ca") < F.col("cb")) & (estimate("sa", "sb") >= CUT))
+        x.join(y, (x["key"] == y["key"]) & (F.col("ca") < F.col("cb")) & _sizes_allow(percent) & similar)
         .select("a", "b")
         .distinct()
     )
-    tested = first.select("a", "b").union(first.select(F.col("b"), F.col("a")))
-    second = materialize(second.join(tested, ["a", "b"], "left_anti"))
+    if tested is not None:
+        second = second.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
+    second = materialize(second)
     if not second.isEmpty():
         more = _links(second, classes, docs, width, percent)
         if not more.isEmpty():
