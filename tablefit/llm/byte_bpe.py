@@ -258,9 +258,11 @@ def tokenize(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
     return rows.mapInArrow(_tokens(sent, pattern), "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(tokens: DataFrame) -> DataFrame:
+def digests(tokens: DataFrame, *more: str) -> DataFrame:
+    """``doc_id``, the columns ``more`` of ``tokens``, and the digests of ids and bytes."""
     return tokens.select(
         "doc_id",
+        *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),

@@ -21,23 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster names the shared folder in ``spark.checkpoint.dir``; only a
-    plain local session without that setting gets a temporary one."""
+def checkpoint_root(spark: SparkSession) -> str:
+    """The session's checkpoint folder. The cluster names it in
+    ``spark.checkpoint.dir``; only a plain local session without that setting
+    gets a temporary one."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
-    configured = sc.getConf().get("spark.checkpoint.dir")
-    if configured is None:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
-        configured = tempfile.mkdtemp(prefix="tablefit-checkpoint-")
-    sc.setCheckpointDir(configured)
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        configured = sc.getConf().get("spark.checkpoint.dir")
+        if configured is None:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+            configured = tempfile.mkdtemp(prefix="tablefit-checkpoint-")
+        sc.setCheckpointDir(configured)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage with a reliable checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from tablefit.llm.byte_bpe import op4_byte_bpe
+from tablefit.llm.decontaminate import OP1_SQL, op1_decontaminate
 from tablefit.llm.near_dedup import op8_near_dedup
+from tablefit.llm.pii import op6_pii
 from tablefit.llm.quality import op9_quality
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_pii": op6_pii,
     "op8_near_dedup": op8_near_dedup,
     "op9_quality": op9_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": OP1_SQL,
+}

@@ -1,0 +1,81 @@
+import random
+
+import duckdb
+
+from tablefit.llm import decontaminate
+from tablefit.llm.common import table
+
+SF001 = "/root/testdata/sf0.001"
+
+
+def grams(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+def brute(docs, items, percent=75):
+    out = {}
+    for d, t in docs:
+        g = grams(t)
+        for i, q in items:
+            s = grams(q)
+            if s and 100 * len(s & g) >= percent * len(s):
+                out[d, i] = max(out.get((d, i), 0), len(s & g) / len(s))
+    return out
+
+
+def pairs(df):
+    best = {}
+    for r in df.collect():
+        best[r.doc_id, r.item_id] = max(best.get((r.doc_id, r.item_id), 0), r.shared / r.item_shingles)
+    return best
+
+
+def test_query_matches_its_sql(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
+    rel = con.sql(decontaminate.OP1_SQL)
+    out = decontaminate.op1_decontaminate(spark, SF001).select(*rel.columns)
+    got = sorted(map(tuple, out.collect()))
+    assert got == sorted(rel.fetchall()) and got
+
+
+def test_items_of_every_size_with_lost_words(spark):
+    rnd = random.Random(1)
+    word = lambda: f"w{rnd.randrange(3000)}"
+    items = [(i, " ".join(word() for _ in range(rnd.choice([1, 3, 5, 6, 8, 13, 30, 64, 200])))) for i in range(60)]
+    docs = []
+    for d in range(150):
+        parts = [word() for _ in range(rnd.choice([3, 40, 400]))]
+        for _ in range(rnd.randrange(3)):
+            q = rnd.choice(items)[1].upper().split()
+            for _ in range(rnd.randrange(3)):
+                q[rnd.randrange(len(q))] = word()
+            at = rnd.randrange(len(parts))
+            parts[at:at] = q
+        docs.append((d, " \n".join(parts)))
+    docs.append((150, "\t" + items[0][1] + " "))
+    want = brute(docs, items)
+    assert len(want) > 30
+    dd = decontaminate.keyed(spark.createDataFrame(docs, "doc_id long, text string"))
+    qq = spark.createDataFrame(items, "item_id long, text string")
+    assert pairs(decontaminate.contained(dd, qq)) == want
+    try:
+        decontaminate.BROADCAST_ROWS, kept = 0, decontaminate.BROADCAST_ROWS
+        assert pairs(decontaminate.contained(dd, qq)) == want
+    finally:
+        decontaminate.BROADCAST_ROWS = kept
+
+
+def test_null_empty_long_repeated_rows_and_clashing_columns(spark):
+    long = "z " * 100_000 + "a b c d e f"
+    rows = [(1, None), (2, ""), (None, "x a b c d e f"), (3, long), (3, long), (4, "\x0b\t "), (5, "clean words only here now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS item_id", "'h' AS hash")
+    items = spark.createDataFrame([(7, "A B c d e f"), (7, "A B c d e f"), (8, None), (9, "")], "item_id long, text string").selectExpr("*", "2 AS words")
+    assert pairs(decontaminate.contained(decontaminate.keyed(docs), items)) == {(None, 7): 1.0, (3, 7): 1.0}
+    kept = decontaminate.clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect())) == [1, 2, 4, 5]
+    assert decontaminate.clean(docs.limit(0), items).count() == 0
+    assert decontaminate.clean(docs, items.limit(0)).count() == len(rows)
