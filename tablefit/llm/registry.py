@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from tablefit.llm.byte_bpe import op4_byte_bpe
 from tablefit.llm.decontaminate import OP1_SQL, op1_decontaminate
+from tablefit.llm.html_text import op10_html_text
 from tablefit.llm.near_dedup import op8_near_dedup
 from tablefit.llm.pii import op6_pii
 from tablefit.llm.quality import op9_quality
+from tablefit.llm.url_filter import OP5_SQL, op5_url_filter
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_url_filter": op5_url_filter,
     "op6_pii": op6_pii,
     "op8_near_dedup": op8_near_dedup,
     "op9_quality": op9_quality,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
+    "op5_url_filter": OP5_SQL,
 }
