@@ -8,6 +8,7 @@ from tablefit.llm.html_text import op10_html_text
 from tablefit.llm.near_dedup import op8_near_dedup
 from tablefit.llm.pii import op6_pii
 from tablefit.llm.quality import op9_quality
+from tablefit.llm.toxicity import op7_toxicity
 from tablefit.llm.url_filter import OP5_SQL, op5_url_filter
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op6_pii": op6_pii,
+    "op7_toxicity": op7_toxicity,
     "op8_near_dedup": op8_near_dedup,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
