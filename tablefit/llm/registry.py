@@ -5,6 +5,7 @@ from __future__ import annotations
 from tablefit.llm.byte_bpe import op4_byte_bpe
 from tablefit.llm.decontaminate import OP1_SQL, op1_decontaminate
 from tablefit.llm.html_text import op10_html_text
+from tablefit.llm.lm_score import op2_lm_score
 from tablefit.llm.near_dedup import op8_near_dedup
 from tablefit.llm.pii import op6_pii
 from tablefit.llm.quality import op9_quality
@@ -13,6 +14,7 @@ from tablefit.llm.url_filter import OP5_SQL, op5_url_filter
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_lm_score": op2_lm_score,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op6_pii": op6_pii,
