@@ -245,16 +245,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOL
     open_ids = materialize(open_members.select(F.col("rep").alias("id")).distinct())
     open_texts = docs.join(open_ids, docs["doc_id"] == open_ids["id"], "left_semi").select("doc_id", "text")
     longer = materialize(open_texts.distinct().mapInArrow(_long_signatures(width), "id long, long_sig array<long>"))
-    open_members = open_members.join(classes.select("rep", "n"), "rep").join(longer, open_members["rep"] == longer["id"])
-    open_members = materialize(open_members.select("key", "rep", "component", "n", "long_sig"))
-    x = open_members.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("long_sig").alias("sa"))
-    y = open_members.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("long_sig").alias("sb"))
-    similar = estimate("sa", "sb", LONG_HASHES, LONG_BITS) >= LONG_CUT
-    second = (
-        x.join(y, (x["key"] == y["key"]) & (F.col("ca") < F.col("cb")) & _sizes_allow(percent) & similar)
-        .select("a", "b")
-        .distinct()
+    open_members = (
+        open_members.join(classes.select("rep", "n"), "rep")
+        .join(longer, open_members["rep"] == longer["id"])
+        .join(materialize(open_members.groupBy("rep").agg(F.collect_set("key").alias("keys"))), "rep")  # at most BANDS keys
     )
+    open_members = materialize(open_members.select("key", "rep", "component", "n", "long_sig", "keys"))
+    x, y = (
+        open_members.select(
+            F.col("key").alias(f"key_{i}"), F.col("rep").alias(i), F.col("component").alias(f"c{i}"), F.col("n").alias(f"n{i}"),
+            F.col("long_sig").alias(f"s{i}"), F.col("keys").alias(f"keys_{i}"),
+        )
+        for i in ("a", "b")
+    )
+    similar = estimate("sa", "sb", LONG_HASHES, LONG_BITS) >= LONG_CUT
+    first_met = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key_a")  # a pair comes out of one bucket only
+    met = (F.col("key_a") == F.col("key_b")) & (F.col("ca") < F.col("cb"))
+    second = x.join(y, met & _sizes_allow(percent) & similar & first_met).select("a", "b").distinct()
     if tested is not None:
         second = second.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
     second = materialize(second)
