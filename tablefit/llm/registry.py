@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tablefit.llm.ann import op3_ann
 from tablefit.llm.byte_bpe import op4_byte_bpe
 from tablefit.llm.decontaminate import OP1_SQL, op1_decontaminate
 from tablefit.llm.html_text import op10_html_text
@@ -15,6 +16,7 @@ from tablefit.llm.url_filter import OP5_SQL, op5_url_filter
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lm_score": op2_lm_score,
+    "op3_ann": op3_ann,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op6_pii": op6_pii,

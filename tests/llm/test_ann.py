@@ -1,0 +1,72 @@
+import numpy as np
+import pytest
+
+from tablefit.llm import ann
+from tablefit.llm.common import table
+
+
+def brute(rows, every=20, nearest=20):
+    out = {}
+    for q, v in rows:
+        if q % every == 0:
+            score = {}
+            for i, x in rows:
+                if i != q:
+                    s = float((np.array(x, float) * np.array(v, float)).sum())
+                    score[i] = max(score.get(i, -np.inf), s)
+            out[q] = sorted(score.items(), key=lambda t: (-t[1], t[0]))[:nearest]
+    return out
+
+
+def by_query(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_recall_and_scores_on_embeddings(spark, sf):
+    rows = [(r.vec_id, r.embedding) for r in table(spark, f"/root/testdata/sf{sf}", "embeddings").collect()]
+    want, got = brute(rows), by_query(ann.op3_ann(spark, f"/root/testdata/sf{sf}"))
+    assert set(got) == set(want)
+    hits = 0
+    vec = {i: np.array(v, float) for i, v in rows}
+    for q, found in got.items():
+        assert len(found) == len(want[q])
+        assert found == sorted(found, key=lambda t: (-t[1], t[0]))
+        assert all(s == pytest.approx(float(vec[i] @ vec[q]), abs=1e-12) for i, s in found)
+        hits += len({i for i, _ in found} & {i for i, _ in want[q]})
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_odd_vectors_ties_repeats_and_clashing_columns(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, []),
+            (8, [1.0, 2.0, 3.0]), (9, [0.5, 0.5]), (None, [1.0, 1.0]), (1, [1.0, 0.0]), (40, [-1.0, 0.0]), (-20, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS pivot", "2 AS part", "3 AS perm")
+    good = [(0, [1.0, 0]), (20, [1.0, 0]), (1, [1.0, 0]), (9, [0.5, 0.5]), (40, [-1.0, 0]), (-20, [0, 1.0])]
+    assert by_query(ann.search(df)) == brute(good)
+
+
+def test_hot_vector_small_parts_and_incomplete_queries(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, [1.0, 0.0, 0.0, 0.0] if i % 3 == 0 else rng.normal(size=4).tolist()) for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "PART", 16)
+    got, want = by_query(ann.search(df)), brute(rows)
+    for q in want:
+        if rows[q][1] == [1.0, 0.0, 0.0, 0.0]:
+            assert got[q] == want[q]
+        assert len(got[q]) == 20
+    monkeypatch.setattr(ann, "POST", 1)
+    got = by_query(ann.search(df, probe=1))
+    assert set(got) == set(want) and all(len(g) == 20 for g in got.values())
+
+
+def test_few_rows_and_none(spark):
+    df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-1.0])], "vec_id long, embedding array<float>")
+    assert by_query(ann.search(df)) == {0: [(1, 2.0), (2, -1.0)]}
+    assert ann.search(df.limit(1)).count() == 0
+    assert ann.search(df.limit(0)).count() == 0
