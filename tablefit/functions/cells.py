@@ -43,9 +43,10 @@ def typed_cell(c: str | Column,
     are decimal. Text that is not a number but is a category gets the
     category value; everything else (blank, names, dates) is null."""
     text = F.trim(_col(c))
-    is_number = text.rlike(NUMBER_PATTERN)
-    return (F.when(is_number, text.try_cast("double"))
-            .otherwise(category_value(text, categories)))
+    number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    # 1e400 is written like a number but too large for one
+    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+    return F.coalesce(finite, category_value(text, categories))
 
 
 def zero_if_null(c: str | Column) -> Column:

@@ -32,9 +32,18 @@ def referenced_names(expression: str) -> list[str]:
     return names
 
 
+def quoted(expression: str, columns: Iterable[str]) -> str:
+    """The expression with back quotes around every blank-separated token
+    that is the title of a column but no plain name (``BbMx>2.5``)."""
+    known = {c for c in columns if not _NAME.fullmatch(c)}
+    return "".join(f"`{t}`" if t in known else t for t in re.split(r"(\s+)", expression))
+
+
 def check_label_expression(expression: str, columns: Iterable[str]) -> None:
     known = set(columns)
-    unknown = [n for n in referenced_names(expression) if n not in known]
+    text = quoted(expression, known)
+    names = re.findall(r"`([^`]*)`", text) + referenced_names(re.sub(r"`[^`]*`", " ", text))
+    unknown = [n for n in names if n not in known]
     if unknown:
         raise ValueError(
             f"label expression {expression!r} uses unknown column(s) {unknown}; "
@@ -46,7 +55,9 @@ def label_column(expression: str, columns: Iterable[str] | None = None) -> Colum
     ``"FTAG - FTHG"``. Column names are checked first so an unknown name
     gives a clear error rather than an analysis exception."""
     if columns is not None:
+        columns = list(columns)
         check_label_expression(expression, columns)
+        expression = quoted(expression, columns)
     return F.expr(expression).cast("double")
 
 

@@ -95,10 +95,14 @@ def union_by_name(frames: Sequence[DataFrame], order: Sequence[str] | None = Non
     columns; columns not named there keep their union order after them."""
     if not frames:
         raise ValueError("nothing to union")
-    out = frames[0]
-    for f in frames[1:]:
+    # titles are matched exactly: Spark would take names that differ only in
+    # case for one column, so the columns carry numbers during the union
+    titles = list(dict.fromkeys(c for f in frames for c in f.columns))
+    number = {t: f"_u{i}" for i, t in enumerate(titles)}
+    numbered = [f.toDF(*[number[c] for c in f.columns]) for f in frames]
+    out = numbered[0]
+    for f in numbered[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     if order:
-        rest = [c for c in out.columns if c not in set(order)]
-        out = out.select(*[F.col(f"`{c}`") for c in list(order) + rest])
-    return out
+        titles = list(order) + [t for t in titles if t not in set(order)]
+    return out.select(*[F.col(number[t]).alias(t) for t in titles])

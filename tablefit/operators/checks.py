@@ -61,7 +61,7 @@ def assert_label_prefix(inventory: DataFrame, labels: Sequence[str],
     """Stop the run when any file's header does not start with the labels.
     Only the failing rows (bounded by the file count) reach the driver."""
     bad = (label_prefix_report(inventory, labels, header_col, file_col)
-           .where(~F.col("ok")).limit(20).collect())
+           .where(~F.col("ok")).orderBy("file").collect())
     if bad:
         lines = "\n".join(f"  {r['file']}: {r['actual']}" for r in bad)
         raise ValueError(f"header does not start with the labels {list(labels)}:\n{lines}")

@@ -28,15 +28,14 @@ from pyspark.ml.stat import Correlation
 
 from tablefit.functions.vectors import to_vector
 
-# Largest feature width accepted: the d x d matrix and its eigen
-# decomposition are driver-side.
-MAX_DIM = 4096
 SIGN_EPS = 1e-9
 
 
-def correlation_matrix(df: DataFrame, features_col: str) -> np.ndarray:
+def correlation_matrix(df: DataFrame, features_col: str,
+                       max_dim: int | None = None) -> np.ndarray:
     """A1: Pearson correlation of the vector (or array) column, d x d, with
-    NaN (constant features) left in place."""
+    NaN (constant features) left in place. The matrix is on the driver;
+    ``max_dim`` refuses wider inputs where the caller wants a bound."""
     col_type = df.schema[features_col].dataType
     src = df
     if isinstance(col_type, T.ArrayType):
@@ -45,8 +44,8 @@ def correlation_matrix(df: DataFrame, features_col: str) -> np.ndarray:
     if first is None:
         raise ValueError("correlation of an empty table")
     d = first[0].size
-    if d > MAX_DIM:
-        raise ValueError(f"{d} features is above the supported width {MAX_DIM}")
+    if max_dim is not None and d > max_dim:
+        raise ValueError(f"{d} features is above the given width {max_dim}")
     m = Correlation.corr(src, features_col, "pearson").head()[0]
     return np.asarray(m.toArray(), dtype=float)
 
@@ -167,13 +166,17 @@ class Components:
 
 def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = None,
                    k: int | None = 9, confidence: float = 0.999,
-                   override_components: bool = True) -> Components:
+                   override_components: bool = True,
+                   max_dim: int | None = None) -> Components:
     """M1: principal components of the correlation matrix of ``arr_col``
     (already normalised rows), i.e. Spark's PCA on the rows scaled to unit
     standard deviation without centring. ``k`` components are kept; when
     fewer than needed for ``confidence`` are asked for, a warning is given
     and, with ``override_components``, k is raised to that count (O3).
 
+    The d x d covariance and its eigenvectors are on the driver; ``max_dim``
+    refuses wider inputs where the caller wants a bound.
+
     Pass a persisted ``df``: the fit reads it for the scaler and for the
     covariance; only d-sized and d x d results reach the driver."""
     if not 0.0 <= confidence <= 1.0:
@@ -187,8 +190,8 @@ def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = No
     d = std.size
     if d == 0:
         raise ValueError("no features")
-    if d > MAX_DIM:
-        raise ValueError(f"{d} features is above the supported width {MAX_DIM}")
+    if max_dim is not None and d > max_dim:
+        raise ValueError(f"{d} features is above the given width {max_dim}")
     names = list(names) if names is not None else [f"f{i}" for i in range(d)]
     if len(names) != d:
         raise ValueError(f"{len(names)} names for {d} features")

@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 
 def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label",
                        group_by: Sequence[str] = (), digits: int | None = None) -> DataFrame:
-    p = F.col(prediction).cast("double")
-    y = F.col(label).cast("double")
+    # rows without a prediction or a label take no part in any figure
+    both = F.col(prediction).isNotNull() & F.col(label).isNotNull()
+    p = F.when(both, F.col(prediction).cast("double"))
+    y = F.when(both, F.col(label).cast("double"))
     aggs = [
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(p).alias("_sp"),
-        F.sum(p * p).alias("_spp"),
+        F.count(p).alias("_n"),
+        F.avg(p).alias("_pbar"),
+        F.var_pop(p).alias("_vp"),
         F.avg(y).alias("_ybar"),
         F.var_pop(y).alias("_vy"),
         F.sum(F.abs(p - y)).alias("_sae"),
@@ -34,9 +36,10 @@ def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str
     ]
     g = df.groupBy(*group_by) if group_by else df.groupBy()
     a = g.agg(*aggs)
-    n = F.col("_n").cast("double")
-    ybar = F.col("_ybar")
-    var = F.col("_spp") / n - F.lit(2.0) * ybar * F.col("_sp") / n + ybar * ybar
+    n = F.when(F.col("_n") > 0, F.col("_n").cast("double"))
+    # mean((p - mean(y))^2) as spread plus shift: no large numbers cancel
+    shift = F.col("_pbar") - F.col("_ybar")
+    var = F.col("_vp") + shift * shift
     mse = F.col("_sse") / n
     r2 = F.when(F.col("_vy") == 0.0, F.lit(None).cast("double")).otherwise(
         F.lit(1.0) - F.col("_sse") / (F.col("_vy") * n))

@@ -39,11 +39,13 @@ def row_key(columns: Sequence[str]) -> Column:
 
 def key_split(df: DataFrame, key_columns: Sequence[str], test_fraction: float = 0.3,
               seed: int = 0, flag: str = "is_test", integral_key: bool = True) -> DataFrame:
-    """Add a boolean ``flag`` column: True for the test share."""
+    """Add a boolean ``flag`` column: True for the test share. Rows with a
+    null key train."""
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be within [0, 1]")
     key = row_key(key_columns) if integral_key else F.xxhash64(*[F.col(c) for c in key_columns])
-    return df.withColumn(flag, split_unit(key, seed) < F.lit(float(test_fraction)))
+    side = split_unit(key, seed) < F.lit(float(test_fraction))
+    return df.withColumn(flag, F.coalesce(side, F.lit(False)))
 
 
 def random_split(df: DataFrame, train_share: float = 0.7, seed: int | None = None):

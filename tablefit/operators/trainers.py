@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
@@ -35,10 +35,6 @@ MULTICLASS = {"multinomial", "naive_bayes"}
 REGRESSION = {"linear", "ridge", "lasso", "isotonic"}
 TRAINERS = sorted(BINARY | MULTICLASS | REGRESSION)
 
-# Largest class count accepted for class labels (their statistics and
-# models live on the driver).
-MAX_CLASSES = 1000
-
 _LABEL01 = "_label01"
 _LABEL_IDX = "_label_idx"
 _PRED_RAW = "_prediction_raw"
@@ -93,9 +89,9 @@ def build_estimator(name: str, params: Mapping, features_col: str, label_col: st
                                 fitIntercept=intercept, standardization=False, tol=tol,
                                 solver="normal", **common)
     if name == "lasso":
-        return LinearRegression(maxIter=max(it, 100), regParam=reg, elasticNetParam=1.0,
+        return LinearRegression(maxIter=it, regParam=reg, elasticNetParam=1.0,
                                 fitIntercept=intercept, standardization=False,
-                                tol=min(tol, 1e-10), solver="l-bfgs", **common)
+                                tol=tol, solver="l-bfgs", **common)
     if name == "isotonic":
         return IsotonicRegression(isotonic=bool(params.get("isotonic", True)),
                                   featureIndex=feature_index, **common)
@@ -132,11 +128,13 @@ class Fitted:
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction`` (in label units for multiclass trainers) and
         keeps ``scored_label``."""
-        out = self.model.transform(df)
         if self.name in MULTICLASS:
+            # the label indexer is for fitting only: rows to score may have
+            # other labels, or none
+            out = PipelineModel(self.model.stages[1:]).transform(df)
             out = out.drop("prediction").withColumnRenamed(_PRED_RAW, "prediction")
-            out = out.withColumn("prediction", F.col("prediction").cast("double"))
-        return out
+            return out.withColumn("prediction", F.col("prediction").cast("double"))
+        return self.model.transform(df)
 
     def coefficients(self) -> list[float]:
         est = self.model.stages[-1] if self.name not in MULTICLASS else self.model.stages[-2]
@@ -165,7 +163,7 @@ def build_pipeline(name: str, params: Mapping, features_col: str = "features",
         return Pipeline(stages=[enc, est]), scored
     if name in MULTICLASS:
         idx = StringIndexer(inputCol=label_col, outputCol=_LABEL_IDX,
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
+                            stringOrderType="alphabetAsc", handleInvalid="error")
         est = build_estimator(name, params, features_col, _LABEL_IDX)
         # decoded after fit (labels known only then): see fit()
         return Pipeline(stages=[idx, est]), label_col
@@ -185,11 +183,23 @@ def fit(name: str, train: DataFrame, features_col: str = "features", label_col:
     pipe, scored = build_pipeline(name, params, features_col, label_col, score_against,
                                   label_sd, feature_index)
     if name in MULTICLASS:
+        # + 0.0: a negative zero is the class of zero
+        train = train.where(F.col(label_col).isNotNull()).withColumn(
+            label_col, F.col(label_col).cast("double") + F.lit(0.0))
         indexer = pipe.getStages()[0].fit(train)
-        if len(indexer.labelsArray[0]) > MAX_CLASSES:
-            raise ValueError(f"label has more than {MAX_CLASSES} distinct values; "
-                             "a class label is needed")
         pipe = Pipeline(stages=[indexer, pipe.getStages()[1]])
+    if name == "isotonic":
+        # one row per feature value, weighted by its rows: the same solution,
+        # and no value however frequent meets in one task
+        value = vector_to_array(F.col(features_col))[feature_index]
+        points = (train.where(F.col(label_col).isNotNull())
+                  .groupBy(value.alias("_x"))
+                  .agg(F.avg(label_col).alias(label_col),
+                       F.count(F.lit(1)).cast("double").alias("_weight"))
+                  .select(array_to_vector(F.array("_x")).alias(features_col), label_col, "_weight"))
+        est = pipe.getStages()[0].copy().setFeatureIndex(0).setWeightCol("_weight")
+        model = PipelineModel([est.fit(points).setFeatureIndex(feature_index)])
+        return Fitted(name, params, model, scored)
     model = pipe.fit(train)
     labels = None
     if name in MULTICLASS:
@@ -223,17 +233,14 @@ def bayes_statistics(train: DataFrame, features_col: str, label_col: str) -> Bay
     task shuffled): class counts and feature sums. Classes are ordered like
     ``StringIndexer(stringOrderType="alphabetAsc")``."""
     rows = (train.where(F.col(label_col).isNotNull())
-            .groupBy(F.col(label_col).cast("string").alias("_k"))
-            .agg(F.first(F.col(label_col)).alias("_v"), F.count(F.lit(1)).alias("_n"),
+            .groupBy((F.col(label_col).cast("double") + F.lit(0.0)).alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_n"),
                  Summarizer.sum(F.col(features_col)).alias("_s"),
                  Summarizer.min(F.col(features_col)).alias("_m"))
-            .take(MAX_CLASSES + 1))
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"label {label_col!r} has more than {MAX_CLASSES} distinct values; "
-                         "a class label is needed")
+            .collect())  # a row per class
     if not rows:
         raise ValueError("no labelled rows")
-    rows.sort(key=lambda r: r["_k"])
+    rows.sort(key=lambda r: str(r["_v"]))
     if min(float(r["_m"].toArray().min()) for r in rows) < 0:
         raise ValueError("naive Bayes (multinomial) needs non-negative features")
     return BayesStatistics([float(r["_v"]) for r in rows],
@@ -254,17 +261,15 @@ def bayes_statistics_many(train: DataFrame, features_col: str,
         for i, n in enumerate(names)])).alias("_p")
     rows = (train.select(F.col(features_col).alias("_f"), pairs)
             .where(F.col("_p._v").isNotNull())
-            .groupBy(F.col("_p._e").alias("_e"), F.col("_p._v").cast("string").alias("_k"))
-            .agg(F.first("_p._v").alias("_v"), F.count(F.lit(1)).alias("_n"),
+            .groupBy(F.col("_p._e").alias("_e"),
+                     (F.col("_p._v").cast("double") + F.lit(0.0)).alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_n"),
                  Summarizer.sum(F.col("_f")).alias("_s"),
                  Summarizer.min(F.col("_f")).alias("_m"))
-            .take(len(names) * (MAX_CLASSES + 1)))
+            .collect())  # a row per label expression and class
     out: dict[str, BayesStatistics] = {}
     for i, name in enumerate(names):
-        mine = sorted((r for r in rows if r["_e"] == i), key=lambda r: r["_k"])
-        if len(mine) > MAX_CLASSES:
-            raise ValueError(f"label {name!r} has more than {MAX_CLASSES} distinct values; "
-                             "a class label is needed")
+        mine = sorted((r for r in rows if r["_e"] == i), key=lambda r: str(r["_v"]))
         if not mine:
             raise ValueError(f"no labelled rows for {name!r}")
         if min(float(r["_m"].toArray().min()) for r in mine) < 0:

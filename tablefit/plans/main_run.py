@@ -37,11 +37,13 @@ def collate_seasons(spark: SparkSession, root: str, start_year: int = MAIN_RUN_S
                     exc_averages: bool = True, exc_2_5_goals: bool = True,
                     categories: Mapping[str, float] = RESULT_CATEGORIES,
                     template: str = DEFAULT_TEMPLATE, extra_excludes: Sequence[str] = (),
-                    catalogue: Sequence[str] = CATALOGUE) -> Collated:
+                    catalogue: Sequence[str] = CATALOGUE, min_year: int | None = None,
+                    max_year: int | None = None) -> Collated:
     """Section 3.2: the parser alone."""
     excludes = exclusion_list(exc_handicap, exc_averages, exc_2_5_goals, extra=extra_excludes)
     return collate(spark, root, start_year, end_year, excludes, categories, template,
-                   key_col="match_key", catalogue=catalogue)
+                   key_col="match_key", catalogue=catalogue, min_year=min_year,
+                   max_year=max_year)
 
 
 def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YEAR,
@@ -51,7 +53,7 @@ def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YE
              confidence: float = PCA_CONFIDENCE, override_components: bool = True,
              drop_zero: bool = True, table_path: str | None = None, parallelism: int = 8,
              score_against: str = "encoded", checkpoint: bool = True,
-             **collate_args) -> RunResult:
+             optimizer: str = "ml", **collate_args) -> RunResult:
     """Collate, check, (optionally store as Parquet by start_year), then run
     the sweep. Returns the report (one row per fit)."""
     col = collate_seasons(spark, root, start_year, end_year, **collate_args)
@@ -62,7 +64,7 @@ def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YE
         table = spark.read.parquet(table_path)
     features = [t for t in col.titles if t not in set(labels)]
     report = run_sweep(table, labels, features, ["match_key"], trainers, expressions, k,
-                       confidence, parallelism, score_against,
+                       confidence, parallelism, score_against, optimizer=optimizer,
                        override_components=override_components, drop_zero=drop_zero,
                        checkpoint=checkpoint)
     return RunResult(report, col, table_path)

@@ -60,36 +60,6 @@ def normalised_rows(df: DataFrame, labels: Sequence[str], features: Sequence[str
                      lp_normalize(feature_array(features), p).alias("x"))
 
 
-# Target rows per partition for the prepared rows that iterative passes
-# (components, fits) read again and again. Too many rows in a partition (a
-# large file read as one split) leaves cores idle; too few (many small
-# match files) makes every iteration pay for tasks and an extra tree-
-# aggregate stage. Inputs already near the target are left as they are.
-ROWS_PER_PARTITION = 150_000
-
-
-def spread(df: DataFrame, rows_per_partition: int | None = None) -> DataFrame:
-    """Persist ``df`` and bring its partition count near
-    ``rows / rows_per_partition``: a round-robin repartition when partitions
-    are overfull, a narrow ``coalesce`` (no shuffle) when there are more
-    than twice as many partitions as needed."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    parts = df.rdd.getNumPartitions()
-    rpp = ROWS_PER_PARTITION if rows_per_partition is None else rows_per_partition
-    want = max(1, -(-n // max(1, rpp)))
-    if want > parts:
-        out = df.repartition(want)
-    elif parts > 2 * want:
-        out = df.coalesce(want)
-    else:
-        return df
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    df.unpersist()
-    return out
-
-
 def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
             keys: Sequence[str], k: int | None = PCA_COMPONENTS,
             confidence: float = PCA_CONFIDENCE, override_components: bool = True,
@@ -106,7 +76,7 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
     base = normalised_rows(df, labels, features, keys, drop_zero, p)
     comps = None
     if use_components:
-        base = spread(base)
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
         comps = fit_components(base, "x", list(features), k, confidence, override_components)
         projected = comps.transform(base, "x", "_comps").select(
             *[F.col(f"`{c}`") for c in list(keys) + list(labels)], F.col("_comps").alias("x"))
@@ -132,7 +102,8 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
 def labelled(prep: Prepared, expression: str) -> DataFrame:
     """``label, features, is_test`` for one label expression."""
     check_label_expression(expression, prep.rows.columns)
-    return prep.rows.select(label_column(expression).alias("label"), "features", "is_test")
+    return prep.rows.select(label_column(expression, prep.rows.columns).alias("label"),
+                            "features", "is_test")
 
 
 def _params_text(params: Mapping) -> dict[str, str]:
@@ -172,7 +143,8 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
     for e in expressions:
         check_label_expression(e, prep.rows.columns)
     data = prep.rows.select("features", "is_test",
-                            *[label_column(e).alias(ycol[e]) for e in expressions])
+                            *[label_column(e, prep.rows.columns).alias(ycol[e])
+                              for e in expressions])
     train = data.where(~F.col("is_test"))
     test = data.where(F.col("is_test"))
 
@@ -245,8 +217,8 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
 
     index = {k: i for i, k in enumerate(keys)}
     items = spark.createDataFrame(
-        [(t, e, i, _params_text(fits[k][2]), index[k])
-         for (t, e, i, _), k in zip(plan, fit_of_item)],
+        [(t, e, i, _params_text(tr.trainer_params(t, o)), index[k])
+         for (t, e, i, o), k in zip(plan, fit_of_item)],
         T.StructType(list(REPORT_SCHEMA.fields) + [T.StructField("fit", T.IntegerType(), False)]))
     # both sides hold one row per plan entry / fit: a broadcast join
     out = items.join(F.broadcast(metrics), "fit", "left")

@@ -213,10 +213,11 @@ FROM s"""
 ORACLE_SQL["split_rows"] = f"SELECT o_orderkey, {_SPLIT} AS is_test FROM orders"
 
 ORACLE_SQL["regression_metrics"] = """
-WITH d AS (SELECT l_returnflag, l_linestatus, l_extendedprice / 1000.0 AS p,
-                  l_quantity AS y FROM lineitem)
+WITH d AS (SELECT l_returnflag, l_linestatus, l_extendedprice / 1000.0 AS p, l_quantity AS y,
+                  avg(l_quantity) OVER (PARTITION BY l_returnflag, l_linestatus) AS ybar
+           FROM lineitem)
 SELECT l_returnflag, l_linestatus, count(*) AS n,
-       round(avg(p * p) - 2 * avg(y) * avg(p) + avg(y) * avg(y), 6) AS var,
+       round(avg((p - ybar) * (p - ybar)), 6) AS var,
        round(avg(abs(p - y)), 6) AS mae,
        round(avg((p - y) * (p - y)), 6) AS mse,
        round(CASE WHEN var_pop(y) = 0 THEN NULL
@@ -288,7 +289,6 @@ ORACLE_SQL["collate_csv"] = _COLLATED
 ORACLE_SQL["collated_season_scan"] = (
     f"SELECT * FROM ({_COLLATED}) WHERE start_year >= 1997 AND start_year < 2000")
 
-ORACLE_SQL["stream_collate_csv"] = _csv_group(CSV_MIDDLE, _CSV_CONDS[1])
 
 ORACLE_SQL["components_sink"] = _TWO + f""",
 r AS (SELECT sign(corr(n0, n1)) AS s FROM nx),
@@ -310,3 +310,19 @@ ORACLE_SQL["season_pruned_csv"] = (
     _csv_group(CSV_MIDDLE, f"{_YEAR} >= 1997 AND {_YEAR} <= {MIDDLE_LAST_YEAR}")
     + "\nUNION ALL BY NAME\n"
     + _csv_group(CSV_LATE, f"{_YEAR} > {MIDDLE_LAST_YEAR} AND {_YEAR} < 2000"))
+
+# Isotonic fit by its max-min form: the fitted value at x is the largest, over
+# starts up to x, of the smallest mean of a range from that start to x or beyond.
+ORACLE_SQL["isotonic_fit"] = """
+WITH g AS (SELECT l_quantity AS x, sum(l_extendedprice / 1000.0) AS s, count(*) AS n
+           FROM lineitem GROUP BY 1),
+p AS (SELECT x, row_number() OVER (ORDER BY x) AS i, s, n,
+             sum(s) OVER (ORDER BY x) AS cs, sum(n) OVER (ORDER BY x) AS cn FROM g),
+r AS (SELECT a.i AS i, b.i AS j, (b.cs - a.cs + a.s) / (b.cn - a.cn + a.n) AS m
+      FROM p a JOIN p b ON a.i <= b.i),
+least_mean AS (SELECT k.i AS k, r.i AS i, min(r.m) AS m
+               FROM p k JOIN r ON r.i <= k.i AND r.j >= k.i GROUP BY k.i, r.i),
+fit AS (SELECT p.x, max(m) AS fitted FROM least_mean JOIN p ON p.i = least_mean.k GROUP BY p.x)
+SELECT l_orderkey, l_linenumber, round(l_extendedprice / 1000.0, 6) AS label,
+       round(fitted, 6) AS prediction
+FROM lineitem JOIN fit ON fit.x = lineitem.l_quantity"""

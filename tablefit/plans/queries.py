@@ -6,6 +6,7 @@ DuckDB SQL; computed columns carry the same names and roundings there.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,10 @@ from tablefit.plans.tables import (LINEITEM_EXPRESSIONS, LINEITEM_FEATURES, LINE
 DIGITS = 6
 
 
+def _persisted(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _r(c, digits: int = DIGITS):
     return F.round(c, digits)
 
@@ -39,9 +44,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     prep = mr.prepare(rows, ["RF"], LINEITEM_FEATURES, ["row_key"], k=3, confidence=0.999,
                       override_components=False, persist=False)
     report = mr.evaluate(prep, [("naive_bayes", "RF", 0, {})], digits=DIGITS, parallelism=1)
-    # fits are done; release the cached rows (the lazy report recomputes them
-    # from a short lineage when it runs)
-    prep.unpersist()
     return report.select("trainer", "label_expr", "test_ratio", "n", "var", "mae", "mse",
                          "r2", "rmse")
 
@@ -235,7 +237,7 @@ def correlation_matrix(spark, sf_dir):
     """A1: Pearson matrix of the four L2-normalised lineitem features."""
     from tablefit.operators.components import correlation_long, correlation_matrix as corr
     li = table(spark, sf_dir, "lineitem")
-    rows = mr.spread(mr.normalised_rows(li, [], LINEITEM_FEATURES, filter_rows=False))
+    rows = _persisted(mr.normalised_rows(li, [], LINEITEM_FEATURES, filter_rows=False))
     matrix = corr(rows, "x")
     rows.unpersist()
     return correlation_long(spark, matrix, LINEITEM_FEATURES, DIGITS)
@@ -245,9 +247,8 @@ def correlation_matrix(spark, sf_dir):
 def components_two(spark, sf_dir):
     """M1 + O1 + O2: two correlated features, both components per row."""
     from tablefit.operators.components import fit_components
-    rows = mr.spread(_two_feature_rows(spark, sf_dir))
+    rows = _persisted(_two_feature_rows(spark, sf_dir))
     comps = fit_components(rows, "x", TWO_FEATURES, k=2, confidence=0.999)
-    rows.unpersist()
     out = comps.project(rows, "x", LINEITEM_KEYS)
     return out.select(*LINEITEM_KEYS, _r(F.col("Comp1")).alias("Comp1"),
                       _r(F.col("Comp2")).alias("Comp2"))
@@ -257,7 +258,7 @@ def components_two(spark, sf_dir):
 def components_for_confidence(spark, sf_dir):
     """O3: explained ratios, cumulative sums and the selected count."""
     from tablefit.operators.components import fit_components
-    rows = mr.spread(_two_feature_rows(spark, sf_dir))
+    rows = _persisted(_two_feature_rows(spark, sf_dir))
     comps = fit_components(rows, "x", TWO_FEATURES, k=1, confidence=0.95,
                            override_components=True)
     rows.unpersist()
@@ -269,11 +270,10 @@ def components_norm(spark, sf_dir):
     """M1 at full rank keeps each row's L2 norm (64 embedding features)."""
     from tablefit.operators.components import fit_components
     emb = table(spark, sf_dir, "embeddings")
-    rows = mr.spread(emb.select("vec_id", lp_normalize("embedding", 2.0).alias("x")))
+    rows = _persisted(emb.select("vec_id", lp_normalize("embedding", 2.0).alias("x")))
     d = 64
     names = [f"e{i}" for i in range(d)]
     comps = fit_components(rows, "x", names, k=d, confidence=0.999)
-    rows.unpersist()
     proj = comps.project(rows, "x", ["vec_id"])
     sq = None
     for j in range(comps.k):
@@ -339,7 +339,8 @@ def ridge_fit(spark, sf_dir):
 @query
 def lasso_fit(spark, sf_dir):
     data = _one_feature(spark, sf_dir)
-    return _coefficient_frame(spark, "lasso", tr.fit("lasso", data))
+    exact = {"convergenceTol": 1e-10}  # six digits are compared
+    return _coefficient_frame(spark, "lasso", tr.fit("lasso", data, override=exact))
 
 
 @query
@@ -387,7 +388,6 @@ def _test_predictions(prep, trainer, expression):
     data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
                             label_column(expression).alias("label"))
     fitted = tr.fit(trainer, data.where(~F.col("is_test")))
-    prep.unpersist()
     return fitted.predict(data.where(F.col("is_test"))).select(
         *LINEITEM_KEYS, "label", F.col("prediction").cast("double").alias("prediction"))
 
@@ -415,7 +415,8 @@ def isotonic_fit(spark, sf_dir):
     data = li.select(*LINEITEM_KEYS, to_vector(F.array(F.col("l_quantity"))).alias("features"),
                      (F.col("l_extendedprice") / F.lit(1000.0)).alias("label"))
     fitted = tr.fit("isotonic", data)
-    return fitted.predict(data).select(*LINEITEM_KEYS, "label", "prediction")
+    return fitted.predict(data).select(*LINEITEM_KEYS, _r(F.col("label")).alias("label"),
+                                       _r(F.col("prediction")).alias("prediction"))
 
 
 def _report_frame(report):
@@ -502,27 +503,6 @@ def main_run_csv(spark, sf_dir):
     return _report_frame(res.report)
 
 
-@query
-def stream_collate_csv(spark, sf_dir):
-    """Structured Streaming ingest of the season CSV files of one header
-    layout (the middle seasons) into a Parquet table partitioned by
-    start_year, run to completion with an available-now trigger."""
-    from tablefit.session import scratch_dir
-    from tablefit.operators.exclude import kept_titles
-    from tablefit.plans.tables import (CSV_EXCLUDES, CSV_MIDDLE, CSV_TEMPLATE,
-                                       EARLY_LAST_YEAR, MIDDLE_LAST_YEAR,
-                                       write_lineitem_seasons)
-    from tablefit.sources.seasons import seasons
-    from tablefit.streaming.season_feed import layout_stream, run_to_table
-    root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
-    middle = seasons(root, EARLY_LAST_YEAR + 1, MIDDLE_LAST_YEAR + 1, CSV_TEMPLATE)
-    stream = layout_stream(spark, middle, CSV_MIDDLE, kept_titles(CSV_MIDDLE, CSV_EXCLUDES),
-                           RETURNFLAG_CATEGORIES)
-    out = scratch_dir(spark, "stream-table")
-    run_to_table(stream, out, scratch_dir(spark, "stream-checkpoint"))
-    return spark.read.parquet(out)
-
-
 @query
 def sgd_fit(spark, sf_dir):
     """Logistic regression with the SGD optimiser and its step /
@@ -533,7 +513,6 @@ def sgd_fit(spark, sf_dir):
     data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
                             label_column("RF").alias("label"))
     fitted = fit_sgd("logistic", data.where(~F.col("is_test")))
-    prep.unpersist()
     return fitted.predict(data.where(F.col("is_test"))).select(
         *LINEITEM_KEYS, "label", "prediction")
 
@@ -547,7 +526,7 @@ def components_sink(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").withColumn(
         "q_plus", F.col("l_quantity") + F.col("l_discount") * F.lit(10.0)).withColumn(
         "RF", category_value("l_returnflag", RETURNFLAG_CATEGORIES))
-    rows = mr.spread(mr.normalised_rows(li, ["RF"], TWO_FEATURES, LINEITEM_KEYS,
+    rows = _persisted(mr.normalised_rows(li, ["RF"], TWO_FEATURES, LINEITEM_KEYS,
                                         filter_rows=False))
     comps = fit_components(rows, "x", TWO_FEATURES, k=2, confidence=0.999)
     projected = comps.project(rows, "x", LINEITEM_KEYS + ["RF"])

@@ -4,8 +4,8 @@
    files ending in ``.csv`` (``pathGlobFilter``).
 2. Header inventory (S3, S4): the first line of every file, found from the
    file offset and the row's position in its split (a hash aggregate of
-   the smallest position per file, then a broadcast join back). The
-   header's trailing commas are dropped; inner blank titles are dropped.
+   the smallest position per file, then a join back). The header's trailing
+   commas are dropped; inner blank titles are dropped.
 3. Grouped scan: files are grouped by their header, and each distinct
    header is read with ONE ``spark.read.csv`` over all its files, with an
    explicit all-string schema (positional names ``_c0.._cN``). PERMISSIVE
@@ -15,11 +15,14 @@
 4. Each group is cleaned (exclusions, typed cells, last duplicate title
    wins) and all groups are stacked by name in the merged column order.
 
-Only the header inventory (one row per file) reaches the driver.
+Only the header inventory (one row per file) reaches the driver. File names
+may hold any character: Spark reports paths URL-encoded and takes paths as
+glob patterns, so they are decoded and escaped before files are read.
 """
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections import OrderedDict
 from collections.abc import Mapping, Sequence
@@ -35,10 +38,6 @@ from tablefit.operators.align import merged_titles_from_headers, union_by_name
 from tablefit.session import path_exists
 from tablefit.sources.seasons import DEFAULT_TEMPLATE, Season, seasons
 
-# Above this many files the one-row-per-file table of first-line ids is
-# joined without a broadcast.
-MAX_BROADCAST_FILES = 500_000
-
 INVENTORY_SCHEMA = T.StructType([
     T.StructField("file", T.StringType(), False),
     T.StructField("season", T.StringType(), True),
@@ -58,6 +57,16 @@ def existing_seasons(spark: SparkSession, season_list: Sequence[Season]) -> tupl
     return present, missing
 
 
+def plain_path(path_col: Column) -> Column:
+    """The path behind a URL-encoded one (a plus sign stands for itself)."""
+    return F.url_decode(F.replace(path_col, F.lit("+"), F.lit("%2B")))
+
+
+def glob_escaped(path: str) -> str:
+    """``path`` as a pattern that matches only itself."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def _dir_name(path_col: Column) -> Column:
     """Name of the directory that holds a file."""
     return F.element_at(F.split(path_col, "/"), -2)
@@ -102,22 +111,19 @@ def header_inventory(spark: SparkSession, season_list: Sequence[Season],
     if not season_list:
         return spark.createDataFrame([], INVENTORY_SCHEMA)
     lines = (spark.read.option("pathGlobFilter", glob)
-             .text([s.path for s in season_list])
-             .select("value", F.col("_metadata.file_path").alias("file"),
+             .text([glob_escaped(s.path) for s in season_list])
+             .select("value", plain_path(F.col("_metadata.file_path")).alias("file"),
                      F.col("_metadata.file_block_start").alias("_off"),
                      F.monotonically_increasing_id().alias("_seq")))
     # The first split of a file starts at offset 0, and inside a split the
     # sequence id grows with the line order, so a file's header is its
     # block-0 line with the smallest id. The smallest id per file is a hash
-    # aggregate over longs (partial per task, one row per file shuffled);
-    # the header lines are then picked by a broadcast join on (file, id):
-    # two streaming scans, no sort of the lines. The broadcast side has one
-    # row per file, the list the driver already holds to plan the scan.
+    # aggregate over longs (partial per task, one row per file shuffled); the
+    # header lines are then picked by a join on (file, id), whose small side
+    # AQE broadcasts if its real size allows: two streaming scans, no sort of
+    # the lines.
     block0 = lines.where(F.col("_off") == 0)
     firsts = block0.groupBy("file").agg(F.min("_seq").alias("_seq"))
-    # size check from the scan's own file listing: one row per file
-    if len(lines.inputFiles()) <= MAX_BROADCAST_FILES:
-        firsts = F.broadcast(firsts)
     first = block0.join(firsts, ["file", "_seq"], "inner").select(
         "file", F.col("value").alias("line"))
     code, year = _season_columns(F.col("file"), season_list)
@@ -148,20 +154,24 @@ def _group_frame(spark: SparkSession, files: Sequence[str], raw_header: Sequence
     reader = (spark.read.schema(T.StructType(fields)).option("header", True)
               .option("mode", "PERMISSIVE").option("quote", '"'))
     if audit:
-        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
-    df = reader.csv(list(files))
+        # a wrong row width only shows when every column is tokenised
+        reader = (reader.option("columnNameOfCorruptRecord", "_corrupt_record")
+                  .option("columnPruning", False))
+    df = reader.csv([glob_escaped(f) for f in files])
     # last duplicate title wins (its cell is the one kept)
     last_pos = {t: i for i, t in enumerate(raw_header)}
-    code, year = _season_columns(F.col("_metadata.file_path"), season_list)
+    path = plain_path(F.col("_metadata.file_path"))
+    code, year = _season_columns(path, season_list)
     cols = [typed_cell(F.col(f"_c{last_pos[t]}"), categories).alias(t) for t in kept]
     extra = [code.alias("season"), year.alias("start_year")]
     if audit:
         # short rows were padded and long rows cut; flagged, never dropped
         extra.append(F.col("_corrupt_record").isNotNull().alias(AUDIT_COL))
     if key_col:
-        # a row key that depends only on the file and the row's cells, so a
-        # split on it repeats whatever the partitioning
-        extra.append(F.xxhash64(F.col("_metadata.file_path"),
+        # a row key that depends only on the season, the file's name and the
+        # row's cells, so a split on it repeats whatever the partitioning and
+        # wherever the files lie
+        extra.append(F.xxhash64(_dir_name(path), F.element_at(F.split(path, "/"), -1),
                                 *[F.col(f"_c{i}") for i in range(len(raw_header))]).alias(key_col))
     return df.select(*cols, *extra)
 
@@ -170,17 +180,14 @@ def collate(spark: SparkSession, root: str, start_year: int, end_year: int,
             excludes: Sequence[str] = (), categories: Mapping[str, float] = RESULT_CATEGORIES,
             template: str = DEFAULT_TEMPLATE, key_col: str | None = "match_key",
             catalogue: Sequence[str] | None = None, glob: str = "*.csv",
-            audit: bool = False) -> Collated:
+            audit: bool = False, min_year: int | None = None,
+            max_year: int | None = None) -> Collated:
     """S1-S6 + P1-P3 + U1-U4: season files under ``root`` -> one typed table
     with the merged column order, plus ``season``/``start_year`` (and a row
     key) columns. With ``audit``, a ``width_repaired`` flag marks rows whose
-    cell count differed from their header (S6). The CSV parser only sees a
-    wrong width when it tokenises every column, so ``audit`` turns off CSV
-    column pruning for the session (``spark.sql.csv.parser.columnPruning.
-    enabled``); leave it off for production reads."""
-    if audit:
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    wanted = seasons(root, start_year, end_year, template)
+    cell count differed from their header (S6); such reads parse every
+    column. ``min_year`` and ``max_year`` refuse seasons beyond them."""
+    wanted = seasons(root, start_year, end_year, template, min_year, max_year)
     present, missing = existing_seasons(spark, wanted)
     inv = header_inventory(spark, present, excludes, glob)
     rows = inv.orderBy("start_year", "file").collect()     # one row per file

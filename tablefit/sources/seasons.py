@@ -12,8 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefit.functions.fixed import MAX_SEASON_YEAR, MIN_SEASON_YEAR
-
 DEFAULT_TEMPLATE = "{root}/{code}"
 
 
@@ -29,22 +27,24 @@ def season_code(start_year: int) -> str:
     return f"{start_year % 100:02d}{(start_year + 1) % 100:02d}"
 
 
-def check_range(start_year, end_year, min_year: int = MIN_SEASON_YEAR,
-                max_year: int = MAX_SEASON_YEAR) -> None:
+def check_range(start_year, end_year, min_year: int | None = None,
+                max_year: int | None = None) -> None:
     """Half-open range [start, end) of start years; end may equal the last
-    allowed year (the last season then ends in it)."""
+    allowed year (the last season then ends in it). No limit applies unless
+    one is given."""
     for v in (start_year, end_year):
         if isinstance(v, bool) or not isinstance(v, int):
             raise TypeError(f"season years must be integers, got {v!r}")
     if not start_year < end_year:
         raise ValueError(f"empty season range [{start_year}, {end_year})")
-    if start_year < min_year or end_year > max_year:
+    if (min_year is not None and start_year < min_year) or (
+            max_year is not None and end_year > max_year):
         raise ValueError(
             f"season range [{start_year}, {end_year}) is outside [{min_year}, {max_year}]")
 
 
 def seasons(root: str, start_year: int, end_year: int, template: str = DEFAULT_TEMPLATE,
-            min_year: int = MIN_SEASON_YEAR, max_year: int = MAX_SEASON_YEAR) -> list[Season]:
+            min_year: int | None = None, max_year: int | None = None) -> list[Season]:
     """Every season in [start_year, end_year) with its directory."""
     check_range(start_year, end_year, min_year, max_year)
     root = root.rstrip("/")
@@ -61,5 +61,5 @@ def filter_seasons(df: DataFrame, start_year: int, end_year: int,
     """S1 on a stored table: a range filter on the integer partition column,
     which Spark turns into partition pruning (only the matching
     ``start_year=...`` directories are listed and read)."""
-    check_range(start_year, end_year, -10**6, 10**6)
+    check_range(start_year, end_year)
     return df.where(season_range_condition(start_year, end_year, col))

@@ -49,8 +49,13 @@ def read_table(spark: SparkSession, path: str, start_year: int | None = None,
         df = spark.read.parquet(path)
     elif fmt == "csv":
         r = spark.read.option("header", True)
-        df = r.schema(schema).csv(path) if schema is not None else r.option(
-            "inferSchema", True).csv(path)
+        if schema is None:
+            # season codes such as 0001 are text, whatever they look like
+            found = r.option("inferSchema", True).csv(path).schema
+            codes = {"season"} & set(found.names)
+            schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in codes
+                                                 else f.dataType, True) for f in found])
+        df = r.schema(schema).csv(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
     if start_year is not None and end_year is not None:

@@ -23,7 +23,7 @@ def test_season_codes():
                                      ("2000", 2001, TypeError), (2000.0, 2001, TypeError)])
 def test_season_range_errors(a, b, err):
     with pytest.raises(err):
-        check_range(a, b)
+        check_range(a, b, 1993, 2015)
 
 
 def test_header_inventory(spark, tmpdir_path):
