@@ -24,7 +24,10 @@ def category_value(c: str | Column,
                    categories: Mapping[str, float] = RESULT_CATEGORIES) -> Column:
     """Text that names a category -> its number; anything else -> null.
     A ``CASE`` chain: codegen-friendly and no map lookups per row."""
-    text = F.trim(_col(c))
+    return _category(F.trim(_col(c)), categories)
+
+
+def _category(text: Column, categories: Mapping[str, float]) -> Column:
     out = None
     for key, value in categories.items():
         cond = text == F.lit(key)
@@ -43,10 +46,12 @@ def typed_cell(c: str | Column,
     are decimal. Text that is not a number but is a category gets the
     category value; everything else (blank, names, dates) is null."""
     text = F.trim(_col(c))
-    number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-    # 1e400 is written like a number but too large for one
-    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
-    return F.coalesce(finite, category_value(text, categories))
+    # the cast is cheap and fails for most text; the pattern then only guards
+    # what it takes beyond plain numbers. 1e400 is written like a number but
+    # too large for one.
+    number = text.try_cast("double")
+    plain = (F.abs(number) < F.lit(float("inf"))) & text.rlike(NUMBER_PATTERN)
+    return F.coalesce(F.when(plain, number), _category(text, categories))
 
 
 def zero_if_null(c: str | Column) -> Column:

@@ -326,3 +326,12 @@ fit AS (SELECT p.x, max(m) AS fitted FROM least_mean JOIN p ON p.i = least_mean.
 SELECT l_orderkey, l_linenumber, round(l_extendedprice / 1000.0, 6) AS label,
        round(fitted, 6) AS prediction
 FROM lineitem JOIN fit ON fit.x = lineitem.l_quantity"""
+
+_ONE_HOT = """
+WITH g AS (SELECT l_returnflag AS flag, avg(CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END) AS p,
+                  count(*) / sum(count(*)) OVER () AS share
+           FROM lineitem GROUP BY l_returnflag)"""
+ORACLE_SQL["logistic_one_hot"] = _ONE_HOT + """
+SELECT flag, round(ln(p / (1 - p)), 4) AS coefficient FROM g"""
+ORACLE_SQL["svm_one_hot"] = _ONE_HOT + """
+SELECT flag, round(greatest(-1, least(1, share * (2 * p - 1) / 0.01)), 6) AS coefficient FROM g"""

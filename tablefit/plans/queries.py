@@ -408,6 +408,37 @@ def svm_fit(spark, sf_dir):
     return _test_predictions(_prepared(spark, sf_dir, ["RF", "LS"]), "svm", "RF * LS")
 
 
+def _one_hot_rows(spark, sf_dir):
+    """Features: one indicator per return flag; label: line status (F=1, O=-1).
+    Without an intercept every indicator is fitted on its own, so the
+    classifiers have closed forms."""
+    from tablefit.functions.vectors import to_vector
+    li = lineitem_matches(spark, sf_dir)
+    flags = [F.when(F.col("RF") == v, 1.0).otherwise(0.0) for v in (1.0, 0.0, -1.0)]
+    return li.select(to_vector(F.array(*flags)).alias("features"), F.col("LS").alias("label"))
+
+
+def _one_hot_frame(spark, fitted, digits):
+    names = ["R", "N", "A"]
+    rows = [(n, round(c, digits)) for n, c in zip(names, fitted.coefficients())]
+    return spark.createDataFrame(rows, "flag string, coefficient double")
+
+
+@query
+def logistic_one_hot(spark, sf_dir):
+    """M3 without the L2 term: the log odds of each flag."""
+    exact = {"regParam": 0.0, "convergenceTol": 1e-12}
+    return _one_hot_frame(spark, tr.fit("logistic", _one_hot_rows(spark, sf_dir), override=exact), 4)
+
+
+@query
+def svm_one_hot(spark, sf_dir):
+    """M5 where no margin reaches 1 (the flags hardly tell the status): share of the
+    flag's rows times (2p - 1) over the L2 weight."""
+    exact = {"regParam": 0.01, "convergenceTol": 1e-12}
+    return _one_hot_frame(spark, tr.fit("svm", _one_hot_rows(spark, sf_dir), override=exact), 6)
+
+
 @query
 def isotonic_fit(spark, sf_dir):
     from tablefit.functions.vectors import to_vector
