@@ -335,3 +335,23 @@ ORACLE_SQL["logistic_one_hot"] = _ONE_HOT + """
 SELECT flag, round(ln(p / (1 - p)), 4) AS coefficient FROM g"""
 ORACLE_SQL["svm_one_hot"] = _ONE_HOT + """
 SELECT flag, round(greatest(-1, least(1, share * (2 * p - 1) / 0.01)), 6) AS coefficient FROM g"""
+
+ORACLE_SQL["multinomial_one_hot"] = """
+WITH g AS (SELECT l_linestatus, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT CASE l_linestatus WHEN 'F' THEN 1.0 ELSE -1.0 END::DOUBLE AS ls,
+       CASE l_returnflag WHEN 'R' THEN 1.0 WHEN 'N' THEN 0.0 ELSE -1.0 END::DOUBLE AS label,
+       round(n / sum(n) OVER (PARTITION BY l_linestatus), 4) AS probability
+FROM g"""
+
+ORACLE_SQL["collate_dirty_csv"] = """
+WITH s AS (SELECT *, least(coalesce(year(l_shipdate), 2001), 2001) AS y, l_linenumber % 4 AS kind
+           FROM lineitem)
+SELECT l_orderkey::DOUBLE AS l_orderkey, l_linenumber::DOUBLE AS l_linenumber,
+       CASE WHEN kind <> 3 THEN l_quantity END AS l_quantity,
+       CASE WHEN kind <> 1 THEN CASE l_returnflag WHEN 'R' THEN 1.0 WHEN 'N' THEN 0.0
+            WHEN 'A' THEN -1.0 END::DOUBLE END AS l_returnflag,
+       CASE WHEN kind <> 1 THEN l_discount END AS l_discount,
+       CASE WHEN kind <> 1 AND y > 1996 THEN l_tax END AS l_tax,
+       lpad((y % 100)::VARCHAR, 2, '0') || lpad(((y + 1) % 100)::VARCHAR, 2, '0') AS season,
+       y::INTEGER AS start_year
+FROM s"""

@@ -7,6 +7,7 @@ DuckDB SQL; computed columns carry the same names and roundings there.
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -439,6 +440,24 @@ def svm_one_hot(spark, sf_dir):
     return _one_hot_frame(spark, tr.fit("svm", _one_hot_rows(spark, sf_dir), override=exact), 6)
 
 
+@query
+def multinomial_one_hot(spark, sf_dir):
+    """M4 without the L2 term: with one indicator per line status the class
+    probabilities are the shares of the return flags within the status."""
+    from tablefit.functions.vectors import to_vector
+    li = lineitem_matches(spark, sf_dir)
+    states = [F.when(F.col("LS") == v, 1.0).otherwise(0.0) for v in (1.0, -1.0)]
+    data = li.select("LS", to_vector(F.array(*states)).alias("features"), F.col("RF").alias("label"))
+    exact = {"regParam": 0.0, "tolerance": 1e-12}
+    fitted = tr.fit("multinomial", data, override=exact)
+    scored = fitted.estimator_model.transform(data.select("LS", "features").distinct())
+    share = F.posexplode(vector_to_array(F.col("probability"))).alias("class", "probability")
+    labels = F.array(*[F.lit(v) for v in fitted.labels])
+    return scored.select("LS", share).select(
+        F.col("LS").alias("ls"), F.get(labels, F.col("class")).alias("label"),
+        _r(F.col("probability"), 4).alias("probability"))
+
+
 @query
 def isotonic_fit(spark, sf_dir):
     from tablefit.functions.vectors import to_vector
@@ -502,6 +521,20 @@ def collate_csv(spark, sf_dir):
     return _collated_lineitem(spark, sf_dir).table
 
 
+@query
+def collate_dirty_csv(spark, sf_dir):
+    """S4-S6, P2, P5's nulls: season files with trailing header commas, quoted
+    commas, short, long and blank cells, two layouts; rows without a ship
+    date lie in the last season."""
+    from tablefit.session import scratch_dir
+    from tablefit.sources.csv_tables import collate
+    from tablefit.plans.tables import (CSV_TEMPLATE, DIRTY_LAST_YEAR, write_dirty_seasons)
+    root = write_dirty_seasons(spark, sf_dir, scratch_dir(spark, "dirty-seasons"))
+    first = table(spark, sf_dir, "lineitem").agg(F.min(F.year("l_shipdate")).alias("a")).head()["a"]
+    return collate(spark, root, int(first or DIRTY_LAST_YEAR), DIRTY_LAST_YEAR + 1, ["note"],
+                   RETURNFLAG_CATEGORIES, CSV_TEMPLATE, key_col=None, glob="*.txt").table
+
+
 @query
 def collated_season_scan(spark, sf_dir):
     """S7 + S9 + S1: store the collated table as Parquet partitioned by

@@ -135,3 +135,41 @@ def write_lineitem_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
         (li.where(cond).select(*cols, "season").write.mode("append")
          .partitionBy("season").option("header", True).csv(root))
     return root
+
+
+# Season of rows without a ship date, and of those shipped later.
+DIRTY_LAST_YEAR = 2001
+
+
+def write_dirty_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """lineitem as season files such as hand-kept tables have them: one text
+    file per season, its header first. Every row has a quoted note with a
+    comma; by line number modulo 4 a row is short (cut after the quantity),
+    long (two cells more than titles), blank in the quantity, or whole.
+    Seasons up to EARLY_LAST_YEAR lack the tax."""
+    li = table(spark, sf_dir, "lineitem")
+    year = F.least(F.coalesce(ship_year(), F.lit(DIRTY_LAST_YEAR)), F.lit(DIRTY_LAST_YEAR))
+    kind = F.col("l_linenumber") % 4
+
+    def text(name: str) -> F.Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+    early = year <= EARLY_LAST_YEAR
+    head = [text("l_orderkey"), text("l_linenumber"),
+            F.when(kind == 3, F.lit("")).otherwise(text("l_quantity"))]
+    tail = [F.lit('"as given, see file"'), text("l_returnflag"), text("l_discount")]
+    whole = F.when(early, F.concat_ws(",", *head, *tail, F.lit(","))).otherwise(
+        F.concat_ws(",", *head, *tail, text("l_tax"), F.lit(",")))
+    line = (F.when(kind == 1, F.concat_ws(",", *head))
+            .when(kind == 2, F.concat(whole, F.lit(",x,y"))).otherwise(whole))
+    rows = li.select(year.alias("year"), F.lit(1).alias("rank"), line.alias("value"))
+    years = rows.select("year").distinct()
+    title = F.when(F.col("year") <= EARLY_LAST_YEAR,
+                   F.lit("l_orderkey,l_linenumber,l_quantity,note,l_returnflag,l_discount,,")).otherwise(
+        F.lit("l_orderkey,l_linenumber,l_quantity,note,l_returnflag,l_discount,l_tax,,"))
+    headers = years.select("year", F.lit(0).alias("rank"), title.alias("value"))
+    # a file has its header once and first, so a season is one sorted partition
+    (headers.union(rows).withColumn("season", season_code(F.col("year")))
+     .repartition("season").sortWithinPartitions("season", "rank")
+     .select("season", "value").write.partitionBy("season").text(root))
+    return root
