@@ -1,12 +1,12 @@
 """DuckDB SQL equivalents of ``tablefit.plans.queries``: same column names,
-types and roundings. Queries without an SQL equivalent (iterative fits,
-the sweep) have no entry. The SQL text is assembled from the same fixed
+types and roundings. Queries without an SQL equivalent (most iterative
+fits and their sweeps) have no entry. The SQL text is assembled from the same fixed
 values the Spark side uses.
 """
 
 from __future__ import annotations
 
-from tablefit.functions.fixed import NUMBER_PATTERN
+from tablefit.functions.fixed import NUMBER_PATTERN, TRAINER_OVERRIDES
 from tablefit.plans.tables import (CSV_EARLY, CSV_EXCLUDES, CSV_LATE, CSV_MIDDLE,
                                    EARLY_LAST_YEAR, HEADER_EARLY, HEADER_LATE, HEADER_MIDDLE,
                                    LINEITEM_CATALOGUE, LINEITEM_FEATURES, LINESTATUS_CATEGORIES,
@@ -355,3 +355,36 @@ SELECT l_orderkey::DOUBLE AS l_orderkey, l_linenumber::DOUBLE AS l_linenumber,
        lpad((y % 100)::VARCHAR, 2, '0') || lpad(((y + 1) % 100)::VARCHAR, 2, '0') AS season,
        y::INTEGER AS start_year
 FROM s"""
+
+_SMOOTHING = ", ".join(f"({i}, {o.get('lambda_', 1.0)!r}::DOUBLE)"
+                       for i, o in enumerate(TRAINER_OVERRIDES["naive_bayes"]))
+_X = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_SUM = " + ".join(f"abs({c})" for c in _X)
+_SPLIT_LINE = _SPLIT.replace("o_orderkey", "l_orderkey")
+ORACLE_SQL["bayes_sweep"] = f"""
+WITH m AS (SELECT {_SPLIT_LINE} AS t,
+                  CASE l_returnflag WHEN 'R' THEN 1.0 WHEN 'A' THEN -1.0 END::DOUBLE AS rf,
+                  CASE l_linestatus WHEN 'F' THEN 1.0 WHEN 'O' THEN -1.0 END::DOUBLE AS ls,
+                  {", ".join(f"abs({c}) / ({_SUM}) AS x{i}" for i, c in enumerate(_X))}
+           FROM lineitem WHERE l_returnflag IN ('R', 'A') AND l_linestatus IN ('F', 'O') AND {_SUM} > 0),
+e AS (SELECT row_number() OVER () AS id, u.* FROM (
+      SELECT 'RF' AS label_expr, rf AS y, * FROM m UNION ALL SELECT 'LS', ls, * FROM m UNION ALL
+      SELECT 'RF * LS', rf * ls, * FROM m UNION ALL SELECT 'RF - LS', rf - ls, * FROM m) u),
+s AS (SELECT label_expr, y AS c, count(*) AS n,
+             {", ".join(f"sum(x{i}) AS s{i}" for i in range(4))} FROM e WHERE NOT t GROUP BY 1, 2),
+k AS (SELECT label_expr, sum(n) AS total, count(*) AS classes FROM s GROUP BY 1),
+lam(param_set, l) AS (VALUES {_SMOOTHING}),
+w AS (SELECT s.label_expr, c, param_set, ln(n + l) - ln(total + classes * l) AS pi,
+             {", ".join(f"ln(s{i} + l) - ln(s0 + s1 + s2 + s3 + 4 * l) AS w{i}" for i in range(4))}
+      FROM s JOIN k USING (label_expr), lam),
+p AS (SELECT e.id, e.label_expr, param_set, any_value(y) AS y,
+             arg_max(c, pi + x0 * w0 + x1 * w1 + x2 * w2 + x3 * w3) AS p
+      FROM e JOIN w USING (label_expr) WHERE t GROUP BY 1, 2, 3),
+a AS (SELECT *, avg(y) OVER (PARTITION BY label_expr, param_set) AS ybar FROM p)
+SELECT label_expr, param_set, count(*) AS n,
+       (SELECT round(avg(CASE WHEN t THEN 1.0 ELSE 0.0 END), 6) FROM m) AS test_ratio,
+       round(avg((p - ybar) * (p - ybar)), 6) AS var, round(avg(abs(p - y)), 6) AS mae,
+       round(avg((p - y) * (p - y)), 6) AS mse,
+       round(1 - sum((p - y) * (p - y)) / sum((y - ybar) * (y - ybar)), 6) AS r2,
+       round(sqrt(avg((p - y) * (p - y))), 6) AS rmse
+FROM a GROUP BY label_expr, param_set"""

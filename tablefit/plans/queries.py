@@ -485,6 +485,19 @@ def parameter_sweep(spark, sf_dir):
     return _report_frame(report)
 
 
+@query
+def bayes_sweep(spark, sf_dir):
+    """M2, M6, M14, M15, A3 in one chain that SQL can follow: filters, L1
+    features without components, the integer-key split, 4 label expressions
+    x 15 smoothing values, metrics of every fit on the held-out rows."""
+    li = lineitem_matches(spark, sf_dir)
+    report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["l_orderkey"],
+                          trainers=["naive_bayes"], expressions=LINEITEM_EXPRESSIONS,
+                          use_components=False)
+    return report.select("label_expr", "param_set", "n", _r(F.col("test_ratio")).alias("test_ratio"),
+                         *[_r(F.col(c)).alias(c) for c in ["var", "mae", "mse", "r2", "rmse"]])
+
+
 @query
 def regression_sweep(spark, sf_dir):
     """M7-M10 in the sweep: linear, ridge, lasso and isotonic per label

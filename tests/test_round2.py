@@ -95,3 +95,30 @@ def test_cells_labels_splits_and_codes(spark, tmp_path):
     write_table(table, str(tmp_path / "c"), "csv", ())
     back = read_table(spark, str(tmp_path / "c"), fmt="csv")
     assert sorted(r.season for r in back.collect()) == ["0001", "9900"] and dict(back.dtypes)["v"] == "double"
+
+
+def test_sgd_settings_take_effect_for_every_trainer(spark):
+    from tablefit.plans import model_run as mr
+
+    rows = [(i, 1.0 if i % 3 else -1.0, float(i % 5) + 1, float(i % 7) + 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, y double, a double, b double")
+    prep = mr.prepare(df, ["y"], ["a", "b"], ["k"], use_components=False)
+    plan = [(t, "y", i, {"iterations": 3, "step": step}) for t in ("logistic", "svm", "linear", "ridge", "lasso")
+            for i, step in enumerate((0.01, 1.0))]
+    report = mr.evaluate(prep, plan, optimizer="sgd", parallelism=1).collect()
+    assert len(report) == 10 and all(r.params["step"] in ("0.01", "1.0") for r in report)
+    for trainer in ("linear", "ridge", "lasso"):
+        assert len({r.mse for r in report if r.trainer == trainer}) == 2
+    prep.unpersist()
+
+
+def test_report_prints_each_entrys_own_parameters(spark):
+    from tablefit.plans import model_run as mr
+
+    rows = [(i, float(i % 2) - 0.5, float(i % 5) + 1, float(i % 7) + 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, y double, a double, b double")
+    prep = mr.prepare(df, ["y"], ["a", "b"], ["k"], use_components=False)
+    plan = [("logistic", "y", i, {"step": step}) for i, step in enumerate((0.5, 1.0))]
+    report = mr.evaluate(prep, plan, parallelism=1).collect()
+    assert {r.param_set: r.params["step"] for r in report} == {0: "0.5", 1: "1.0"}
+    prep.unpersist()
