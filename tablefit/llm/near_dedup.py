@@ -167,8 +167,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
         pairs.join(classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
         .join(classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
         .where(_sizes_allow(percent) & (estimate("sa", "sb") >= CUT))
-        .select("a", "b")
-        .distinct()
+        .select("a", "b")  # no distinct here: it would keep Spark from splitting the rows of a hot hub
     )
     ids = materialize(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct())
     texts = materialize(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text"))
