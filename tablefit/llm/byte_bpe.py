@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from tablefit.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-PIECE_CACHE = 500_000
+PIECE_CACHE = 150_000
 SHORT = 64
 #: Bytes of a vocabulary file that the driver sends to the workers at most.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Characters that a worker cuts into pieces at a time (a longer text stays whole).
-_PORTION = 3_000_000
+_PORTION = 1_000_000
 
 
 class ByteBPE:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Words whose hashes a Python worker keeps; beyond it the table starts anew.
-WORD_CACHE = 400_000
+WORD_CACHE = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
