@@ -5,8 +5,11 @@
 2. Every vector is written as the ordered list of its ``LENGTH`` nearest
    pivots (largest inner product), and posted in the inverted files of its
    first ``POST`` pivots.
-3. A query looks into the files of its first ``PROBE`` pivots. Each file is
-   cut into parts of about ``PART`` postings and as many queries; a part ranks
+3. A query looks into the files of its first pivots: ``PROBE`` of them up to
+   ``FEW_PIVOTS`` pivots, and beyond that a number that grows with the root of
+   the number of pivots (``probes``), as a file then holds a smaller share of
+   the vectors and a neighbour's first pivots lie further down the query's
+   list. More than ``MAX_PIVOTS`` aren't drawn; then the files grow. Each file is cut into parts of about ``PART`` postings and as many queries; a part ranks
    its postings by the footrule distance of the pivot lists (a pivot missing
    from a list counts as at place ``LENGTH``), keeps the first ``SHARE`` of
    them, and reranks these by the inner product of the vectors themselves.
@@ -39,7 +42,7 @@ EVERY = 20
 LEAST_PIVOTS, MAX_PIVOTS = 128, 4096
 LENGTH = 64
 POST = 12
-PROBE = 16
+PROBE, FEW_PIVOTS = 16, 256
 PART = 4096
 #: A part reranks this share of its postings, and CANDIDATES at least.
 SHARE, CANDIDATES = 0.25, 100
@@ -67,11 +70,16 @@ def pivots_of(vectors: DataFrame, n: int) -> np.ndarray:
     return np.array([r.vec for r in rows], np.float64)
 
 
-def permutations(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+def probes(pivots: int) -> int:
+    """How many of ``pivots`` files a query looks into."""
+    return min(pivots, math.ceil(PROBE * math.sqrt(max(1.0, pivots / FEW_PIVOTS))))
+
+
+def permutations(vectors: DataFrame, pivots: np.ndarray, probe: int) -> DataFrame:
     """``vec_id``, ``vec`` (the components' bytes), ``perm`` (16-bit numbers of the
-    nearest pivots in order) and ``near``, the first of them as an array."""
-    length = min(LENGTH, len(pivots))
-    first = max(POST, PROBE)
+    nearest pivots in order) and ``near``, as many of them as are posted or probed, as an array."""
+    first = min(len(pivots), max(POST, probe))
+    length = min(max(LENGTH, first), len(pivots))
     sent = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +161,10 @@ def _best(found: DataFrame, nearest: int) -> DataFrame:
     return once.withColumn("rank", rank.cast("int")).where(F.col("rank") <= nearest)
 
 
-def search(vectors: DataFrame, every: int = EVERY, nearest: int = NEAREST, probe: int = PROBE) -> DataFrame:
+def search(vectors: DataFrame, every: int = EVERY, nearest: int = NEAREST, probe: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``nearest`` found for each vector
-    of ``vectors(vec_id, embedding)`` whose id is divisible by ``every``."""
+    of ``vectors(vec_id, embedding)`` whose id is divisible by ``every``;
+    ``probe`` files are looked into, by default ``probes`` of them."""
     clean = materialize(usable(vectors))
     counted = clean.agg(F.count_distinct("vec_id").alias("ids"), F.count("*").alias("n")).first()
     if counted.ids < 2:
@@ -163,7 +172,8 @@ def search(vectors: DataFrame, every: int = EVERY, nearest: int = NEAREST, probe
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         ).limit(0)
     pivots = pivots_of(clean, counted.n)
-    index = materialize(permutations(clean, pivots))
+    probe = probes(len(pivots)) if probe is None else probe
+    index = materialize(permutations(clean, pivots, probe))
     queries = index.where(F.pmod("vec_id", F.lit(every)) == 0)
     kind = np.float32 if clean.schema["vec"].dataType.elementType.typeName() == "float" else np.float64
     found = materialize(_best(_look(index, queries, len(pivots), probe, nearest, kind), nearest))

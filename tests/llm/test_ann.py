@@ -70,3 +70,23 @@ def test_few_rows_and_none(spark):
     assert by_query(ann.search(df)) == {0: [(1, 2.0), (2, -1.0)]}
     assert ann.search(df.limit(1)).count() == 0
     assert ann.search(df.limit(0)).count() == 0
+
+
+def recall(spark, vectors, every):
+    """The share of the true nearest found, against brute force."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    hits = wanted = 0
+    for q, found in by_query(ann.search(df, every)).items():
+        score = vectors @ vectors[q]
+        score[q] = -np.inf
+        true = set(np.argsort(-score)[:20].tolist())
+        hits, wanted = hits + len(true & {i for i, _ in found}), wanted + len(true)
+    assert wanted == 20 * -(-len(vectors) // every)
+    return hits / wanted
+
+
+def test_recall_holds_as_the_pivots_grow(spark, monkeypatch):
+    vectors = np.random.default_rng(11).normal(size=(20_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    monkeypatch.setattr(ann, "LEAST_PIVOTS", 512)  # as many as 262,144 vectors have
+    assert recall(spark, vectors, 100) >= 0.9
