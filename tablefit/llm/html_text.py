@@ -16,8 +16,13 @@
    gives those alone.
 
 The pages of a host meet in groups of about ``GROUP_PAGES``, dealt by a hash
-of the page: what a host repeats, it repeats in each group, and no host is too
-large for a task. Copies of one whole stream in a group count as one page.
+of the page, so no host is too large for a task. On a host of several groups
+the runs are counted across them: each page gives the 64-bit hashes of its
+runs, summed up per run and group as the least and greatest hash of the
+streams that hold it. Runs whose streams differ over all groups are given back
+to the groups and count as repeated there. Hosts all of whose pages have main
+blocks (or no unmarked one) skip that, as no page of theirs asks. Copies of
+one whole stream count as one page.
 
 Null and empty html gives an empty text. Unclosed tags, comments and scripts
 run to the end of the page, as in a browser. Repeated rows are answered alike
@@ -33,13 +38,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import materialize, table
+from tablefit.llm.common import materialize, table, word_hashes
 from tablefit.llm.url_filter import host_of
 
 MIN_RUN = 8
+#: Across groups, "two" is told by two streams that differ.
 MIN_PAGES = 2
 COVERED = 0.5
 GROUP_PAGES = 128
@@ -63,6 +70,9 @@ _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 
 MAIN, OPEN, MARKED = 2, 1, 0
 
+_TEXTS = "page_id long, url string, text string"
+_RUNS = "place long, part long, run long, stream long"
+
 
 def blocks_of(page: str | None) -> list[tuple[str, int]]:
     """``(text, kind)`` of the page's non-empty blocks in order; kind is MAIN
@@ -169,6 +179,33 @@ def _streams(pages: list[tuple[str, ...]]) -> list[np.ndarray]:
     return [np.array([numbers.setdefault(t, len(numbers) + 1) for b in page for t in b.split(" ")], np.int64) for page in pages]
 
 
+def run_hashes(page: tuple[str, ...], place: int, min_run: int = MIN_RUN) -> np.ndarray:
+    """64-bit hashes of the page's runs of ``min_run`` tokens on the host numbered ``place``, by first token."""
+    h = word_hashes([t.encode("utf-8", "surrogatepass") for b in page for t in b.split(" ")])
+    n = max(len(h) - min_run + 1, 0)
+    runs = np.full(n, place, np.uint64)
+    for j in range(min_run):
+        runs *= np.uint64(0xFF51AFD7ED558CCD)
+        runs ^= runs >> np.uint64(32)
+        runs += h[j : j + n]
+    runs ^= runs >> np.uint64(33)
+    runs *= np.uint64(0xC4CEB9FE1A85EC53)
+    runs ^= runs >> np.uint64(29)
+    return runs.view(np.int64)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page's distinct runs with the hash of its stream."""
+    for batch in batches:
+        for place, part, blocks in zip(*(c.to_pylist() for c in batch.columns)):
+            runs = np.unique(run_hashes(blocks, place))
+            stream = xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(runs), x, np.int64)) for x in (place, part)] + [pa.array(runs), pa.array(np.full(len(runs), stream, np.int64))],
+                ["place", "part", "run", "stream"],
+            )
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pages = [blocks_of(p) for p in batch.column(2).to_pylist()]
@@ -179,12 +216,17 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _kept(group: pd.DataFrame) -> pd.DataFrame:
-    """The texts of one group of a host's pages."""
+def _kept(group: pd.DataFrame, repeated: pd.DataFrame | None = None) -> pd.DataFrame:
+    """The texts of one group of a host's pages; ``repeated`` has the runs that other groups repeat."""
     pages = [tuple(b) for b in group["blocks"]]
     first: dict[tuple[str, ...], int] = {}
     place = [first.setdefault(p, len(first)) for p in pages]
     covered = covered_by_repeats(_streams(list(first)))
+    if repeated is not None and len(repeated):
+        place_of_host = int(group["place"].iloc[0])
+        for page, inside in zip(first, covered):
+            for start in np.flatnonzero(np.isin(run_hashes(page, place_of_host), repeated["run"].to_numpy(np.int64))):
+                inside[start : start + MIN_RUN] = True
     texts = []
     for blocks, kinds, i in zip(pages, group["kinds"], place):
         main = MAIN in kinds
@@ -201,13 +243,27 @@ def _kept(group: pd.DataFrame) -> pd.DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` of each row of ``pages(page_id, url, html)``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    hosts = materialize(rows.groupBy(host_of("url").alias("host")).agg(F.count("*").alias("n")))
     blocks = rows.mapInArrow(_blocks, "page_id long, url string, blocks array<string>, kinds array<tinyint>").withColumn("of_host", host_of("url"))
+    has = lambda kind: F.array_contains("kinds", F.lit(kind).cast("tinyint"))
+    hosts = blocks.groupBy(F.col("of_host").alias("host")).agg(F.count("*").alias("n"), F.max(has(OPEN) & ~has(MAIN)).alias("asks"))
+    hosts = materialize(hosts.withColumn("place", F.monotonically_increasing_id()))
+    asked = not hosts.where(F.col("asks") & (F.col("n") > GROUP_PAGES)).isEmpty()
     if hosts.count() <= BROADCAST_HOSTS:
         hosts = F.broadcast(hosts)
     dealt = blocks.join(hosts, blocks["of_host"] == hosts["host"])
     part = F.pmod(F.xxhash64("page_id", "url", "blocks"), F.ceil(F.col("n") / GROUP_PAGES))
-    return dealt.withColumn("part", part).groupBy("host", "part").applyInPandas(_kept, "page_id long, url string, text string")
+    dealt = dealt.withColumn("part", part)
+    groups = dealt.select("place", "part", "page_id", "url", "blocks", "kinds").groupBy("place", "part")
+    if not asked:
+        return groups.applyInPandas(lambda group: _kept(group), _TEXTS)
+    runs = dealt.where(F.col("asks") & (F.col("n") > GROUP_PAGES)).select("place", "part", "blocks").mapInArrow(_runs, _RUNS)
+    held = materialize(runs.groupBy("run", "place", "part").agg(F.min("stream").alias("lo"), F.max("stream").alias("hi")))
+    repeated = held.groupBy("run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select(F.col("run").alias("again"))
+    # What a group repeats within itself its suffix array finds.
+    lacking = held.where("lo = hi").join(repeated, F.col("run") == F.col("again"), "left_semi").select(
+        *[F.col(c).alias(c) for c in ("place", "part", "run")]
+    )
+    return groups.cogroup(lacking.groupBy("place", "part")).applyInPandas(lambda group, again: _kept(group, again), _TEXTS)
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,3 +89,18 @@ def test_long_page_and_empty_table(spark):
     df = spark.createDataFrame([(1, "http://a/b", long)], "page_id long, url string, html string")
     assert len(html_text.main_text(df).first().text.split()) >= 60_000
     assert html_text.main_text(df.limit(0)).count() == 0
+
+
+def test_runs_on_few_pages_of_a_large_host_are_found_across_groups(spark, monkeypatch):
+    rnd = random.Random(4)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    notice, copied = words(20), words(40)
+    own = [words(30) for _ in range(120)]
+    rows = [(i, f"http://large/{i}", f"<div>{t}</div>" + (f"<div>{notice}</div>" if i in (3, 70) else "")) for i, t in enumerate(own)]
+    rows += [(200 + i, f"http://large/copy{i}", f"<div>{copied}</div>") for i in range(30)]
+    rows += [(300, "http://other/1", f"<div>{notice}</div>")]  # another host's page doesn't count
+    monkeypatch.setattr(html_text, "GROUP_PAGES", 4)
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == t for i, t in enumerate(own))
+    assert all(got[200 + i] == copied for i in range(30)) and got[300] == notice
