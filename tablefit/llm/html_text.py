@@ -10,10 +10,17 @@
    sorted by doubling up to ``MIN_RUN`` tokens, brings equal runs together;
    runs that occur on ``MIN_PAGES`` distinct pages or more cover their tokens.
 3. Covered tokens outside the main blocks are boilerplate: of a page without
-   main blocks, the unmarked blocks stay that aren't covered for the most part
-   (``COVERED``). Main blocks stay whole even where other pages repeat them:
-   republished articles are text, not boilerplate. A page with main blocks
-   gives those alone.
+   main blocks, the tokens of unmarked blocks stay that aren't covered. Main blocks
+   stay even where a few other pages repeat them: republished articles are
+   text, not boilerplate. They lose the runs of ``MIN_RUN`` tokens that the
+   main blocks of ``MAIN_SHARE`` of the host's pages hold, copies counted, and
+   of as much of its distinct main texts, if that is ``MAIN_PAGES`` of these or
+   more. A page with main blocks gives those alone.
+
+Runs of main blocks that common are found without dealing all runs: a batch of
+pages names those on ``LIKELY_SHARE`` of a host's pages in it; what a run may
+have at most elsewhere is that share of the other pages, so the runs that can
+still reach ``MAIN_SHARE`` are known, and only those are counted.
 
 The pages of a host meet in groups of about ``GROUP_PAGES``, dealt by a hash
 of the page, so no host is too large for a task. On a host of several groups
@@ -48,8 +55,8 @@ from tablefit.llm.url_filter import host_of
 MIN_RUN = 8
 #: Across groups, "two" is told by two streams that differ.
 MIN_PAGES = 2
-COVERED = 0.5
 GROUP_PAGES = 128
+MAIN_SHARE, LIKELY_SHARE, MAIN_PAGES = 0.5, 0.25, 16
 #: Rows (host, count) that are broadcast at most; more are joined by a shuffle.
 BROADCAST_HOSTS = 200_000
 
@@ -179,7 +186,7 @@ def _streams(pages: list[tuple[str, ...]]) -> list[np.ndarray]:
     return [np.array([numbers.setdefault(t, len(numbers) + 1) for b in page for t in b.split(" ")], np.int64) for page in pages]
 
 
-def run_hashes(page: tuple[str, ...], place: int, min_run: int = MIN_RUN) -> np.ndarray:
+def run_hashes(page: list[str] | tuple[str, ...], place: int, min_run: int = MIN_RUN) -> np.ndarray:
     """64-bit hashes of the page's runs of ``min_run`` tokens on the host numbered ``place``, by first token."""
     h = word_hashes([t.encode("utf-8", "surrogatepass") for b in page for t in b.split(" ")])
     n = max(len(h) - min_run + 1, 0)
@@ -199,13 +206,72 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for place, part, blocks in zip(*(c.to_pylist() for c in batch.columns)):
             runs = np.unique(run_hashes(blocks, place))
-            stream = xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
+            stream = _stream(blocks)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(runs), x, np.int64)) for x in (place, part)] + [pa.array(runs), pa.array(np.full(len(runs), stream, np.int64))],
                 ["place", "part", "run", "stream"],
             )
 
 
+def _stream(blocks: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _main_of(blocks: list[str], kinds: list[int]) -> list[str]:
+    return [b for b, k in zip(blocks, kinds) if k == MAIN]
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch and host the main blocks' runs that ``LIKELY_SHARE`` of its pages have, with both numbers of pages."""
+    for batch in batches:
+        hosts: dict[int, list[np.ndarray]] = {}
+        for place, blocks, kinds in zip(*(c.to_pylist() for c in batch.columns)):
+            hosts.setdefault(place, []).append(np.unique(run_hashes(_main_of(blocks, kinds), place)))
+        for place, pages in hosts.items():
+            runs, having = np.unique(np.concatenate(pages), return_counts=True)
+            often = having >= LIKELY_SHARE * len(pages)
+            n = int(often.sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, place, np.int64)), pa.array(runs[often]), pa.array(having[often]), pa.array(np.full(n, len(pages), np.int64))],
+                ["place", "run", "having", "pages"],
+            )
+
+
+def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of the likely runs each page's main blocks hold, with the hash of the main text."""
+    for batch in batches:
+        for place, likely, blocks, kinds in zip(*(c.to_pylist() for c in batch.columns)):
+            main = _main_of(blocks, kinds)
+            runs = np.intersect1d(run_hashes(main, place), np.array(likely, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(runs), place, np.int64)), pa.array(runs), pa.array(np.full(len(runs), _stream(main), np.int64))],
+                ["place", "run", "stream"],
+            )
+
+
+def _common(pages: DataFrame, hosts: DataFrame) -> DataFrame | None:
+    """``of_place, common``: the runs that main blocks lose, of ``pages(place,
+    n, blocks, kinds)``; None if there are none."""
+    large = pages.where(F.col("n") >= MAIN_PAGES)
+    named = large.select("place", "blocks", "kinds").mapInArrow(_likely, "place long, run long, having long, pages long")
+    summed = named.groupBy("place", "run").agg(F.sum("having").alias("having"), F.sum("pages").alias("pages"))
+    sizes = hosts.select(F.col("place").alias("of_place"), F.col("n").alias("of_n"), "texts")
+    reach = F.col("having") + LIKELY_SHARE * (F.col("of_n") - F.col("pages")) >= MAIN_SHARE * F.col("of_n")
+    likely = summed.join(sizes, F.col("place") == F.col("of_place")).where(reach)
+    likely = materialize(likely.groupBy(F.col("place").alias("at")).agg(F.collect_list("run").alias("likely")))  # of the order of a page's length
+    if likely.isEmpty():
+        return None
+    held = large.join(likely, F.col("place") == F.col("at")).select("place", "likely", "blocks", "kinds").mapInArrow(
+        _present, "place long, run long, stream long"
+    )
+    texts = held.groupBy("place", "run", "stream").agg(F.count("*").alias("copies"))
+    counted = texts.groupBy("place", "run").agg(F.sum("copies").alias("having"), F.count("*").alias("streams"))
+    common = counted.join(sizes, F.col("place") == F.col("of_place")).where(
+        (F.col("having") >= MAIN_SHARE * F.col("of_n")) & (F.col("streams") >= MAIN_SHARE * F.col("texts")) & (F.col("streams") >= MAIN_PAGES)
+    )
+    return materialize(common.groupBy("of_place").agg(F.collect_list("run").alias("common")))
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pages = [blocks_of(p) for p in batch.column(2).to_pylist()]
@@ -216,27 +282,35 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _cover(inside: np.ndarray, page: list[str] | tuple[str, ...], place: int, runs: np.ndarray) -> None:
+    """Marks the tokens of the page that lie in one of ``runs``."""
+    for start in np.flatnonzero(np.isin(run_hashes(page, place), runs)):
+        inside[start : start + MIN_RUN] = True
+
+
 def _kept(group: pd.DataFrame, repeated: pd.DataFrame | None = None) -> pd.DataFrame:
     """The texts of one group of a host's pages; ``repeated`` has the runs that other groups repeat."""
     pages = [tuple(b) for b in group["blocks"]]
     first: dict[tuple[str, ...], int] = {}
     place = [first.setdefault(p, len(first)) for p in pages]
     covered = covered_by_repeats(_streams(list(first)))
+    host = int(group["place"].iloc[0])
     if repeated is not None and len(repeated):
-        place_of_host = int(group["place"].iloc[0])
         for page, inside in zip(first, covered):
-            for start in np.flatnonzero(np.isin(run_hashes(page, place_of_host), repeated["run"].to_numpy(np.int64))):
-                inside[start : start + MIN_RUN] = True
+            _cover(inside, page, host, repeated["run"].to_numpy(np.int64))
+    common = group["common"].iloc[0]  # the same for a host
     texts = []
     for blocks, kinds, i in zip(pages, group["kinds"], place):
-        main = MAIN in kinds
-        at, kept = 0, []
-        for block, kind in zip(blocks, kinds):
-            n = block.count(" ") + 1
-            if kind == MAIN or (not main and kind == OPEN and covered[i][at : at + n].mean() < COVERED):
-                kept.append(block)
-            at += n
-        texts.append(" ".join(kept))
+        tokens = [t for b in blocks for t in b.split(" ")]
+        of = np.repeat(np.array(kinds, np.int8), [b.count(" ") + 1 for b in blocks])
+        if MAIN in kinds:
+            tokens = [t for t, k in zip(tokens, of) if k == MAIN]
+            drop = np.zeros(len(tokens), bool)
+            if common is not None:
+                _cover(drop, _main_of(blocks, kinds), host, common)
+        else:
+            drop = covered[i] | (of != OPEN)
+        texts.append(" ".join(t for t, bad in zip(tokens, drop) if not bad))
     return pd.DataFrame({"page_id": group["page_id"].astype("Int64"), "url": group["url"], "text": texts})
 
 
@@ -245,7 +319,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     blocks = rows.mapInArrow(_blocks, "page_id long, url string, blocks array<string>, kinds array<tinyint>").withColumn("of_host", host_of("url"))
     has = lambda kind: F.array_contains("kinds", F.lit(kind).cast("tinyint"))
-    hosts = blocks.groupBy(F.col("of_host").alias("host")).agg(F.count("*").alias("n"), F.max(has(OPEN) & ~has(MAIN)).alias("asks"))
+    main = F.when(has(MAIN), F.xxhash64(F.filter("blocks", lambda b, i: F.get("kinds", i) == MAIN)))  # null without
+    hosts = blocks.withColumn("main", main).groupBy(F.col("of_host").alias("host")).agg(F.count("*").alias("n"), F.max(has(OPEN) & ~has(MAIN)).alias("asks"), F.count_distinct("main").alias("texts"))
     hosts = materialize(hosts.withColumn("place", F.monotonically_increasing_id()))
     asked = not hosts.where(F.col("asks") & (F.col("n") > GROUP_PAGES)).isEmpty()
     if hosts.count() <= BROADCAST_HOSTS:
@@ -253,7 +328,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     dealt = blocks.join(hosts, blocks["of_host"] == hosts["host"])
     part = F.pmod(F.xxhash64("page_id", "url", "blocks"), F.ceil(F.col("n") / GROUP_PAGES))
     dealt = dealt.withColumn("part", part)
-    groups = dealt.select("place", "part", "page_id", "url", "blocks", "kinds").groupBy("place", "part")
+    common = _common(dealt, hosts)
+    if common is None:
+        cut = dealt.withColumn("common", F.lit(None).cast("array<long>"))
+    else:
+        cut = dealt.join(F.broadcast(common) if common.count() <= BROADCAST_HOSTS else common, F.col("place") == F.col("of_place"), "left")
+    groups = cut.select("place", "part", "page_id", "url", "blocks", "kinds", "common").groupBy("place", "part")
     if not asked:
         return groups.applyInPandas(lambda group: _kept(group), _TEXTS)
     runs = dealt.where(F.col("asks") & (F.col("n") > GROUP_PAGES)).select("place", "part", "blocks").mapInArrow(_runs, _RUNS)

@@ -104,3 +104,28 @@ def test_runs_on_few_pages_of_a_large_host_are_found_across_groups(spark, monkey
     assert len(got) == len(rows)
     assert all(got[i] == t for i, t in enumerate(own))
     assert all(got[200 + i] == copied for i in range(30)) and got[300] == notice
+
+
+def test_repeated_runs_are_cut_inside_blocks(spark):
+    rnd = random.Random(6)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    long, short = words(40), words(10)
+    own = [(words(12), words(30)) for _ in range(6)]
+    rows = [(i, f"http://h/{i}", f"<p>{a} {long}</p><p>{b} {short}</p>") for i, (a, b) in enumerate(own)]  # most and a little of a block
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{a} {b}" for i, (a, b) in enumerate(own)}
+
+
+def test_main_blocks_lose_what_most_of_the_host_repeats(spark):
+    rnd = random.Random(8)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    notice, news, copied = words(20), words(40), words(40)
+    own = [words(30) for _ in range(60)]
+    rows = [(i, f"http://h/{i}", f"<main><p>{t} {notice if i % 4 else ''}</p>" + (f"<p>{news}</p>" if i < 12 else "") + "</main>") for i, t in enumerate(own)]
+    rows += [(100 + i, f"http://copies/{i}", f"<nav>{words(9)}</nav><article>{copied if i < 40 else words(30)}</article>") for i in range(50)]
+    rows += [(200 + i, f"http://small/{i}", f"<article>{copied}</article>") for i in range(3)]
+    for parts in (1, 7):  # whatever the batches hold
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+        assert all(got[i] == (f"{t} {news}" if i < 12 else t) for i, t in enumerate(own))  # few pages' news stays
+        assert all(got[100 + i] == copied for i in range(40)) and all(got[200 + i] == copied for i in range(3))
