@@ -516,11 +516,10 @@ def _collated_lineitem(spark, sf_dir):
     from tablefit.session import scratch_dir
     from tablefit.sources.csv_tables import collate
     from tablefit.plans.tables import (CSV_EXCLUDES, CSV_TEMPLATE, LINEITEM_CATALOGUE,
-                                       write_lineitem_seasons)
+                                       season_years, write_lineitem_seasons)
     root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
-    years = table(spark, sf_dir, "lineitem").agg(
-        F.min(F.year("l_shipdate")).alias("a"), F.max(F.year("l_shipdate")).alias("b")).head()
-    return collate(spark, root, int(years["a"]), int(years["b"]) + 1, CSV_EXCLUDES,
+    first, last = season_years(spark, sf_dir)
+    return collate(spark, root, first, last + 1, CSV_EXCLUDES,
                    RETURNFLAG_CATEGORIES, CSV_TEMPLATE, key_col=None,
                    catalogue=LINEITEM_CATALOGUE + ["net_price"])
 
@@ -565,11 +564,10 @@ def main_run_csv(spark, sf_dir):
     collate -> label-prefix check -> filters -> components -> 92 fits."""
     from tablefit.session import scratch_dir
     from tablefit.plans.main_run import main_run
-    from tablefit.plans.tables import CSV_EXCLUDES, CSV_TEMPLATE, write_lineitem_seasons
+    from tablefit.plans.tables import CSV_EXCLUDES, CSV_TEMPLATE, season_years, write_lineitem_seasons
     root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
-    years = table(spark, sf_dir, "lineitem").agg(
-        F.min(F.year("l_shipdate")).alias("a"), F.max(F.year("l_shipdate")).alias("b")).head()
-    res = main_run(spark, root, int(years["a"]), int(years["b"]) + 1,
+    first, last = season_years(spark, sf_dir)
+    res = main_run(spark, root, first, last + 1,
                    labels=["l_orderkey", "l_linenumber"],
                    expressions=["l_linenumber - 4", "4 - l_linenumber",
                                 "l_linenumber % 3 - 1", "l_linenumber % 2 * 2 - 1"],

@@ -126,21 +126,33 @@ CSV_EXCLUDES = ["l_partkey", "l_suppkey", "l_shipdate"]
 CSV_TEMPLATE = "{root}/season={code}"
 
 
+# Season of rows without a ship date, and in dirty files of those shipped later.
+DIRTY_LAST_YEAR = 2001
+
+
+def season_year() -> F.Column:
+    return F.coalesce(ship_year(), F.lit(DIRTY_LAST_YEAR))
+
+
+def season_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """First and last season that lineitem's files have."""
+    years = table(spark, sf_dir, "lineitem").agg(
+        F.min(season_year()).alias("a"), F.max(season_year()).alias("b")).head()
+    return int(years["a"]), int(years["b"])
+
+
 def write_lineitem_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
     """lineitem as season directories of CSV files with a header each; the
     header depends on the ship year (three layouts). One distributed write
-    per layout, partitioned by season."""
-    li = lineitem_with_derived(spark, sf_dir).withColumn("season", season_code(ship_year()))
+    per layout, partitioned by season. Rows without a ship date have the late
+    layout and the season of DIRTY_LAST_YEAR."""
+    li = lineitem_with_derived(spark, sf_dir).withColumn("season", season_code(season_year()))
     for cols, cond in zip([CSV_EARLY, CSV_MIDDLE, CSV_LATE], year_group_conditions(li)):
         (li.where(cond).select(*cols, "season").write.mode("append")
          .partitionBy("season").option("header", True).csv(root))
     return root
 
 
-# Season of rows without a ship date, and of those shipped later.
-DIRTY_LAST_YEAR = 2001
-
-
 def write_dirty_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
     """lineitem as season files such as hand-kept tables have them: one text
     file per season, its header first. Every row has a quoted note with a
@@ -148,7 +160,7 @@ def write_dirty_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
     long (two cells more than titles), blank in the quantity, or whole.
     Seasons up to EARLY_LAST_YEAR lack the tax."""
     li = table(spark, sf_dir, "lineitem")
-    year = F.least(F.coalesce(ship_year(), F.lit(DIRTY_LAST_YEAR)), F.lit(DIRTY_LAST_YEAR))
+    year = F.least(season_year(), F.lit(DIRTY_LAST_YEAR))
     kind = F.col("l_linenumber") % 4
 
     def text(name: str) -> F.Column:

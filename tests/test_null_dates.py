@@ -1,0 +1,17 @@
+"""Rows of lineitem without a ship date stay in the season files."""
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from tablefit.plans import queries
+
+
+def test_rows_without_a_ship_date_are_collated(spark, tmpdir_path):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").limit(300)
+    late = F.col("l_linenumber") % 3 == 0
+    li = li.withColumn("l_shipdate", F.when(~late, F.col("l_shipdate")))
+    li.write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    rows = spark.read.parquet(f"{tmpdir_path}/lineitem.parquet")
+    undated = rows.where("l_shipdate IS NULL").count()
+    got = queries.collate_csv(spark, tmpdir_path).collect()
+    assert undated > 0 and len(got) == 300
+    assert sum(r.start_year == 2001 for r in got) == rows.where("l_shipdate IS NULL OR year(l_shipdate) = 2001").count()
