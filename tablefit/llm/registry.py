@@ -8,6 +8,7 @@ from tablefit.llm.decontaminate import OP1_SQL, op1_decontaminate
 from tablefit.llm.html_text import op10_html_text
 from tablefit.llm.lm_score import op2_lm_score
 from tablefit.llm.near_dedup import op8_near_dedup
+from tablefit.llm.periodic_runs import OP11_SQL, op11_periodic_runs
 from tablefit.llm.pii import op6_pii
 from tablefit.llm.quality import op9_quality
 from tablefit.llm.toxicity import op7_toxicity
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
     "op5_url_filter": OP5_SQL,
+    "op11_periodic_runs": OP11_SQL,
 }
