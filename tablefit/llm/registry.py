@@ -11,6 +11,7 @@ from tablefit.llm.near_dedup import op8_near_dedup
 from tablefit.llm.periodic_runs import OP11_SQL, op11_periodic_runs
 from tablefit.llm.pii import op6_pii
 from tablefit.llm.quality import op9_quality
+from tablefit.llm.token_counts import op12_token_counts
 from tablefit.llm.toxicity import op7_toxicity
 from tablefit.llm.url_filter import OP5_SQL, op5_url_filter
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
