@@ -42,6 +42,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame | None) -> None:
+    """Delete the checkpoints behind frames of ``materialize``, once nothing reads them any more."""
+    for df in frames:
+        plan = df._jdf.queryExecution().analyzed() if df is not None else None
+        if plan is None or plan.getClass().getSimpleName() != "LogicalRDD":
+            continue
+        file = plan.rdd().getCheckpointFile()
+        if file.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept while they fit ``WORD_CACHE`` entries."""
 

@@ -10,6 +10,7 @@ from tablefit.llm.lm_score import op2_lm_score
 from tablefit.llm.near_dedup import op8_near_dedup
 from tablefit.llm.periodic_runs import OP11_SQL, op11_periodic_runs
 from tablefit.llm.pii import op6_pii
+from tablefit.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from tablefit.llm.quality import op9_quality
 from tablefit.llm.token_counts import op12_token_counts
 from tablefit.llm.toxicity import op7_toxicity
@@ -28,10 +29,12 @@ QUERIES = {
     "op10_html_text": op10_html_text,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
     "op5_url_filter": OP5_SQL,
     "op11_periodic_runs": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }

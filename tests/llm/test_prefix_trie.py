@@ -1,0 +1,128 @@
+import hashlib
+import os
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tablefit.llm import prefix_trie as pt
+from tablefit.llm.common import materialize, release, table
+
+SF001 = "/root/testdata/sf0.001"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def plain_nodes(convs):
+    """Nodes of ``{conv_id: [(role, text), ...]}`` by their whole prefixes."""
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(list)
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    out, leaves, saved = [], {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[c] for c in children[p]) if children[p] else 1
+        own = (len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0
+        saved[p] = own + sum(saved[c] for c in children[p])
+        ends = ",".join(map(str, sorted(c for c in members[p] if len(convs[c]) == len(p))))
+        out.append((min(members[p]), len(p), min(members[p[:-1]]) if p else None, len(members[p]), len(children[p]), leaves[p], saved[p],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def plain_convs(rows):
+    own = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            own[conv_id].append((turn is not None, turn or 0, hashlib.sha256(f"{len(role or '')}:{role or ''}{text or ''}".encode()).digest()[:16],
+                                 (role or "", text or "")))
+    return {c: [t[-1] for t in sorted(v)] for c, v in own.items()}
+
+
+def plain_rebuilt(own):
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = own.get(c - c % 5, [])[:h] + turns[h:]
+    return built
+
+
+def rows_of(df):
+    assert df.columns == COLUMNS
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def frame(spark, convs):
+    rows = [(c, i, r, t) for c, turns in convs.items() for i, (r, t) in enumerate(turns)]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def random_convs(rnd, n, words, longest):
+    return {rnd.randrange(10**6): [("u" if i % 2 else "a", rnd.choice(words)) for i in range(rnd.randrange(1, longest + 1))] for _ in range(n)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_nodes_equal_whole_prefixes_in_many_shards(spark, seed, monkeypatch):
+    rnd = random.Random(seed)
+    monkeypatch.setattr(pt, "BLOCK", rnd.choice([1, 2, 3, 32]))
+    monkeypatch.setattr(pt, "TURNS_PER_SHARD", rnd.choice([3, 20, 10**6]))
+    convs = random_convs(rnd, rnd.choice([30, 120]), ["", "é", "xyz"][: rnd.randrange(1, 4)], rnd.choice([3, 9]))
+    seqs = materialize(pt.sequences(frame(spark, convs)))
+    assert rows_of(pt.prefix_trie(seqs)) == plain_nodes(convs)
+
+
+def test_one_conversation_and_one_first_turn_hold_most_rows(spark, monkeypatch):
+    """The common list and the common prefix fall into many shards, the ends into many blocks."""
+    monkeypatch.setattr(pt, "TURNS_PER_SHARD", 40)
+    monkeypatch.setattr(pt, "IDS_PER_BLOCK", 7)
+    rnd = random.Random(5)
+    common = [("u", "hello"), ("a", "hi"), ("u", "bye")]
+    convs = {i: common for i in range(0, 400)}
+    convs |= {i: [common[0], ("a", str(rnd.randrange(9))), ("u", str(rnd.randrange(9)))] for i in range(400, 700)}
+    convs |= {i: common[:2] for i in range(700, 760)}
+    seqs = materialize(pt.sequences(frame(spark, convs)))
+    assert rows_of(pt.prefix_trie(seqs)) == plain_nodes(convs)
+
+
+def test_turnless_and_single_conversations(spark):
+    seqs = spark.createDataFrame([(7, []), (3, []), (5, [(bytearray(b"k" * 16), 4)])], "conv_id long, turns array<struct<key: binary, bytes: long>>")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert rows_of(pt.prefix_trie(seqs)) == sorted([(3, 0, None, 3, 1, 1, 0, sha("3,7")), (5, 1, 3, 1, 0, 1, 0, sha("5"))], key=str)
+    only = spark.createDataFrame([(7, []), (3, [])], seqs.schema)
+    assert rows_of(pt.prefix_trie(only)) == [(3, 0, None, 2, 0, 1, 0, sha("3,7"))]
+    assert pt.prefix_trie(seqs.limit(0)).count() == 0
+
+
+def test_long_conversation_pads_no_other(spark):
+    convs = {1: [("u", str(i)) for i in range(3000)], 2: [("u", str(i)) for i in range(1500)] + [("u", "x")]}
+    convs |= {i: [("u", "0"), ("a", str(i))] for i in range(10, 200)}
+    seqs = materialize(pt.sequences(frame(spark, convs)))
+    assert rows_of(pt.prefix_trie(seqs)) == plain_nodes(convs)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "u", "first"), (1, 0, None, None), (1, 0, "", ""), (1, 3, "u", "x" * 200_000), (2, 5, "u", None), (2, 5, "u", None),
+            (None, 0, "u", "lost"), (3, 1, "ab", "c"), (4, 1, "a", "bc"), (3, 1, "ab", "c"), (-7, 0, "u", "minus")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS depth", "'k' AS key", "0 AS shard")
+    seqs = materialize(pt.sequences(df))
+    want = plain_convs(rows)
+    assert {r.conv_id: len(r.turns) for r in seqs.collect()} == {c: len(t) for c, t in want.items()}
+    assert rows_of(pt.prefix_trie(seqs)) == plain_nodes(want)
+    assert pt.prefix_trie(materialize(pt.sequences(df.limit(0)))).count() == 0
+
+
+def test_query_equals_plain_version(spark):
+    rows = [tuple(r) for r in table(spark, SF001, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    assert rows_of(pt.op13_prefix_trie(spark, SF001)) == plain_nodes(plain_rebuilt(plain_convs(rows)))
+
+
+def test_release_deletes_the_checkpoint(spark):
+    df = materialize(spark.range(10))
+    path = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:")
+    assert os.path.exists(path)
+    release(df, None, spark.range(3))
+    assert not os.path.exists(path)
