@@ -6,8 +6,9 @@ text are strings of the vocabulary, but that alone does not make them one
 token: the merges, taken by rank, may stop before. So the driver proves once,
 before any text is read, which strings of the vocabulary merge to one token
 when they stand alone. A pre-token among the proven ones counts 1 without a
-merge; only the rest is merged, by a heap of the pairs in it (rank, then
-place). A worker remembers the counts of up to ``REST_CACHE`` merged ones.
+merge; only the rest is merged (pieces beyond ``_SHORT`` bytes by a heap of
+rank and place). A worker remembers the counts of up to ``REST_CACHE`` merged
+ones.
 
 Character classes depend on the Unicode version. The driver compares how the
 pattern and the tokenizer library cut around every character of the basic
@@ -42,11 +43,13 @@ from tablefit.llm.common import table
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Merged pre-tokens whose counts a worker keeps; beyond it the table starts anew.
-REST_CACHE = 100_000
+REST_CACHE = 250_000
 #: Bytes of a tokenizer file that the driver reads and sends to the workers at most.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Characters from which a text is cut before the pattern runs over it.
 _LONG = 200_000
+#: Bytes up to which a pre-token is merged by scanning its pairs.
+_SHORT = 100
 _CUT = regex.compile(r"(?<=[A-Za-z0-9]) ")
 
 
@@ -60,6 +63,26 @@ def byte_of_char() -> dict[str, int]:
 
 def merged(piece: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
     """The tokens of one pre-token: the pair of the smallest rank joins first, the leftmost one on a tie."""
+    if len(piece) > _SHORT:
+        return _merged_by_heap(piece, ranks)
+    get, none = ranks.get, len(ranks)
+    tokens = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [get(p, none) for p in zip(tokens, tokens[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == none:
+            break
+        i = pairs.index(best)
+        tokens[i] += tokens.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = get((tokens[i], tokens[i + 1]), none)
+        if i:
+            pairs[i - 1] = get((tokens[i - 1], tokens[i]), none)
+    return tokens
+
+
+def _merged_by_heap(piece: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
     n = len(piece)
     token: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
     right, left = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -133,24 +156,24 @@ def unlike(pattern: str) -> str:
 
 
 class Counts(dict):
-    """Tokens of a pre-token; the proven ones are there from the start."""
+    """Tokens of a pre-token: of the proven ones from the start, of up to ``REST_CACHE`` others once merged."""
 
     def __init__(self, proven: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> None:
-        super().__init__()
+        self.whole = {}
         for token in proven:
             try:
-                self[token.decode()] = 1
+                self.whole[token.decode()] = 1
             except UnicodeDecodeError:
                 pass  # part of a character: never a pre-token
-        self.ranks, self.rest, self.merges = ranks, {}, 0
+        super().__init__(self.whole)
+        self.ranks, self.merges = ranks, 0
 
     def __missing__(self, piece: str) -> int:
-        count = self.rest.get(piece)
-        if count is None:
-            if len(self.rest) >= REST_CACHE:
-                self.rest.clear()
-            self.merges += 1
-            count = self.rest[piece] = len(merged(piece.encode("utf-8", "surrogatepass"), self.ranks))
+        if len(self) >= len(self.whole) + REST_CACHE:
+            self.clear()
+            self.update(self.whole)
+        self.merges += 1
+        count = self[piece] = len(merged(piece.encode("utf-8", "surrogatepass"), self.ranks))
         return count
 
 

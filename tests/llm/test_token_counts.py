@@ -91,6 +91,21 @@ def test_other_tokenizers_are_refused(change):
         tc.Vocabulary(json.dumps(spec).encode())
 
 
+def test_both_ways_to_merge_agree(vocabulary):
+    rnd = random.Random(6)
+    for _ in range(500):
+        piece = bytes(rnd.choice(b"abcdeth ") for _ in range(rnd.randrange(0, 100)))
+        assert tc.merged(piece, vocabulary.ranks) == tc._merged_by_heap(piece, vocabulary.ranks)
+
+
+def test_the_cache_starts_anew(own, vocabulary, library, monkeypatch):
+    monkeypatch.setattr(tc, "REST_CACHE", 3)
+    counts = tc.Counts(vocabulary.proven, vocabulary.ranks)
+    words = [" zq" + c * 3 for c in "abcdefgh"]
+    assert [counts[w] for w in words * 2] == [n(library, w) for w in words * 2]
+    assert len(counts) <= len(counts.whole) + 3
+
+
 def test_long_texts_are_cut_where_nothing_changes(own, library, monkeypatch):
     rnd = random.Random(1)
     text = "".join(rnd.choice(["word", " it's", "  two", "\n", " 1", "é ", "!"]) for _ in range(60_000))
