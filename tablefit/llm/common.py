@@ -8,6 +8,7 @@ that on UTF-8 text.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import xxhash
@@ -42,15 +43,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table below the checkpoint folder: computed once, with
+    its lineage cut and its real size known to the planner. (The size that a
+    checkpoint keeps is the estimate of its plan; over many rounds of joins these
+    estimates multiply without bound.)"""
+    path = f"{checkpoint_root(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table_ = df.sparkSession.read.schema(df.schema).parquet(path)
+    table_.stored_at = path
+    return table_
+
+
 def release(*frames: DataFrame | None) -> None:
-    """Delete the checkpoints behind frames of ``materialize``, once nothing reads them any more."""
+    """Delete what ``stored`` or ``materialize`` wrote for these frames, once nothing reads them any more."""
     for df in frames:
-        plan = df._jdf.queryExecution().analyzed() if df is not None else None
-        if plan is None or plan.getClass().getSimpleName() != "LogicalRDD":
+        if df is None:
             continue
-        file = plan.rdd().getCheckpointFile()
-        if file.isDefined():
-            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        files = [df.stored_at] if "stored_at" in vars(df) else []
+        plan = df._jdf.queryExecution().analyzed()
+        if not files and plan.getClass().getSimpleName() == "LogicalRDD":
+            file = plan.rdd().getCheckpointFile()
+            files = [file.get()] if file.isDefined() else []
+        for file in files:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import materialize
+from tablefit.llm.common import release, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,10 +20,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(
         edges.select(F.col("b").alias("src"), F.col("a").alias("dst"))
     )
-    both = materialize(both.where("src <> dst").distinct())
-    labels = materialize(
+    both = stored(both.where("src <> dst").distinct())
+    labels = stored(
         both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("m")).select("node", F.least("node", "m").alias("component"))
     )
+    kept = labels
     while True:
         near = (
             both.join(labels.withColumnRenamed("node", "dst"), "dst")
@@ -32,10 +33,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         )
         step = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("up"))
         top = labels.select(F.col("node").alias("up"), F.col("component").alias("t"))
-        new = materialize(
+        new = stored(
             step.join(top, "up", "left").select("node", F.least("up", F.coalesce("t", "up")).alias("component"), "old")
         )
-        done = new.where("component <> old").isEmpty()
-        labels = new.select("node", "component")
-        if done:
-            return labels
+        if new.where("component <> old").isEmpty():
+            release(both, new)
+            return labels  # they did not change
+        release(kept)
+        kept, labels = new, new.select("node", "component")

@@ -6,18 +6,27 @@
    minima, packed bit plane by bit plane into longs.
 2. Documents with the same set form a class, named by its smallest id; only
    classes are compared.
-3. Classes that share a band key are candidates. A first round compares the
-   members of a bucket with its most central member only; confirmed
-   links are merged into components. A last round compares, in buckets that
-   still hold several components, members of different components, by longer
-   signatures made for these members alone. Pairs inside one component need
-   no test: they can't change a component. So no bucket is expanded into all
-   its pairs, and no link between components is lost.
+3. Classes that share a band key are candidates. Star rounds compare the
+   members of a bucket with its hub only: first its most central member, then
+   the one with most links so far, and only members of other components than
+   the hub's. Confirmed links are merged into components between the rounds.
+   A last round compares, in buckets that still hold several components,
+   members of different components. Pairs inside one component need no test:
+   they can't change a component. Before that round the shingles are counted
+   that no other open member has: they are in no intersection, so a member
+   with c others can only link with n of a size that c allows, and whoever
+   finds no such size in a bucket leaves it. What remains is compared by
+   longer signatures made for these members alone. No link between components
+   is lost. In a group of copies whose edits differ, members that stay
+   apart do so by their own edits and leave the buckets; many texts that stay
+   just below the threshold to each other without shingles of their own would
+   still be compared with each other.
 4. A candidate passes to the exact test if the sizes of its sets allow the
    link and its similarity is at least ``CUT``, as estimated from equal b-bit
-   lanes and corrected for chance collisions (2**-BITS of unequal lanes agree). The estimate's standard error
-   at 0.75 is about 0.04, so the cut lies some six of them below; for the
-   longer signatures it is 0.016, and ``LONG_CUT`` lies four below.
+   lanes and corrected for chance collisions (2**-BITS of unequal lanes agree).
+   The estimate's standard error at 0.75 is about 0.04, so the cut lies some
+   six of them below; for the longer signatures it is 0.011, and ``LONG_CUT``
+   lies four below.
 5. The exact test builds both full shingle sets again from the whole texts
    and compares ``100 * |A & B| >= 75 * |A | B|``.
 
@@ -41,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import materialize, shingles_of, table
+from tablefit.llm.common import release, shingles_of, stored, table
 from tablefit.llm.components import connected_components
 
 WIDTH = 5
@@ -51,10 +60,11 @@ BITS = 4
 #: Estimated similarity from which a candidate is tested exactly.
 CUT = 0.5
 THRESHOLD_PERCENT = 75
-#: Rounds that compare a bucket's members with one member only.
-STAR_ROUNDS = 1
+#: Rounds at most that compare a bucket's members with one member only; what
+#: they leave unlinked the last round compares.
+STAR_ROUNDS = 3
 #: Minima, bits of each and cut of the longer signatures of the last round.
-LONG_HASHES, LONG_BITS, LONG_CUT = 1024, 2, 0.68
+LONG_HASHES, LONG_BITS, LONG_CUT = 2048, 2, 0.704
 
 _HASHES = BANDS * ROWS
 _RNG = np.random.default_rng(8)
@@ -138,9 +148,36 @@ def estimate(a: str, b: str, hashes: int = _HASHES, bits: int = BITS) -> Column:
     return (equal - F.lit(chance)) / F.lit(1 - chance)
 
 
-def _sizes_allow(percent: int) -> Column:
-    """No link between sets of ``na`` and ``nb`` shingles can be without this."""
-    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+def _sizes_allow(percent: int, a: str = "na", b: str = "nb") -> Column:
+    """No link between sets of ``na`` and ``nb`` shingles, of which ``a`` and ``b`` can be common, can be without this."""
+    return (100 + percent) * F.least(a, b) >= percent * (F.col("na") + F.col("nb"))
+
+
+#: Shingles that one task counts at a time before it sends them on.
+_COUNTED = 2_000_000
+
+
+def _own_shingles(width: int):
+    """``h, n, id``: every shingle of some texts once, with its texts (2: two or more)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+            h, first, n = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
+            owner = np.repeat(np.array(ids, np.int64), [len(s) for s in sets])[first]
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2)), pa.array(owner)], ["h", "n", "id"])
+
+        ids, sets, total = [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids.append(doc_id), sets.append(shingles_of(text, width))
+                total += len(sets[-1])
+                if total >= _COUNTED:
+                    yield counted(ids, sets)
+                    ids, sets, total = [], [], 0
+        if sets:
+            yield counted(ids, sets)
+
+    return run
 
 
 def _confirm(width: int, percent: int):
@@ -163,49 +200,108 @@ def _confirm(width: int, percent: int):
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that the exact test confirms."""
-    likely = materialize(
+    likely = stored(
         pairs.join(classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
         .join(classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
         .where(_sizes_allow(percent) & (estimate("sa", "sb") >= CUT))
         .select("a", "b")  # no distinct here: it would keep Spark from splitting the rows of a hot hub
     )
-    ids = materialize(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct())
-    texts = materialize(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text"))
+    ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
+    texts = stored(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text"))
     both = (
         likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         .select("a", "b", "ta", "tb")
     )
-    return materialize(both.mapInArrow(_confirm(width, percent), "a long, b long"))
+    found = stored(both.mapInArrow(_confirm(width, percent), "a long, b long"))
+    release(likely, texts)
+    return found
 
 
-def _star(shared: DataFrame, labels: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """Pairs ``(a, b)`` of each bucket's members with one of them, ``b``: the
-    most central member, in later rounds the most central one outside the
-    component of the most central one. Only members of other components than
-    b's are paired, and no pair of an earlier round."""
-    named = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "meets", F.coalesce("component", "rep").alias("component")
-    )
-    rank = F.struct("meets", -F.col("rep"), "component")
+def _star(shared: DataFrame, labels: DataFrame | None, links: DataFrame | None, tested: DataFrame | None) -> DataFrame:
+    """Pairs ``(a, b)`` of each bucket's members with its hub ``b``, the member
+    with most links so far, then the most central one. Only members of other
+    components than b's are paired, and no pair of an earlier round."""
+    if links is None:
+        named = shared.select("key", "rep", "meets", F.col("rep").alias("component"), F.lit(0).cast("long").alias("degree"))
+    else:
+        ends = links.select(F.col("a").alias("rep")).union(links.select("b"))
+        known = labels.withColumnRenamed("node", "rep").join(ends.groupBy("rep").agg(F.count("*").alias("degree")), "rep", "left")
+        named = shared.join(stored(known), "rep", "left").select(
+            "key", "rep", "meets", F.coalesce("component", "rep").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")
+        )
+    named = stored(named)
+    rank = F.struct("degree", "meets", -F.col("rep"), "component")
+    hubs = named.groupBy("key").agg(F.max(rank).alias("m")).select("key", (-F.col("m.col3")).alias("b"), F.col("m.component").alias("cb"))
+    pairs = named.join(stored(hubs), "key").where("component <> cb").select(F.col("rep").alias("a"), "b").distinct()
     if tested is not None:
-        named = materialize(named)
-        tops = materialize(named.groupBy("key").agg(F.max(rank)["component"].alias("top")))
-        others = named.join(tops, "key").where("component <> top").drop("top")
+        pairs = pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
+    pairs = stored(pairs)
+    release(named)
+    return pairs
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """``members`` of buckets that hold several components."""
+    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return members.join(stored(mixed), "key")
+
+
+def _open_pairs(shared: DataFrame, labels: DataFrame | None, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components in one bucket that may be linked."""
+    if labels is None:
+        labelled = shared.select("key", "rep", F.col("rep").alias("component"))
     else:
-        named = others = materialize(named)
-    hubs = materialize(
-        others.groupBy("key").agg(F.max(rank).alias("m")).select("key", (-F.col("m.col2")).alias("b"), F.col("m.component").alias("cb"))
+        labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "key", "rep", F.coalesce("component", "rep").alias("component")
+        )
+    members = stored(_mixed(stored(labelled)))
+    texts_of = lambda rows: docs.join(
+        stored(rows.select(F.col("rep").alias("id")).distinct()), F.col("doc_id") == F.col("id"), "left_semi"
+    ).select("doc_id", "text").distinct()
+    own = (
+        texts_of(members).mapInArrow(_own_shingles(width), "h long, n long, id long")
+        .groupBy("h").agg(F.sum("n").alias("n"), F.min("id").alias("id")).where("n = 1")
+        .groupBy(F.col("id").alias("rep")).agg(F.count("*").alias("own"))
+    )
+    sized = (
+        members.join(classes.select("rep", "n"), "rep").join(stored(own), "rep", "left")
+        .select("key", "rep", "component", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+    )
+    sized = stored(sized)
+    span = sized.groupBy("key").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    # sizes of partners: at least percent of n, at most what the common shingles allow
+    lowest = F.ceil(F.lit(percent) * F.col("n") / 100)
+    highest = F.floor(F.lit(100 + percent) * F.col("common") / percent) - F.col("n")
+    able = stored(sized.join(stored(span), "key").where(F.greatest("least", lowest) <= F.least("most", highest)).drop("least", "most"))
+    able = stored(_mixed(able))
+    longer = stored(texts_of(able).mapInArrow(_long_signatures(width), "id long, long_sig array<long>"))
+    able = (
+        able.join(longer, able["rep"] == longer["id"])
+        .join(stored(able.groupBy("rep").agg(F.collect_set("key").alias("keys"))), "rep")  # at most BANDS keys
+        .select("key", "rep", "component", "n", "common", "long_sig", "keys")
+    )
+    able = stored(able)
+    x, y = (
+        able.select(
+            F.col("key").alias(f"key_{i}"), F.col("rep").alias(i), F.col("component").alias(f"c{i}"), F.col("n").alias(f"n{i}"),
+            F.col("common").alias(f"m{i}"), F.col("long_sig").alias(f"s{i}"), F.col("keys").alias(f"keys_{i}"),
+        )
+        for i in ("a", "b")
     )
-    pairs = named.join(hubs, "key").where("component <> cb").select(F.col("rep").alias("a"), "b").distinct()
-    return pairs if tested is None else pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
+    similar = estimate("sa", "sb", LONG_HASHES, LONG_BITS) >= LONG_CUT
+    first_met = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key_a")  # a pair comes out of one bucket only
+    met = (F.col("key_a") == F.col("key_b")) & (F.col("ca") < F.col("cb"))
+    pairs = stored(x.join(y, met & _sizes_allow(percent, "ma", "mb") & similar & first_met).select("a", "b").distinct())
+    release(members, sized, longer, able)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(docs.mapInArrow(_signatures(width), _SIGNATURE_SCHEMA))
-    classes = materialize(
+    signed = stored(docs.mapInArrow(_signatures(width), _SIGNATURE_SCHEMA))
+    classes = stored(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("k1", "k2")
         .agg(
@@ -213,68 +309,47 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOL
             F.any_value("sig").alias("sig"),
         )
     )
+    ids = stored(signed.select("doc_id", "n_shingles", "k1", "k2"))
+    release(signed)
     members = classes.select("rep", F.explode("bands").alias("key"))
-    buckets = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    buckets = stored(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     # Members of buckets with more than one class: all that can still be linked.
-    shared = materialize(members.join(buckets, "key").select("key", "rep", "n"))
-    central = materialize(shared.groupBy("rep").agg(F.sum("n").alias("meets")))
-    shared = materialize(shared.join(central, "rep").select("key", "rep", "meets"))
-    links = tested = None
-    labels = shared.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
+    met = stored(members.join(buckets, "key").select("key", "rep", "n"))
+    central = stored(met.groupBy("rep").agg(F.sum("n").alias("meets")))
+    shared = stored(met.join(central, "rep").select("key", "rep", "meets"))
+    release(buckets, met, central)
+    links = tested = labels = None
     for _ in range(STAR_ROUNDS):
-        pairs = materialize(_star(shared, labels, tested))
+        pairs = _star(shared, labels, links, tested)
         if pairs.isEmpty():
             break
         found = _links(pairs, classes, docs, width, percent)
         tested = pairs if tested is None else tested.union(pairs)
+        if found.isEmpty():
+            break
         links = found if links is None else links.union(found)
+        release(labels)
         labels = connected_components(links)
 
-    labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")
-    )
-    labelled = materialize(labelled)
-    mixed = materialize(
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi")
-        .select("key", F.col("lo"))
-    )
-    open_members = materialize(labelled.join(mixed, "key").select("key", "rep", "component"))
-    open_ids = materialize(open_members.select(F.col("rep").alias("id")).distinct())
-    open_texts = docs.join(open_ids, docs["doc_id"] == open_ids["id"], "left_semi").select("doc_id", "text")
-    longer = materialize(open_texts.distinct().mapInArrow(_long_signatures(width), "id long, long_sig array<long>"))
-    open_members = (
-        open_members.join(classes.select("rep", "n"), "rep")
-        .join(longer, open_members["rep"] == longer["id"])
-        .join(materialize(open_members.groupBy("rep").agg(F.collect_set("key").alias("keys"))), "rep")  # at most BANDS keys
-    )
-    open_members = materialize(open_members.select("key", "rep", "component", "n", "long_sig", "keys"))
-    x, y = (
-        open_members.select(
-            F.col("key").alias(f"key_{i}"), F.col("rep").alias(i), F.col("component").alias(f"c{i}"), F.col("n").alias(f"n{i}"),
-            F.col("long_sig").alias(f"s{i}"), F.col("keys").alias(f"keys_{i}"),
-        )
-        for i in ("a", "b")
-    )
-    similar = estimate("sa", "sb", LONG_HASHES, LONG_BITS) >= LONG_CUT
-    first_met = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key_a")  # a pair comes out of one bucket only
-    met = (F.col("key_a") == F.col("key_b")) & (F.col("ca") < F.col("cb"))
-    second = x.join(y, met & _sizes_allow(percent) & similar & first_met).select("a", "b").distinct()
+    pairs = _open_pairs(shared, labels, classes, docs, width, percent)
     if tested is not None:
-        second = second.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
-    second = materialize(second)
-    if not second.isEmpty():
-        more = _links(second, classes, docs, width, percent)
+        pairs = pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
+    pairs = stored(pairs)
+    if not pairs.isEmpty():
+        more = _links(pairs, classes, docs, width, percent)
         if not more.isEmpty():
-            labels = connected_components(links.union(more))
+            links = more if links is None else links.union(more)
+            release(labels)
+            labels = connected_components(links)
 
-    named = materialize(
-        classes.select("k1", "k2", "rep")
-        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component", "rep").alias("component"))
-    )
-    linked = signed.select("doc_id", "n_shingles", "k1", "k2").join(
+    reps = classes.select("k1", "k2", "rep")
+    if labels is not None:
+        reps = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    else:
+        reps = reps.withColumn("component", F.col("rep"))
+    named = stored(reps.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component", "rep").alias("component")))
+    release(classes, shared, labels)
+    linked = ids.join(
         named,
         (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
         "left",

@@ -92,3 +92,51 @@ def test_estimate_is_close_to_the_similarity(spark):
     rows = [(near_dedup.pack(near_dedup.minima(a)).tolist(), near_dedup.pack(near_dedup.minima(b)).tolist())]
     df = spark.createDataFrame(rows, "x array<long>, y array<long>")
     assert abs(df.select(near_dedup.estimate("x", "y").alias("e")).first().e - 500 / 700) < 0.15
+
+
+def edited_group(rnd, n, length, edits, base_copies=0):
+    words = [f"w{i}" for i in range(10**6)]
+    base = [rnd.choice(words) for _ in range(length)]
+    out = [" ".join(base)] * base_copies
+    for _ in range(n):
+        text = list(base)
+        for i in rnd.sample(range(length), rnd.choice(edits)):
+            text[i] = rnd.choice(words)
+        out.append(" ".join(text))
+    return out
+
+
+def counted(monkeypatch):
+    """The pairs that each exact test gets."""
+    sizes, real = [], near_dedup._links
+    monkeypatch.setattr(near_dedup, "_links", lambda pairs, *a: sizes.append(pairs.count()) or real(pairs, *a))
+    return sizes
+
+
+def test_pairs_grow_linearly_in_a_group_that_stays_apart(spark, monkeypatch):
+    """Copies with 2 of 60 words changed share most buckets and link with nothing."""
+    sizes = counted(monkeypatch)
+    totals = []
+    for n in (200, 1200):
+        rows = list(enumerate(edited_group(random.Random(1), n, 60, [2])))  # brute force: nothing links
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        sizes.clear()
+        assert result(near_dedup.near_duplicates(df)) == brute(rows)
+        totals.append(sum(sizes))
+    assert totals[1] <= 8 * totals[0] + 1000, totals
+
+
+def test_copies_with_few_and_many_edits(spark, monkeypatch):
+    """Some link with the original, some with nothing: the last round gets few pairs."""
+    sizes = counted(monkeypatch)
+    rows = list(enumerate(edited_group(random.Random(2), 700, 150, [1, 2, 3, 4, 5, 6], base_copies=3)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(near_dedup.near_duplicates(df)) == brute(rows)
+    assert sum(sizes) < 20 * len(rows), sizes
+
+
+def test_own_shingles_are_counted_across_batches(spark, monkeypatch):
+    rows = [(i, f"a b c d e f x{i} y{i} z{i} u{i} v{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    own = df.mapInArrow(near_dedup._own_shingles(5), "h long, n long, id long").groupBy("h").sum("n").where("`sum(n)` = 1").count()
+    assert own == 50 * 5

@@ -73,3 +73,14 @@ def test_odd_rows_and_an_empty_table(spark):
             assert out.count() == len(rows)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF001).count() == 0
+
+
+def test_different_texts_of_one_doc_id_are_judged_apart(spark):
+    near = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    rows = [(1, near), (5, near + " more"), (5, "a text of its own that nothing else is like at all"), (5, near + " more"), (5, None), (5, ""),
+            (6, "another text that stands alone in this table of ours"), (6, "and one more that stands alone here for good")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], table(spark, SF001, "documents").schema)
+    out = corpus_pipeline.near_dedup_stage(spark, docs, SF001).collect()
+    assert sorted((r.doc_id, r.text or "") for r in out) == [
+        (1, near), (5, ""), (5, "a text of its own that nothing else is like at all"),
+        (6, "and one more that stands alone here for good"), (6, "another text that stands alone in this table of ours")]

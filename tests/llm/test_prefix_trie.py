@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 
 from tablefit.llm import prefix_trie as pt
-from tablefit.llm.common import materialize, release, table
+from tablefit.llm.common import materialize, release, stored, table
 
 SF001 = "/root/testdata/sf0.001"
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
@@ -126,3 +126,8 @@ def test_release_deletes_the_checkpoint(spark):
     assert os.path.exists(path)
     release(df, None, spark.range(3))
     assert not os.path.exists(path)
+    df = stored(spark.range(10))
+    path = df.stored_at.removeprefix("file:")
+    assert df.count() == 10 and os.path.exists(path)
+    release(df)
+    assert not os.path.exists(path)
