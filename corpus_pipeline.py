@@ -6,8 +6,8 @@ the columns of ``docs``; the last one returns token ids and their digests.
 gives the table read back to the next one.
 
 Nulls: a null text is empty; a row without a doc_id is judged by its text and
-never merged with another. Repeated rows of a doc_id count as one document;
-of different texts under one doc_id, near-dedup keeps the smallest row.
+never merged with another. Equal texts under one doc_id count as one document;
+different texts under one doc_id are documents of their own.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefit.llm import byte_bpe, decontaminate, near_dedup, pii, quality
-from tablefit.llm.common import checkpoint_root, materialize, table
+from tablefit.llm.common import checkpoint_root, stored, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,15 +28,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, and one row of it."""
-    judged = near_dedup.near_duplicates(docs)
-    dropped = materialize(judged.where("NOT kept").select("doc_id").distinct())
-    repeated = materialize(judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    others = [c for c in docs.columns if c != "doc_id"]
-    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("row"))
-    return single.select(*docs.columns).union(one.select("doc_id", "row.*").select(*docs.columns))
+    """One document of each group of near-duplicates, and one row of it: the
+    smallest. A doc_id with several texts gets a number of its own for each of
+    them, beyond 2**62, so that every text is judged alone and plain ids come first."""
+    text = F.coalesce("text", F.lit(""))
+    digest = F.xxhash64(text)
+    several = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(digest).alias("lo"), F.max(digest).alias("hi"))
+    several = stored(several.where("lo <> hi").select(F.col("doc_id").alias("several")))
+    own = F.xxhash64("doc_id", text).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    named = docs.join(several, F.col("doc_id") == F.col("several"), "left").select(
+        F.struct(*docs.columns).alias("row"), F.when(F.col("several").isNotNull(), own).otherwise(F.col("doc_id")).alias("id")
+    )
+    judged = stored(near_dedup.near_duplicates(named.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text"))))
+    dropped = stored(judged.where("NOT kept").select(F.col("doc_id").alias("id")).distinct())
+    repeated = stored(judged.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id"))
+    kept = named.join(dropped, "id", "left_anti")
+    one = kept.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row"))
+    return kept.join(repeated, "id", "left_anti").select("row.*").union(one.select("row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
