@@ -27,14 +27,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     kept = labels
     while True:
         near = (
-            both.join(labels.withColumnRenamed("node", "dst"), "dst")
+            both.join(labels.withColumnRenamed("node", "dst").hint("merge"), "dst")
             .groupBy(F.col("src").alias("node"))
             .agg(F.min("component").alias("m"))
         )
-        step = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("up"))
+        step = labels.join(near.hint("merge"), "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("up"))
         top = labels.select(F.col("node").alias("up"), F.col("component").alias("t"))
         new = stored(
-            step.join(top, "up", "left").select("node", F.least("up", F.coalesce("t", "up")).alias("component"), "old")
+            step.join(top.hint("merge"), "up", "left").select("node", F.least("up", F.coalesce("t", "up")).alias("component"), "old")
         )
         if new.where("component <> old").isEmpty():
             release(both, new)

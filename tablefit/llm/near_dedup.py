@@ -198,23 +198,24 @@ def _confirm(width: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _met(left: DataFrame, right: DataFrame, on: str | Column, how: str = "inner") -> DataFrame:
+    """A join whose sides grow with the documents: by sort and merge at every
+    size, and so with its hot keys split."""
+    return left.join(right.hint("merge"), on, how)
+
+
+def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that the exact test confirms."""
+    named = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
     likely = stored(
-        pairs.join(classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
-        .join(classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
+        _met(_met(pairs, named("a"), "a"), named("b"), "b")
         .where(_sizes_allow(percent) & (estimate("sa", "sb") >= CUT))
         .select("a", "b")  # no distinct here: it would keep Spark from splitting the rows of a hot hub
     )
-    ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-    texts = stored(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text"))
-    both = (
-        likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        .select("a", "b", "ta", "tb")
-    )
+    text_of = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"t{x}"))
+    both = _met(_met(likely, text_of("a"), "a"), text_of("b"), "b").select("a", "b", "ta", "tb")
     found = stored(both.mapInArrow(_confirm(width, percent), "a long, b long"))
-    release(likely, texts)
+    release(likely)
     return found
 
 
@@ -227,15 +228,15 @@ def _star(shared: DataFrame, labels: DataFrame | None, links: DataFrame | None,
     else:
         ends = links.select(F.col("a").alias("rep")).union(links.select("b"))
         known = labels.withColumnRenamed("node", "rep").join(ends.groupBy("rep").agg(F.count("*").alias("degree")), "rep", "left")
-        named = shared.join(stored(known), "rep", "left").select(
+        named = _met(shared, stored(known), "rep", "left").select(
             "key", "rep", "meets", F.coalesce("component", "rep").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")
         )
     named = stored(named)
     rank = F.struct("degree", "meets", -F.col("rep"), "component")
     hubs = named.groupBy("key").agg(F.max(rank).alias("m")).select("key", (-F.col("m.col3")).alias("b"), F.col("m.component").alias("cb"))
-    pairs = named.join(stored(hubs), "key").where("component <> cb").select(F.col("rep").alias("a"), "b").distinct()
+    pairs = _met(named, stored(hubs), "key").where("component <> cb").select(F.col("rep").alias("a"), "b").distinct()
     if tested is not None:
-        pairs = pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
+        pairs = pairs.join(tested.union(tested.select("b", "a")).hint("merge"), ["a", "b"], "left_anti")
     pairs = stored(pairs)
     release(named)
     return pairs
@@ -244,28 +245,26 @@ def _star(shared: DataFrame, labels: DataFrame | None, links: DataFrame | None,
 def _mixed(members: DataFrame) -> DataFrame:
     """``members`` of buckets that hold several components."""
     mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    return members.join(stored(mixed), "key")
+    return _met(members, stored(mixed), "key")
 
 
-def _open_pairs(shared: DataFrame, labels: DataFrame | None, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _open_pairs(shared: DataFrame, labels: DataFrame | None, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of different components in one bucket that may be linked."""
     if labels is None:
         labelled = shared.select("key", "rep", F.col("rep").alias("component"))
     else:
-        labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        labelled = _met(shared, labels.withColumnRenamed("node", "rep"), "rep", "left").select(
             "key", "rep", F.coalesce("component", "rep").alias("component")
         )
     members = stored(_mixed(stored(labelled)))
-    texts_of = lambda rows: docs.join(
-        stored(rows.select(F.col("rep").alias("id")).distinct()), F.col("doc_id") == F.col("id"), "left_semi"
-    ).select("doc_id", "text").distinct()
+    texts_of = lambda rows: _met(texts, rows.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     own = (
         texts_of(members).mapInArrow(_own_shingles(width), "h long, n long, id long")
         .groupBy("h").agg(F.sum("n").alias("n"), F.min("id").alias("id")).where("n = 1")
         .groupBy(F.col("id").alias("rep")).agg(F.count("*").alias("own"))
     )
     sized = (
-        members.join(classes.select("rep", "n"), "rep").join(stored(own), "rep", "left")
+        _met(_met(members, classes.select("rep", "n"), "rep"), stored(own), "rep", "left")
         .select("key", "rep", "component", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
     )
     sized = stored(sized)
@@ -273,12 +272,12 @@ def _open_pairs(shared: DataFrame, labels: DataFrame | None, classes: DataFrame,
     # sizes of partners: at least percent of n, at most what the common shingles allow
     lowest = F.ceil(F.lit(percent) * F.col("n") / 100)
     highest = F.floor(F.lit(100 + percent) * F.col("common") / percent) - F.col("n")
-    able = stored(sized.join(stored(span), "key").where(F.greatest("least", lowest) <= F.least("most", highest)).drop("least", "most"))
+    able = stored(_met(sized, stored(span), "key").where(F.greatest("least", lowest) <= F.least("most", highest)).drop("least", "most"))
     able = stored(_mixed(able))
     longer = stored(texts_of(able).mapInArrow(_long_signatures(width), "id long, long_sig array<long>"))
     able = (
-        able.join(longer, able["rep"] == longer["id"])
-        .join(stored(able.groupBy("rep").agg(F.collect_set("key").alias("keys"))), "rep")  # at most BANDS keys
+        _met(_met(able, longer.withColumnRenamed("id", "rep"), "rep"),
+             stored(able.groupBy("rep").agg(F.collect_set("key").alias("keys"))), "rep")  # at most BANDS keys
         .select("key", "rep", "component", "n", "common", "long_sig", "keys")
     )
     able = stored(able)
@@ -314,16 +313,19 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOL
     members = classes.select("rep", F.explode("bands").alias("key"))
     buckets = stored(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     # Members of buckets with more than one class: all that can still be linked.
-    met = stored(members.join(buckets, "key").select("key", "rep", "n"))
+    met = stored(_met(members, buckets, "key").select("key", "rep", "n"))
     central = stored(met.groupBy("rep").agg(F.sum("n").alias("meets")))
-    shared = stored(met.join(central, "rep").select("key", "rep", "meets"))
-    release(buckets, met, central)
+    shared = stored(_met(met, central, "rep").select("key", "rep", "meets"))
+    # Their texts, once: all later rounds read these.
+    some = stored(_met(docs, central.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
+    texts = stored(some.select(F.col("doc_id").alias("id"), "text").distinct())
+    release(buckets, met, central, some)
     links = tested = labels = None
     for _ in range(STAR_ROUNDS):
         pairs = _star(shared, labels, links, tested)
         if pairs.isEmpty():
             break
-        found = _links(pairs, classes, docs, width, percent)
+        found = _links(pairs, classes, texts, width, percent)
         tested = pairs if tested is None else tested.union(pairs)
         if found.isEmpty():
             break
@@ -331,12 +333,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOL
         release(labels)
         labels = connected_components(links)
 
-    pairs = _open_pairs(shared, labels, classes, docs, width, percent)
+    pairs = _open_pairs(shared, labels, classes, texts, width, percent)
     if tested is not None:
         pairs = pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
     pairs = stored(pairs)
     if not pairs.isEmpty():
-        more = _links(pairs, classes, docs, width, percent)
+        more = _links(pairs, classes, texts, width, percent)
         if not more.isEmpty():
             links = more if links is None else links.union(more)
             release(labels)
@@ -344,13 +346,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOL
 
     reps = classes.select("k1", "k2", "rep")
     if labels is not None:
-        reps = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        reps = _met(reps, labels.withColumnRenamed("node", "rep"), "rep", "left")
     else:
         reps = reps.withColumn("component", F.col("rep"))
     named = stored(reps.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.coalesce("component", "rep").alias("component")))
-    release(classes, shared, labels)
+    release(classes, shared, labels, texts)
     linked = ids.join(
-        named,
+        named.hint("merge"),
         (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
         "left",
     )
