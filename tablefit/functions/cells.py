@@ -46,12 +46,10 @@ def typed_cell(c: str | Column,
     are decimal. Text that is not a number but is a category gets the
     category value; everything else (blank, names, dates) is null."""
     text = F.trim(_col(c))
-    # the cast is cheap and fails for most text; the pattern then only guards
-    # what it takes beyond plain numbers. 1e400 is written like a number but
-    # too large for one.
-    number = text.try_cast("double")
-    plain = (F.abs(number) < F.lit(float("inf"))) & text.rlike(NUMBER_PATTERN)
-    return F.coalesce(F.when(plain, number), _category(text, categories))
+    # the pattern first: a cast that fails costs far more than a pattern that
+    # does not match. 1e400 is written like a number but too large for one.
+    number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return F.coalesce(F.when(F.abs(number) < F.lit(float("inf")), number), _category(text, categories))
 
 
 def zero_if_null(c: str | Column) -> Column:

@@ -3,8 +3,9 @@
 A header inventory is a small DataFrame with one row per input file:
 ``file string, season string, start_year int, header array<string>``
 (cleaned titles, in file order). Its size grows with the number of files,
-never with the number of rows, so the only values collected to the driver
-are title names.
+never with the number of rows. Files share few headers, so titles are looked
+at once per distinct header (``distinct_headers``, with its file count and its
+first file); only title names are collected to the driver.
 """
 
 from __future__ import annotations
@@ -19,27 +20,30 @@ from pyspark.sql.window import Window
 from tablefit.functions.fixed import CATALOGUE
 
 
+def distinct_headers(inventory: DataFrame, header_col: str = "header") -> DataFrame:
+    """``header, n_files, first``: each header once, with its files and the
+    (start_year, file) of the first of them. Files are grouped by a hash and
+    the header itself, pre-aggregated in each task."""
+    return (inventory.groupBy(F.xxhash64(header_col).alias("_hash"), F.col(header_col).alias("header"))
+            .agg(F.count(F.lit(1)).alias("n_files"),
+                 F.min(F.struct("start_year", "file")).alias("first")).drop("_hash"))
+
+
 def title_order(inventory: DataFrame, header_col: str = "header") -> DataFrame:
     """U2 as a DataFrame: ``(title, position)``. The longest header comes
     first (the earliest file wins a tie), then every other title by first
     appearance, files taken in (start_year, file) order."""
-    ranked = inventory.select(
-        F.col("file"), F.col("start_year"), F.col(header_col).alias("_h"),
-        F.size(F.col(header_col)).alias("_w"))
-    longest = ranked.orderBy(F.col("_w").desc(), "start_year", "file").limit(1).select(
-        F.col("file").alias("_lf"))
-    flagged = ranked.join(F.broadcast(longest), ranked.file == longest._lf, "left").select(
-        "file", "start_year", "_h",
-        F.when(F.col("_lf").isNotNull(), F.lit(0)).otherwise(F.lit(1)).alias("_rank0"))
+    heads = distinct_headers(inventory, header_col)
+    longest = heads.orderBy(F.size("header").desc(), "first").limit(1).select(F.col("first").alias("_longest"))
+    flagged = heads.join(F.broadcast(longest), F.col("first") == F.col("_longest"), "left")
     exploded = flagged.select(
-        "file", "start_year", "_rank0", F.posexplode("_h").alias("pos", "title"))
-    first = exploded.groupBy("title").agg(
-        F.min(F.struct("_rank0", "start_year", "file", "pos")).alias("_first"))
+        F.when(F.col("_longest").isNotNull(), F.lit(0)).otherwise(F.lit(1)).alias("_rank0"),
+        "first", F.posexplode("header").alias("pos", "title"))
+    first = exploded.groupBy("title").agg(F.min(F.struct("_rank0", "first", "pos")).alias("_first"))
     return first.select(
         "title",
         # one row per distinct title: a global window over it is small
-        F.row_number().over(Window.orderBy(
-            "_first._rank0", "_first.start_year", "_first.file", "_first.pos")).alias("position"))
+        F.row_number().over(Window.orderBy("_first")).alias("position"))
 
 
 def merged_titles(inventory: DataFrame, header_col: str = "header") -> list[str]:
@@ -49,24 +53,16 @@ def merged_titles(inventory: DataFrame, header_col: str = "header") -> list[str]
 
 
 def merged_titles_from_headers(headers: Sequence[Sequence[str]]) -> list[str]:
-    """U2 for headers already known on the driver, in file order."""
-    if not headers:
-        return []
-    longest = max(range(len(headers)), key=lambda i: (len(headers[i]), -i))
-    order = list(dict.fromkeys(headers[longest]))
-    seen = set(order)
-    for h in headers:
-        for t in h:
-            if t not in seen:
-                seen.add(t)
-                order.append(t)
-    return order
+    """U2 for a few headers known on the driver, in file order."""
+    longest = max(headers, key=len, default=[])
+    return list(dict.fromkeys(t for h in [longest, *headers] for t in h))
 
 
 def header_coverage(inventory: DataFrame, header_col: str = "header") -> DataFrame:
     """In how many files each title occurs."""
-    return (inventory.select(F.explode(F.array_distinct(F.col(header_col))).alias("title"))
-            .groupBy("title").agg(F.count(F.lit(1)).alias("n_files")))
+    heads = distinct_headers(inventory, header_col)
+    return (heads.select(F.explode(F.array_distinct("header")).alias("title"), "n_files")
+            .groupBy("title").agg(F.sum("n_files").alias("n_files")))
 
 
 def catalogue_frame(spark: SparkSession, codes: Iterable[str] = CATALOGUE) -> DataFrame:

@@ -1,38 +1,27 @@
-"""Opt-in SGD optimiser path.
+"""Opt-in gradient descent with the configured settings.
 
 ``pyspark.ml`` has no counterpart for ``step``, ``miniBatchFraction``,
-``convergenceTol`` and ``initialWeights`` of the SGD trainers the reference
-run configures; the deprecated RDD-based ``pyspark.mllib`` trainers still
-take them. This path converts the rows to ``LabeledPoint`` (a per-row
-Python map: it is the slow, legacy path and never the default) and trains
-there; scoring happens JVM-side from the fitted weights, so predictions are
-an ordinary column expression.
+``convergenceTol`` and ``initialWeights`` of the trainers the reference run
+configures. ``tablefit.operators.gradient`` runs them on matrix blocks, all
+models of a sweep in one pass a step; scoring happens JVM-side from the fitted
+weights, so predictions are an ordinary column expression.
 """
 
 from __future__ import annotations
 
-import inspect
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.classification import LogisticRegressionWithSGD, SVMWithSGD
-from pyspark.mllib.regression import (LabeledPoint, LassoWithSGD, LinearRegressionWithSGD,
-                                      RidgeRegressionWithSGD)
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefit.operators.trainers import BINARY, trainer_params
+from tablefit.operators.blocks import to_blocks
+from tablefit.operators.gradient import LOSSES, Result, Spec, fit_descent
+from tablefit.operators.trainers import trainer_params
 
-SGD_TRAINERS = {
-    "logistic": LogisticRegressionWithSGD,
-    "svm": SVMWithSGD,
-    "linear": LinearRegressionWithSGD,
-    "ridge": RidgeRegressionWithSGD,
-    "lasso": LassoWithSGD,
-}
+SGD_TRAINERS = sorted(LOSSES)
 
 
 @dataclass
@@ -60,21 +49,24 @@ class SgdFitted:
     def predict(self, df: DataFrame) -> DataFrame:
         return self.add_prediction(df, "prediction")
 
+    def coefficients(self) -> list[float]:
+        return [float(v) for v in self.weights]
+
+
+def fitted_of(result: Result) -> SgdFitted:
+    """A gradient fit with the interface of the other fitted models."""
+    intercept = bool(result.spec.params.get("intercept", False))
+    w = result.weights
+    return SgdFitted(result.spec.name, dict(result.spec.params), w[:-1] if intercept else w,
+                     float(w[-1]) if intercept else 0.0)
+
 
 def fit_sgd(name: str, train: DataFrame, features_col: str = "features",
             label_col: str = "label", override: Mapping | None = None) -> SgdFitted:
-    if name not in SGD_TRAINERS:
-        raise ValueError(f"no SGD trainer for {name!r}; known: {sorted(SGD_TRAINERS)}")
-    params = trainer_params(name, override)
-    y = F.col(label_col).cast("double")
-    if name in BINARY:
-        y = F.when(y > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    frame = MLUtils.convertVectorColumnsFromML(
-        train.select(y.alias("label"), F.col(features_col).alias("features")), "features")
-    points = frame.rdd.map(lambda r: LabeledPoint(r[0], r[1]))
-    cls = SGD_TRAINERS[name]
-    accepted = set(inspect.signature(cls.train).parameters) - {"data"}
-    kwargs = {k: v for k, v in params.items() if k in accepted and v is not None}
-    model = cls.train(points, **kwargs)
-    return SgdFitted(name, params, np.asarray(model.weights.toArray(), dtype=float),
-                     float(model.intercept))
+    if name not in LOSSES:
+        raise ValueError(f"no gradient trainer for {name!r}; known: {SGD_TRAINERS}")
+    blocks = to_blocks(train, features_col, {label_col: F.col(label_col)})
+    try:
+        return fitted_of(fit_descent(blocks, [Spec(name, 0, trainer_params(name, override))])[0])
+    finally:
+        blocks.unpersist()

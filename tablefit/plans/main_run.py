@@ -53,7 +53,7 @@ def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YE
              confidence: float = PCA_CONFIDENCE, override_components: bool = True,
              drop_zero: bool = True, table_path: str | None = None, parallelism: int = 8,
              score_against: str = "encoded", checkpoint: bool = True,
-             optimizer: str = "ml", **collate_args) -> RunResult:
+             optimizer: str = "shared", partitions: int | None = None, **collate_args) -> RunResult:
     """Collate, check, (optionally store as Parquet by start_year), then run
     the sweep. Returns the report (one row per fit)."""
     col = collate_seasons(spark, root, start_year, end_year, **collate_args)
@@ -66,5 +66,5 @@ def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YE
     report = run_sweep(table, labels, features, ["match_key"], trainers, expressions, k,
                        confidence, parallelism, score_against, optimizer=optimizer,
                        override_components=override_components, drop_zero=drop_zero,
-                       checkpoint=checkpoint)
+                       checkpoint=checkpoint, partitions=partitions)
     return RunResult(report, col, table_path)

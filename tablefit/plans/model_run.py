@@ -27,10 +27,15 @@ from tablefit.functions.labels import check_label_expression, label_column
 from tablefit.functions.vectors import feature_array, l1_abs_normalize, lp_normalize, to_vector
 from tablefit.operators.checks import drop_empty_features, drop_unusable_labels
 from tablefit.operators.components import Components, fit_components
+from tablefit.operators.blocks import counts, label_sets, to_blocks
+from tablefit.operators.gradient import LOSSES, Spec, fit_descent, fit_optimal
+from tablefit.operators.isotonic import fit_isotonic
+from tablefit.operators.least_squares import LEAST_SQUARES, fit_least_squares, moments
 from tablefit.operators.metrics import regression_metrics
+from tablefit.operators.scoring import predictor_of, score_models
 from tablefit.operators.split import key_split
 from tablefit.operators import trainers as tr
-from tablefit.operators.sgd import SGD_TRAINERS, SgdFitted, fit_sgd
+from tablefit.operators.sgd import fitted_of
 from tablefit.session import checkpoint_root
 
 
@@ -40,12 +45,9 @@ class Prepared:
     components: Components | None
     labels: list[str]
     keys: list[str]
-    base: DataFrame | None = None
 
     def unpersist(self) -> None:
         self.rows.unpersist()
-        if self.base is not None:
-            self.base.unpersist()
 
 
 def normalised_rows(df: DataFrame, labels: Sequence[str], features: Sequence[str],
@@ -65,15 +67,20 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
             confidence: float = PCA_CONFIDENCE, override_components: bool = True,
             drop_zero: bool = True, p: float = PCA_NORM_P, use_components: bool = True,
             test_fraction: float = 1.0 - TRAIN_SHARE, seed: int = 0,
-            persist: bool = True, checkpoint: bool = False) -> Prepared:
+            persist: bool = True, checkpoint: bool = False,
+            partitions: int | None = None) -> Prepared:
     """Everything up to the labelled rows, shared by all label expressions
     and trainers: components are fitted once (not before every fit).
 
     With ``checkpoint`` the prepared rows are also written to the session's
     checkpoint folder (shared storage on a cluster) and their lineage is
     cut, so a long sweep that loses executors reloads them instead of
-    re-reading and re-shuffling the input."""
+    re-reading and re-shuffling the input. ``partitions`` deals the rows out by
+    their keys before anything is fitted; by default they stay in the
+    partitions of the scan, which may be few for a file of few row groups."""
     base = normalised_rows(df, labels, features, keys, drop_zero, p)
+    if partitions:
+        base = base.repartition(partitions, *[F.col(f"`{c}`") for c in keys])
     comps = None
     if use_components:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
@@ -93,10 +100,9 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
             checkpoint_root(rows.sparkSession)
             rows = rows.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
         rows.count()
-        if use_components:
-            base.unpersist()
-        return Prepared(rows, comps, list(labels), list(keys))
-    return Prepared(rows, comps, list(labels), list(keys), base if use_components else None)
+    if use_components:
+        base.unpersist()
+    return Prepared(rows, comps, list(labels), list(keys))
 
 
 def labelled(prep: Prepared, expression: str) -> DataFrame:
@@ -120,39 +126,41 @@ REPORT_SCHEMA = T.StructType([
 
 def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
              score_against: str = "encoded", parallelism: int = 4,
-             digits: int | None = None, optimizer: str = "ml") -> DataFrame:
+             digits: int | None = None, optimizer: str = "shared") -> DataFrame:
     """Fit every (trainer, label expression, override) of ``plan`` on the
     train rows and score it on the test rows (M11, M12, M15).
 
-    - plan entries whose ML settings are equal share one fit (``step`` and
-      ``miniBatchFraction`` have no ML counterpart);
-    - naive Bayes fits of one label share one sufficient-statistics
-      aggregation, whatever the number of smoothing values;
-    - iterative fits run concurrently, each its own distributed job;
-    - all models are scored in ONE scan of the test rows: one prediction
-      column per model, exploded to (fit, prediction, label) and reduced by
-      one grouped partial aggregate (one small row per fit and task is
-      shuffled)."""
+    The rows become matrix blocks once. From these,
+
+    - logistic and SVM fits with an L2 penalty share one pass a step, all
+      labels and settings together (``optimizer="ml"`` fits each with
+      ``pyspark.ml`` instead, ``"sgd"`` runs the configured gradient descent,
+      for the least squares trainers as well);
+    - linear, ridge and lasso fits follow from one pass of sums;
+    - isotonic fits pool their violators in range partitions, and are scored by
+      a distributed interpolation;
+    - all other models are scored in one pass by partial sums: a row a model and
+      task.
+
+    Naive Bayes fits share one sufficient-statistics aggregation, whatever the
+    number of labels and smoothing values; the other trainers run concurrently
+    as ``pyspark.ml`` jobs. Plan entries whose effective settings are equal
+    share one fit (``step`` and ``miniBatchFraction`` only count for "sgd").
+    The report is local: a row a plan entry; nothing stays persisted."""
+    if optimizer not in ("shared", "ml", "sgd"):
+        raise ValueError(f"unknown optimizer {optimizer!r}")
     spark = prep.rows.sparkSession
-    counts = prep.rows.agg(F.count(F.lit(1)).alias("n"),
-                           F.sum(F.col("is_test").cast("long")).alias("t")).head()
-    test_ratio = float(counts["t"] or 0) / float(counts["n"]) if counts["n"] else None
-
     expressions = list(dict.fromkeys(e for _, e, _, _ in plan))
-    ycol = {e: f"_y{i}" for i, e in enumerate(expressions)}
     for e in expressions:
         check_label_expression(e, prep.rows.columns)
-    data = prep.rows.select("features", "is_test",
-                            *[label_column(e, prep.rows.columns).alias(ycol[e])
-                              for e in expressions])
-    train = data.where(~F.col("is_test"))
-    test = data.where(F.col("is_test"))
+    label_of = label_sets(expressions)
+    ycol = {e: f"_y{i}" for e, i in label_of.items()}
 
     fits: dict[tuple, tuple[str, str, dict]] = {}
     fit_of_item = []
     for trainer, e, _, override in plan:
         params = tr.trainer_params(trainer, override)
-        if optimizer == "sgd" and trainer in SGD_TRAINERS:
+        if optimizer == "sgd" and trainer in LOSSES:
             key = (trainer, e, "sgd", tuple(sorted((k, repr(v)) for k, v in params.items())))
         else:
             key = (trainer, e, tr.effective_key(trainer, params))
@@ -160,71 +168,92 @@ def evaluate(prep: Prepared, plan: Sequence[tuple[str, str, int, Mapping]],
         fit_of_item.append(key)
     keys = list(fits)
 
-    nb_exprs = {e for (t, e, _) in fits.values() if t == "naive_bayes"}
-    stats = tr.bayes_statistics_many(train, "features", {e: ycol[e] for e in sorted(nb_exprs)})
-
-    def run(key):
-        trainer, e, params = fits[key]
+    def way(trainer: str, params: Mapping) -> str:
         if trainer == "naive_bayes":
-            return tr.BayesFromStatistics(trainer, params, stats[e])
-        if optimizer == "sgd" and trainer in SGD_TRAINERS:
-            return fit_sgd(trainer, train.select("features", F.col(ycol[e]).alias("label")),
-                           "features", "label", params)
-        # left uncached on purpose: the iterative estimators then cache their
-        # own converted instances, which iterate faster than cached rows
-        one = train.select("features", F.col(ycol[e]).alias("label"))
-        return tr.fit(trainer, one, "features", "label", params, score_against)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(run, keys))
-
-    # naive Bayes: one batched scorer per label expression (all smoothing
-    # values at once); SGD models as expressions; ML models chained after
-    xa = vector_to_array(F.col("features"), "float64")
-    expr_models = (tr.BayesFromStatistics, SgdFitted)
-    by_label: dict[str, list[int]] = {}
-    for i, (key, f) in enumerate(zip(keys, fitted)):
-        if isinstance(f, tr.BayesFromStatistics):
-            by_label.setdefault(fits[key][1], []).append(i)
-    scored = test.withColumn("_xa", xa)
-    batch_cols = []
-    for j, (e, idxs) in enumerate(sorted(by_label.items())):
-        batch_cols.append(tr.bayes_batch_predictions([fitted[i] for i in idxs],
-                                                     F.col("_xa")).alias(f"_nb{j}"))
-    if batch_cols:
-        scored = scored.select("*", *batch_cols)
-    cols = []
-    for j, (e, idxs) in enumerate(sorted(by_label.items())):
-        cols += [F.col(f"_nb{j}")[pos].alias(f"_p{i}") for pos, i in enumerate(idxs)]
-    cols += [f.prediction_column(F.col("_xa")).alias(f"_p{i}")
-             for i, f in enumerate(fitted) if isinstance(f, SgdFitted)]
-    if cols:
-        scored = scored.select("*", *cols)
-    scored = scored.drop("_xa", *[f"_nb{j}" for j in range(len(batch_cols))])
-    entries = []
-    for i, (key, f) in enumerate(zip(keys, fitted)):
-        trainer, e, _ = fits[key]
-        if not isinstance(f, expr_models):
-            scored = f.add_prediction(scored, f"_p{i}")
-        y = F.col(ycol[e])
-        if trainer in tr.BINARY and score_against == "encoded":
-            y = F.when(y > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-        entries.append(F.struct(F.lit(i).alias("fit"),
-                                F.col(f"_p{i}").cast("double").alias("prediction"),
-                                y.cast("double").alias("scored_label")))
-    stacked = scored.select(F.explode(F.array(*entries)).alias("_s")).select("_s.*")
-    metrics = regression_metrics(stacked, "prediction", "scored_label", ["fit"], digits)
-
-    index = {k: i for i, k in enumerate(keys)}
-    items = spark.createDataFrame(
-        [(t, e, i, _params_text(tr.trainer_params(t, o)), index[k])
-         for (t, e, i, o), k in zip(plan, fit_of_item)],
-        T.StructType(list(REPORT_SCHEMA.fields) + [T.StructField("fit", T.IntegerType(), False)]))
-    # both sides hold one row per plan entry / fit: a broadcast join
-    out = items.join(F.broadcast(metrics), "fit", "left")
-    return out.select("trainer", "label_expr", "param_set", "params",
-                      F.lit(test_ratio).cast("double").alias("test_ratio"),
-                      "n", "var", "mae", "mse", "r2", "rmse")
+            return "bayes"
+        if optimizer == "sgd" and trainer in LOSSES:
+            return "descent"
+        if trainer in LEAST_SQUARES:
+            return "moments"
+        if trainer == "isotonic" and optimizer != "ml":
+            return "pooled"
+        l2 = float(params.get("regParam") or 0.0) > 0 and params.get("regType", "l2") == "l2"
+        return "planes" if optimizer == "shared" and trainer in LOSSES and l2 else "ml"
+
+    ways: dict[str, list[tuple]] = {}
+    for key in keys:
+        trainer, _, params = fits[key]
+        ways.setdefault(way(trainer, params), []).append(key)
+
+    label_columns = {e: label_column(e, prep.rows.columns) for e in expressions}
+    blocks = to_blocks(prep.rows, "features", label_columns, F.col("is_test"))
+    try:
+        n, held_out = counts(blocks)
+        test_ratio = held_out / n if n else None
+        fitted: dict[tuple, object] = {}
+        train = prep.rows.where(~F.col("is_test")).select(
+            "features", *[label_columns[e].alias(ycol[e]) for e in expressions])
+
+        def pool_and_score(key):
+            _, e, params = fits[key]
+            first = vector_to_array(F.col("features"))[0].alias("x")
+            model = fit_isotonic(train.select(first, F.col(ycol[e]).alias("y")), F.col("x"), F.col("y"),
+                                 bool(params.get("isotonic", True)))
+            test = prep.rows.where(F.col("is_test")).select(first, label_columns[e].alias("y"))
+            return regression_metrics(model.predict(test, F.col("x")), "prediction", "y").head()
+
+        def run(key):
+            trainer, e, params = fits[key]
+            # left uncached on purpose: the iterative estimators cache their
+            # own converted instances, which iterate faster than cached rows
+            one = train.select("features", F.col(ycol[e]).alias("label"))
+            return tr.fit(trainer, one, "features", "label", params, score_against)
+
+        alone = ways.get("ml", [])
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            running = [pool.submit(run, key) for key in alone]
+            pooling = {k: pool.submit(pool_and_score, k) for k in ways.get("pooled", [])}
+            bayes = ways.get("bayes", [])
+            if bayes:
+                stats = tr.bayes_statistics_many(train, "features", {e: ycol[e] for e in sorted({k[1] for k in bayes})})
+                fitted.update({k: tr.BayesFromStatistics(k[0], fits[k][2], stats[k[1]]) for k in bayes})
+            for name, solve in (("planes", fit_optimal), ("descent", fit_descent)):
+                mine = ways.get(name, [])
+                if mine:
+                    results = solve(blocks, [Spec(fits[k][0], label_of[k[1]], fits[k][2]) for k in mine])
+                    fitted.update({k: fitted_of(r) for k, r in zip(mine, results)})
+            squares = ways.get("moments", [])
+            if squares:
+                sums = moments(blocks, sorted({label_of[k[1]] for k in squares}))
+                for e in dict.fromkeys(k[1] for k in squares):
+                    mine = [k for k in squares if k[1] == e]
+                    if label_of[e] not in sums:
+                        raise ValueError(f"no rows to fit {e!r}")
+                    fitted.update(zip(mine, fit_least_squares(sums[label_of[e]], [(fits[k][0], fits[k][2]) for k in mine])))
+            fitted.update({k: f.result() for k, f in zip(alone, running)})
+
+            scores = {k: f.result() for k, f in pooling.items()}
+
+        by_blocks = [k for k in keys if k not in scores]
+        encoded = [k[0] in tr.BINARY and score_against == "encoded" for k in by_blocks]
+        if by_blocks:
+            metrics = score_models(blocks, [predictor_of(fitted[k]) for k in by_blocks], [label_of[k[1]] for k in by_blocks], encoded)
+            scores.update({by_blocks[r["fit"]]: r for r in metrics.collect()})  # a row a fit
+    finally:
+        blocks.unpersist()
+
+    figures = ["var", "mae", "mse", "r2", "rmse"]
+    rows = []
+    for (t, e, i, o), k in zip(plan, fit_of_item):
+        r = scores.get(k)
+        rows.append((t, e, i, _params_text(tr.trainer_params(t, o)), test_ratio, r["n"] if r else None,
+                     *[r[c] if r else None for c in figures]))
+    report = spark.createDataFrame(rows, T.StructType(
+        [*REPORT_SCHEMA.fields, T.StructField("test_ratio", T.DoubleType()), T.StructField("n", T.LongType()),
+         *[T.StructField(c, T.DoubleType()) for c in figures]]))
+    if digits is not None:
+        report = report.withColumns({c: F.round(c, digits) for c in figures})
+    return report
 
 
 def sweep_plan(trainers: Sequence[str] = MAIN_RUN_TRAINERS,
@@ -247,7 +276,8 @@ def run_sweep(df: DataFrame, labels: Sequence[str] = LABELS, features: Sequence[
               expressions: Sequence[str] = LABEL_EXPRESSIONS, k: int | None = PCA_COMPONENTS,
               confidence: float = PCA_CONFIDENCE, parallelism: int = 4,
               score_against: str = "encoded", digits: int | None = None,
-              optimizer: str = "ml", **prepare_args) -> DataFrame:
+              optimizer: str = "shared", overrides: Mapping[str, Sequence[Mapping]] | None = None,
+              **prepare_args) -> DataFrame:
     """The main run: prepare once, then every fit of the sweep; returns the
     metric report (one row per fit)."""
     if features is None:
@@ -256,12 +286,7 @@ def run_sweep(df: DataFrame, labels: Sequence[str] = LABELS, features: Sequence[
         features = [c for c in df.columns if c not in skip]
     prep = prepare(df, labels, features, keys, k, confidence, **prepare_args)
     try:
-        report = evaluate(prep, sweep_plan(trainers, expressions), score_against,
-                          parallelism, digits, optimizer)
-        # one small row per fit; materialise it before the shared rows are
-        # released (a lost block is recomputed from lineage)
-        report = report.cache()
-        report.count()
+        return evaluate(prep, sweep_plan(trainers, expressions, overrides), score_against,
+                        parallelism, digits, optimizer)
     finally:
         prep.unpersist()
-    return report

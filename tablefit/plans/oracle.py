@@ -7,7 +7,7 @@ values the Spark side uses.
 from __future__ import annotations
 
 from tablefit.functions.fixed import NUMBER_PATTERN, TRAINER_OVERRIDES
-from tablefit.plans.tables import (CSV_EARLY, CSV_EXCLUDES, CSV_LATE, CSV_MIDDLE,
+from tablefit.plans.tables import (CSV_EARLY, CSV_EXCLUDES, CSV_LATE, CSV_MIDDLE, DIRTY_LAST_YEAR,
                                    EARLY_LAST_YEAR, HEADER_EARLY, HEADER_LATE, HEADER_MIDDLE,
                                    LINEITEM_CATALOGUE, LINEITEM_FEATURES, LINESTATUS_CATEGORIES,
                                    MIDDLE_LAST_YEAR, PREFIX_LABELS, RETURNFLAG_CATEGORIES)
@@ -268,17 +268,19 @@ _CSV_TYPED = {
     "l_linestatus": _category("l_linestatus", RETURNFLAG_CATEGORIES),
     "net_price": "l_extendedprice * (1.0 - l_discount)",
 }
+# rows without a ship date lie in the season of DIRTY_LAST_YEAR
+_SEASON_YEAR = f"CAST(coalesce(year(l_shipdate), {DIRTY_LAST_YEAR}) AS INTEGER)"
 _SEASON = ("lpad(CAST(({y} % 100) AS VARCHAR), 2, '0') || "
-           "lpad(CAST((({y} + 1) % 100) AS VARCHAR), 2, '0')").format(y=_YEAR)
-_CSV_CONDS = [f"{_YEAR} <= {EARLY_LAST_YEAR}",
-              f"{_YEAR} > {EARLY_LAST_YEAR} AND {_YEAR} <= {MIDDLE_LAST_YEAR}",
-              f"{_YEAR} > {MIDDLE_LAST_YEAR}"]
+           "lpad(CAST((({y} + 1) % 100) AS VARCHAR), 2, '0')").format(y=_SEASON_YEAR)
+_CSV_CONDS = [f"{_SEASON_YEAR} <= {EARLY_LAST_YEAR}",
+              f"{_SEASON_YEAR} > {EARLY_LAST_YEAR} AND {_SEASON_YEAR} <= {MIDDLE_LAST_YEAR}",
+              f"{_SEASON_YEAR} > {MIDDLE_LAST_YEAR}"]
 
 
 def _csv_group(cols, cond):
     kept = [c for c in cols if c not in CSV_EXCLUDES]
     sel = ", ".join(f"{_CSV_TYPED[c]} AS {c}" for c in kept)
-    return (f"SELECT {sel}, {_SEASON} AS season, {_YEAR} AS start_year "
+    return (f"SELECT {sel}, {_SEASON} AS season, {_SEASON_YEAR} AS start_year "
             f"FROM lineitem WHERE {cond}")
 
 
@@ -327,6 +329,10 @@ SELECT l_orderkey, l_linenumber, round(l_extendedprice / 1000.0, 6) AS label,
        round(fitted, 6) AS prediction
 FROM lineitem JOIN fit ON fit.x = lineitem.l_quantity"""
 
+ORACLE_SQL["isotonic_blocks"] = ORACLE_SQL["isotonic_fit"].split("SELECT l_orderkey")[0] + """
+SELECT round(fitted, 4) AS fitted, min(x) AS lo, max(x) AS hi, CAST(sum(n) AS BIGINT) AS n
+FROM fit JOIN p USING (x) GROUP BY 1"""
+
 _ONE_HOT = """
 WITH g AS (SELECT l_returnflag AS flag, avg(CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END) AS p,
                   count(*) / sum(count(*)) OVER () AS share
@@ -388,3 +394,77 @@ SELECT label_expr, param_set, count(*) AS n,
        round(1 - sum((p - y) * (p - y)) / sum((y - ybar) * (y - ybar)), 6) AS r2,
        round(sqrt(avg((p - y) * (p - y))), 6) AS rmse
 FROM a GROUP BY label_expr, param_set"""
+
+
+# headers of the written files: one layout a season
+_WRITTEN = f"""
+WITH inv AS (
+  SELECT DISTINCT {_SEASON_YEAR} AS start_year,
+         CASE WHEN {_SEASON_YEAR} <= {EARLY_LAST_YEAR} THEN {_list(CSV_EARLY)}
+              WHEN {_SEASON_YEAR} <= {MIDDLE_LAST_YEAR} THEN {_list(CSV_MIDDLE)}
+              ELSE {_list(CSV_LATE)} END AS header
+  FROM lineitem)"""
+
+ORACLE_SQL["csv_title_order"] = _WRITTEN + """,
+lg AS (SELECT start_year FROM inv ORDER BY len(header) DESC, start_year LIMIT 1),
+ex AS (SELECT CASE WHEN start_year = (SELECT start_year FROM lg) THEN 0 ELSE 1 END AS r0, start_year,
+              unnest(header) AS title, unnest(range(len(header))) AS pos FROM inv),
+fst AS (SELECT * FROM ex QUALIFY row_number() OVER (PARTITION BY title ORDER BY r0, start_year, pos) = 1)
+SELECT title, CAST(row_number() OVER (ORDER BY r0, start_year, pos) AS INTEGER) AS position FROM fst"""
+
+ORACLE_SQL["csv_unknown_columns"] = _WRITTEN + f"""
+SELECT title, count(*) AS n_seasons FROM (SELECT start_year, unnest(header) AS title FROM inv)
+WHERE title = 'l_tax' OR title NOT IN ({", ".join(f"'{c}'" for c in LINEITEM_CATALOGUE)})
+GROUP BY title"""
+
+ORACLE_SQL["csv_label_prefix"] = _WRITTEN + f"""
+SELECT start_year, array_to_string(header[1:2], ',') AS actual, header[1:2] = {_list(PREFIX_LABELS[:2])} AS ok FROM inv"""
+
+ORACLE_SQL["null_fill_features"] = "\nUNION ALL\n".join(
+    f"SELECT l_orderkey, l_linenumber, CAST({i} AS INTEGER) AS idx, "
+    f"round(abs(coalesce({c}, 0.0)), 6) AS value FROM lineitem"
+    for i, c in enumerate(["l_quantity", "nullif(l_discount, 0.0)", "-nullif(l_tax, 0.0)"]))
+
+_CRAMER = """
+SELECT {keys}trainer, (g11 + p) * (g22 + p) - g12 * g12 AS det, ((g22 + p) * b1 - g12 * b2) AS c1,
+       ((g11 + p) * b2 - g12 * b1) AS c2
+FROM (SELECT *, n * penalty AS p FROM s, (VALUES ('linear', 0.0), ('ridge', 0.01)) AS t(trainer, penalty))"""
+ORACLE_SQL["least_squares_fits"] = f"""
+WITH d AS (SELECT l_quantity / 10.0 AS x1, l_discount * 10.0 AS x2, l_extendedprice / 10000.0 AS y FROM lineitem),
+s AS (SELECT count(*) AS n, sum(x1 * x1) AS g11, sum(x1 * x2) AS g12, sum(x2 * x2) AS g22,
+             sum(x1 * y) AS b1, sum(x2 * y) AS b2 FROM d),
+w AS ({_CRAMER.format(keys="")})
+SELECT trainer, 'l_quantity' AS feature, round(c1 / det, 5) AS coefficient FROM w
+UNION ALL SELECT trainer, 'l_discount', round(c2 / det, 5) FROM w"""
+
+_TWO_SUM = "abs(l_quantity) + abs(l_extendedprice)"
+_SHARED_ROWS = f"""
+WITH m AS (SELECT {_SPLIT_LINE} AS t,
+                  CASE l_returnflag WHEN 'R' THEN 1.0 WHEN 'A' THEN -1.0 END::DOUBLE AS rf,
+                  CASE l_linestatus WHEN 'F' THEN 1.0 WHEN 'O' THEN -1.0 END::DOUBLE AS ls,
+                  abs(l_quantity) / ({_TWO_SUM}) AS x1, abs(l_extendedprice) / ({_TWO_SUM}) AS x2
+           FROM lineitem WHERE l_returnflag IN ('R', 'A') AND l_linestatus IN ('F', 'O') AND {_TWO_SUM} > 0),
+e AS (SELECT 'RF' AS label_expr, rf AS y, * FROM m UNION ALL SELECT 'LS', ls, * FROM m UNION ALL
+      SELECT 'RF * LS', rf * ls, * FROM m UNION ALL SELECT 'RF - LS', rf - ls, * FROM m)"""
+ORACLE_SQL["least_squares_sweep"] = _SHARED_ROWS + f""",
+s AS (SELECT label_expr, count(*) AS n, sum(x1 * x1) AS g11, sum(x1 * x2) AS g12, sum(x2 * x2) AS g22,
+             sum(x1 * y) AS b1, sum(x2 * y) AS b2 FROM e WHERE NOT t GROUP BY label_expr),
+w AS ({_CRAMER.format(keys="label_expr, ")}),
+p AS (SELECT label_expr, trainer, y, (x1 * c1 + x2 * c2) / det AS p FROM e JOIN w USING (label_expr) WHERE t),
+a AS (SELECT *, avg(y) OVER (PARTITION BY label_expr, trainer) AS ybar FROM p)
+SELECT trainer, label_expr, count(*) AS n,
+       (SELECT round(avg(CASE WHEN t THEN 1.0 ELSE 0.0 END), 6) FROM m) AS test_ratio,
+       round(avg((p - ybar) * (p - ybar)), 5) AS var, round(avg(abs(p - y)), 5) AS mae,
+       round(avg((p - y) * (p - y)), 5) AS mse,
+       round(1 - sum((p - y) * (p - y)) / sum((y - ybar) * (y - ybar)), 5) AS r2,
+       round(sqrt(avg((p - y) * (p - y))), 5) AS rmse
+FROM a GROUP BY label_expr, trainer"""
+
+# A proof has one right answer: the gap is closed for every fit.
+ORACLE_SQL["optimal_fits"] = f"""
+SELECT trainer, label_expr, penalty,
+       (SELECT count(*) FROM lineitem WHERE l_returnflag IN ('R', 'A') AND l_linestatus IN ('F', 'O')
+          AND {_SUM} > 0 AND NOT {_SPLIT_LINE}) AS n, true AS proven
+FROM (VALUES ('logistic'), ('svm')) AS a(trainer),
+     (VALUES ('RF'), ('LS'), ('RF * LS'), ('RF - LS')) AS b(label_expr),
+     (VALUES (0.01::DOUBLE), (0.005::DOUBLE)) AS c(penalty)"""

@@ -27,6 +27,11 @@ from tablefit.plans.tables import (LINEITEM_EXPRESSIONS, LINEITEM_FEATURES, LINE
 DIGITS = 6
 
 
+def _dealt(spark: SparkSession) -> int:
+    """Partitions that the fits' rows are dealt into: lineitem may be one row group."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -43,7 +48,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     -> L1 |x| features -> key split 70/30 -> naive Bayes -> one metric row."""
     rows = lineitem_matches(spark, sf_dir)
     prep = mr.prepare(rows, ["RF"], LINEITEM_FEATURES, ["row_key"], k=3, confidence=0.999,
-                      override_components=False, persist=False)
+                      override_components=False, persist=False, partitions=_dealt(spark))
     report = mr.evaluate(prep, [("naive_bayes", "RF", 0, {})], digits=DIGITS, parallelism=1)
     return report.select("trainer", "label_expr", "test_ratio", "n", "var", "mae", "mse",
                          "r2", "rmse")
@@ -250,6 +255,7 @@ def components_two(spark, sf_dir):
     from tablefit.operators.components import fit_components
     rows = _persisted(_two_feature_rows(spark, sf_dir))
     comps = fit_components(rows, "x", TWO_FEATURES, k=2, confidence=0.999)
+    rows.unpersist()
     out = comps.project(rows, "x", LINEITEM_KEYS)
     return out.select(*LINEITEM_KEYS, _r(F.col("Comp1")).alias("Comp1"),
                       _r(F.col("Comp2")).alias("Comp2"))
@@ -275,6 +281,7 @@ def components_norm(spark, sf_dir):
     d = 64
     names = [f"e{i}" for i in range(d)]
     comps = fit_components(rows, "x", names, k=d, confidence=0.999)
+    rows.unpersist()
     proj = comps.project(rows, "x", ["vec_id"])
     sq = None
     for j in range(comps.k):
@@ -382,7 +389,7 @@ def naive_bayes_fit(spark, sf_dir):
 def _prepared(spark, sf_dir, labels, drop_zero=True):
     li = lineitem_matches(spark, sf_dir)
     return mr.prepare(li, labels, LINEITEM_FEATURES, ["row_key"] + LINEITEM_KEYS, k=4,
-                      confidence=0.999, drop_zero=drop_zero, persist=False)
+                      confidence=0.999, drop_zero=drop_zero, persist=False, partitions=_dealt(spark))
 
 
 def _test_predictions(prep, trainer, expression):
@@ -481,7 +488,8 @@ def parameter_sweep(spark, sf_dir):
     parameter sets) = 92 fits over the whole lineitem table."""
     li = lineitem_matches(spark, sf_dir)
     report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["row_key"],
-                          expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8)
+                          expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8,
+                          partitions=_dealt(spark))
     return _report_frame(report)
 
 
@@ -493,7 +501,7 @@ def bayes_sweep(spark, sf_dir):
     li = lineitem_matches(spark, sf_dir)
     report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["l_orderkey"],
                           trainers=["naive_bayes"], expressions=LINEITEM_EXPRESSIONS,
-                          use_components=False)
+                          use_components=False, partitions=_dealt(spark))
     return report.select("label_expr", "param_set", "n", _r(F.col("test_ratio")).alias("test_ratio"),
                          *[_r(F.col(c)).alias(c) for c in ["var", "mae", "mse", "r2", "rmse"]])
 
@@ -505,7 +513,8 @@ def regression_sweep(spark, sf_dir):
     li = lineitem_matches(spark, sf_dir)
     report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["row_key"],
                           trainers=["linear", "ridge", "lasso", "isotonic"],
-                          expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8)
+                          expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8,
+                          partitions=_dealt(spark))
     return _report_frame(report)
 
 
@@ -518,7 +527,7 @@ def _collated_lineitem(spark, sf_dir):
     from tablefit.plans.tables import (CSV_EXCLUDES, CSV_TEMPLATE, LINEITEM_CATALOGUE,
                                        season_years, write_lineitem_seasons)
     root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
-    first, last = season_years(spark, sf_dir)
+    first, last = season_years(spark, root)
     return collate(spark, root, first, last + 1, CSV_EXCLUDES,
                    RETURNFLAG_CATEGORIES, CSV_TEMPLATE, key_col=None,
                    catalogue=LINEITEM_CATALOGUE + ["net_price"])
@@ -540,10 +549,10 @@ def collate_dirty_csv(spark, sf_dir):
     date lie in the last season."""
     from tablefit.session import scratch_dir
     from tablefit.sources.csv_tables import collate
-    from tablefit.plans.tables import (CSV_TEMPLATE, DIRTY_LAST_YEAR, write_dirty_seasons)
+    from tablefit.plans.tables import CSV_TEMPLATE, season_years, write_dirty_seasons
     root = write_dirty_seasons(spark, sf_dir, scratch_dir(spark, "dirty-seasons"))
-    first = table(spark, sf_dir, "lineitem").agg(F.min(F.year("l_shipdate")).alias("a")).head()["a"]
-    return collate(spark, root, int(first or DIRTY_LAST_YEAR), DIRTY_LAST_YEAR + 1, ["note"],
+    first, last = season_years(spark, root)
+    return collate(spark, root, first, last + 1, ["note"],
                    RETURNFLAG_CATEGORIES, CSV_TEMPLATE, key_col=None, glob="*.txt").table
 
 
@@ -566,7 +575,7 @@ def main_run_csv(spark, sf_dir):
     from tablefit.plans.main_run import main_run
     from tablefit.plans.tables import CSV_EXCLUDES, CSV_TEMPLATE, season_years, write_lineitem_seasons
     root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
-    first, last = season_years(spark, sf_dir)
+    first, last = season_years(spark, root)
     res = main_run(spark, root, first, last + 1,
                    labels=["l_orderkey", "l_linenumber"],
                    expressions=["l_linenumber - 4", "4 - l_linenumber",
@@ -621,7 +630,7 @@ def metric_report(spark, sf_dir):
     li = lineitem_matches(spark, sf_dir)
     report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["row_key"],
                           expressions=LINEITEM_EXPRESSIONS, k=4, parallelism=8,
-                          score_against="raw")
+                          score_against="raw", partitions=_dealt(spark))
     return _report_frame(report)
 
 
@@ -637,3 +646,118 @@ def season_pruned_csv(spark, sf_dir):
     col = collate(spark, root, 1997, 2000, CSV_EXCLUDES, RETURNFLAG_CATEGORIES, CSV_TEMPLATE,
                   key_col=None, catalogue=LINEITEM_CATALOGUE + ["net_price"])
     return col.table
+
+
+# ---------------------------------------------------------------------------
+# U2-U4, F3 on the headers of written files
+# ---------------------------------------------------------------------------
+def _written_inventory(spark, sf_dir):
+    """The stored header inventory of lineitem's season files, all titles kept."""
+    from tablefit.session import scratch_dir
+    from tablefit.sources.csv_tables import stored_inventory
+    from tablefit.sources.seasons import seasons
+    from tablefit.plans.tables import CSV_TEMPLATE, season_years, write_lineitem_seasons
+    root = write_lineitem_seasons(spark, sf_dir, scratch_dir(spark, "lineitem-seasons"))
+    first, last = season_years(spark, root)
+    wanted = [s for s in seasons(root, first, last + 1, CSV_TEMPLATE)]
+    return stored_inventory(spark, wanted)
+
+
+@query
+def csv_title_order(spark, sf_dir):
+    """S3 + U2: merged title order of the headers read from written files."""
+    from tablefit.operators.align import title_order
+    return title_order(_written_inventory(spark, sf_dir))
+
+
+@query
+def csv_unknown_columns(spark, sf_dir):
+    """S3 + U3 + U4: titles of written files missing from the catalogue, with the
+    seasons whose files carry them (the number of files is the writer's choice)."""
+    from tablefit.operators.align import unknown_columns as unknown
+    from tablefit.plans.tables import LINEITEM_CATALOGUE
+    by_season = _written_inventory(spark, sf_dir).select("season", "start_year", "header").distinct()
+    inventory = by_season.withColumn("file", F.col("season"))
+    return unknown(inventory, [c for c in LINEITEM_CATALOGUE if c != "l_tax"]).withColumnRenamed("n_files", "n_seasons")
+
+
+@query
+def csv_label_prefix(spark, sf_dir):
+    """S3 + F3: which seasons' files start with the label block?"""
+    from tablefit.operators.checks import label_prefix_report
+    from tablefit.plans.tables import PREFIX_LABELS
+    inv = _written_inventory(spark, sf_dir)
+    rep = label_prefix_report(inv, PREFIX_LABELS[:2])
+    seasons_of = inv.select("file", "start_year")
+    return rep.join(seasons_of, "file").select("start_year", F.array_join("actual", ",").alias("actual"), "ok").distinct()
+
+
+@query
+def null_fill_features(spark, sf_dir):
+    """P5 + P6 on cells that are null: zero discounts and taxes taken as missing."""
+    li = table(spark, sf_dir, "lineitem")
+    cells = F.array(F.col("l_quantity"), F.expr("nullif(l_discount, 0.0)"), -F.expr("nullif(l_tax, 0.0)"))
+    return _long(li.select(*LINEITEM_KEYS, cells.alias("cells")), abs_array(fill_nulls_array("cells")), LINEITEM_KEYS)
+
+
+# ---------------------------------------------------------------------------
+# Fits from shared passes
+# ---------------------------------------------------------------------------
+@query
+def least_squares_fits(spark, sf_dir):
+    """M7, M8 with several features: coefficients from one pass of sums."""
+    from tablefit.functions.vectors import to_vector
+    from tablefit.operators.blocks import to_blocks
+    from tablefit.operators.least_squares import fit_least_squares, moments
+    li = table(spark, sf_dir, "lineitem")
+    x = to_vector(F.array(F.col("l_quantity") / 10.0, F.col("l_discount") * 10.0))
+    blocks = to_blocks(li.select(x.alias("features"), (F.col("l_extendedprice") / 10000.0).alias("y")),
+                       "features", {"y": F.col("y")}, persist=False)
+    models = fit_least_squares(moments(blocks)[0], [(t, tr.trainer_params(t)) for t in ("linear", "ridge")])
+    rows = [(m.name, name, round(c, 5)) for m in models for name, c in zip(["l_quantity", "l_discount"], m.coefficients())]
+    return spark.createDataFrame(rows, "trainer string, feature string, coefficient double")
+
+
+@query
+def least_squares_sweep(spark, sf_dir):
+    """M2, M7, M8, M14, M15, A3 in one chain that SQL can follow: linear and
+    ridge over 4 label expressions, two L1 features, scored on held-out rows."""
+    li = lineitem_matches(spark, sf_dir)
+    report = mr.run_sweep(li, LINEITEM_LABELS, LINEITEM_FEATURES[:2], ["l_orderkey"],
+                          trainers=["linear", "ridge"], expressions=LINEITEM_EXPRESSIONS,
+                          use_components=False, partitions=_dealt(spark))
+    return report.select("trainer", "label_expr", "n", _r(F.col("test_ratio")).alias("test_ratio"),
+                         *[_r(F.col(c), 5).alias(c) for c in ["var", "mae", "mse", "r2", "rmse"]])
+
+
+@query
+def optimal_fits(spark, sf_dir):
+    """M3, M5 with the configured L2 penalties: every distinct fit of the main
+    run's lists, its rows, and whether the duality gap proves it optimal to
+    1e-4 of its objective."""
+    from tablefit.operators.blocks import label_sets, to_blocks
+    from tablefit.operators.gradient import Spec, fit_optimal
+    li = lineitem_matches(spark, sf_dir)
+    prep = mr.prepare(li, LINEITEM_LABELS, LINEITEM_FEATURES, ["l_orderkey"], use_components=False,
+                      persist=False, partitions=_dealt(spark))
+    label_of = label_sets(LINEITEM_EXPRESSIONS)
+    blocks = to_blocks(prep.rows, "features", {e: label_column(e, prep.rows.columns) for e in label_of}, F.col("is_test"))
+    specs = [Spec(t, i, {**tr.trainer_params(t), "regParam": r})
+             for t in ("logistic", "svm") for i in label_of.values() for r in (0.01, 0.005)]
+    results = fit_optimal(blocks, specs, gap=1e-4)
+    trained = prep.rows.where(~F.col("is_test")).count()
+    blocks.unpersist()
+    rows = [(r.spec.name, LINEITEM_EXPRESSIONS[r.spec.label], float(r.spec.params["regParam"]), trained,
+             bool(0 <= r.gap + 1e-12 and r.gap <= 1e-4 * r.value)) for r in results]
+    return spark.createDataFrame(rows, "trainer string, label_expr string, penalty double, n long, proven boolean")
+
+
+@query
+def isotonic_blocks(spark, sf_dir):
+    """M10 by range partitions: the blocks of price against quantity, each
+    with its fitted value and rows (neighbours of one value as one)."""
+    from tablefit.operators.isotonic import fit_isotonic
+    li = table(spark, sf_dir, "lineitem")
+    fitted = fit_isotonic(li, F.col("l_quantity"), F.col("l_extendedprice") / 1000.0).fitted()
+    return (fitted.groupBy(_r(F.col("value"), 4).alias("fitted"))
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("weight").cast("long").alias("n")))

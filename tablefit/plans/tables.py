@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefit.functions.cells import category_value
+from tablefit.session import list_directories
 
 # Category tables for the lineitem flags (returnflag like a match result).
 RETURNFLAG_CATEGORIES = {"R": 1.0, "N": 0.0, "A": -1.0}
@@ -134,11 +135,12 @@ def season_year() -> F.Column:
     return F.coalesce(ship_year(), F.lit(DIRTY_LAST_YEAR))
 
 
-def season_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """First and last season that lineitem's files have."""
-    years = table(spark, sf_dir, "lineitem").agg(
-        F.min(season_year()).alias("a"), F.max(season_year()).alias("b")).head()
-    return int(years["a"]), int(years["b"])
+def season_years(spark: SparkSession, root: str) -> tuple[int, int]:
+    """First and last season among the folders written below ``root`` (years of
+    1970 to 2069)."""
+    codes = [n.removeprefix("season=")[:2] for n in list_directories(spark, root) if n.startswith("season=")]
+    years = [1900 + int(c) if int(c) >= 70 else 2000 + int(c) for c in codes if c.isdigit()]
+    return min(years), max(years)
 
 
 def write_lineitem_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -153,12 +155,16 @@ def write_lineitem_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
     return root
 
 
-def write_dirty_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """lineitem as season files such as hand-kept tables have them: one text
-    file per season, its header first. Every row has a quoted note with a
-    comma; by line number modulo 4 a row is short (cut after the quantity),
-    long (two cells more than titles), blank in the quantity, or whole.
-    Seasons up to EARLY_LAST_YEAR lack the tax."""
+#: Text files of a season of dirty files, their rows dealt by a hash of the line's key.
+DIRTY_FILES = 4
+
+
+def write_dirty_seasons(spark: SparkSession, sf_dir: str, root: str, files: int = DIRTY_FILES) -> str:
+    """lineitem as season files such as hand-kept tables have them: ``files``
+    text files per season, each with its header first. Every row has a quoted
+    note with a comma; by line number modulo 4 a row is short (cut after the
+    quantity), long (two cells more than titles), blank in the quantity, or
+    whole. Seasons up to EARLY_LAST_YEAR lack the tax."""
     li = table(spark, sf_dir, "lineitem")
     year = F.least(season_year(), F.lit(DIRTY_LAST_YEAR))
     kind = F.col("l_linenumber") % 4
@@ -174,14 +180,17 @@ def write_dirty_seasons(spark: SparkSession, sf_dir: str, root: str) -> str:
         F.concat_ws(",", *head, *tail, text("l_tax"), F.lit(",")))
     line = (F.when(kind == 1, F.concat_ws(",", *head))
             .when(kind == 2, F.concat(whole, F.lit(",x,y"))).otherwise(whole))
-    rows = li.select(year.alias("year"), F.lit(1).alias("rank"), line.alias("value"))
-    years = rows.select("year").distinct()
+    part = F.pmod(F.xxhash64(*LINEITEM_KEYS), F.lit(files))
+    rows = li.select(year.alias("year"), part.alias("part"), F.lit(1).alias("rank"), line.alias("value"))
+    parts = rows.select("year", "part").distinct()
     title = F.when(F.col("year") <= EARLY_LAST_YEAR,
                    F.lit("l_orderkey,l_linenumber,l_quantity,note,l_returnflag,l_discount,,")).otherwise(
         F.lit("l_orderkey,l_linenumber,l_quantity,note,l_returnflag,l_discount,l_tax,,"))
-    headers = years.select("year", F.lit(0).alias("rank"), title.alias("value"))
-    # a file has its header once and first, so a season is one sorted partition
-    (headers.union(rows).withColumn("season", season_code(F.col("year")))
-     .repartition("season").sortWithinPartitions("season", "rank")
-     .select("season", "value").write.partitionBy("season").text(root))
+    headers = parts.select("year", "part", F.lit(0).alias("rank"), title.alias("value"))
+    # a file has its header once and first: a (season, part) is one sorted run of
+    # rows, and partitions of their own keep runs from sharing a file
+    for i in range(files):
+        (headers.union(rows).where(F.col("part") == i).withColumn("season", season_code(F.col("year")))
+         .repartition("season").sortWithinPartitions("season", "rank")
+         .select("season", "value").write.mode("append").partitionBy("season").text(root))
     return root

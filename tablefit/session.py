@@ -55,7 +55,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster run needs a shared folder for "
             "intermediate tables")
@@ -99,6 +99,13 @@ def list_files(spark: SparkSession, directory: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(jpath) if st.isFile())
 
 
+def list_directories(spark: SparkSession, directory: str) -> list[str]:
+    """Names of the directories directly inside ``directory``."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory()) if fs.exists(jpath) else []
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

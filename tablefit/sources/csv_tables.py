@@ -2,10 +2,12 @@
 
 1. Directory scan (S2): the season directories that exist; inside them only
    files ending in ``.csv`` (``pathGlobFilter``).
-2. Header inventory (S3, S4): the first line of every file, found from the
-   file offset and the row's position in its split (a hash aggregate of
-   the smallest position per file, then a join back). The header's trailing
-   commas are dropped; inner blank titles are dropped.
+2. Header inventory (S3, S4): the first line of every file, by the
+   ``first_lines`` source: its partitions are groups of files, and a task reads
+   only the start of each. The header's trailing commas are dropped; inner
+   blank titles are dropped. The inventory is stored, and has to hold every
+   file that the directories list. (On a store that only Spark can read the
+   lines come from two scans of the text, by file offset and line position.)
 3. Grouped scan: files are grouped by their header, and each distinct
    header is read with ONE ``spark.read.csv`` over all its files, with an
    explicit all-string schema (positional names ``_c0.._cN``). PERMISSIVE
@@ -15,16 +17,16 @@
 4. Each group is cleaned (exclusions, typed cells, last duplicate title
    wins) and all groups are stacked by name in the merged column order.
 
-Only the header inventory (one row per file) reaches the driver. File names
+Only the distinct headers with their file names reach the driver. File names
 may hold any character: Spark reports paths URL-encoded and takes paths as
 glob patterns, so they are decoded and escaped before files are read.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import warnings
-from collections import OrderedDict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -34,8 +36,9 @@ from pyspark.sql import types as T
 
 from tablefit.functions.cells import typed_cell
 from tablefit.functions.fixed import RESULT_CATEGORIES
-from tablefit.operators.align import merged_titles_from_headers, union_by_name
-from tablefit.session import path_exists
+from tablefit.operators.align import merged_titles, union_by_name
+from tablefit.session import list_files, path_exists, scratch_dir
+from tablefit.sources.headers import FirstLines, can_open, wanted
 from tablefit.sources.seasons import DEFAULT_TEMPLATE, Season, seasons
 
 INVENTORY_SCHEMA = T.StructType([
@@ -105,33 +108,61 @@ def clean_header(raw: Column, excludes: Sequence[str]) -> Column:
     return F.filter(raw, lambda t: (F.trim(t) != F.lit("")) & ~F.array_contains(drop, t))
 
 
-def header_inventory(spark: SparkSession, season_list: Sequence[Season],
-                     excludes: Sequence[str] = (), glob: str = "*.csv") -> DataFrame:
-    """S3: ``file, season, start_year, raw_header, header`` per file."""
-    if not season_list:
-        return spark.createDataFrame([], INVENTORY_SCHEMA)
+def _first_lines_by_scan(spark: SparkSession, directories: Sequence[str], glob: str) -> DataFrame:
+    """``file, line`` by two scans of the whole text, for stores that only
+    Spark's readers open. The first split of a file starts at offset 0, and
+    inside a split the sequence id grows with the line order, so the first line
+    is the block-0 line with the smallest id."""
     lines = (spark.read.option("pathGlobFilter", glob)
-             .text([glob_escaped(s.path) for s in season_list])
+             .text([glob_escaped(d) for d in directories])
              .select("value", plain_path(F.col("_metadata.file_path")).alias("file"),
                      F.col("_metadata.file_block_start").alias("_off"),
                      F.monotonically_increasing_id().alias("_seq")))
-    # The first split of a file starts at offset 0, and inside a split the
-    # sequence id grows with the line order, so a file's header is its
-    # block-0 line with the smallest id. The smallest id per file is a hash
-    # aggregate over longs (partial per task, one row per file shuffled); the
-    # header lines are then picked by a join on (file, id), whose small side
-    # AQE broadcasts if its real size allows: two streaming scans, no sort of
-    # the lines.
-    block0 = lines.where(F.col("_off") == 0)
+    block0 = lines.where((F.col("_off") == 0) & (F.trim("value") != ""))
     firsts = block0.groupBy("file").agg(F.min("_seq").alias("_seq"))
-    first = block0.join(firsts, ["file", "_seq"], "inner").select(
-        "file", F.col("value").alias("line"))
+    return block0.join(firsts, ["file", "_seq"], "inner").select("file", F.col("value").alias("line"))
+
+
+def first_lines(spark: SparkSession, directories: Sequence[str], glob: str = "*.csv") -> DataFrame:
+    """``file, line`` for every file of the directories."""
+    if not all(can_open(d) for d in directories):
+        return _first_lines_by_scan(spark, directories, glob)
+    spark.dataSource.register(FirstLines)
+    return (spark.read.format("first_lines").option("directories", json.dumps(list(directories)))
+            .option("glob", glob).load())
+
+
+def header_inventory(spark: SparkSession, season_list: Sequence[Season],
+                     excludes: Sequence[str] = (), glob: str = "*.csv") -> DataFrame:
+    """S3: ``file, season, start_year, raw_header, header`` per file; a file
+    without any line has empty headers."""
+    if not season_list:
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    first = first_lines(spark, [s.path for s in season_list], glob)
     code, year = _season_columns(F.col("file"), season_list)
-    raw = split_header(F.col("line"))
+    none = F.array().cast("array<string>")
+    raw = F.coalesce(split_header(F.col("line")), none)
     return first.select("file", code.alias("season"), year.alias("start_year"),
                         raw.alias("raw_header"), clean_header(raw, excludes).alias("header"))
 
 
+def stored_inventory(spark: SparkSession, season_list: Sequence[Season],
+                     excludes: Sequence[str] = (), glob: str = "*.csv") -> DataFrame:
+    """The inventory as a stored table, checked against the directories' own
+    lists: every listed file has its row."""
+    path = scratch_dir(spark, "inventory")
+    header_inventory(spark, season_list, excludes, glob).write.parquet(path)
+    inv = spark.read.schema(INVENTORY_SCHEMA).parquet(path)
+    found = inv.count()
+    names = [n for s in season_list for n in list_files(spark, s.path) if wanted(n, glob)]
+    readable = all(can_open(s.path) for s in season_list)
+    if found > len(names) or readable and found < len(names):
+        raise RuntimeError(f"{len(names)} files are listed, {found} headers were read")
+    if found < len(names) or not inv.where(F.size("raw_header") == 0).isEmpty():
+        warnings.warn("files without any line have no header and no rows")
+    return inv.where(F.size("raw_header") > 0)
+
+
 @dataclass
 class Collated:
     table: DataFrame                     # merged, typed rows
@@ -189,20 +220,17 @@ def collate(spark: SparkSession, root: str, start_year: int, end_year: int,
     column. ``min_year`` and ``max_year`` refuse seasons beyond them."""
     wanted = seasons(root, start_year, end_year, template, min_year, max_year)
     present, missing = existing_seasons(spark, wanted)
-    inv = header_inventory(spark, present, excludes, glob)
-    rows = inv.orderBy("start_year", "file").collect()     # one row per file
-    if not rows:
+    inv = stored_inventory(spark, present, excludes, glob) if present else header_inventory(spark, present)
+    # a row per distinct header, with the names of its files
+    groups = (inv.groupBy("raw_header").agg(
+        F.any_value("header").alias("header"), F.sort_array(F.collect_list("file")).alias("files"),
+        F.min(F.struct("start_year", "file")).alias("first")).orderBy("first").collect())
+    if not groups:
         raise ValueError(f"no match files for seasons [{start_year}, {end_year}) under {root}")
-    groups: OrderedDict[tuple, list[str]] = OrderedDict()
-    cleaned: dict[tuple, list[str]] = {}
-    for r in rows:
-        key = tuple(r["raw_header"])
-        groups.setdefault(key, []).append(r["file"])
-        cleaned[key] = list(dict.fromkeys(r["header"]))
-    titles = merged_titles_from_headers([list(dict.fromkeys(r["header"])) for r in rows])
-    frames = [_group_frame(spark, files, list(raw), cleaned[raw], present, categories, key_col,
-                           audit)
-              for raw, files in groups.items()]
+    titles = merged_titles(inv)
+    frames = [_group_frame(spark, g["files"], list(g["raw_header"]), list(dict.fromkeys(g["header"])), present,
+                           categories, key_col, audit)
+              for g in groups]
     table = union_by_name(frames, titles)
     unknown = []
     if catalogue is not None:
