@@ -105,7 +105,7 @@ def counts(blocks: Blocks) -> tuple[int, int]:
             total += (len(t), t.sum())
         return {0: total}
     n, held_out = blocks.summed(per_task).get(0, np.zeros(2))
-    return int(n), int(held_out)
+    return round(n), round(held_out)  # sums of doubles
 
 
 def label_sets(labels: Sequence[str]) -> dict[str, int]:
