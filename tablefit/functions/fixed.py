@@ -74,10 +74,8 @@ LABELS = ["FTHG", "FTAG", "FTR", "HTHG", "HTAG", "HTR"]
 LABEL_EXPRESSIONS = ["FTR", "FTAG - FTHG", "HTR", "HTAG - HTHG"]
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES: season limits, components, split, accepted number pattern
+# FIXED VALUES: seasons of the main run, components, split, accepted number pattern
 # ---------------------------------------------------------------------------
-MIN_SEASON_YEAR = 1993
-MAX_SEASON_YEAR = 2015
 MAIN_RUN_START_YEAR = 2000
 MAIN_RUN_END_YEAR = 2015
 PCA_COMPONENTS = 9

@@ -25,13 +25,21 @@ from pyspark.sql import functions as F
 Block = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 _SCHEMA = "n long, x binary, y binary, t binary"
+#: Feature values of a block at most (a row stays whole).
+BLOCK_VALUES = 1_000_000
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            size = max(1, BLOCK_VALUES // max(1, len(batch.column(0)[0])))
+            for start in range(0, batch.num_rows, size):
+                yield batch.slice(start, size)
 
 
 def _pack(n_labels: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _pieces(batches):
             x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             y = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             t = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -43,6 +43,22 @@ def drop_empty_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.where(has_features_condition(features))
 
 
+def observed_filters(df: DataFrame, labels: Sequence[str], features: Sequence[str],
+                     drop_zero: bool = True) -> tuple[DataFrame, Observation]:
+    """F1 and F2 with a count of what they drop: the filtered rows, and an
+    ``Observation`` whose ``get`` has, once an action has run, ``n_rows``,
+    ``n_unlabelled`` (dropped by F1), ``n_featureless`` (of the others, dropped by
+    F2) and ``n_kept``. Counted in the same pass; the filters then run above the
+    count, so they are not pushed into the scan."""
+    usable, filled = usable_labels_condition(labels, drop_zero), has_features_condition(features)
+    usable, filled = F.coalesce(usable, F.lit(False)), F.coalesce(filled, F.lit(False))
+    seen = Observation()
+    watched = df.observe(
+        seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(~usable).alias("n_unlabelled"),
+        F.count_if(usable & ~filled).alias("n_featureless"), F.count_if(usable & filled).alias("n_kept"))
+    return watched.where(usable & filled), seen
+
+
 def label_prefix_report(inventory: DataFrame, labels: Sequence[str],
                         header_col: str = "header", file_col: str = "file") -> DataFrame:
     """F3 on a header inventory: one row per file with the expected label

@@ -468,3 +468,21 @@ SELECT trainer, label_expr, penalty,
 FROM (VALUES ('logistic'), ('svm')) AS a(trainer),
      (VALUES ('RF'), ('LS'), ('RF * LS'), ('RF - LS')) AS b(label_expr),
      (VALUES (0.01::DOUBLE), (0.005::DOUBLE)) AS c(penalty)"""
+
+
+ORACLE_SQL["repair_report"] = """
+WITH s AS (SELECT *, CAST(least(coalesce(year(l_shipdate), 2001), 2001) AS INTEGER) AS y, l_linenumber % 4 AS kind FROM lineitem)
+SELECT y AS start_year, count(*) AS n_rows, CAST(count_if(kind = 1) AS BIGINT) AS n_short, CAST(count_if(kind = 2) AS BIGINT) AS n_long,
+       CAST(count_if((kind = 3 OR l_quantity IS NULL) AND (kind = 1 OR l_returnflag IS NULL OR l_returnflag NOT IN ('R', 'N', 'A'))
+            AND (kind = 1 OR l_discount IS NULL) AND (kind = 1 OR y <= 1996 OR l_tax IS NULL)) AS BIGINT) AS n_blank
+FROM s GROUP BY y"""
+
+ORACLE_SQL["drop_report"] = """
+SELECT count(*) AS n_rows, CAST(count_if(coalesce(l_discount, 0) = 0) AS BIGINT) AS n_unlabelled,
+       CAST(count_if(coalesce(l_discount, 0) <> 0 AND coalesce(l_tax, 0) = 0) AS BIGINT) AS n_featureless,
+       CAST(count_if(coalesce(l_discount, 0) <> 0 AND coalesce(l_tax, 0) <> 0) AS BIGINT) AS n_kept
+FROM lineitem"""
+
+ORACLE_SQL["components_range"] = _TWO + """,
+r AS (SELECT sign(corr(n0, n1)) AS s FROM nx)
+SELECT l_orderkey, l_linenumber, round(n0 * sqrt(0.5) + n1 * (s * sqrt(0.5)), 6) AS Comp1 FROM nx, r"""

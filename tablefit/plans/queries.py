@@ -761,3 +761,37 @@ def isotonic_blocks(spark, sf_dir):
     fitted = fit_isotonic(li, F.col("l_quantity"), F.col("l_extendedprice") / 1000.0).fitted()
     return (fitted.groupBy(_r(F.col("value"), 4).alias("fitted"))
             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("weight").cast("long").alias("n")))
+
+
+@query
+def repair_report(spark, sf_dir):
+    """Rows, short, long and blank rows per season of the dirty files,
+    counted while they are parsed."""
+    from tablefit.session import scratch_dir
+    from tablefit.sources.csv_tables import collate
+    from tablefit.plans.tables import CSV_TEMPLATE, season_years, write_dirty_seasons
+    root = write_dirty_seasons(spark, sf_dir, scratch_dir(spark, "dirty-seasons"))
+    first, last = season_years(spark, root)
+    col = collate(spark, root, first, last + 1, ["note", "l_orderkey", "l_linenumber"], RETURNFLAG_CATEGORIES,
+                  CSV_TEMPLATE, key_col=None, glob="*.txt", report=True)
+    col.table.write.format("noop").mode("overwrite").save()
+    return col.repair_report()
+
+
+@query
+def drop_report(spark, sf_dir):
+    """F1 + F2: how many rows the label and the feature filter drop."""
+    from tablefit.operators.checks import observed_filters
+    kept, seen = observed_filters(table(spark, sf_dir, "lineitem"), ["l_discount"], ["l_tax"])
+    kept.write.format("noop").mode("overwrite").save()
+    names = ["n_rows", "n_unlabelled", "n_featureless", "n_kept"]
+    return spark.createDataFrame([tuple(int(seen.get[c]) for c in names)], ", ".join(f"{c} long" for c in names))
+
+
+@query
+def components_range(spark, sf_dir):
+    """M1 + O1 without the d x d matrix: the leading component of two features."""
+    from tablefit.operators.range_components import fit_range_components
+    rows = _two_feature_rows(spark, sf_dir)
+    comps = fit_range_components(rows, "x", TWO_FEATURES, k=1)
+    return comps.project(rows, "x", LINEITEM_KEYS).select(*LINEITEM_KEYS, _r(F.col("Comp1")).alias("Comp1"))

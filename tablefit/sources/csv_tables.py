@@ -29,8 +29,9 @@ import re
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,9 +171,39 @@ class Collated:
     titles: list[str]                    # merged column order (U2)
     missing: list[Season] = field(default_factory=list)
     unknown: list[str] = field(default_factory=list)
+    repairs: Observation | None = None   # counts by season, with ``report``
+    years: list[int] = field(default_factory=list)
+
+    def repair_report(self) -> DataFrame:
+        """``start_year, n_rows, n_short, n_long, n_blank`` per season: rows, rows
+        with fewer and with more cells than titles, and rows without any kept
+        cell. Needs ``collate(..., report=True)`` and an action on the table;
+        the counts come from that action's own parse."""
+        if self.repairs is None:
+            raise ValueError("collate with report=True to count repairs")
+        got = self.repairs.get
+        rows = [(y, *(int(got[f"{c}_{y}"]) for c in _REPAIRS)) for y in self.years]
+        schema = "start_year int, " + ", ".join(f"n_{c} long" for c in _REPAIRS)
+        return self.table.sparkSession.createDataFrame(rows, schema)
 
 
 AUDIT_COL = "width_repaired"
+_REPAIRS = ["rows", "short", "long", "blank"]
+_CELLS = "_cells_off"
+
+
+def cells_in(line: Column) -> Column:
+    """Cells of a CSV line: its commas outside quotes, and one."""
+    return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ","))
+
+
+def _observed(table: DataFrame, titles: Sequence[str], years: Sequence[int]) -> tuple[DataFrame, Observation]:
+    blank = reduce(lambda a, b: a & b, [F.col(f"`{t}`").isNull() for t in titles], F.lit(True))
+    off = F.col(_CELLS)
+    says = {"rows": F.lit(True), "short": off < 0, "long": off > 0, "blank": blank}
+    counts = [F.count_if((F.col("start_year") == y) & cond).alias(f"{c}_{y}") for y in years for c, cond in says.items()]
+    seen = Observation()
+    return table.observe(seen, *counts).drop(_CELLS), seen
 
 
 def _group_frame(spark: SparkSession, files: Sequence[str], raw_header: Sequence[str],
@@ -197,7 +228,9 @@ def _group_frame(spark: SparkSession, files: Sequence[str], raw_header: Sequence
     extra = [code.alias("season"), year.alias("start_year")]
     if audit:
         # short rows were padded and long rows cut; flagged, never dropped
-        extra.append(F.col("_corrupt_record").isNotNull().alias(AUDIT_COL))
+        bad = F.col("_corrupt_record")
+        extra.append(bad.isNotNull().alias(AUDIT_COL))
+        extra.append(F.coalesce(cells_in(bad) - F.lit(len(raw_header)), F.lit(0)).alias(_CELLS))
     if key_col:
         # a row key that depends only on the season, the file's name and the
         # row's cells, so a split on it repeats whatever the partitioning and
@@ -212,12 +245,14 @@ def collate(spark: SparkSession, root: str, start_year: int, end_year: int,
             template: str = DEFAULT_TEMPLATE, key_col: str | None = "match_key",
             catalogue: Sequence[str] | None = None, glob: str = "*.csv",
             audit: bool = False, min_year: int | None = None,
-            max_year: int | None = None) -> Collated:
+            max_year: int | None = None, report: bool = False) -> Collated:
     """S1-S6 + P1-P3 + U1-U4: season files under ``root`` -> one typed table
     with the merged column order, plus ``season``/``start_year`` (and a row
     key) columns. With ``audit``, a ``width_repaired`` flag marks rows whose
     cell count differed from their header (S6); such reads parse every
-    column. ``min_year`` and ``max_year`` refuse seasons beyond them."""
+    column. ``report`` counts repaired and blank rows by season while the table
+    is read (``Collated.repair_report``). ``min_year`` and ``max_year`` refuse
+    seasons beyond them."""
     wanted = seasons(root, start_year, end_year, template, min_year, max_year)
     present, missing = existing_seasons(spark, wanted)
     inv = stored_inventory(spark, present, excludes, glob) if present else header_inventory(spark, present)
@@ -229,13 +264,17 @@ def collate(spark: SparkSession, root: str, start_year: int, end_year: int,
         raise ValueError(f"no match files for seasons [{start_year}, {end_year}) under {root}")
     titles = merged_titles(inv)
     frames = [_group_frame(spark, g["files"], list(g["raw_header"]), list(dict.fromkeys(g["header"])), present,
-                           categories, key_col, audit)
+                           categories, key_col, audit or report)
               for g in groups]
-    table = union_by_name(frames, titles)
+    table, seen = union_by_name(frames, titles), None
+    years = [s.start_year for s in present]
+    if report:
+        table, seen = _observed(table, titles, years)
+    table = table.drop(_CELLS) if audit else table.drop(_CELLS, AUDIT_COL)
     unknown = []
     if catalogue is not None:
         known = set(catalogue)
         unknown = [t for t in titles if t not in known]
         if unknown:
             warnings.warn(f"columns not in the catalogue: {unknown}")
-    return Collated(table, inv, titles, missing, unknown)
+    return Collated(table, inv, titles, missing, unknown, seen, years)

@@ -47,6 +47,8 @@ def seasons(root: str, start_year: int, end_year: int, template: str = DEFAULT_T
             min_year: int | None = None, max_year: int | None = None) -> list[Season]:
     """Every season in [start_year, end_year) with its directory."""
     check_range(start_year, end_year, min_year, max_year)
+    if end_year - start_year > 100:
+        raise ValueError(f"seasons a century apart share a code: [{start_year}, {end_year})")
     root = root.rstrip("/")
     return [Season(y, season_code(y), template.format(root=root, code=season_code(y), year=y))
             for y in range(start_year, end_year)]
