@@ -3,27 +3,27 @@
 1. Each page is cut into blocks of text at block-level tags. A block is
    *marked* inside elements that never hold the article (nav, footer, aside,
    form, script, style, ...; a header outside the article; any element whose
-   class, id or role names a menu, advert, notice, sidebar, comments, ...),
-   and *main* inside an unmarked article or, failing one, main element.
+   class, id or role names a menu, advert, notice, sidebar, comments, ...), and
+   *main* inside an unmarked article or, failing one, main element. The body and
+   main elements are never marked by such names, an article only by those of
+   comments, adverts and related items. Where a page has an article or main
+   element, but all of them in marked elements (a form around the page, a wrapper
+   named after its sidebar, a nav that is never closed), marks from outside the
+   outermost one don't count, if what it holds outweighs the unmarked text
+   elsewhere; and if a page would give no text at all, only marks inside the
+   innermost one count.
 2. The token streams of a host's pages, all blocks in page order, are
    concatenated, with a mark of its own after each page. A suffix array,
    sorted by doubling up to ``MIN_RUN`` tokens, brings equal runs together;
-   runs that occur on ``MIN_PAGES`` distinct pages or more cover their tokens.
-3. Covered tokens outside the main blocks are boilerplate: of a page without
-   main blocks, the tokens of unmarked blocks stay that aren't covered. Main blocks
-   stay even where a few other pages repeat them: republished articles are
-   text, not boilerplate. They lose the runs of ``MIN_RUN`` tokens that the
-   main blocks of ``MAIN_SHARE`` of the host's pages hold, copies counted, and
-   of as much of its distinct main texts, if that is ``MAIN_PAGES`` of these or
-   more. A page with main blocks gives those alone.
-
-Runs of main blocks that common are found without dealing all runs: a batch of
-pages names those on ``LIKELY_SHARE`` of a host's pages in it; what a run may
-have at most elsewhere is that share of the other pages, so the runs that can
-still reach ``MAIN_SHARE`` are known, and only those are counted.
-
-The pages of a host meet in groups of about ``GROUP_PAGES``, dealt by a hash
-of the page, so no host is too large for a task. On a host of several groups
+   runs that occur on ``MIN_PAGES`` distinct pages or more cover their tokens. (A
+   longer repeated run is covered by its runs of ``MIN_RUN`` tokens, so nothing is
+   gained by sorting further.)
+3. A page with main blocks gives these whole, however often its host repeats
+   them: republished articles are text, not boilerplate. Of a page without
+   main blocks, the tokens of unmarked blocks stay that aren't covered.
+
+The pages of a host meet in groups of about ``GROUP_PAGES``, dealt by row
+number, so neither a large host nor many copies of a page are too much for a task. On a host of several groups
 the runs are counted across them: each page gives the 64-bit hashes of its
 runs, summed up per run and group as the least and greatest hash of the
 streams that hold it. Runs whose streams differ over all groups are given back
@@ -41,6 +41,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -56,9 +57,6 @@ MIN_RUN = 8
 #: Across groups, "two" is told by two streams that differ.
 MIN_PAGES = 2
 GROUP_PAGES = 128
-MAIN_SHARE, LIKELY_SHARE, MAIN_PAGES = 0.5, 0.25, 16
-#: Rows (host, count) that are broadcast at most; more are joined by a shuffle.
-BROADCAST_HOSTS = 200_000
 
 # Element names of HTML.
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg"}
@@ -72,6 +70,9 @@ NAMED = re.compile(
     r"contentinfo|complementary|widget)(?=$|[\s_-])",
     re.I,
 )
+#: Names that mark an article itself, and such of reader comments.
+NAMED_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|related|comments?|respond|disqus|replies)(?=$|[\s_-])", re.I)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|respond|disqus|replies)(?=$|[\s_-])", re.I)
 _TAG = re.compile(r"<(?:!--(.*?)(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[!?][^>]*(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -81,13 +82,45 @@ _TEXTS = "page_id long, url string, text string"
 _RUNS = "place long, part long, run long, stream long"
 
 
+class _Place(NamedTuple):
+    """Where a block stands: what marks it, counted from the top (``marked``), from
+    the outermost and the innermost article or main element, whether in reader
+    comments; and 2 in an article, 1 in a main element, unmarked ones or any."""
+
+    name: str = ""
+    marked: bool = False
+    level: int = 0
+    outer: bool = False
+    inner: bool = False
+    comments: bool = False
+    any_level: int = 0
+
+
+def _enter(at: _Place, name: str, names: list[str]) -> _Place:
+    holds = name in ("article", "main")
+    pattern = NAMED_ARTICLE if name == "article" else None if name in ("main", "body") else NAMED
+    named = pattern is not None and any(pattern.search(n) for n in names)
+    comments = named and any(COMMENTS.search(n) for n in names)
+    here = named or name in NEVER
+    marked = at.marked or here or (name == "header" and at.level < 2)
+    inside = here or (name == "header" and at.any_level < 2)
+    level = 2 if name == "article" else 1 if name == "main" else 0
+    return _Place(
+        name, marked, max(at.level, 0 if marked else level),
+        (False if holds and not at.any_level else at.outer or inside) or (holds and comments),
+        False if holds else at.inner or inside,
+        at.comments or comments, max(at.any_level, level),
+    )
+
+
 def blocks_of(page: str | None) -> list[tuple[str, int]]:
     """``(text, kind)`` of the page's non-empty blocks in order; kind is MAIN
     inside an article (or main element, if no article has text), MARKED or OPEN."""
-    stack: list[tuple[str, bool, int]] = []  # name, marked, 2 in an article, 1 in a main element
-    found: list[tuple[str, bool, int]] = []
+    top = _Place()
+    stack: list[_Place] = []
+    found: list[tuple[str, _Place]] = []
     held: list[str] = []
-    marked, level, page = False, 0, page or ""
+    here, page = top, page or ""
 
     def close() -> None:
         text = "".join(held)
@@ -96,7 +129,7 @@ def blocks_of(page: str | None) -> list[tuple[str, int]]:
             text = entities.unescape(text)
         text = " ".join(text.split())
         if text:
-            found.append((text, marked, level))
+            found.append((text, here))
 
     at, size = 0, len(page)
     while at < size:
@@ -118,17 +151,16 @@ def blocks_of(page: str | None) -> list[tuple[str, int]]:
             close()
         if m[2]:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
+                if stack[i].name == name:
                     del stack[i:]
-                    marked, level = stack[-1][1:] if stack else (False, 0)
+                    here = stack[-1] if stack else top
                     break
             continue
         if name in VOID or name == "html":
             continue
-        if stack and stack[-1][0] == "head" and name not in RAW:
+        if stack and stack[-1].name == "head" and name not in RAW:
             stack.pop()
-            marked, level = stack[-1][1:] if stack else (False, 0)
-        named = any(NAMED.search(a or b or c) for a, b, c in _ATTRIBUTE.findall(m[4])) if "=" in m[4] and name != "body" else False
+            here = stack[-1] if stack else top
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}[\\s/>]", re.I).search(page, at)
             close()
@@ -138,16 +170,34 @@ def blocks_of(page: str | None) -> list[tuple[str, int]]:
             continue
         if m[4].endswith("/") and name not in INLINE:
             continue
-        if name in INLINE and not named:
-            continue
+        names = [a or b or c for a, b, c in _ATTRIBUTE.findall(m[4])] if "=" in m[4] else []
         if name in INLINE:
+            if not any(NAMED.search(n) for n in names):
+                continue
             close()
-        marked = marked or named or name in NEVER or (name == "header" and level < 2)
-        level = max(level, 0 if marked else 2 if name == "article" else 1 if name == "main" else 0)
-        stack.append((name, marked, level))
+        here = _enter(here, name, names)
+        stack.append(here)
     close()
-    best = max((lv for _, bad, lv in found if not bad), default=0)
-    return [(text, MARKED if bad else MAIN if lv and lv == best else OPEN) for text, bad, lv in found]
+    return list(zip((text for text, _ in found), _kinds(found)))
+
+
+def _kinds(found: list[tuple[str, _Place]]) -> list[int]:
+    """MAIN, OPEN or MARKED for each block; see the module's first step."""
+    def kinds(level_of, bad_of) -> list[int]:
+        best = max((level_of(p) for _, p in found if not bad_of(p)), default=0)
+        return [MARKED if bad_of(p) else MAIN if best and level_of(p) == best else OPEN for _, p in found]
+
+    strict = kinds(lambda p: p.level, lambda p: p.marked)
+    if MAIN in strict or not any(p.any_level for _, p in found):
+        return strict
+    size = lambda which: sum(len(text) for (text, _), k in zip(found, which) if k == MAIN)
+    relaxed = kinds(lambda p: p.any_level, lambda p: (p.outer or p.comments) if p.any_level else p.marked)
+    opened = sum(len(text) for (text, p), k in zip(found, strict) if k == OPEN and not p.any_level)
+    if size(relaxed) > opened:
+        return relaxed
+    if OPEN not in strict:
+        return kinds(lambda p: p.any_level, lambda p: p.inner if p.any_level else p.marked)
+    return strict
 
 
 def covered_by_repeats(streams: list[np.ndarray], min_run: int = MIN_RUN, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
@@ -217,61 +267,6 @@ def _stream(blocks: list[str]) -> int:
     return xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _main_of(blocks: list[str], kinds: list[int]) -> list[str]:
-    return [b for b, k in zip(blocks, kinds) if k == MAIN]
-
-
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch and host the main blocks' runs that ``LIKELY_SHARE`` of its pages have, with both numbers of pages."""
-    for batch in batches:
-        hosts: dict[int, list[np.ndarray]] = {}
-        for place, blocks, kinds in zip(*(c.to_pylist() for c in batch.columns)):
-            hosts.setdefault(place, []).append(np.unique(run_hashes(_main_of(blocks, kinds), place)))
-        for place, pages in hosts.items():
-            runs, having = np.unique(np.concatenate(pages), return_counts=True)
-            often = having >= LIKELY_SHARE * len(pages)
-            n = int(often.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, place, np.int64)), pa.array(runs[often]), pa.array(having[often]), pa.array(np.full(n, len(pages), np.int64))],
-                ["place", "run", "having", "pages"],
-            )
-
-
-def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Which of the likely runs each page's main blocks hold, with the hash of the main text."""
-    for batch in batches:
-        for place, likely, blocks, kinds in zip(*(c.to_pylist() for c in batch.columns)):
-            main = _main_of(blocks, kinds)
-            runs = np.intersect1d(run_hashes(main, place), np.array(likely, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(runs), place, np.int64)), pa.array(runs), pa.array(np.full(len(runs), _stream(main), np.int64))],
-                ["place", "run", "stream"],
-            )
-
-
-def _common(pages: DataFrame, hosts: DataFrame) -> DataFrame | None:
-    """``of_place, common``: the runs that main blocks lose, of ``pages(place,
-    n, blocks, kinds)``; None if there are none."""
-    large = pages.where(F.col("n") >= MAIN_PAGES)
-    named = large.select("place", "blocks", "kinds").mapInArrow(_likely, "place long, run long, having long, pages long")
-    summed = named.groupBy("place", "run").agg(F.sum("having").alias("having"), F.sum("pages").alias("pages"))
-    sizes = hosts.select(F.col("place").alias("of_place"), F.col("n").alias("of_n"), "texts")
-    reach = F.col("having") + LIKELY_SHARE * (F.col("of_n") - F.col("pages")) >= MAIN_SHARE * F.col("of_n")
-    likely = summed.join(sizes, F.col("place") == F.col("of_place")).where(reach)
-    likely = materialize(likely.groupBy(F.col("place").alias("at")).agg(F.collect_list("run").alias("likely")))  # of the order of a page's length
-    if likely.isEmpty():
-        return None
-    held = large.join(likely, F.col("place") == F.col("at")).select("place", "likely", "blocks", "kinds").mapInArrow(
-        _present, "place long, run long, stream long"
-    )
-    texts = held.groupBy("place", "run", "stream").agg(F.count("*").alias("copies"))
-    counted = texts.groupBy("place", "run").agg(F.sum("copies").alias("having"), F.count("*").alias("streams"))
-    common = counted.join(sizes, F.col("place") == F.col("of_place")).where(
-        (F.col("having") >= MAIN_SHARE * F.col("of_n")) & (F.col("streams") >= MAIN_SHARE * F.col("texts")) & (F.col("streams") >= MAIN_PAGES)
-    )
-    return materialize(common.groupBy("of_place").agg(F.collect_list("run").alias("common")))
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pages = [blocks_of(p) for p in batch.column(2).to_pylist()]
@@ -298,18 +293,11 @@ def _kept(group: pd.DataFrame, repeated: pd.DataFrame | None = None) -> pd.DataF
     if repeated is not None and len(repeated):
         for page, inside in zip(first, covered):
             _cover(inside, page, host, repeated["run"].to_numpy(np.int64))
-    common = group["common"].iloc[0]  # the same for a host
     texts = []
     for blocks, kinds, i in zip(pages, group["kinds"], place):
         tokens = [t for b in blocks for t in b.split(" ")]
         of = np.repeat(np.array(kinds, np.int8), [b.count(" ") + 1 for b in blocks])
-        if MAIN in kinds:
-            tokens = [t for t, k in zip(tokens, of) if k == MAIN]
-            drop = np.zeros(len(tokens), bool)
-            if common is not None:
-                _cover(drop, _main_of(blocks, kinds), host, common)
-        else:
-            drop = covered[i] | (of != OPEN)
+        drop = of != MAIN if MAIN in kinds else covered[i] | (of != OPEN)
         texts.append(" ".join(t for t, bad in zip(tokens, drop) if not bad))
     return pd.DataFrame({"page_id": group["page_id"].astype("Int64"), "url": group["url"], "text": texts})
 
@@ -319,21 +307,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     blocks = rows.mapInArrow(_blocks, "page_id long, url string, blocks array<string>, kinds array<tinyint>").withColumn("of_host", host_of("url"))
     has = lambda kind: F.array_contains("kinds", F.lit(kind).cast("tinyint"))
-    main = F.when(has(MAIN), F.xxhash64(F.filter("blocks", lambda b, i: F.get("kinds", i) == MAIN)))  # null without
-    hosts = blocks.withColumn("main", main).groupBy(F.col("of_host").alias("host")).agg(F.count("*").alias("n"), F.max(has(OPEN) & ~has(MAIN)).alias("asks"), F.count_distinct("main").alias("texts"))
+    hosts = blocks.groupBy(F.col("of_host").alias("host")).agg(F.count("*").alias("n"), F.max(has(OPEN) & ~has(MAIN)).alias("asks"))
     hosts = materialize(hosts.withColumn("place", F.monotonically_increasing_id()))
     asked = not hosts.where(F.col("asks") & (F.col("n") > GROUP_PAGES)).isEmpty()
-    if hosts.count() <= BROADCAST_HOSTS:
-        hosts = F.broadcast(hosts)
-    dealt = blocks.join(hosts, blocks["of_host"] == hosts["host"])
-    part = F.pmod(F.xxhash64("page_id", "url", "blocks"), F.ceil(F.col("n") / GROUP_PAGES))
-    dealt = dealt.withColumn("part", part)
-    common = _common(dealt, hosts)
-    if common is None:
-        cut = dealt.withColumn("common", F.lit(None).cast("array<long>"))
-    else:
-        cut = dealt.join(F.broadcast(common) if common.count() <= BROADCAST_HOSTS else common, F.col("place") == F.col("of_place"), "left")
-    groups = cut.select("place", "part", "page_id", "url", "blocks", "kinds", "common").groupBy("place", "part")
+    dealt = blocks.withColumn("deal", F.xxhash64(F.monotonically_increasing_id())).join(hosts, blocks["of_host"] == hosts["host"])
+    dealt = dealt.withColumn("part", F.pmod("deal", F.ceil(F.col("n") / GROUP_PAGES)))
+    groups = dealt.select("place", "part", "page_id", "url", "blocks", "kinds").groupBy("place", "part")
     if not asked:
         return groups.applyInPandas(lambda group: _kept(group), _TEXTS)
     runs = dealt.where(F.col("asks") & (F.col("n") > GROUP_PAGES)).select("place", "part", "blocks").mapInArrow(_runs, _RUNS)

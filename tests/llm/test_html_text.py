@@ -116,16 +116,83 @@ def test_repeated_runs_are_cut_inside_blocks(spark):
     assert got == {i: f"{a} {b}" for i, (a, b) in enumerate(own)}
 
 
-def test_main_blocks_lose_what_most_of_the_host_repeats(spark):
+def test_articles_stay_whole_on_hosts_of_any_size(spark):
     rnd = random.Random(8)
     words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
-    notice, news, copied = words(20), words(40), words(40)
+    notice, copied = words(20), words(40)
     own = [words(30) for _ in range(60)]
-    rows = [(i, f"http://h/{i}", f"<main><p>{t} {notice if i % 4 else ''}</p>" + (f"<p>{news}</p>" if i < 12 else "") + "</main>") for i, t in enumerate(own)]
-    rows += [(100 + i, f"http://copies/{i}", f"<nav>{words(9)}</nav><article>{copied if i < 40 else words(30)}</article>") for i in range(50)]
-    rows += [(200 + i, f"http://small/{i}", f"<article>{copied}</article>") for i in range(3)]
+    rows = [(i, f"http://h/{i}", f"<main><p>{t} {notice}</p></main>") for i, t in enumerate(own)]
+    rows += [(100 + i, f"http://copies/{i}", f"<nav>{words(9)}</nav><article>{copied}</article>") for i in range(300)]
     for parts in (1, 7):  # whatever the batches hold
         df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
         got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
-        assert all(got[i] == (f"{t} {news}" if i < 12 else t) for i, t in enumerate(own))  # few pages' news stays
-        assert all(got[100 + i] == copied for i in range(40)) and all(got[200 + i] == copied for i in range(3))
+        assert all(got[i] == f"{t} {notice}" for i, t in enumerate(own)) and all(got[100 + i] == copied for i in range(300))
+
+
+def test_marks_around_and_on_the_article():
+    def main(page):
+        return " ".join(t for t, k in html_text.blocks_of(page) if k == html_text.MAIN)
+
+    text = "<h1>Title</h1><p>Some words of the article that are longer than the menu.</p>"
+    want = "Title Some words of the article that are longer than the menu."
+    for page in (
+        f"<body><div class='content-sidebar-wrap'><main><article>{text}</article></main><div class=sidebar>s</div></div>",
+        f"<article class='post share-enabled'>{text}</article>",
+        f"<body><form id=aspnetForm><div id=menu>m</div><article>{text}<div class=share>x</div></article></form>",
+        f"<nav><ul><li>home<li>news</ul><main><article>{text}</article></main>",
+        f"<body class='sidebar-left'><main class='site-header'>{text}<aside>a</aside></main></body>",
+        f"<div class='post comments-open'><article>{text}</article></div>",
+        f"<main><div class='notice-wrap'><article>{text}</article></div></main>",
+        f"<article>{text}</article><div id=comments><article class=comment-body>c {text}</article></div>",
+        f"<main><article>{text}</article><aside><article>teaser {text}</article></aside></main>",
+    ):
+        assert main(page) == want, page
+    # what is no article of the page: teasers beside plain text, comments alone
+    plain = "<div>" + "plain text of the page itself, much longer than all the rest of it " * 4 + "</div>"
+    for page in (f"{plain}<aside><article>teaser</article></aside>", f"{plain}<div id=comments><article>short</article></div>"):
+        kinds = dict((t[:6], k) for t, k in html_text.blocks_of(page))
+        assert kinds.pop("plain ") == html_text.OPEN and set(kinds.values()) == {html_text.MARKED}
+
+
+def plain_main_text(rows):
+    """The whole operator without groups, hashes or suffix arrays."""
+    hosts = {}
+    for page_id, url, page in rows:
+        m = re.search(r"://([^/?#]*)", url or "")
+        hosts.setdefault(m[1].lower() if m else "", []).append((page_id, html_text.blocks_of(page)))
+    out = []
+    for pages in hosts.values():
+        streams = {tuple(t for t, _ in blocks) for _, blocks in pages}
+        seen = {}
+        for stream in streams:
+            tokens = " ".join(stream).split(" ")
+            for i in range(len(tokens) - 7):
+                seen.setdefault(tuple(tokens[i : i + 8]), set()).add(stream)
+        for page_id, blocks in pages:
+            kinds = [k for t, k in blocks for _ in t.split(" ")]
+            tokens = [w for t, _ in blocks for w in t.split(" ")]
+            covered = [False] * len(tokens)
+            for i in range(len(tokens) - 7):
+                if len(seen[tuple(tokens[i : i + 8])]) > 1:
+                    covered[i : i + 8] = [True] * 8
+            if html_text.MAIN in kinds:
+                keep = [w for w, k in zip(tokens, kinds) if k == html_text.MAIN]
+            else:
+                keep = [w for w, k, c in zip(tokens, kinds, covered) if k == html_text.OPEN and not c]
+            out.append((page_id, " ".join(keep)))
+    return sorted(out)
+
+
+def test_whole_operator_equals_a_plain_version(spark, monkeypatch):
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randrange(60)}"
+    passages = [" ".join(word() for _ in range(rnd.randrange(8, 25))) for _ in range(12)]
+    rows = []
+    for i in range(240):
+        parts = [f"<{rnd.choice(['p', 'div', 'nav', 'div class=menu'])}>{rnd.choice([rnd.choice(passages), ' '.join(word() for _ in range(12))])}" for _ in range(4)]
+        wrap = rnd.choice(["{}", "{}", "{}", "<article>{}</article>", "<div>{}</div>"])
+        rows.append((i, f"http://h{rnd.choice([0, 0, 0, 1, 2, i])}/{i}", wrap.format("".join(parts))))
+    rows += [(1000 + i, "http://h0/copy", rows[0][2]) for i in range(60)]
+    monkeypatch.setattr(html_text, "GROUP_PAGES", 16)
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()
+    assert sorted((r.page_id, r.text) for r in got) == plain_main_text(rows)
