@@ -26,8 +26,9 @@ from tablefit.llm.common import materialize, table
 
 #: The rules of the query, fixed.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: Host words of the query's list: its entries are the pages' URLs on such hosts.
-LISTED_WORDS = ("casino-win", "free-bets", "ads-track", "spam-farm", "cheap-pills", "adult-x")
+#: The query's list: of the pages' own canonical URLs those whose MD5 digest begins
+#: with these digits (an eighth), so that hosts have listed and unlisted ones.
+LISTED_DIGITS = "01"
 
 BITS_PER_ENTRY = 16
 BROADCAST_BLOCKS = 1_000_000
@@ -111,7 +112,8 @@ def judge(pages: DataFrame, listed_urls: DataFrame, rules: tuple[tuple[str, str]
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    on_list = reduce(lambda a, b: a | b, [host_of("url").contains(w) for w in LISTED_WORDS])
+    form = canonical(host_of("url"), path_of("url"))
+    on_list = F.substring(F.md5(form.cast("binary")), 1, 1).isin(*LISTED_DIGITS)
     return judge(pages, pages.where(on_list).select("url")).select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -127,7 +129,7 @@ WITH s AS (
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages
 ), r AS (SELECT *, {_RULE} AS rule, {_CANONICAL} AS form FROM s),
-listed AS (SELECT DISTINCT form FROM r WHERE host <> '' AND regexp_matches(host, '{"|".join(LISTED_WORDS)}'))
+listed AS (SELECT DISTINCT form FROM r WHERE host <> '' AND contains('{LISTED_DIGITS}', left(md5(form), 1)))
 SELECT page_id, host, path, rule,
        coalesce({_VERDICT}, CASE WHEN host <> '' AND form IN (SELECT form FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM r

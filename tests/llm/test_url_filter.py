@@ -59,3 +59,25 @@ def test_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.net/b")], "page_id long, url string")
     assert url_filter.judge(pages, pages.limit(0).select("url")).first().verdict == "allow"
     assert url_filter.judge(pages.limit(0), pages.select("url")).count() == 0
+
+
+def test_the_join_decides_verdicts(spark, monkeypatch):
+    """A small filter passes many unlisted URLs; the exact join takes them out again."""
+    urls = [f"http://www.host{i % 7}.net/page/{i}" for i in range(2000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = pages.where("page_id % 8 = 0").selectExpr("replace(url, 'www.', 'm.') || '.html?x=1' AS url")
+    monkeypatch.setattr(url_filter, "BITS_PER_ENTRY", 1)
+    forms = pages.select(url_filter.canonical(url_filter.host_of("url"), url_filter.path_of("url")).alias("form"))
+    short = listed.select(url_filter.canonical(url_filter.host_of("url"), url_filter.path_of("url")).alias("form"))
+    assert url_filter.possible(forms, short).count() > 400
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, listed).collect()}
+    assert got == {i: "block" if i % 8 == 0 else "allow" for i in range(2000)}  # of one host, some and some not
+
+
+def test_the_query_lists_some_urls_of_a_host(spark):
+    rows = [r for r in url_filter.op5_url_filter(spark, SF001).collect() if r.rule is None]
+    shares = {}
+    for r in rows:
+        shares.setdefault(r.host, set()).add(r.verdict)
+    assert any(len(v) == 2 for v in shares.values())
+    assert 0.03 < sum(r.verdict == "block" for r in rows) / len(rows) < 0.3
