@@ -57,6 +57,8 @@ MIN_RUN = 8
 #: Across groups, "two" is told by two streams that differ.
 MIN_PAGES = 2
 GROUP_PAGES = 128
+#: Hosts, and characters of their names, that are broadcast at most; more are joined by a shuffle.
+BROADCAST_HOSTS, BROADCAST_CHARS = 200_000, 16_000_000
 
 # Element names of HTML.
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg"}
@@ -310,6 +312,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     hosts = blocks.groupBy(F.col("of_host").alias("host")).agg(F.count("*").alias("n"), F.max(has(OPEN) & ~has(MAIN)).alias("asks"))
     hosts = materialize(hosts.withColumn("place", F.monotonically_increasing_id()))
     asked = not hosts.where(F.col("asks") & (F.col("n") > GROUP_PAGES)).isEmpty()
+    size = hosts.agg(F.count("*").alias("n"), F.sum(F.length("host")).alias("chars")).first()
+    if size["n"] <= BROADCAST_HOSTS and (size["chars"] or 0) <= BROADCAST_CHARS:
+        hosts = F.broadcast(hosts)
     dealt = blocks.withColumn("deal", F.xxhash64(F.monotonically_increasing_id())).join(hosts, blocks["of_host"] == hosts["host"])
     dealt = dealt.withColumn("part", F.pmod("deal", F.ceil(F.col("n") / GROUP_PAGES)))
     groups = dealt.select("place", "part", "page_id", "url", "blocks", "kinds").groupBy("place", "part")

@@ -194,5 +194,7 @@ def test_whole_operator_equals_a_plain_version(spark, monkeypatch):
         rows.append((i, f"http://h{rnd.choice([0, 0, 0, 1, 2, i])}/{i}", wrap.format("".join(parts))))
     rows += [(1000 + i, "http://h0/copy", rows[0][2]) for i in range(60)]
     monkeypatch.setattr(html_text, "GROUP_PAGES", 16)
-    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()
-    assert sorted((r.page_id, r.text) for r in got) == plain_main_text(rows)
+    df, want = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5), plain_main_text(rows)
+    for chars in (html_text.BROADCAST_CHARS, 10):  # hosts sent to all tasks, and joined by a shuffle
+        monkeypatch.setattr(html_text, "BROADCAST_CHARS", chars)
+        assert sorted((r.page_id, r.text) for r in html_text.main_text(df).collect()) == want
