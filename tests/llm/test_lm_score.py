@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tablefit.llm import lm_score
@@ -52,14 +53,26 @@ def test_all_documents_against_plain_counting(spark, block_docs, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_probabilities_sum_to_one():
-    rows = [(i, t) for i, t in enumerate(["a b a c", "a a b", "c", "", "b d"])]
+def test_all_texts_together_have_probability_one(spark):
+    """From the engine's scores of all texts of up to two words (``zzz``: all unknown words as one): with
+    A(w) = P("w") and M(v, w) = P("v w") / A(v), texts of k words have A M^(k-1) 1 in total."""
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    train = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2]
     words = ["a", "b", "c", "d", "zzz"]
-    first = {w: plain(rows + [(100 + 7 * 0, w)]) for w in words}
-    assert first  # the sum itself is checked on the counts below
-    uni = Counter(x for _, t in rows for x in t.split() + [None])
-    n, u = sum(uni.values()), (sum(c == 1 for c in uni.values()) + 1) / (sum(uni.values()) + 2)
-    assert math.isclose(sum((1 - u) * c / n for c in uni.values()) + u, 1.0)
+    asked = ["", *words, *(f"{v} {w}" for v in words for w in words)]
+    rows = list(zip(train, ["a b a c", "a a b", "c", "", "b d"])) + list(zip(held, asked))
+    out = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    p = {text[r.doc_id]: 10.0**r.score for r in out if r.held_out}
+    first = np.array([p[w] for w in words])
+    step = np.array([[p[f"{v} {w}"] for w in words] for v in words]) / first[:, None]
+    assert p[""] + first @ np.linalg.solve(np.eye(len(words)) - step, np.ones(len(words))) == pytest.approx(1.0, rel=1e-9)
+
+
+def test_equal_rows_beyond_a_block(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_DOCS", 3)
+    rows = [(None, None)] * 40 + [(7, "a b a")] * 20 + [(i, f"a w{i}") for i in range(20)]
+    same(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string")).collect(), plain(rows))
 
 
 def test_odd_rows(spark, monkeypatch):
