@@ -4,24 +4,28 @@ Finds short items inside long documents: a pair counts when the document
 holds at least ``PERCENT`` of the item's distinct word shingles.
 
 1. Items are partitioned by size: partition p holds the items of 2**p to
-   2**(p+1) - 1 distinct shingles. An item's signature is its ``k`` smallest
-   shingle hashes (a bottom-k MinHash), with k set by the partition's largest
-   size u: k = floor(u * (1 - PERCENT / 100)) + 1. A document that holds the
+   2**(p+1) - 1 distinct shingles. An item's signature is a bottom-k MinHash:
+   its ``k`` smallest shingles by (number of items that hold the shingle,
+   hash), with k set by the partition's largest size u:
+   k = floor(u * (1 - PERCENT / 100)) + 1. A document that holds the
    demanded share of the item lacks fewer than k of its shingles, so it holds
    at least one of any k of them: no pair is missed, however long the document.
+   What many items share, such as a common question form, thus proposes an
+   item only where the item has too few shingles of its own.
 2. The hashes of all shingles of a document look up the signatures. A hit
    proposes the pair.
 3. Proposed pairs are tested on the shingles themselves, built again as text
    from the whole document.
 
 DataFrame functions only. The signatures are broadcast while they have at
-most ``BROADCAST_ROWS`` rows (two longs each) and joined by a shuffle beyond.
+most ``BROADCAST_ROWS`` rows (three longs each) and joined by a shuffle beyond.
 
 Words are what lies between white space (\\x20, \\x09-\\x0D), lower-cased. A
 text of fewer than ``WIDTH`` words is one shingle; an empty or null one has
 none and is in no pair, be it item or document. Repeated rows give one pair;
 texts that share a doc_id (or item_id) give the pair with the largest share.
-Null ids are kept as null. Other columns are ignored.
+Null ids are kept as null. Rows are told apart by two 64-bit hashes of id and
+text. Other columns are ignored, and passed on by ``clean``.
 """
 
 from __future__ import annotations
@@ -66,9 +70,14 @@ def _demanded(size: Column, percent: int) -> Column:
     return F.floor(largest * (100 - percent) / 100).cast("int") + 1
 
 
+def _key(*columns: str) -> Column:
+    """128 bits that stand for the row."""
+    return F.struct(F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit(1), *columns).alias("k2"))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a ``key`` made of doc_id and text."""
-    return docs.withColumn("key", F.xxhash64(F.col("doc_id"), F.col("text")))
+    """``key, doc_id, text`` of each row of ``docs``, with a key made of the other two."""
+    return docs.select(_key("doc_id", "text").alias("key"), "doc_id", "text")
 
 
 def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -76,12 +85,15 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> Data
     ``docs(key, doc_id, text)`` and ``items(item_id, text)``."""
     docs = docs.select("key", "doc_id", F.col("text").cast("string").alias("text"))
     items = items.select("item_id", F.col("text").cast("string").alias("text")).distinct()
-    items = materialize(items.withColumn("key", F.xxhash64("item_id", "text")))
+    items = materialize(items.withColumn("key", _key("item_id", "text")))
     item_words = _words(items)
-    sized = _hashes(item_words).groupBy("key").agg(F.array_sort(F.collect_set("hash")).alias("hashes"))  # one item's shingles
+    hashes = materialize(_hashes(item_words).distinct())
+    held = hashes.join(hashes.groupBy("hash").agg(F.count("*").alias("items")), "hash")
+    sized = held.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("items", "hash"))).alias("hashes"))  # one item's shingles
     signatures = materialize(
         sized.select(
-            F.col("key").alias("item"), F.explode(F.slice("hashes", F.lit(1), _demanded(F.size("hashes"), percent))).alias("hash")
+            F.col("key").alias("item"),
+            F.explode(F.slice("hashes.hash", F.lit(1), _demanded(F.size("hashes"), percent))).alias("hash"),
         )
     )
     proposed = _hashes(_words(docs))
@@ -108,9 +120,9 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> Data
 
 def clean(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that hold no item, unchanged."""
-    own = keyed(docs)
-    leaks = materialize(contained(own, items, percent).select("key").distinct())
-    return own.join(leaks, "key", "left_anti").select(*docs.columns)
+    leaks = materialize(contained(keyed(docs), items, percent).select("key").distinct())
+    own = docs.select(F.struct("*").alias("row"), _key("doc_id", "text").alias("key"))
+    return own.join(leaks, "key", "left_anti").select("row.*")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

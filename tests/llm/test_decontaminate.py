@@ -3,7 +3,7 @@ import random
 import duckdb
 
 from tablefit.llm import decontaminate
-from tablefit.llm.common import table
+from tablefit.llm.common import materialize, table
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -79,3 +79,28 @@ def test_null_empty_long_repeated_rows_and_clashing_columns(spark):
     assert sorted((r.doc_id for r in kept.collect())) == [1, 2, 4, 5]
     assert decontaminate.clean(docs.limit(0), items).count() == 0
     assert decontaminate.clean(docs, items.limit(0)).count() == len(rows)
+
+
+def test_clean_passes_on_a_key_of_the_callers_own(spark):
+    docs = spark.createDataFrame([(1, "x a b c d e f", "p", 1), (2, "clean words only here now", None, 2)], "doc_id long, text string, key string, k1 int")
+    items = spark.createDataFrame([(7, "a b c d e f", "q")], "item_id long, text string, key string")
+    assert list(map(tuple, decontaminate.clean(docs, items).collect())) == [(2, "clean words only here now", None, 2)]
+
+
+def test_what_many_items_share_proposes_few_pairs(spark, monkeypatch):
+    """200 items share 20 words and have 20 of their own; 100 documents hold the shared words, one holds an item."""
+    common = " ".join(f"c{i}" for i in range(20))
+    items = [(i, common + " " + " ".join(f"i{i}x{j}" for j in range(20))) for i in range(200)]
+    docs = [(d, f"{common} d{d}") for d in range(100)] + [(100, "before " + items[3][1])]
+    counts = []
+
+    def counted(df):
+        out = materialize(df)
+        if out.columns == ["key", "item"]:
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(decontaminate, "materialize", counted)
+    dd = decontaminate.keyed(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert pairs(decontaminate.contained(dd, spark.createDataFrame(items, "item_id long, text string"))) == brute(docs, items)
+    assert counts == [1]
