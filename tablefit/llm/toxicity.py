@@ -8,8 +8,9 @@
 2. Entries are whole words and beginnings of words (``PREFIXES`` letters),
    counted per document and class. An entry stays if it is far more frequent in
    toxic documents (``LEAST_WEIGHT``) and its G-test passes the Bonferroni level ``LEVEL`` over
-   all entries; its weight is the log ratio of the smoothed shares. At most
-   ``ENTRIES``, the most significant, make the lexicon.
+   all entries; its weight is the log ratio of the smoothed shares. All such
+   entries make the lexicon. Each is in several toxic documents of the sample,
+   so the sample bounds the lexicon, however many documents there are.
 3. A logistic regression over four numbers of a text turns hits into a score.
 
 ``scores`` folds each whole text (letters of other scripts that look Latin,
@@ -48,7 +49,6 @@ FOLDS, HELD_OUT = 5, 0
 SAMPLE = 20_000
 PREFIXES = (3, 4, 5, 6, 7)
 LEVEL = 0.01
-ENTRIES = 20_000
 #: An entry is at least exp(LEAST_WEIGHT), some seven times, as frequent in toxic documents.
 LEAST_WEIGHT = 2.0
 #: Phrases in which an entry is harmless, already folded.
@@ -209,9 +209,8 @@ def learn(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int
     best = (
         counted.select("entry", _g_test(F.col("toxic"), F.col("clean"), n_toxic, n_clean).alias("g"), weight.alias("weight"))
         .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("g") >= level))
-        .orderBy(F.desc("g"), "entry")
-        .limit(ENTRIES)
-        .collect()
+        .orderBy("entry")
+        .collect()  # bounded by the sample
     )
     lexicon = Lexicon({r.entry: r.weight for r in best}, exceptions, (0.0,) * 4, 0.0)
     numbers = materialize(rows.select("text", "y").mapInArrow(_numbers(lexicon, 0, "y", "numbers"), "y int, numbers array<double>"))
@@ -223,7 +222,7 @@ def learn(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int
 def scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``doc_id, score`` of each row of ``docs(doc_id, text)``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most ENTRIES entries
+    sent = docs.sparkSession.sparkContext.broadcast(lexicon)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = sent.value
