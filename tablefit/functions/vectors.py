@@ -7,7 +7,7 @@ transformers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +37,18 @@ def abs_array(arr: str | Column) -> Column:
     return F.transform(_col(arr), lambda x: F.abs(x))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often ``use``
+    names it (inside a lambda it would be computed for every element)."""
+    return F.transform(F.array(value), use)[0]
+
+
 def lp_norm(arr: str | Column, p: float = 2.0) -> Column:
     """(sum |x|^p)^(1/p) of an array, nulls counted as 0."""
-    a = fill_nulls_array(arr)
+    return _norm(fill_nulls_array(arr), p)
+
+
+def _norm(a: Column, p: float) -> Column:
     p = float(p)
     if p == 1.0:
         total = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.abs(x))
@@ -56,24 +65,23 @@ def lp_normalize(arr: str | Column, p: float = 2.0) -> Column:
     sign kept. A zero row stays zero (no division by zero)."""
     if p == float("inf"):
         raise ValueError("use signed_max_normalize or max_abs_normalize for p = inf")
-    a = fill_nulls_array(arr)
-    norm = lp_norm(a, p)
-    return F.when(norm == 0.0, a).otherwise(F.transform(a, lambda x: x / norm))
+    return bound(fill_nulls_array(arr), lambda a: _divided(a, _norm(a, p)))
+
+
+def _divided(a: Column, norm: Column) -> Column:
+    return bound(norm, lambda n: F.when(n == 0.0, a).otherwise(F.transform(a, lambda x: x / n)))
 
 
 def signed_max_normalize(arr: str | Column) -> Column:
     """Divide by the *signed* maximum element (V2); a zero maximum gives
     null elements instead of a division error."""
-    a = fill_nulls_array(arr)
-    top = F.array_max(a)
-    return F.transform(a, lambda x: F.try_divide(x, top))
+    return bound(fill_nulls_array(arr), lambda a: bound(
+        F.array_max(a), lambda top: F.transform(a, lambda x: F.try_divide(x, top))))
 
 
 def max_abs_normalize(arr: str | Column) -> Column:
     """The true L-infinity normalisation, ``x / max|x|``."""
-    a = fill_nulls_array(arr)
-    top = F.array_max(abs_array(a))
-    return F.when(top == 0.0, a).otherwise(F.transform(a, lambda x: x / top))
+    return bound(fill_nulls_array(arr), lambda a: _divided(a, F.array_max(abs_array(a))))
 
 
 def l1_abs_normalize(arr: str | Column) -> Column:

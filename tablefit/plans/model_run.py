@@ -45,9 +45,12 @@ class Prepared:
     components: Components | None
     labels: list[str]
     keys: list[str]
+    base: DataFrame | None = None  # persisted normalised rows that ``rows`` is read from
 
     def unpersist(self) -> None:
         self.rows.unpersist()
+        if self.base is not None:
+            self.base.unpersist()
 
 
 def normalised_rows(df: DataFrame, labels: Sequence[str], features: Sequence[str],
@@ -75,7 +78,9 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
     With ``checkpoint`` the prepared rows are also written to the session's
     checkpoint folder (shared storage on a cluster) and their lineage is
     cut, so a long sweep that loses executors reloads them instead of
-    re-reading and re-shuffling the input. ``partitions`` deals the rows out by
+    re-reading and re-shuffling the input. Without ``persist`` the normalised
+    rows stay persisted instead, until ``unpersist``: fits read these, and what
+    is computed from the rows later reads the input. ``partitions`` deals the rows out by
     their keys before anything is fitted; by default they stay in the
     partitions of the scan, which may be few for a file of few row groups."""
     base = normalised_rows(df, labels, features, keys, drop_zero, p)
@@ -100,9 +105,10 @@ def prepare(df: DataFrame, labels: Sequence[str], features: Sequence[str],
             checkpoint_root(rows.sparkSession)
             rows = rows.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
         rows.count()
-    if use_components:
-        base.unpersist()
-    return Prepared(rows, comps, list(labels), list(keys))
+        if use_components:
+            base.unpersist()
+    held = base if use_components and not (persist or checkpoint) else None
+    return Prepared(rows, comps, list(labels), list(keys), held)
 
 
 def labelled(prep: Prepared, expression: str) -> DataFrame:

@@ -49,7 +49,10 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lineitem_matches(spark, sf_dir)
     prep = mr.prepare(rows, ["RF"], LINEITEM_FEATURES, ["row_key"], k=3, confidence=0.999,
                       override_components=False, persist=False, partitions=_dealt(spark))
-    report = mr.evaluate(prep, [("naive_bayes", "RF", 0, {})], digits=DIGITS, parallelism=1)
+    try:
+        report = mr.evaluate(prep, [("naive_bayes", "RF", 0, {})], digits=DIGITS, parallelism=1)
+    finally:
+        prep.unpersist()
     return report.select("trainer", "label_expr", "test_ratio", "n", "var", "mae", "mse",
                          "r2", "rmse")
 
@@ -395,7 +398,10 @@ def _prepared(spark, sf_dir, labels, drop_zero=True):
 def _test_predictions(prep, trainer, expression):
     data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
                             label_column(expression).alias("label"))
-    fitted = tr.fit(trainer, data.where(~F.col("is_test")))
+    try:
+        fitted = tr.fit(trainer, data.where(~F.col("is_test")))
+    finally:
+        prep.unpersist()  # the predictions read the input
     return fitted.predict(data.where(F.col("is_test"))).select(
         *LINEITEM_KEYS, "label", F.col("prediction").cast("double").alias("prediction"))
 
@@ -596,7 +602,10 @@ def sgd_fit(spark, sf_dir):
     prep = _prepared(spark, sf_dir, ["RF"])
     data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
                             label_column("RF").alias("label"))
-    fitted = fit_sgd("logistic", data.where(~F.col("is_test")))
+    try:
+        fitted = fit_sgd("logistic", data.where(~F.col("is_test")))
+    finally:
+        prep.unpersist()
     return fitted.predict(data.where(F.col("is_test"))).select(
         *LINEITEM_KEYS, "label", "prediction")
 
