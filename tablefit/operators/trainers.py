@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from tablefit.functions.fixed import TRAINER_DEFAULTS
+from tablefit.operators.blocks import to_blocks
+from tablefit.operators.newton import MAX_WEIGHTS, LogisticFitted, fits_newton, newton_weights
 
 BINARY = {"logistic", "svm"}
 MULTICLASS = {"multinomial", "naive_bayes"}
@@ -174,9 +176,14 @@ def build_pipeline(name: str, params: Mapping, features_col: str = "features",
 
 def fit(name: str, train: DataFrame, features_col: str = "features", label_col: str = "label",
         override: Mapping | None = None, score_against: str = "encoded",
-        feature_index: int = 0, label_sd: float | None = None) -> Fitted:
+        feature_index: int = 0, label_sd: float | None = None,
+        optimizer: str = "ml") -> Fitted | LogisticFitted:
     """Fit one trainer on ``train`` and return the model (M12 through
-    :meth:`Fitted.predict`)."""
+    :meth:`Fitted.predict`). With ``optimizer="newton"`` the logistic trainers
+    with an L2 penalty, no intercept and at most ``MAX_WEIGHTS`` weights reach
+    the minimum of their objective in a few passes over matrix blocks."""
+    if optimizer not in ("ml", "newton"):
+        raise ValueError(f"unknown optimizer {optimizer!r}")
     params = trainer_params(name, override)
     if name == "ridge" and label_sd is None:
         label_sd = label_std(train, label_col)
@@ -187,7 +194,21 @@ def fit(name: str, train: DataFrame, features_col: str = "features", label_col:
         train = train.where(F.col(label_col).isNotNull()).withColumn(
             label_col, F.col(label_col).cast("double") + F.lit(0.0))
         indexer = pipe.getStages()[0].fit(train)
+        classes = len(indexer.labelsArray[0])
         pipe = Pipeline(stages=[indexer, pipe.getStages()[1]])
+    if optimizer == "newton" and name in ("logistic", "multinomial") and fits_newton(params):
+        first = train.select(features_col).head()
+        rows = classes if name == "multinomial" else 1
+        if first is not None and rows * first[0].size <= MAX_WEIGHTS:
+            encoded = pipe.getStages()[0].transform(train) if name == "logistic" else indexer.transform(train)
+            target = F.col(_LABEL01 if name == "logistic" else _LABEL_IDX)
+            blocks = to_blocks(encoded, features_col, {label_col: target})
+            try:
+                weights = newton_weights(blocks, rows, float(params["regParam"]), first[0].size)
+            finally:
+                blocks.unpersist()
+            values = [float(x) for x in indexer.labelsArray[0]] if name == "multinomial" else None
+            return LogisticFitted(name, params, weights, values, scored)
     if name == "isotonic":
         # one row per feature value, weighted by its rows: the same solution,
         # and no value however frequent meets in one task

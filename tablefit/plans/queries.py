@@ -399,7 +399,7 @@ def _test_predictions(prep, trainer, expression):
     data = prep.rows.select(*LINEITEM_KEYS, "features", "is_test",
                             label_column(expression).alias("label"))
     try:
-        fitted = tr.fit(trainer, data.where(~F.col("is_test")))
+        fitted = tr.fit(trainer, data.where(~F.col("is_test")), optimizer="newton")
     finally:
         prep.unpersist()  # the predictions read the input
     return fitted.predict(data.where(F.col("is_test"))).select(
