@@ -66,5 +66,5 @@ def main_run(spark: SparkSession, root: str, start_year: int = MAIN_RUN_START_YE
     report = run_sweep(table, labels, features, ["match_key"], trainers, expressions, k,
                        confidence, parallelism, score_against, optimizer=optimizer,
                        override_components=override_components, drop_zero=drop_zero,
-                       checkpoint=checkpoint, partitions=partitions)
+                       checkpoint=checkpoint, partitions=partitions, computed=table_path is None)
     return RunResult(report, col, table_path)

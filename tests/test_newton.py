@@ -105,3 +105,25 @@ def test_a_row_norm_is_computed_once(spark, normalise):
     total = 5.0 if "sqrt" in plan.lower() else 7.0
     sign = -1 if total == 5.0 else 1
     assert [list(r["x"]) for r in out.collect()] == [[3 / total, 0.0, sign * 4 / total], [0.0, 0.0]]
+
+
+def test_computed_columns_are_computed_once(spark):
+    df = spark.createDataFrame([(1, "2", "3", "4"), (2, "0", "1", "1"), (3, None, "1", "1"), (4, "1", "0", None), (4, "x", "1", "1")],
+                               "k long, ys string, as string, bs string")
+    typed = df.select("k", *[F.expr(f"try_cast({c}s AS double)").alias(c) for c in "yab"])
+    out = mr.normalised_rows(typed, ["y"], ["a", "b"], ["k"], computed=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as double") == 3
+    assert out.collect() == mr.normalised_rows(typed, ["y"], ["a", "b"], ["k"]).collect()
+    assert [(r["k"], list(r["x"])) for r in out.collect()] == [(1, [0.6, 0.8])]
+
+
+def test_the_main_run_computes_its_cells_once(spark, monkeypatch):
+    from tablefit.plans import main_run
+    seen = []
+    monkeypatch.setattr(main_run, "run_sweep", lambda *a, **k: seen.append(k["computed"]))
+    col = type("C", (), {"inventory": None, "table": None, "titles": ["y"]})()
+    monkeypatch.setattr(main_run, "collate_seasons", lambda *a, **k: col)
+    monkeypatch.setattr(main_run, "assert_label_prefix", lambda *a: None)
+    main_run.main_run(spark, "/none", labels=["y"])
+    assert seen == [True]
