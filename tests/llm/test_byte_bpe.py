@@ -67,3 +67,14 @@ def test_null_empty_repeated_and_long_rows(spark):
     assert out[4].decoded_sha256 == hashlib.sha256(b"q" * 300_000).hexdigest()
     none = spark.createDataFrame([], "doc_id long, text string")
     assert byte_bpe.tokenize(none, PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_rows_are_decoded_together(own, monkeypatch):
+    texts = ["", "a", "日本語 テキスト", "", "hello  world\n\n x", "q" * 3000, ""]
+    rows = own.encode(texts)
+    offsets = byte_bpe.np.cumsum([0, *map(len, rows)]).astype("int32")
+    flat = byte_bpe.np.array([i for r in rows for i in r], "int32")
+    monkeypatch.setattr(byte_bpe.ByteBPE, "decode", None)  # no token by token loop
+    assert own.decode_all(flat, offsets).to_pylist() == [t.encode() for t in texts]
+    assert own.decode_all(flat[:0], offsets[:1]).to_pylist() == []
+    assert own.decode_all(flat[:0], byte_bpe.np.zeros(3, "int32")).to_pylist() == [b"", b""]
