@@ -1,7 +1,8 @@
 """Feature arrays and vectors.
 
-Arrays are normalised with SQL higher-order functions (JVM-side, no Python);
-vectors for ML go through ``array_to_vector`` and ``pyspark.ml.feature``
+Arrays are normalised with SQL higher-order functions (JVM-side, no Python),
+those of a known small width with an expression for each element, which Spark
+compiles; vectors for ML go through ``array_to_vector`` and ``pyspark.ml.feature``
 transformers.
 """
 
@@ -16,6 +17,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from tablefit.functions.cells import zero_if_null
 
 
+#: Elements of an array at most whose normalisation is written out for each: the
+#: expression has a term for each pair of them.
+WRITTEN_OUT = 32
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -60,11 +66,27 @@ def _norm(a: Column, p: float) -> Column:
     return F.pow(total, F.lit(1.0 / p))
 
 
-def lp_normalize(arr: str | Column, p: float = 2.0) -> Column:
+def _elements(arr: str | Column, width: int) -> list[Column]:
+    return [F.coalesce(_col(arr)[i].cast("double"), F.lit(0.0)) for i in range(width)]
+
+
+def _normalized_elements(values: Sequence[Column], p: float) -> Column:
+    """The elements divided by their norm, summed up in the same order as ``_norm`` does."""
+    total = F.lit(0.0)
+    for x in values:
+        total = total + (F.abs(x) if p == 1.0 else x * x if p == 2.0 else F.pow(F.abs(x), F.lit(p)))
+    norm = total if p == 1.0 else F.sqrt(total) if p == 2.0 else F.pow(total, F.lit(1.0 / p))
+    return F.array(*[F.when(norm == 0.0, x).otherwise(x / norm) for x in values])
+
+
+def lp_normalize(arr: str | Column, p: float = 2.0, width: int | None = None) -> Column:
     """Row Lp normalisation with finite p (V1): ``x / ||x||_p``, nulls as 0,
-    sign kept. A zero row stays zero (no division by zero)."""
+    sign kept. A zero row stays zero (no division by zero). ``width``: the
+    elements of every array, where they are known and no array is null."""
     if p == float("inf"):
         raise ValueError("use signed_max_normalize or max_abs_normalize for p = inf")
+    if width is not None and 0 < width <= WRITTEN_OUT:
+        return _normalized_elements(_elements(arr, width), float(p))
     return bound(fill_nulls_array(arr), lambda a: _divided(a, _norm(a, p)))
 
 
@@ -84,9 +106,11 @@ def max_abs_normalize(arr: str | Column) -> Column:
     return bound(fill_nulls_array(arr), lambda a: _divided(a, F.array_max(abs_array(a))))
 
 
-def l1_abs_normalize(arr: str | Column) -> Column:
+def l1_abs_normalize(arr: str | Column, width: int | None = None) -> Column:
     """V3: ``|x| / sum |x|`` with nulls as 0; an all-zero row stays all zero
-    (its sparse form is empty)."""
+    (its sparse form is empty). ``width``: as for :func:`lp_normalize`."""
+    if width is not None and 0 < width <= WRITTEN_OUT:
+        return _normalized_elements([F.abs(x) for x in _elements(arr, width)], 1.0)
     return lp_normalize(abs_array(fill_nulls_array(arr)), 1.0)
 
 

@@ -7,6 +7,9 @@ components (M1) from ``StandardScaler`` (unit deviation, no centring) and
 matrix. Both are distributed tree aggregates; only d x d results live on
 the driver, so the driver cost depends on d, not on the row count. Rows
 are projected by the fitted ``PCAModel`` (a JVM matrix-vector product).
+Few features take one pass instead of three: every task sums up the products
+of its rows around their mean, and the tasks' sums give that matrix; such rows
+are projected by written-out products.
 
 Projection is applied to the *uncentred, unscaled* rows, as the run this
 library reproduces does; eigenvectors are those of the correlation matrix.
@@ -15,20 +18,26 @@ library reproduces does; eigenvectors are those of the correlation matrix.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 
 from tablefit.functions.vectors import to_vector
 
 SIGN_EPS = 1e-9
+#: Features at most whose components come from one pass, and whose projection is
+#: written out.
+FEW_FEATURES = 16
 
 
 def correlation_matrix(df: DataFrame, features_col: str,
@@ -142,9 +151,15 @@ class Components:
         return spark.createDataFrame(rows, schema)
 
     def transform(self, df: DataFrame, arr_col: str, out_col: str = "components") -> DataFrame:
-        """Adds ``out_col`` (array of the k selected components) computed by
-        the fitted Spark PCA model on the unscaled rows (a BLAS
-        matrix-vector product per row), with the sign rule applied."""
+        """Adds ``out_col`` (array of the k selected components) of the
+        unscaled rows, with the sign rule applied: few products are written
+        out, and compiled with what reads them; others are computed by the
+        fitted Spark PCA model (a BLAS matrix-vector product per row)."""
+        if len(self.names) <= FEW_FEATURES:
+            x = F.col(arr_col)
+            return df.withColumn(out_col, F.array(*[
+                reduce(add, [x[i] * F.lit(float(v)) for i, v in enumerate(self.vectors[:, j])])
+                for j in range(self.k)]))
         if self.model is None or self.signs is None:
             raise ValueError("components were not fitted")
         model = self.model.copy()
@@ -164,6 +179,47 @@ class Components:
                         *[F.col("_comps")[j].alias(f"{prefix}{j + 1}") for j in range(self.k)])
 
 
+def _covariance(df: DataFrame, arr_col: str, origin: np.ndarray) -> np.ndarray:
+    """Covariance matrix of the array column in one pass. Each task sums around
+    the mean of its own rows, so nearly constant features keep their digits;
+    ``origin``, a row, makes constant ones exactly zero."""
+    d = origin.size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, products = 0, np.zeros(d), np.zeros((d, d))
+        for batch in batches:
+            size = batch.num_rows
+            values = batch.column(0).flatten()
+            if batch.column(0).null_count or values.null_count or len(values) != size * d:
+                raise ValueError("each row needs all features")
+            if size:
+                x = values.to_numpy(zero_copy_only=False).reshape(size, d) - origin
+                own = x.mean(axis=0)
+                x -= own
+                products += x.T @ x + np.outer(own - mean, own - mean) * (n * size / (n + size))
+                mean += (own - mean) * (size / (n + size))
+                n += size
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([float(n)]), pa.array([mean], pa.list_(pa.float64())),
+                 pa.array([products.ravel()], pa.list_(pa.float64()))], ["n", "mean", "products"])
+
+    # a row a task: first the mean of all, then the tasks' sums around it
+    tasks = (df.select(F.col(arr_col).cast("array<double>").alias("x"))
+             .mapInArrow(run, "n double, mean array<double>, products array<double>").persist())
+    try:
+        mean, n = tasks.agg(Summarizer.mean(array_to_vector("mean"), F.col("n")), F.sum("n")).head()
+        between = F.flatten(F.transform(
+            F.zip_with("mean", F.lit(mean.toArray().tolist()), lambda a, b: a - b),
+            lambda a: F.transform(F.zip_with("mean", F.lit(mean.toArray().tolist()), lambda x, y: x - y),
+                                  lambda b: a * b * F.col("n"))))
+        sums = F.zip_with("products", between, lambda a, b: a + b)
+        total = tasks.agg(Summarizer.sum(array_to_vector(sums))).head()[0].toArray().reshape(d, d)
+    finally:
+        tasks.unpersist()
+    return total / (n - 1.0) if n > 1 else np.zeros((d, d))
+
+
 def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = None,
                    k: int | None = 9, confidence: float = 0.999,
                    override_components: bool = True,
@@ -177,16 +233,22 @@ def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = No
     The d x d covariance and its eigenvectors are on the driver; ``max_dim``
     refuses wider inputs where the caller wants a bound.
 
-    Pass a persisted ``df``: the fit reads it for the scaler and for the
-    covariance; only d-sized and d x d results reach the driver."""
+    Pass a persisted ``df``: with more than ``FEW_FEATURES`` the fit reads it for
+    the scaler and for the covariance; only d-sized and d x d results reach the driver."""
     if not 0.0 <= confidence <= 1.0:
         raise ValueError("confidence must be within [0, 1]")
     vec = df.select(to_vector(F.col(arr_col)).alias("_x"))
-    if vec.head() is None:
+    first = vec.head()
+    if first is None:
         raise ValueError("no rows to fit components on (did the filters remove every row?)")
-    scaler = StandardScaler(inputCol="_x", outputCol="_xs", withMean=False,
-                            withStd=True).fit(vec)
-    std = np.asarray(scaler.std.toArray(), dtype=float)
+    few = 0 < first[0].size <= FEW_FEATURES
+    if few:
+        covariance = _covariance(df, arr_col, first[0].toArray())
+        std = np.sqrt(np.diag(covariance))
+    else:
+        scaler = StandardScaler(inputCol="_x", outputCol="_xs", withMean=False,
+                                withStd=True).fit(vec)
+        std = np.asarray(scaler.std.toArray(), dtype=float)
     d = std.size
     if d == 0:
         raise ValueError("no features")
@@ -200,9 +262,15 @@ def fit_components(df: DataFrame, arr_col: str, names: Sequence[str] | None = No
         warnings.warn(f"constant features left out of the components: {constant}")
     if len(constant) == d:
         raise ValueError("every feature is constant; no components")
-    pca = PCA(k=d, inputCol="_xs", outputCol="_pcs").fit(scaler.transform(vec))
-    ratios = np.asarray(pca.explainedVariance.toArray(), dtype=float)
-    raw = np.asarray(pca.pc.toArray(), dtype=float)
+    pca = None
+    if few:
+        scale = np.divide(1.0, std, out=np.zeros(d), where=std != 0.0)
+        raw, variance, _ = np.linalg.svd(covariance * np.outer(scale, scale))
+        ratios = variance / variance.sum()
+    else:
+        pca = PCA(k=d, inputCol="_xs", outputCol="_pcs").fit(scaler.transform(vec))
+        ratios = np.asarray(pca.explainedVariance.toArray(), dtype=float)
+        raw = np.asarray(pca.pc.toArray(), dtype=float)
     signs = sign_rule(raw)
     vectors = raw * signs
     # the trace of a correlation matrix is its count of non-constant features
