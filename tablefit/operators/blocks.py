@@ -2,8 +2,11 @@
 
 A block holds the features of some thousand rows as one binary matrix, the
 labels of all label expressions as another, and the hold-out flags. Blocks
-are made once, in the tasks that read the rows, and persisted; every pass
-then moves whole matrices to numpy instead of rows. What a pass returns is a
+are made once, in the tasks that read the rows, and persisted on the executors'
+disks as plain bytes; every pass then moves whole matrices to numpy instead of
+rows. A task holds one block at a time, on both sides of the way to Python:
+cached tables and Arrow batches take up many such rows at once, and more of
+them the larger the task's input. What a pass returns is a
 vector for each key (a model, a label): each task sums its blocks, and one
 small aggregate sums the tasks, so the driver sees a vector per key.
 """
@@ -15,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 #: features, labels (NaN where null) and hold-out flags of some rows
@@ -55,31 +58,40 @@ def _pack(n_labels: int):
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         for i in range(batch.num_rows):
-            n = batch.column(0)[i].as_py()
-            x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.float64) for c in (1, 2))
-            t = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint8).astype(bool)
-            yield x.reshape(n, -1), y.reshape(n, -1), t
+            yield _block(batch.column(0)[i].as_py(), *(batch.column(c)[i].as_buffer() for c in (1, 2, 3)))
+
+
+def _block(n: int, x: bytes, y: bytes, t: bytes) -> Block:
+    return (np.frombuffer(x, np.float64).reshape(n, -1), np.frombuffer(y, np.float64).reshape(n, -1),
+            np.frombuffer(t, np.uint8).astype(bool))
+
+
+def _plain(rows: Iterator[Row]) -> Iterator[tuple]:
+    return ((r["n"], bytes(r["x"]), bytes(r["y"]), bytes(r["t"])) for r in rows)
 
 
 @dataclass
 class Blocks:
-    frame: DataFrame
+    frame: DataFrame             # a row a block
     labels: list[str]
+    held: RDD                    # the same as plain bytes, which passes read
 
     def unpersist(self) -> None:
-        self.frame.unpersist()
+        self.held.unpersist()
+
+    def passed(self, per_task: Callable[[Iterator[Block]], Iterable[tuple]], schema: str) -> DataFrame:
+        """One pass: the rows that ``per_task`` gives for the blocks of each task."""
+        def run(rows: Iterator[tuple]) -> Iterable[tuple]:
+            return per_task(_block(*r) for r in rows)
+        return self.frame.sparkSession.createDataFrame(self.held.mapPartitions(run), schema, verifySchema=False)
 
     def summed(self, per_task: Callable[[Iterable[Block]], dict[int, np.ndarray]]) -> dict[int, np.ndarray]:
         """One pass: the vectors that ``per_task`` gives for its blocks,
         summed by key over all tasks."""
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = per_task(unpacked(batches))
-            if sums:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(sums), pa.int32()),
-                     pa.array([np.ravel(v).astype(np.float64) for v in sums.values()], pa.list_(pa.float64()))],
-                    ["key", "v"])
-        parts = self.frame.mapInArrow(run, "key int, v array<double>")
+        def run(blocks: Iterator[Block]) -> Iterator[tuple]:
+            for key, v in per_task(blocks).items():
+                yield int(key), np.ravel(v).astype(np.float64).tolist()
+        parts = self.passed(run, "key int, v array<double>")
         rows = parts.groupBy("key").agg(Summarizer.sum(array_to_vector("v")).alias("v")).collect()
         return {r["key"]: r["v"].toArray() for r in rows}
 
@@ -91,7 +103,8 @@ def to_blocks(df: DataFrame, features_col: str, labels: dict[str, Column],
     rows = df.select(vector_to_array(F.col(features_col), "float64").alias("x"), y.alias("y"),
                      (test if test is not None else F.lit(False)).alias("t"))
     frame = rows.mapInArrow(_pack(len(labels)), _SCHEMA)
-    return Blocks(frame.persist(StorageLevel.MEMORY_AND_DISK) if persist else frame, list(labels))
+    held = frame.rdd.mapPartitions(_plain, True)
+    return Blocks(frame, list(labels), held.persist(StorageLevel.DISK_ONLY) if persist else held)
 
 
 def training_rows(block: Block, label: int, positive: bool = False) -> tuple[np.ndarray, np.ndarray]:

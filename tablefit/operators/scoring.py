@@ -14,10 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tablefit.operators.blocks import Blocks, unpacked
+from tablefit.operators.blocks import Block, Blocks
 
 _PARTS = ["n", "p_mean", "p_spread", "y_mean", "y_spread", "abs_error", "sq_error"]
 
@@ -110,9 +109,9 @@ def score_models(blocks: Blocks, models: Sequence[Predictor], labels: Sequence[i
     against 1 where the label exceeds 0, else 0."""
     models, labels, encoded = list(models), list(labels), list(encoded)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[Block]) -> Iterator[tuple]:
         total = None
-        for x, y, t in unpacked(batches):
+        for x, y, t in parts:
             rows = t if held_out else ~t
             if not rows.any():
                 continue
@@ -121,8 +120,8 @@ def score_models(blocks: Blocks, models: Sequence[Predictor], labels: Sequence[i
             part = _parts(predictions(models, x[rows]), np.where(np.array(encoded), positive, truth))
             total = part if total is None else np.stack([merged_parts(np.stack(two)) for two in zip(total, part)])
         if total is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(models)), pa.int32()), *[pa.array(total[:, i]) for i in range(len(_PARTS))]], ["fit", *_PARTS])
+            for i, part in enumerate(total.tolist()):
+                yield i, *part
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         n, p, ps, y, ys, ae, se = merged_parts(rows[_PARTS].to_numpy())
@@ -133,7 +132,7 @@ def score_models(blocks: Blocks, models: Sequence[Predictor], labels: Sequence[i
             "mae": [ae / n if n else none], "mse": [mse], "r2": [1 - se / ys if n and ys > 0 else none],
             "rmse": [np.sqrt(mse) if n else none]})
 
-    parts = blocks.frame.mapInArrow(run, "fit int, " + ", ".join(f"{c} double" for c in _PARTS))
+    parts = blocks.passed(run, "fit int, " + ", ".join(f"{c} double" for c in _PARTS))
     merged = parts.groupBy("fit").applyInPandas(
         merge, "fit int, n long, var double, mae double, mse double, r2 double, rmse double")
     figures = ["var", "mae", "mse", "r2", "rmse"]

@@ -72,6 +72,12 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{root}/tablefit/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job wrote, once nothing reads it any more."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme for code that needs an OS path (tests)."""
     if uri.startswith("file:"):
